@@ -42,7 +42,8 @@ _INTEGRAL_RE = r"^\s*[+-]?[0-9]+\s*$"
 # ISO date, optional time with optional fraction and optional offset (dropped).
 _ISO_RE = (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
            r"([T ][0-9]{1,2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?(Z|[+-][0-9]{2}(:?[0-9]{2})?)?)?$")
-_OFFSET_RE = r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+# An offset may only follow a time; it is dropped, keeping the wall-clock time.
+_TIME_OFFSET_RE = r"^(.*[T ][0-9]{1,2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?)(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
 # Day-first Dutch notation: dd-MM-yyyy with an optional time.
 _DMY_RE = r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})( [0-9]{1,2}:[0-9]{2}:[0-9]{2})?$"
 _MS_DATE_RE = r"^/Date\((-?[0-9]+)\)/$"
@@ -149,7 +150,7 @@ def to_datetime(c: Column, numeric_input: bool = False, temporal_input: bool = F
         return _epoch_ms_to_ts(c.try_cast("bigint"))
     s = F.trim(_text(c))
     from_ms = _epoch_ms_to_ts(_ms_date_value(s))
-    iso = F.when(s.rlike(_ISO_RE), F.regexp_replace(s, _OFFSET_RE, "").try_cast("timestamp_ntz"))
+    iso = F.when(s.rlike(_ISO_RE), F.regexp_replace(s, _TIME_OFFSET_RE, "$1").try_cast("timestamp_ntz"))
     dmy = F.when(s.rlike(_DMY_RE),
                  F.regexp_replace(s, _DMY_RE, "$3-$2-$1$4").try_cast("timestamp_ntz"))
     return F.coalesce(from_ms, iso, dmy)
