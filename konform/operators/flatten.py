@@ -34,7 +34,8 @@ def _c(name: str) -> Column:
 
 
 # --------------------------------------------------------------------- D1-D3
-def explode_lines(df: DataFrame, doc: NestedDocument, missing_header: str = "error") -> DataFrame:
+def explode_lines(df: DataFrame, doc: NestedDocument, missing_header: str = "error",
+                  keep: list[str] | None = None) -> DataFrame:
     """One row per line with the document's header fields.
 
     The header ``Description`` becomes ``<Prefix>_Description``; absent header
@@ -54,9 +55,11 @@ def explode_lines(df: DataFrame, doc: NestedDocument, missing_header: str = "err
             raise FlattenError(f"header field {f} missing")
     lines_t = df.schema[doc.line_column].dataType["results"].dataType.elementType
     present = set(lines_t.names)
-    exploded = df.select(*[c.alias(n) for n, c in header.items()],
+    keep = [k for k in (keep or []) if k not in header]
+    exploded = df.select(*[_c(k) for k in keep], *[c.alias(n) for n, c in header.items()],
                          F.explode(F.col(f"`{doc.line_column}`.results")).alias("_l"))
-    out = {n: _c(n) for n in header}
+    out = {k: _c(k) for k in keep}
+    out.update({n: _c(n) for n in header})
     for f in doc.line_fields:
         out[f] = F.col(f"_l.`{f}`") if f in present else F.lit(None).cast("string")
     return exploded.select(*[c.alias(n) for n, c in out.items()])
@@ -121,7 +124,7 @@ def forward_fill_document(df: DataFrame, table: str, seq: str, partition_cols: l
 
 
 # ------------------------------------------------------------------------- D7
-def flatten_for_table(df: DataFrame, table: str) -> DataFrame:
+def flatten_for_table(df: DataFrame, table: str, keep: list[str] | None = None) -> DataFrame:
     """The three sales documents flatten, every other table passes through.
 
     Unlike the reference (which returns the input unchanged on error), a
@@ -130,7 +133,8 @@ def flatten_for_table(df: DataFrame, table: str) -> DataFrame:
     doc = NESTED.get(table)
     if doc is None:
         return df
-    return explode_lines(df, doc, missing_header="null" if table == "VerkoopOrders" else "error")
+    return explode_lines(df, doc, missing_header="null" if table == "VerkoopOrders" else "error",
+                         keep=keep)
 
 
 def line_struct_type(fields, dtype: T.DataType = T.StringType()) -> T.StructType:

@@ -29,7 +29,7 @@ def add_constant_if_absent(df: DataFrame, name: str, value) -> DataFrame:
     """Add ``name`` as a constant only when the frame lacks it (``Division``)."""
     if value is None or name in df.columns:
         return df
-    return df.withColumn(name, F.lit(value))
+    return df.withColumn(name, value if isinstance(value, Column) else F.lit(value))
 
 
 def add_constant(df: DataFrame, name: str, value, dtype: str | None = None) -> DataFrame:
