@@ -18,9 +18,14 @@ def parse_watermark(wm: str | datetime) -> datetime:
     return wm if isinstance(wm, datetime) else datetime.strptime(wm, WATERMARK_PATTERN)
 
 
+def _ntz(value: datetime) -> Column:
+    # A text literal cast to timestamp_ntz: zone-free (a Python datetime literal
+    # would pass through the driver's local zone) and pushable into the scan.
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
 def _ts_literal(wm: str | datetime) -> Column:
-    # A timestamp_ntz literal keeps the comparison zone-free and pushable.
-    return F.lit(parse_watermark(wm)).cast("timestamp_ntz")
+    return _ntz(parse_watermark(wm))
 
 
 def modified_since(col: str, watermark: str | datetime) -> Column:
@@ -31,7 +36,7 @@ def modified_since(col: str, watermark: str | datetime) -> Column:
 def modified_since_day(col: str, watermark: str | datetime) -> Column:
     """The watermark floored to 00:00:00 of its day."""
     wm = parse_watermark(watermark)
-    return F.col(col) >= F.lit(wm.replace(hour=0, minute=0, second=0, microsecond=0)).cast("timestamp_ntz")
+    return F.col(col) >= _ntz(wm.replace(hour=0, minute=0, second=0, microsecond=0))
 
 
 def at_least(col: str, value) -> Column:
@@ -51,7 +56,7 @@ def predicate_for(kind: str, col: str | None, watermark=None, reporting_year=Non
     if kind == "reporting_year":
         return at_least(col, int(reporting_year))
     if kind == "window_date":
-        return F.col(col) >= F.lit(window_start).cast("timestamp_ntz")
+        return F.col(col) >= F.lit(str(window_start)).cast("timestamp_ntz")
     if kind == "window_year":
         return at_least(col, int(str(window_start)[:4]))
     raise ValueError(f"unknown filter kind {kind}")

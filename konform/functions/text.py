@@ -27,4 +27,5 @@ def elapsed_hms(seconds) -> Column:
 
 def local_time(ts, zone: str = LOCAL_TIME_ZONE) -> Column:
     """A UTC wall-clock time shown in the local zone (Europe/Amsterdam)."""
-    return F.from_utc_timestamp(_col(ts).cast("timestamp"), zone).cast("timestamp_ntz")
+    # convert_timezone on a zone-less timestamp does not depend on the session zone.
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), _col(ts).cast("timestamp_ntz"))

@@ -52,7 +52,7 @@ def year_window_predicate(year_col: str, year: int, tenant_col: str | None = Non
 def date_window_predicate(date_col: str, start: date | datetime | str, tenant_col: str | None = None,
                           tenant=None) -> Column:
     """``date_col >= start AND tenant = x`` (invoice / order date windows)."""
-    p = _c(date_col) >= F.lit(start).cast("timestamp_ntz")
+    p = _c(date_col) >= F.lit(str(start)).cast("timestamp_ntz")
     if tenant_col is not None and tenant is not None:
         p = p & (_c(tenant_col) == F.lit(tenant))
     return p

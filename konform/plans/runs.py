@@ -19,8 +19,8 @@ def advance_watermark(results: DataFrame, key: list[str], ok: str, run_start, ru
     ``results`` has one row per (customer, table) outcome; ``bool_and`` is a
     partial aggregate, so a customer with many tables never sits in one task
     whole.  Any failure blocks the advance (deviation V5)."""
-    start_text = F.date_format(F.lit(run_start).cast("timestamp_ntz") if not isinstance(run_start, Column)
-                               else run_start, WATERMARK_FORMAT)
+    start = run_start if isinstance(run_start, Column) else F.lit(str(run_start)).cast("timestamp_ntz")
+    start_text = F.date_format(start, WATERMARK_FORMAT)
     agg = results.groupBy(*key).agg(F.bool_and(F.coalesce(F.col(ok), F.lit(False))).alias("all_ok"),
                                     F.max(F.col(old_watermark)).alias("old_watermark"))
     mode = F.lit(run_mode) if not isinstance(run_mode, Column) else run_mode
@@ -31,7 +31,7 @@ def advance_watermark(results: DataFrame, key: list[str], ok: str, run_start, ru
 
 def reporting_year(as_of) -> Column:
     """The reporting year is the current year minus one."""
-    c = F.lit(as_of) if not isinstance(as_of, Column) else as_of
+    c = F.lit(str(as_of)).cast("timestamp_ntz") if not isinstance(as_of, Column) else as_of
     return (F.year(c) - 1).cast("int")
 
 
