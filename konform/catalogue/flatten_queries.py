@@ -93,7 +93,8 @@ def _duck_expr(sql: str) -> str:
 
 
 def landed_documents(spark, sf: str, table: str, page_rows: int = PAGE_ROWS,
-                     orders: DataFrame | None = None) -> tuple[DataFrame, T.StructType]:
+                     orders: DataFrame | None = None,
+                     header_overrides: dict[str, str] | None = None) -> tuple[DataFrame, T.StructType]:
     """OData pages of nested documents built from orders and their line items.
 
     A document carries at most ``LIST_ROWS`` lines (a larger order is split
@@ -101,6 +102,7 @@ def landed_documents(spark, sf: str, table: str, page_rows: int = PAGE_ROWS,
     of ``page_rows`` consecutive order keys.
     """
     spec, doc = DOCS[table], NESTED[table]
+    header_spec = {**spec["header"], **(header_overrides or {})}
     o = orders if orders is not None else load(spark, sf, "orders")
     li = load(spark, sf, "lineitem")
     lines = (li.withColumn("_chunk", bounded_chunk())
@@ -109,7 +111,7 @@ def landed_documents(spark, sf: str, table: str, page_rows: int = PAGE_ROWS,
                   .alias("_lines")))
     docs = (o.join(lines, o.o_orderkey == lines.l_orderkey, "inner")
             .select("o_orderkey", "o_orderpriority", F.to_json(F.struct(
-                *[_spark_expr(e).alias(f) for f, e in spec["header"].items()],
+                *[_spark_expr(e).alias(f) for f, e in header_spec.items()],
                 F.struct(F.col("_lines").alias("results")).alias(doc.line_column))).alias("doc")))
     pages = (docs.groupBy(F.expr(_DIV).alias("tenant"), F.floor(F.col("o_orderkey") / page_rows).alias("page_no"))
              .agg(F.concat(F.lit('{"d":{"results":['), F.concat_ws(",", F.collect_list("doc")),
@@ -119,9 +121,10 @@ def landed_documents(spark, sf: str, table: str, page_rows: int = PAGE_ROWS,
     return pages, schema
 
 
-def conformed_lines(spark, sf: str, table: str, orders: DataFrame | None = None) -> DataFrame:
+def conformed_lines(spark, sf: str, table: str, orders: DataFrame | None = None,
+                    header_overrides: dict[str, str] | None = None) -> DataFrame:
     """Landed pages -> A1 -> D7 (D1-D3) -> B1 -> C, in the target's column order."""
-    pages, schema = landed_documents(spark, sf, table, orders=orders)
+    pages, schema = landed_documents(spark, sf, table, orders=orders, header_overrides=header_overrides)
     rows = payloads.odata_rows(pages, schema, keep=["tenant"])
     flat = flatten.flatten_for_table(rows, table, keep=["tenant"])
     # Documents without a Division field get their page's tenant.
