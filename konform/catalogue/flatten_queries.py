@@ -105,10 +105,12 @@ def landed_documents(spark, sf: str, table: str, page_rows: int = PAGE_ROWS,
     header_spec = {**spec["header"], **(header_overrides or {})}
     o = orders if orders is not None else load(spark, sf, "orders")
     li = load(spark, sf, "lineitem")
-    lines = (li.withColumn("_chunk", bounded_chunk())
+    # Line records are built in a projection (whole-stage codegen) before the
+    # list aggregate, which evaluates its input without codegen.
+    lines = (li.select("l_orderkey", bounded_chunk().alias("_chunk"),
+                       F.struct(*[_spark_expr(e).alias(f) for f, e in spec["line"].items()]).alias("_line"))
              .groupBy("l_orderkey", "_chunk")
-             .agg(F.collect_list(F.struct(*[_spark_expr(e).alias(f) for f, e in spec["line"].items()]))
-                  .alias("_lines")))
+             .agg(F.collect_list("_line").alias("_lines")))
     docs = (o.join(lines, o.o_orderkey == lines.l_orderkey, "inner")
             .select("o_orderkey", "o_orderpriority", F.to_json(F.struct(
                 *[_spark_expr(e).alias(f) for f, e in header_spec.items()],

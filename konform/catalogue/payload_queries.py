@@ -30,11 +30,11 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
 def odata_unwrap(spark, sf):
     c = load(spark, sf, "customer").select(*CUSTOMER_COLS)
     rec = F.to_json(F.struct(*CUSTOMER_COLS))
-    paged = c.withColumn("page_no", F.floor(F.col("c_custkey") / PAGE_ROWS))
+    paged = c.select(F.floor(F.col("c_custkey") / PAGE_ROWS).alias("page_no"), rec.alias("rec"))
     # Every fourth page arrives record by record as bare objects (no "d").
-    singles = paged.filter(F.col("page_no") % 4 == 3).select(F.col("page_no"), rec.alias("body"))
+    singles = paged.filter(F.col("page_no") % 4 == 3).select(F.col("page_no"), F.col("rec").alias("body"))
     grouped = (paged.filter(F.col("page_no") % 4 != 3).groupBy("page_no")
-               .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(rec)), F.lit("]")).alias("items")))
+               .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("rec")), F.lit("]")).alias("items")))
     nxt = F.concat(F.lit("/api/customers?$skiptoken="), (F.col("page_no") + 1).cast("string"))
     body = (F.when(F.col("page_no") % 4 == 0,
                    F.concat(F.lit('{"d":{"results":'), F.col("items"), F.lit(',"__next":"'), nxt, F.lit('"}}')))
@@ -55,8 +55,9 @@ SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier
 def row_envelope(spark, sf):
     s = load(spark, sf, "supplier")
     cols = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]
-    pages = (s.withColumn("page_no", F.floor(F.col("s_suppkey") / 50)).groupBy("page_no")
-             .agg(F.to_json(F.struct(F.collect_list(F.struct(*cols)).alias("rows"))).alias("body")))
+    pages = (s.select(F.floor(F.col("s_suppkey") / 50).alias("page_no"), F.struct(*cols).alias("rec"))
+             .groupBy("page_no")
+             .agg(F.to_json(F.struct(F.collect_list("rec").alias("rows"))).alias("body")))
     return payloads.envelope_rows(pages, s.select(*cols).schema).select(*cols)
 
 
@@ -70,7 +71,8 @@ def keyed_envelope(spark, sf):
     pg = p.withColumn("page_no", F.floor(F.col("p_partkey") / 200))
     # Half of the pages come from the administrations endpoint (key "admdat").
     resource = F.when(F.col("page_no") % 2 == 0, F.lit("Part")).otherwise(F.lit("admdat"))
-    pages = (pg.groupBy("page_no").agg(F.collect_list(F.struct(*cols)).alias("recs"))
+    pages = (pg.select("page_no", F.struct(*cols).alias("rec"))
+             .groupBy("page_no").agg(F.collect_list("rec").alias("recs"))
              .select("page_no",
                      F.concat(F.lit("/api/v1/"), resource, F.lit("?offset_rowid="),
                               F.col("page_no").cast("string")).alias("endpoint"),
@@ -98,14 +100,15 @@ def atom_entries(spark, sf):
         F.lit("<d:c_comment></d:c_comment></m:properties>"))
     entry = F.concat(F.lit("<entry><id>"), text(F.col("c_custkey")), F.lit("</id><content type=\"application/xml\">"),
                      props, F.lit("</content></entry>"))
-    pages = (c.withColumn("page_no", F.floor(F.col("c_custkey") / PAGE_ROWS)).groupBy("page_no")
+    pages = (c.select(F.floor(F.col("c_custkey") / PAGE_ROWS).alias("page_no"), entry.alias("entry"))
+             .groupBy("page_no")
              .agg(F.concat(
                  F.lit('<feed xmlns="http://www.w3.org/2005/Atom" '
                        'xmlns:m="http://schemas.microsoft.com/ado/2007/08/dataservices/metadata" '
                        'xmlns:d="http://schemas.microsoft.com/ado/2007/08/dataservices">'
                        '<title>Customers</title><link rel="next" href="/api/customers?page='),
                  (F.col("page_no") + 1).cast("string"), F.lit('"/>'),
-                 F.concat_ws("", F.collect_list(entry)), F.lit("</feed>")).alias("body")))
+                 F.concat_ws("", F.collect_list("entry")), F.lit("</feed>")).alias("body")))
     rows = payloads.atom_rows(pages, ["c_custkey", "c_name", "c_nationkey", "c_acctbal",
                                       "c_mktsegment", "c_comment"])
     return rows.select(F.col("c_custkey").try_cast("bigint").alias("c_custkey"), "c_name",
@@ -132,8 +135,8 @@ def extra_fields(spark, sf):
         F.concat(F.lit("<Description>"), pad, F.col("event_type"), pad, F.lit("</Description>")),
         F.concat(F.lit("<Value>"), text(F.col("value")), F.lit("</Value>")),
         F.lit("</element>"))
-    pages = (e.withColumn("page_no", F.floor(F.col("event_id") / 500)).groupBy("page_no")
-             .agg(F.concat(F.lit("<ItemExtraFields>"), F.concat_ws("", F.collect_list(elem)),
+    pages = (e.select(F.floor(F.col("event_id") / 500).alias("page_no"), elem.alias("elem")).groupBy("page_no")
+             .agg(F.concat(F.lit("<ItemExtraFields>"), F.concat_ws("", F.collect_list("elem")),
                            F.lit("</ItemExtraFields>")).alias("body")))
     rows = payloads.extra_field_rows(pages)
     return rows.select(to_int(F.col("ItemID")).alias("ItemID"),
@@ -165,11 +168,12 @@ def wage_report(spark, sf):
     co = c.join(o, c.c_custkey == o.o_custkey, "left")
     # A report holds at most 1000 orders: chunk on the (unique) order key; a
     # customer without orders is an employee without wage components.
-    co = co.withColumn("chunk", F.coalesce(F.floor(F.col("o_orderkey") / 1000),
-                                            -1 - F.floor(F.col("c_custkey") / 1000)))
+    co = co.select("c_nationkey", "c_custkey", "c_name",
+                   F.coalesce(F.floor(F.col("o_orderkey") / 1000),
+                              -1 - F.floor(F.col("c_custkey") / 1000)).alias("chunk"),
+                   F.when(F.col("o_orderkey").isNotNull(), component).alias("component"))
     employees = (co.groupBy("c_nationkey", "chunk", "c_custkey", "c_name")
-                 .agg(F.concat_ws("", F.collect_list(F.when(F.col("o_orderkey").isNotNull(), component)))
-                      .alias("components"))
+                 .agg(F.concat_ws("", F.collect_list("component")).alias("components"))
                  .select("c_nationkey", "chunk", F.concat(
                      F.lit("<Employees>"), xml_elem("EmployeeID", F.col("c_custkey")),
                      xml_elem("EmployeeName", F.col("c_name")), xml_elem("EmployeeNumber", F.col("c_custkey")),
@@ -200,12 +204,13 @@ def element_rows(spark, sf):
     company = F.concat(F.lit("<Company>"), xml_elem("ID", F.col("s_suppkey")),
                        xml_elem("Number", F.col("s_nationkey")), xml_elem("Name", F.col("s_name")),
                        F.lit("<Active>true</Active></Company>"))
-    pages = (s.withColumn("page_no", F.floor(F.col("s_suppkey") / 50)).groupBy("page_no")
+    pages = (s.select(F.floor(F.col("s_suppkey") / 50).alias("page_no"), company.alias("company"))
+             .groupBy("page_no")
              .agg(F.concat(
                  F.lit("\ufeff<soap:Envelope xmlns:soap=\"http://schemas.xmlsoap.org/soap/envelope/\">"
                        "<soap:Body><List_GetAllResponse xmlns=\"https://api.example/soap/CompanyService/\">"
                        "<List_GetAllResult>"),
-                 F.concat_ws("", F.collect_list(company)),
+                 F.concat_ws("", F.collect_list("company")),
                  F.lit("</List_GetAllResult></List_GetAllResponse></soap:Body></soap:Envelope>")).alias("body")))
     rows = payloads.element_rows(pages, ["Body", "List_GetAllResponse", "List_GetAllResult", "Company"],
                                  ["ID", "Number", "Name", "Active"])
@@ -224,8 +229,8 @@ def list_unnest(spark, sf):
     o = load(spark, sf, "orders")
     li = load(spark, sf, "lineitem")
     fields = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"]
-    lists = (li.withColumn("chunk", bounded_chunk()).groupBy("l_orderkey", "chunk")
-             .agg(F.collect_list(F.struct(*fields)).alias("line")))
+    lists = (li.select("l_orderkey", bounded_chunk().alias("chunk"), F.struct(*fields).alias("rec"))
+             .groupBy("l_orderkey", "chunk").agg(F.collect_list("rec").alias("line")))
     docs = o.join(lists, o.o_orderkey == lists.l_orderkey, "left").drop("l_orderkey", "chunk")
     return payloads.unnest_list(docs, "line")
 
@@ -245,9 +250,10 @@ FROM t GROUP BY tenant
 """)
 def page_chain_complete(spark, sf):
     c = load(spark, sf, "customer")
-    pages = (c.groupBy(F.col("c_nationkey").alias("tenant"),
-                       F.floor(F.col("c_custkey") / 50).cast("long").alias("page_no"))
-             .agg(F.to_json(F.collect_list(F.struct("c_custkey", "c_name"))).alias("body")))
+    pages = (c.select(F.col("c_nationkey").alias("tenant"),
+                      F.floor(F.col("c_custkey") / 50).cast("long").alias("page_no"),
+                      F.struct("c_custkey", "c_name").alias("rec"))
+             .groupBy("tenant", "page_no").agg(F.to_json(F.collect_list("rec")).alias("body")))
     last = pages.groupBy("tenant").agg(F.max("page_no").alias("mx"))
     # The landing of tenant 7 was cut: its last page still announces a next page.
     landed = (pages.join(last, "tenant")
@@ -275,8 +281,9 @@ def tenant_projection(spark, sf):
                    F.col("c_nationkey").cast("string").alias("CustomerCode"),
                    F.when(F.col("c_acctbal") >= 0, F.struct(F.col("c_mktsegment").alias("Description")))
                    .alias("Class_02"))
-    pages = (c.withColumn("page_no", F.floor(F.col("c_custkey") / PAGE_ROWS)).groupBy("page_no")
-             .agg(F.concat(F.lit('{"d":{"results":['), F.concat_ws(",", F.collect_list(F.to_json(rec))),
+    pages = (c.select(F.floor(F.col("c_custkey") / PAGE_ROWS).alias("page_no"), F.to_json(rec).alias("rec"))
+             .groupBy("page_no")
+             .agg(F.concat(F.lit('{"d":{"results":['), F.concat_ws(",", F.collect_list("rec")),
                            F.lit("]}}")).alias("body")))
     schema = T.StructType([T.StructField(n, T.StringType()) for n in
                            ["Code", "Description", "CompanySizeDescription", "State", "City", "Hid",

@@ -121,13 +121,16 @@ def to_uuid(c: Column, strict: bool = True, numeric_input: bool = False) -> Colu
             return F.when(c.isNotNull(), F.raise_error(F.lit("uuid: numeric value"))
                           .cast("string"))
         return F.lit(None).cast("string")
+    s = _text(c)
+    # Fast path: text already in canonical lower-case form needs no rewriting.
+    is_canonical = s.rlike(r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")
     h = _uuid_hex(c)
     valid = h.rlike(r"^[0-9a-fA-F]{32}$")
-    canon = F.when(valid, _uuid_canonical(h))
+    canon = F.when(is_canonical, s).when(valid, _uuid_canonical(h))
     if not strict:
         return canon
-    return F.when(c.isNotNull() & ~valid,
-                  F.raise_error(F.concat(F.lit("uuid: invalid value "), _text(c))).cast("string")
+    return F.when(c.isNotNull() & canon.isNull(),
+                  F.raise_error(F.concat(F.lit("uuid: invalid value "), s)).cast("string")
                   ).otherwise(canon)
 
 
@@ -249,17 +252,45 @@ def coerce_table(df: DataFrame, types: list[tuple[str, str]], policy: Policy = E
     missing = [c for c, _ in types if c not in dtypes]
     if missing and policy.missing == "error":
         raise ValueError(f"columns missing for type conversion: {missing}")
-    exprs = []
-    for name in df.columns:
+    # Stage 1 computes every conversion once with the lenient rule; stage 2 only
+    # checks the computed value for the strict rules (a failed strict value
+    # fails the job).  Two projections keep the regex-heavy conversion from
+    # being evaluated again inside the failure check.
+    lenient = Policy(policy.missing, policy.unknown_type, "lenient", policy.trim_text, False)
+    stage1, stage2 = [], []
+    for i, name in enumerate(df.columns):
         t = declared.get(name)
+        raw = F.col(f"`{name}`")
         if t is None or t not in SPARK_TYPES:
             if keep_extra or t is not None:
-                exprs.append(F.col(f"`{name}`"))
+                stage1.append(raw)
+                stage2.append(F.col(f"`{name}`"))
             continue
-        exprs.append(convert(F.col(f"`{name}`"), t, dtypes[name], policy).alias(name))
+        strict = ((t in ("decimal", "tinyint") and policy.strict_numbers)
+                  or (t == "uniqueidentifier" and policy.uuid == "strict"))
+        if not strict:
+            stage1.append(convert(raw, t, dtypes[name], policy).alias(name))
+            stage2.append(F.col(f"`{name}`"))
+            continue
+        tmp, flag = f"__conv{i}", f"__given{i}"
+        stage1 += [convert(raw, t, dtypes[name], lenient).alias(tmp), raw.isNotNull().alias(flag)]
+        if t == "tinyint":
+            # the lenient tinyint maps failures to 0: re-check parseability
+            txt = F.trim(_text(raw))
+            ok = F.coalesce(F.when(txt.rlike(_INTEGRAL_RE), txt.try_cast("bigint")),
+                            txt.try_cast("double").try_cast("bigint")).isNotNull() | raw.isNull()
+            stage1[-1] = (~ok).alias(flag)
+            bad = F.col(flag)
+        else:
+            bad = F.col(flag) & F.col(tmp).isNull()
+        stage2.append(F.when(bad, F.raise_error(F.lit(f"{t}: cannot convert column {name}"))
+                             .cast(SPARK_TYPES[t])).otherwise(F.col(tmp)).alias(name))
     if policy.missing == "default":
-        exprs += [default_value(t).alias(c) for c, t in types if c in missing and t in SPARK_TYPES]
-    return df.select(*exprs)
+        for c, t in types:
+            if c in missing and t in SPARK_TYPES:
+                stage1.append(default_value(t).alias(c))
+                stage2.append(F.col(f"`{c}`"))
+    return df.select(*stage1).select(*stage2)
 
 
 def audit(df: DataFrame, types: list[tuple[str, str]], policy: Policy = ERP) -> DataFrame:

@@ -50,12 +50,22 @@ def odata_items(body: Column, row_schema) -> Column:
     """
     row_schema = _schema(row_schema)
     arr = T.ArrayType(row_schema)
-    b = F.trim(body)
-    d = F.trim(F.get_json_object(b, "$.d"))
-    return (F.when(b.startswith("["), F.from_json(b, arr))
-            .when(b.startswith("{") & d.isNull(), F.array(F.from_json(b, row_schema)))
-            .when(d.startswith("["), F.from_json(d, arr))
-            .when(d.startswith("{"), F.from_json(F.get_json_object(b, "$.d.results"), arr)))
+    d_list = T.StructType([T.StructField("d", arr)])
+    d_results = T.StructType([T.StructField("d", T.StructType([T.StructField("results", arr)]))])
+    # The envelope shape is read from a short prefix, so each page body is
+    # parsed exactly once by the matching ``from_json`` (OData writes ``d``
+    # as the only top-level key).  Bodies whose prefix does not show the
+    # shape (``d`` after other keys) take the slower generic path.
+    head = F.substring(body, 1, 64)
+    generic_d = F.trim(F.get_json_object(body, "$.d"))
+    generic = (F.when(generic_d.isNull(), F.array(F.from_json(body, row_schema)))
+               .when(generic_d.startswith("["), F.from_json(generic_d, arr))
+               .when(generic_d.startswith("{"), F.from_json(F.get_json_object(body, "$.d.results"), arr)))
+    return (F.when(head.rlike(r"^\s*\["), F.from_json(body, arr))
+            .when(head.rlike(r'^\s*\{\s*"d"\s*:\s*\['), F.from_json(body, d_list)["d"])
+            .when(head.rlike(r'^\s*\{\s*"d"\s*:\s*\{'), F.from_json(body, d_results)["d"]["results"])
+            .when(head.rlike(r'^\s*\{\s*"d"\s*:'), F.lit(None).cast(arr))
+            .when(head.rlike(r"^\s*\{"), generic))
 
 
 def odata_next(body: Column) -> Column:
