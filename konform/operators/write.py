@@ -107,7 +107,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     if check_duplicates and not duplicate_keys(source, keys).isEmpty():
         raise WriteError(f"duplicate source keys on {keys}")
     src = source.select(*[_c(c) for c in target.columns])
-    kept = target.join(src.select(*[_c(k) for k in keys]), on=keys, how="left_anti")
+    kept = (target.join(src.select(*[_c(k) for k in keys]), on=keys, how="left_anti")
+            .select(*[_c(c) for c in target.columns]))      # a USING join moves the keys first
     return kept.unionByName(src)
 
 

@@ -47,12 +47,22 @@ def read_current(spark: SparkSession, base: str, schema=None) -> DataFrame | Non
     return reader.parquet(path)
 
 
-def publish(spark: SparkSession, df: DataFrame, base: str, tenant_column: str | None = None) -> str:
-    """Write ``df`` as the next version of the table at ``base``; return its path."""
+def publish(spark: SparkSession, df: DataFrame, base: str, tenant_column: str | None = None,
+            version: int | None = None) -> str:
+    """Write ``df`` as the next version of the table at ``base``; return its path.
+
+    An explicit ``version`` (a stream's batch id) makes a replay idempotent:
+    when that version is already committed nothing is written again.
+    """
     v = versions(spark, base)
-    nxt = (v[-1] + 1) if v else 1
+    nxt = version if version is not None else ((v[-1] + 1) if v else 1)
     path = f"{base}/v={nxt:08d}"
-    w = df.write.mode("errorifexists")
+    if nxt in v:
+        return path
+    # An uncommitted folder (a failed attempt) is nobody's current version: replace it.
+    # Static mode: the folder is new and written whole, and only the static
+    # committer leaves the _SUCCESS marker readers rely on.
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if tenant_column:
         w = w.partitionBy(tenant_column)
     w.parquet(path)
