@@ -106,16 +106,20 @@ def landed_documents(spark, sf: str, table: str, page_rows: int = PAGE_ROWS,
     o = orders if orders is not None else load(spark, sf, "orders")
     li = load(spark, sf, "lineitem")
     # Line records are built in a projection (whole-stage codegen) before the
-    # list aggregate, which evaluates its input without codegen.
+    # list aggregate, which evaluates its input without codegen; a document
+    # holds at most LIST_ROWS lines.  When only some orders are extracted,
+    # a key-only semi-join drops the other lines before they are grouped.
+    if orders is not None:
+        li = li.join(o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     lines = (li.select("l_orderkey", bounded_chunk().alias("_chunk"),
                        F.struct(*[_spark_expr(e).alias(f) for f, e in spec["line"].items()]).alias("_line"))
              .groupBy("l_orderkey", "_chunk")
              .agg(F.collect_list("_line").alias("_lines")))
     docs = (o.join(lines, o.o_orderkey == lines.l_orderkey, "inner")
-            .select("o_orderkey", "o_orderpriority", F.to_json(F.struct(
+            .select("o_orderkey", F.expr(_DIV).alias("tenant"), F.to_json(F.struct(
                 *[_spark_expr(e).alias(f) for f, e in header_spec.items()],
                 F.struct(F.col("_lines").alias("results")).alias(doc.line_column))).alias("doc")))
-    pages = (docs.groupBy(F.expr(_DIV).alias("tenant"), F.floor(F.col("o_orderkey") / page_rows).alias("page_no"))
+    pages = (docs.groupBy("tenant", F.floor(F.col("o_orderkey") / page_rows).alias("page_no"))
              .agg(F.concat(F.lit('{"d":{"results":['), F.concat_ws(",", F.collect_list("doc")),
                            F.lit("]}}")).alias("body")))
     schema = T.StructType([T.StructField(f, T.StringType()) for f in doc.header_fields] +

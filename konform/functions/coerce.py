@@ -38,12 +38,9 @@ SPARK_TYPES = {
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
-_INTEGRAL_RE = r"^\s*[+-]?[0-9]+\s*$"
 # ISO date, optional time with optional fraction and optional offset (dropped).
 _ISO_RE = (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
            r"([T ][0-9]{1,2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?(Z|[+-][0-9]{2}(:?[0-9]{2})?)?)?$")
-# An offset may only follow a time; it is dropped, keeping the wall-clock time.
-_TIME_OFFSET_RE = r"^(.*[T ][0-9]{1,2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?)(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
 # Day-first Dutch notation: dd-MM-yyyy with an optional time.
 _DMY_RE = r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})( [0-9]{1,2}:[0-9]{2}:[0-9]{2})?$"
 _MS_DATE_RE = r"^/Date\((-?[0-9]+)\)/$"
@@ -62,15 +59,15 @@ def _text(c: Column) -> Column:
 def to_int(c: Column) -> Column:
     """Numeric parse, fraction truncated toward zero; null or unparsable -> 0."""
     s = F.trim(_text(c))
-    exact = F.when(s.rlike(_INTEGRAL_RE), s.try_cast("bigint"))
-    return F.coalesce(exact, s.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
+    # try_cast to bigint accepts integral text only ('1.9' is null), so the
+    # double path handles fractions and exponents, truncating toward zero.
+    return F.coalesce(s.try_cast("bigint"), s.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def to_tinyint(c: Column, strict: bool = True) -> Column:
     """Null -> 0, wrapped into 0-255; unparsable text fails the table when strict."""
     s = F.trim(_text(c))
-    parsed = F.coalesce(F.when(s.rlike(_INTEGRAL_RE), s.try_cast("bigint")),
-                        s.try_cast("double").try_cast("bigint"))
+    parsed = F.coalesce(s.try_cast("bigint"), s.try_cast("double").try_cast("bigint"))
     value = F.pmod(F.coalesce(parsed, F.lit(0).cast("bigint")), F.lit(256)).cast("smallint")
     if not strict:
         return value
@@ -141,7 +138,8 @@ def _epoch_ms_to_ts(ms: Column) -> Column:
 
 
 def _ms_date_value(s: Column) -> Column:
-    return F.regexp_extract(s, _MS_DATE_RE, 1).try_cast("bigint")
+    # A prefix test first keeps the regex off every other value.
+    return F.when(s.startswith("/Date("), F.regexp_extract(s, _MS_DATE_RE, 1).try_cast("bigint"))
 
 
 def to_datetime(c: Column, numeric_input: bool = False, temporal_input: bool = False) -> Column:
@@ -153,7 +151,9 @@ def to_datetime(c: Column, numeric_input: bool = False, temporal_input: bool = F
         return _epoch_ms_to_ts(c.try_cast("bigint"))
     s = F.trim(_text(c))
     from_ms = _epoch_ms_to_ts(_ms_date_value(s))
-    iso = F.when(s.rlike(_ISO_RE), F.regexp_replace(s, _TIME_OFFSET_RE, "$1").try_cast("timestamp_ntz"))
+    # Casting text to timestamp_ntz ignores a trailing zone offset (Z, +hh,
+    # +hhmm, +hh:mm), which is exactly "drop the offset, keep the wall time".
+    iso = F.when(s.rlike(_ISO_RE), s.try_cast("timestamp_ntz"))
     dmy = F.when(s.rlike(_DMY_RE),
                  F.regexp_replace(s, _DMY_RE, "$3-$2-$1$4").try_cast("timestamp_ntz"))
     return F.coalesce(from_ms, iso, dmy)
@@ -277,8 +277,8 @@ def coerce_table(df: DataFrame, types: list[tuple[str, str]], policy: Policy = E
         if t == "tinyint":
             # the lenient tinyint maps failures to 0: re-check parseability
             txt = F.trim(_text(raw))
-            ok = F.coalesce(F.when(txt.rlike(_INTEGRAL_RE), txt.try_cast("bigint")),
-                            txt.try_cast("double").try_cast("bigint")).isNotNull() | raw.isNull()
+            ok = F.coalesce(txt.try_cast("bigint"), txt.try_cast("double").try_cast("bigint")).isNotNull() \
+                | raw.isNull()
             stage1[-1] = (~ok).alias(flag)
             bad = F.col(flag)
         else:
@@ -306,12 +306,10 @@ def audit(df: DataFrame, types: list[tuple[str, str]], policy: Policy = ERP) ->
         if t in ("int",):
             # C1 turns failures into 0: count text that is neither integral nor numeric.
             s = F.trim(_text(raw))
-            conv = F.coalesce(F.when(s.rlike(_INTEGRAL_RE), s.try_cast("bigint")),
-                              s.try_cast("double").try_cast("bigint"))
+            conv = F.coalesce(s.try_cast("bigint"), s.try_cast("double").try_cast("bigint"))
         elif t == "tinyint":
             s = F.trim(_text(raw))
-            conv = F.coalesce(F.when(s.rlike(_INTEGRAL_RE), s.try_cast("bigint")),
-                              s.try_cast("double").try_cast("bigint"))
+            conv = F.coalesce(s.try_cast("bigint"), s.try_cast("double").try_cast("bigint"))
         elif t == "bit":
             conv = F.when(F.lower(_text(raw)).isin("true", "1", "false", "0"), F.lit(True))
         else:

@@ -99,17 +99,20 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     rows are inserted, unmatched target rows stay (removed rows are never
     deleted by an upsert, as in the reference).
 
-    Full-width source rows make this a left-anti join plus a union: the
-    target is shuffled once on the keys, the source once.
+    One full outer join on the keys: target and source are each evaluated
+    and shuffled once (an anti-join plus union would run the source's whole
+    extraction pipeline twice).  A null key never matches, so such rows pass
+    through from both sides, as with ``=`` in a MERGE.
     """
     if not keys:
         raise WriteError("upsert needs key columns")
     if check_duplicates and not duplicate_keys(source, keys).isEmpty():
         raise WriteError(f"duplicate source keys on {keys}")
-    src = source.select(*[_c(c) for c in target.columns])
-    kept = (target.join(src.select(*[_c(k) for k in keys]), on=keys, how="left_anti")
-            .select(*[_c(c) for c in target.columns]))      # a USING join moves the keys first
-    return kept.unionByName(src)
+    j, values = _marked_outer(target, source, keys)
+    in_s = F.col("_in_s").isNotNull()
+    cols = [_c(k) for k in keys] + [F.when(in_s, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c)
+                                    for c in values]
+    return j.select(*cols).select(*[_c(c) for c in target.columns])
 
 
 # -------------------------------------------------------------------- W12
