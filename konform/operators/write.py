@@ -116,13 +116,26 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
 
 
 # -------------------------------------------------------------------- W12
+def _null_key_salt(df: DataFrame, keys: list[str]) -> Column:
+    """0 for rows with complete keys; for a row with a null key (which can never
+    match) a hash of the whole row, so such rows - possibly a large share of
+    a table - spread over all join partitions instead of landing in one.
+    The hash is deterministic, so a re-run task routes every row the same way."""
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | _c(k).isNull()
+    return F.when(any_null, F.xxhash64(*[_c(c) for c in df.columns])).otherwise(F.lit(0).cast("long"))
+
+
 def _marked_outer(target: DataFrame, source: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     values = [c for c in target.columns if c not in keys]
     t = target.select(*[_c(k) for k in keys], *[_c(c).alias(f"_t_{c}") for c in values],
-                      F.lit(True).alias("_in_t"))
+                      _null_key_salt(target, keys).alias("_salt"), F.lit(True).alias("_in_t"))
     s = source.select(*[_c(k) for k in keys], *[_c(c).alias(f"_s_{c}") for c in values if c in source.columns],
-                      F.lit(True).alias("_in_s"))
-    return t.join(s, on=keys, how="full_outer"), values
+                      _null_key_salt(source, keys).alias("_salt"), F.lit(True).alias("_in_s"))
+    # A null key never equals anything, so adding the salt to the keys changes
+    # no match; it only changes where null-key rows are partitioned.
+    return t.join(s, on=list(keys) + ["_salt"], how="full_outer"), values
 
 
 def upsert_changed(target: DataFrame, source: DataFrame, keys: list[str],

@@ -11,7 +11,8 @@ lost mid-write only re-runs its tasks; the committer keeps the folder whole.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def _fs(spark: SparkSession, path: str):
@@ -69,6 +70,23 @@ def publish(spark: SparkSession, df: DataFrame, base: str, tenant_column: str |
     return path
 
 
+def publish_with_counts(spark: SparkSession, df: DataFrame, base: str, tenant_column: str | None = None,
+                        version: int | None = None, action_col: str | None = None) -> tuple[str, dict]:
+    """``publish`` plus W18 row counts gathered by ``observe`` during the write
+    itself (no second pass): rows written and, given an action column such as
+    ``upsert_changed``'s, the rows per action.  A version that is already
+    committed is not written again and reports no counts."""
+    if version is not None and version in versions(spark, base):
+        return f"{base}/v={version:08d}", {}
+    obs = Observation("publish_counts")
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if action_col:
+        metrics += [F.count_if(F.col(action_col) == a).alias(a) for a in ("insert", "update", "unchanged", "keep")]
+    observed = df.observe(obs, *metrics)
+    path = publish(spark, observed.drop(action_col) if action_col else observed, base, tenant_column, version)
+    return path, obs.get
+
+
 def to_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
             properties: dict | None = None, batchsize: int = 10_000) -> None:
     """Write a DataFrame to a JDBC table (batched inserts, one connection

@@ -163,3 +163,13 @@ def test_runs_and_text(spark):
     r = m.select(message_tail(F.col("m")), message_tail(F.col("m"), "-"), elapsed_hms(F.col("s")),
                  local_time(F.col("ts"))).first()
     assert tuple(r) == ("done-ok", "ok", "01:02:05", dt.datetime(2024, 7, 1, 12, 0))
+
+
+def test_publish_with_observed_counts(spark, tmpdir_path):
+    base = os.path.join(tmpdir_path, "obs")
+    tgt = spark.createDataFrame([(1, 1, "a", 1.0), (2, 1, "b", 2.0)], T_SCHEMA)
+    src = spark.createDataFrame([(2, 1, "b", 2.5), (3, 1, "c", 3.0)], T_SCHEMA)
+    path, counts = publish.publish_with_counts(spark, write.upsert_changed(tgt, src, ["k"]), base,
+                                               action_col="action")
+    assert counts == {"rows": 3, "insert": 1, "update": 1, "unchanged": 0, "keep": 1}
+    assert publish.read_current(spark, base).columns == ["k", "t", "v", "p"]
