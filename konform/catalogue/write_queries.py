@@ -196,3 +196,34 @@ SELECT CAST((SELECT count(*) FROM t) - (SELECT count(*) FROM kept) AS BIGINT) AS
 def write_counts(spark, sf):
     return write.write_counts(_old(spark, sf), _new(spark, sf), ["o_orderkey"],
                               write.tenant_predicate("AdministratieCode", 3))
+
+
+# Per-tenant plan of one run (control data: one row per administration).
+_PLAN = [(1, "tenant", "append", None, None), (2, "year_window", "append", 1999, None),
+         (3, "none", "upsert", None, None), (4, "none", "append", None, None),
+         (5, "date_window", "append", None, "2000-01-01 00:00:00")]
+
+
+@query("tenant_batch_sync", f"""
+WITH p AS (SELECT * FROM (VALUES {", ".join(
+    f"({t}, '{d}', '{w}', {y if y is not None else 'NULL'}, "
+    f"{repr(ws) if ws else 'NULL'})" for t, d, w, y, ws in _PLAN)}) AS p(tenant, dr, wr, yr, ws)),
+t AS (SELECT * FROM ({_TARGET_SQL}) WHERE {OLD}),
+kept AS (SELECT t.* FROM t LEFT JOIN p ON p.tenant = t.AdministratieCode
+         WHERE NOT COALESCE(CASE WHEN p.dr IN ('tenant', 'all') THEN true
+                                 WHEN p.dr = 'year_window' THEN t.ReportingYear >= p.yr
+                                 WHEN p.dr = 'date_window' THEN t.o_orderdate >= CAST(p.ws AS TIMESTAMP)
+                                 ELSE false END, false)),
+s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice, o_orderdate,
+             AdministratieCode, ReportingYear FROM ({_TARGET_SQL}) WHERE {NEW}),
+su AS (SELECT s.* FROM s JOIN p ON p.tenant = s.AdministratieCode WHERE p.wr IN ('upsert', 'upsert_tenant'))
+SELECT * FROM kept WHERE NOT EXISTS (SELECT 1 FROM su WHERE su.o_orderkey = kept.o_orderkey
+                                     AND su.AdministratieCode = kept.AdministratieCode)
+UNION ALL SELECT * FROM s
+""")
+def tenant_batch_sync(spark, sf):
+    from ..plans.pipeline import sync_tenants
+    plan = spark.createDataFrame(_PLAN, "tenant int, delete_rule string, write_rule string, year int, "
+                                        "window_start string")
+    return sync_tenants(_old(spark, sf), _new(spark, sf), plan, ["o_orderkey"], "AdministratieCode",
+                        year_col="ReportingYear", date_col="o_orderdate")

@@ -113,3 +113,48 @@ def apply_step(target: DataFrame, rows: DataFrame, step: Step) -> DataFrame:
     if w == "replace":
         return write.replace_all(base, rows)
     raise ValueError(f"unknown write rule {w}")
+
+
+# ------------------------------------------------------------ all tenants at once
+PLAN_BROADCAST_MAX_ROWS = 100_000
+
+
+def _plan_side(plan: DataFrame, tenant_col: str) -> DataFrame:
+    """The per-tenant plan, broadcast only when its row count (one row per
+    tenant, control data) is checked to be small; otherwise a shuffle join."""
+    p = plan.select(F.col("tenant").alias(tenant_col), F.col("delete_rule").alias("_dr"),
+                    F.col("write_rule").alias("_wr"), F.col("year").alias("_yr"),
+                    F.col("window_start").cast("timestamp_ntz").alias("_ws"))
+    return F.broadcast(p) if plan.count() <= PLAN_BROADCAST_MAX_ROWS else p
+
+
+def sync_tenants(target: DataFrame, source: DataFrame, plan: DataFrame, keys: list[str], tenant_col: str,
+                 year_col: str | None = None, date_col: str | None = None) -> DataFrame:
+    """W2-W10 + W16 for every tenant of one table in a single job.
+
+    ``plan(tenant, delete_rule, write_rule, year, window_start)`` holds one row
+    per tenant (from ``rules.choose_rule``).  Target rows are deleted by their
+    tenant's rule (``tenant`` / ``all`` / ``year_window`` / ``date_window`` /
+    ``company_year``; tenants without a plan row keep everything).  Source rows
+    of ``upsert``/``upsert_tenant`` tenants replace target rows with equal keys
+    (plus tenant); rows of other tenants are appended.  Both cases go through
+    one full outer join: appended rows carry a join marker that never matches.
+    """
+    p = _plan_side(plan, tenant_col)
+    dr = F.col("_dr")
+    yc = F.col(year_col) if year_col else F.lit(None)
+    dc = F.col(date_col) if date_col else F.lit(None)
+    delete = F.coalesce(
+        F.when(dr.isin("tenant", "all"), F.lit(True))
+        .when(dr == "year_window", yc >= F.col("_yr"))
+        .when(dr == "date_window", dc >= F.col("_ws"))
+        .when(dr == "company_year", yc == F.col("_yr")), F.lit(False))
+    kept = (target.join(p, tenant_col, "left").filter(~delete)
+            .select(*[F.col(f"`{c}`") for c in target.columns], F.lit("u").alias("_m")))
+    upserting = F.coalesce(F.col("_wr"), F.lit("append")).isin("upsert", "upsert_tenant")
+    src = (source.select(*[F.col(f"`{c}`") for c in target.columns]).join(p, tenant_col, "left")
+           .select(*[F.col(f"`{c}`") for c in target.columns],
+                   F.when(upserting, F.lit("u")).otherwise(F.lit("a")).alias("_m")))
+    all_keys = write.upsert_keys(keys, tenant_col) + ["_m"]
+    merged = write.upsert(kept, src, all_keys)
+    return merged.drop("_m")
