@@ -111,6 +111,10 @@ def landed_documents(spark, sf: str, table: str, page_rows: int = PAGE_ROWS,
     # a key-only semi-join drops the other lines before they are grouped.
     if orders is not None:
         li = li.join(o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    # Hash-partitioning the raw lines by order key spreads the record-building
+    # projection over all tasks; the (order, chunk) grouping below is already
+    # satisfied by it, so this replaces the aggregate's shuffle (one shuffle).
+    li = li.repartition("l_orderkey")
     lines = (li.select("l_orderkey", bounded_chunk().alias("_chunk"),
                        F.struct(*[_spark_expr(e).alias(f) for f, e in spec["line"].items()]).alias("_line"))
              .groupBy("l_orderkey", "_chunk")
@@ -217,8 +221,9 @@ _TENANT = "CAST(floor({k} / 2000) AS BIGINT)"
 def lines_forward_fill(spark, sf):
     """D6 over interleaved rows: a header row (with line values of its own) is
     followed by its lines in arrival order; ``seq`` = 2*key (+1 for lines).
-    Small ``bucket_rows`` make headers and their lines fall in different
-    buckets, so the carried-header path is exercised as much as the local one."""
+    Buckets of 4096 sequence numbers put some headers and their lines in
+    different buckets, so both the local and the carried-header path run
+    (tests cover bucket sizes down to one row)."""
     o = load(spark, sf, "orders")
     li = load(spark, sf, "lineitem")
     hdr_rows = o.select(F.expr(_TENANT.format(k="o_orderkey")).alias("tenant"),
@@ -232,5 +237,5 @@ def lines_forward_fill(spark, sf):
                           *[F.lit(None).cast(types[f]).alias(f) for f in QUOTE_HEADER])
     interleaved = hdr_rows.unionByName(line_rows)
     filled = flatten.forward_fill_lines(interleaved, "QuotationID", list(QUOTE_HEADER), "seq", ["tenant"],
-                                        bucket_rows=4)
+                                        bucket_rows=1 << 12)
     return filled.drop("seq")

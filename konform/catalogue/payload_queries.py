@@ -229,7 +229,9 @@ def list_unnest(spark, sf):
     o = load(spark, sf, "orders")
     li = load(spark, sf, "lineitem")
     fields = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"]
-    lists = (li.select("l_orderkey", bounded_chunk().alias("chunk"), F.struct(*fields).alias("rec"))
+    # Partitioned by order key once: the (order, chunk) grouping needs no other shuffle.
+    lists = (li.repartition("l_orderkey")
+             .select("l_orderkey", bounded_chunk().alias("chunk"), F.struct(*fields).alias("rec"))
              .groupBy("l_orderkey", "chunk").agg(F.collect_list("rec").alias("line")))
     docs = o.join(lists, o.o_orderkey == lists.l_orderkey, "left").drop("l_orderkey", "chunk")
     return payloads.unnest_list(docs, "line")
