@@ -293,3 +293,48 @@ def tenant_projection(spark, sf):
                           [T.StructField("Class_02", T.StructType([T.StructField("Description", T.StringType())]))])
     rows = payloads.division_projection(payloads.odata_rows(pages, schema))
     return coerce_table(rows, target_types("accounting", "Divisions"), ACCOUNTING)
+
+
+# ------------------------------------------------- A3 -> B7 -> B10 -> C (ERP)
+_ERP_WM = "2024-01-10T00:00:00"
+_GUID = "md5(CAST(user_id AS STRING))"
+
+
+@query("erp_roosters", f"""
+SELECT CAST(7 AS BIGINT) AS OmgevingID, user_id AS Administratie_Code,
+       'user ' || CAST(user_id AS VARCHAR) AS Medewerker_Naam,
+       lower(substr({_GUID},1,8) || '-' || substr({_GUID},9,4) || '-' || substr({_GUID},13,4) || '-' ||
+             substr({_GUID},17,4) || '-' || substr({_GUID},21,12)) AS Medewerker_GUID,
+       event_type AS Type, CAST(ts AS DATE) AS Datum,
+       CAST(CAST(value AS VARCHAR) AS DECIMAL(38,10)) AS Uren,
+       CAST(NULL AS DECIMAL(38,10)) AS FTE, CAST(NULL AS DECIMAL(38,10)) AS Parttime_Percentage,
+       '' AS Afdeling_Code, ts AS Gewijzigd_Op, event_type = 'view' AS Pro_forma
+FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'
+""")
+def erp_roosters(spark, sf):
+    """ERP rows arrive in ``{"rows": [...]}`` envelopes with target names already;
+    the environment id is added (B7), absent columns get their type's default
+    (B10), values are typed by the ERP policy (untrimmed text, lenient uuid,
+    offsets dropped), and the catalogue's filter on ``Gewijzigd_Op`` applies."""
+    from ..functions.predicates import predicate_for
+    from ..plans.pipeline import conform_records
+    from ..schemas import CATALOGUE_ENTRIES
+    e = load(spark, sf, "events")
+    rec = F.struct(
+        F.col("user_id").cast("string").alias("Administratie_Code"),
+        F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("Medewerker_Naam"),
+        F.concat(F.lit("{"), F.upper(F.md5(F.col("user_id").cast("string"))), F.lit("}")).alias("Medewerker_GUID"),
+        F.col("event_type").alias("Type"),
+        F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit("T00:00:00")).alias("Datum"),
+        F.col("value").cast("string").alias("Uren"),
+        F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+01:00")).alias("Gewijzigd_Op"),
+        F.when(F.col("event_type") == "view", "True").otherwise("0").alias("Pro_forma"))
+    pages = (e.select(F.floor(F.col("event_id") / 500).alias("page_no"), rec.alias("rec"))
+             .groupBy("page_no").agg(F.to_json(F.struct(F.collect_list("rec").alias("rows"))).alias("body")))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in
+                           ["Administratie_Code", "Medewerker_Naam", "Medewerker_GUID", "Type", "Datum", "Uren",
+                            "Gewijzigd_Op", "Pro_forma"]])
+    rows = payloads.envelope_rows(pages, schema)
+    typed = conform_records(rows, "erp", "Roosters", tenant=F.lit(7))
+    entry = next(c for c in CATALOGUE_ENTRIES if (c.source, c.mode, c.table) == ("erp", "regular", "Roosters"))
+    return typed.filter(predicate_for(entry.filter_kind, entry.filter_column, watermark=_ERP_WM))
