@@ -338,3 +338,57 @@ def erp_roosters(spark, sf):
     typed = conform_records(rows, "erp", "Roosters", tenant=F.lit(7))
     entry = next(c for c in CATALOGUE_ENTRIES if (c.source, c.mode, c.table) == ("erp", "regular", "Roosters"))
     return typed.filter(predicate_for(entry.filter_kind, entry.filter_column, watermark=_ERP_WM))
+
+
+# ------------------------------------- A1 -> B1 (with the B5 swap) -> C (accounting)
+_REL_VALUES = {  # source field -> (Spark expression builder, oracle expression for the typed target)
+    "ID": (lambda: F.concat(F.lit("{"), F.upper(F.md5(F.col("c_custkey").cast("string"))), F.lit("}")), "@UUID"),
+    "Division": (lambda: F.col("c_nationkey"), "CAST(c_nationkey AS BIGINT)"),
+    "Code": (lambda: F.concat(F.lit("  "), F.col("c_custkey").cast("string"), F.lit(" ")),
+             "CAST(c_custkey AS VARCHAR)"),
+    "CustomerSince": (lambda: F.concat(F.lit("/Date("), (F.col("c_custkey") * 86400000).cast("string"), F.lit(")/")),
+                      "DATE '1970-01-01' + CAST(c_custkey AS INTEGER)"),
+    "Name": (lambda: F.col("c_name"), "c_name"),
+    "City": (lambda: F.col("c_mktsegment"), "c_mktsegment"),
+    "IsPurchase": (lambda: F.col("c_acctbal") > 0, "c_acctbal > 0"),
+    "IsSupplier": (lambda: F.when(F.col("c_acctbal") > 5000, 1).otherwise(0), "c_acctbal > 5000"),
+    "Status": (lambda: F.lit(" A"), "'A'"),
+}
+_H_REL = "md5(CAST(c_custkey AS VARCHAR))"
+_UUID_REL = (f"lower(substr({_H_REL},1,8) || '-' || substr({_H_REL},9,4) || '-' || substr({_H_REL},13,4) || '-' || "
+             f"substr({_H_REL},17,4) || '-' || substr({_H_REL},21,12))")
+
+
+def _relaties_oracle() -> str:
+    rename = dict(column_mapping("accounting", "Relaties"))
+    back = {t: s for s, t in rename.items()}
+    sql_type = {"nvarchar": "VARCHAR", "uniqueidentifier": "VARCHAR", "int": "BIGINT", "date": "DATE",
+                "bit": "BOOLEAN", "decimal": "DECIMAL(38,10)"}
+    cols = []
+    for target, ref_type in target_types("accounting", "Relaties"):
+        src = back[target]
+        if src in _REL_VALUES:
+            e = _REL_VALUES[src][1]
+            cols.append(f"{_UUID_REL if e == '@UUID' else e} AS {target}")
+        elif ref_type == "bit":
+            cols.append(f"false AS {target}")
+        else:
+            cols.append(f"CAST(NULL AS {sql_type[ref_type]}) AS {target}")
+    return f"SELECT {', '.join(cols)} FROM customer"
+
+
+@query("accounting_relaties", _relaties_oracle())
+def accounting_relaties(spark, sf):
+    """Relations through the real accounting mapping: the strict map keeps the
+    ``IsPurchase``/``IsSupplier`` swap simultaneous, text is trimmed, the id
+    is a strict uuid, ``/Date(ms)/`` becomes a date; absent fields are null."""
+    from ..plans.pipeline import conform_records
+    c = load(spark, sf, "customer")
+    sources = [s for s, _ in column_mapping("accounting", "Relaties")]
+    rec = F.to_json(F.struct(*[_REL_VALUES[s][0]().alias(s) for s in sources if s in _REL_VALUES]))
+    pages = (c.select(F.floor(F.col("c_custkey") / PAGE_ROWS).alias("page_no"), rec.alias("rec"))
+             .groupBy("page_no")
+             .agg(F.concat(F.lit('{"d":{"results":['), F.concat_ws(",", F.collect_list("rec")), F.lit("]}}"))
+                  .alias("body")))
+    schema = T.StructType([T.StructField(s, T.StringType()) for s in sources])
+    return conform_records(payloads.odata_rows(pages, schema), "accounting", "Relaties")
