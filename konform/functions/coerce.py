@@ -316,7 +316,7 @@ def audit(df: DataFrame, types: list[tuple[str, str]], policy: Policy = ERP) ->
             conv = convert(raw, t, dtypes[col], lenient)
         aggs.append(F.count_if(raw.isNotNull() & conv.isNull()).alias(col))
     if not aggs:
-        return df.limit(0).select(F.lit(0).alias("no_columns"))
+        return df.sparkSession.createDataFrame([(0,)], "no_columns int")
     return df.agg(*aggs)
 
 
