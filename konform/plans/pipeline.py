@@ -53,14 +53,17 @@ def conform_records(rows: DataFrame, source: str, table: str,
                     tenant: Column | object | None = None) -> DataFrame:
     """D7 -> B1/B3/B7 -> C: flat, mapped, typed rows in the target's column order."""
     rows = mapping.drop_technical(rows)
-    rows = flatten.flatten_for_table(rows, table)
+    rows = flatten.flatten_for_table(rows, table, keep=[c for c in ("tenant",) if c in rows.columns])
     types = target_types(source, table)
     if types is None:
         raise ValueError(f"no target schema for {source}.{table}")
     if source == "accounting":
         m = column_mapping(source, table)
-        if tenant is not None and "Division" not in rows.columns:
-            rows = rows.withColumn("Division", tenant if isinstance(tenant, Column) else F.lit(tenant))
+        if tenant is not None:
+            # A payload without a Division value takes the page's tenant.
+            t = tenant if isinstance(tenant, Column) else F.lit(tenant)
+            rows = rows.withColumn("Division", F.coalesce(F.col("Division").cast("string"), t.cast("string"))
+                                   if "Division" in rows.columns else t)
         rows = mapping.map_keep(rows, m)
     elif source == "payroll":
         rows = mapping.map_select(rows, column_mapping(source, table))
