@@ -1,18 +1,8 @@
 """The registered queries (one per operator family of the inventory) and their
 DuckDB oracle SQL.  Importing this package fills ``QUERIES`` and ``ORACLES``."""
 
-from importlib import import_module
-
+from . import (coerce_queries, flagship, flatten_queries, mapping_queries,  # noqa: F401
+               payload_queries, plan_queries, write_queries)
 from ._base import ORACLES, QUERIES
 
-_MODULES = ["payload_queries", "mapping_queries", "coerce_queries", "flatten_queries",
-            "plan_queries", "write_queries", "flagship"]
-
-for _m in _MODULES:
-    try:
-        import_module(f"{__name__}.{_m}")
-    except ModuleNotFoundError as e:  # a module not written yet
-        if _m not in str(e):
-            raise
-
 __all__ = ["QUERIES", "ORACLES"]

@@ -63,11 +63,6 @@ def _raw(spark, sf, **forms):
     return o.select("o_orderkey", *[F.expr(sql).alias(name) for name, sql in forms.items()])
 
 
-def _duck(sql: str) -> str:
-    # The shared raw expressions use Spark's STRING; DuckDB reads it as VARCHAR.
-    return sql
-
-
 # ------------------------------------------------------------------ oracles
 _ISO = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([T ][0-9]{1,2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?(Z|[+-][0-9]{2}(:?[0-9]{2})?)?)?"
 _OFF = r"^(.*[T ][0-9]{1,2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?)(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"

@@ -19,10 +19,6 @@ from ._base import PAGE_ROWS, bounded_chunk, load, query, text, xml_elem
 CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
-def _customer_schema(spark, sf):
-    return load(spark, sf, "customer").select(*CUSTOMER_COLS).schema
-
-
 # --------------------------------------------------------------- A1 + A2
 @query("odata_unwrap", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer

@@ -40,9 +40,6 @@ def _new(spark, sf, tenant_moves: bool = False):
     return s
 
 
-_OUT = f"{_COLS}, AdministratieCode, ReportingYear"
-
-
 @query("delete_tenant", f"SELECT * FROM ({_TARGET_SQL}) WHERE AdministratieCode IS DISTINCT FROM 3")
 def delete_tenant(spark, sf):
     return write.delete_where(_target(spark, sf), write.tenant_predicate("AdministratieCode", 3))
