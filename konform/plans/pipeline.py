@@ -161,3 +161,37 @@ def sync_tenants(target: DataFrame, source: DataFrame, plan: DataFrame, keys: li
     all_keys = write.upsert_keys(keys, tenant_col) + ["_m"]
     merged = write.upsert(kept, src, all_keys)
     return merged.drop("_m")
+
+
+def sync_tenant_partitions(spark, table_path: str, source: DataFrame, plan: DataFrame, keys: list[str],
+                           tenant_col: str, target_schema, year_col: str | None = None,
+                           date_col: str | None = None) -> list:
+    """``sync_tenants`` applied in place to a table partitioned by tenant: only
+    the partitions of touched tenants (planned or present in the source) are
+    read (an IN filter on the partition column, pruned when planning) and
+    rewritten; all other tenants' files are never read or written.
+    Returns the touched tenants."""
+    from . import publish as pub
+
+    src = pub.stage(spark, source, "source")
+    ttype = dict((f.name, f.dataType) for f in target_schema.fields)[tenant_col]
+    touched_df = (src.select(F.col(tenant_col))
+                  .union(plan.select(F.col("tenant").cast(ttype).alias(tenant_col))).distinct())
+    touched = [r[0] for r in touched_df.collect()]          # one value per tenant (control-sized)
+    fs, base, _ = pub._fs(spark, table_path)
+    if fs.exists(base):
+        target = spark.read.schema(target_schema).parquet(table_path)
+        if len(touched) <= PLAN_BROADCAST_MAX_ROWS:
+            # a literal IN list on the partition column: partitions pruned at planning time
+            target = target.filter(F.col(tenant_col).isin(touched) |
+                                   (F.col(tenant_col).isNull() if None in touched else F.lit(False)))
+        else:
+            target = target.join(touched_df, tenant_col, "left_semi")
+        target = target.select(*[F.col(f"`{c}`") for c in target_schema.names])
+    else:
+        target = spark.createDataFrame([], target_schema)
+    new = sync_tenants(target, src, plan, keys, tenant_col, year_col=year_col, date_col=date_col)
+    staged = pub.stage(spark, new, "slice")
+    pub.overwrite_tenants(spark, staged.select(*[F.col(f"`{c}`") for c in target_schema.names]),
+                          table_path, tenant_col, touched)
+    return touched

@@ -99,3 +99,39 @@ def to_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
     for k, v in (properties or {}).items():
         w = w.option(k, v)
     w.save()
+
+
+# ------------------------------------------------ tenant-partitioned, in place
+def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back: an
+    expensive input is computed once, and its lineage is cut (a lost executor
+    re-reads the staged files instead of recomputing the extraction)."""
+    import uuid
+
+    from ..session import scratch_path
+
+    path = scratch_path(spark, f"staging/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _partition_value(v) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
+
+
+def overwrite_tenants(spark: SparkSession, new_slice: DataFrame, table_path: str, tenant_col: str,
+                      touched: list) -> None:
+    """Replace the partitions of the ``touched`` tenants of a tenant-partitioned
+    table with ``new_slice`` (dynamic partition overwrite: every other tenant's
+    files stay untouched), and remove the partitions of touched tenants whose
+    new slice is empty.  ``new_slice`` must not read ``table_path`` itself
+    (stage it first)."""
+    (new_slice.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(tenant_col).parquet(table_path))
+    written = {r[0] for r in new_slice.select(tenant_col).distinct().collect()}  # one value per tenant
+    fs, base, jvm = _fs(spark, table_path)
+    for t in touched:
+        if t not in written:
+            p = jvm.org.apache.hadoop.fs.Path(base, f"{tenant_col}={_partition_value(t)}")
+            if fs.exists(p):
+                fs.delete(p, True)

@@ -173,3 +173,24 @@ def test_publish_with_observed_counts(spark, tmpdir_path):
                                                action_col="action")
     assert counts == {"rows": 3, "insert": 1, "update": 1, "unchanged": 0, "keep": 1}
     assert publish.read_current(spark, base).columns == ["k", "t", "v", "p"]
+
+
+def test_sync_tenant_partitions_in_place(spark, tmpdir_path):
+    from pyspark.sql import types as T
+
+    from konform.plans.pipeline import sync_tenant_partitions
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("t", T.IntegerType()),
+                           T.StructField("v", T.StringType()), T.StructField("p", T.DoubleType())])
+    path = os.path.join(tmpdir_path, "parted")
+    spark.createDataFrame([(1, 1, "a", 1.0), (2, 2, "b", 2.0), (3, 3, "c", 3.0), (4, 3, "d", 4.0)], schema) \
+        .write.partitionBy("t").parquet(path)
+    untouched = sorted(os.listdir(os.path.join(path, "t=2")))
+    src = spark.createDataFrame([(1, 1, "A", 9.0), (5, 1, "e", 5.0)], schema)
+    plan = spark.createDataFrame([(1, "none", "upsert", None, None), (3, "tenant", "append", None, None)],
+                                 "tenant int, delete_rule string, write_rule string, year int, window_start string")
+    touched = sync_tenant_partitions(spark, path, src, plan, ["k"], "t", schema)
+    assert sorted(touched) == [1, 3]
+    out = spark.read.schema(schema).parquet(path)
+    assert rows(out, "k", "t", "v") == [(1, 1, "A"), (2, 2, "b"), (5, 1, "e")]
+    assert sorted(os.listdir(os.path.join(path, "t=2"))) == untouched      # tenant 2 never rewritten
+    assert not os.path.exists(os.path.join(path, "t=3"))                    # emptied tenant removed
