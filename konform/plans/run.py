@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 from ..functions.coerce import SPARK_TYPES
 from ..schemas import NESTED, column_mapping, target_types, write_config
 from . import publish, rules, sync
-from .pipeline import Step, apply_step, conform_records, read_records, sync_tenants
+from .pipeline import (Step, apply_step, conform_records, read_records, sync_tenant_partitions,
+                       sync_tenants)
 
 # Year / date columns the delete windows of a table refer to.
 WINDOW_COLUMNS = {
@@ -76,12 +77,16 @@ def plan_items(work: DataFrame, source: str, run_mode: str, as_of: str) -> DataF
 
 
 def run_source(spark: SparkSession, source: str, landed: DataFrame, work: DataFrame, target_root: str,
-               run_start: str, run_mode: str = "Wijzigingen", payload: str = "odata") -> RunResult:
+               run_start: str, run_mode: str = "Wijzigingen", payload: str = "odata",
+               in_place: bool = False) -> RunResult:
     """Synchronise every table of ``work`` (one job per table) and report outcomes.
 
     ``landed`` holds the run's pages ``(source, tenant, table, page_no, body,
     next_token)``; ``work`` the planned items ``(tenant, table_name,
     watermark, reporting_year)``; ``run_start`` is the new watermark.
+    ``in_place`` keeps tenant-partitioned tables in place and rewrites only
+    the touched tenants (``pipeline.sync_tenant_partitions``) instead of
+    publishing a new version of the whole table.
     """
     plans = plan_items(work, source, run_mode, run_start)
     tables = [r["table_name"] for r in plans.select("table_name").distinct().collect()]  # <= catalogue size
@@ -97,10 +102,15 @@ def run_source(spark: SparkSession, source: str, landed: DataFrame, work: DataFr
             tenant = F.col("tenant").cast("long")
             conformed = conform_records(rows, source, table, tenant=tenant)
             base = f"{target_root}/{source}/{table}"
+            year_col, date_col = WINDOW_COLUMNS.get((source, table), (None, None))
+            if in_place and cfg.tenant_column:
+                touched = sync_tenant_partitions(spark, base, conformed, plan_t, list(cfg.keys), cfg.tenant_column,
+                                                 target_schema(source, table), year_col=year_col, date_col=date_col)
+                result.outcomes.append({"table": table, "ok": True, "path": base, "tenants": len(touched)})
+                continue
             current = publish.read_current(spark, base, target_schema(source, table))
             if current is None:
                 current = spark.createDataFrame([], target_schema(source, table))
-            year_col, date_col = WINDOW_COLUMNS.get((source, table), (None, None))
             if cfg.tenant_column:
                 new = sync_tenants(current, conformed, plan_t, list(cfg.keys), cfg.tenant_column,
                                    year_col=year_col, date_col=date_col)
@@ -122,5 +132,5 @@ def log_entries(result: RunResult, klant: str, run_id: int, script: str, at) ->
     """One run-log row per table outcome (written with one append per run)."""
     return [{"KlantNaam": klant, "Tabel": o["table"], "DatumTijd": at, "ScriptID": run_id,
              "ScriptType": script, "TypeActie": "INFO" if o["ok"] else "ERROR",
-             "Actie": f"{o['table']} - {'synchronised ' + str(o.get('rows')) + ' rows' if o['ok'] else o['error']}"}
+             "Actie": f"{o['table']} - {'synchronised' if o['ok'] else o['error']}"}
             for o in result.outcomes]

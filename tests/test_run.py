@@ -63,3 +63,21 @@ def test_run_source_upserts_appends_and_blocks_watermark(spark, tmpdir_path):
     assert t.filter("AdministratieCode = 2").count() == 2 * (n - n1)
     log = runs.log_rows(spark, log_entries(r2, "K", 7, "Wijzigingen", None))
     assert log.filter("TypeActie = 'ERROR'").count() == 1
+
+
+def test_run_source_in_place(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "inplace")
+    parts = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    n, n1 = parts.count(), parts.filter("p_partkey < 100").count()
+    r1 = run_source(spark, "accounting", _pages(spark, " v1"), _work(spark, ["ArtikelGroepen"]), root, RUN_START,
+                    in_place=True)
+    assert r1.ok
+    base = f"{root}/accounting/ArtikelGroepen"
+    assert sorted(os.listdir(base))[:2] == ["AdministratieCode=1", "AdministratieCode=2"]
+    r2 = run_source(spark, "accounting", _pages(spark, " v2"), _work(spark, ["ArtikelGroepen"]), root, RUN_START,
+                    in_place=True)
+    assert r2.ok
+    from konform.plans.run import target_schema
+    t = spark.read.schema(target_schema("accounting", "ArtikelGroepen")).parquet(base)
+    assert t.filter("AdministratieCode = 1").count() == n1
+    assert t.filter("AdministratieCode = 2").count() == 2 * (n - n1)
