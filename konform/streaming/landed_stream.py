@@ -21,14 +21,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.pipeline import Step, apply_step, conform_records, read_records
 from ..plans.publish import publish, read_current, versions
-from ..schemas import target_types, write_config
-from ..functions.coerce import SPARK_TYPES
+from ..plans.run import target_schema
+from ..schemas import write_config
 from ..sources.payloads import LANDED_SCHEMA
-from pyspark.sql import types as T
-
-
-def target_schema(source: str, table: str) -> T.StructType:
-    return T.StructType([T.StructField(c, SPARK_TYPES[t]) for c, t in target_types(source, table)])
 
 
 def sync_batch(spark: SparkSession, pages: DataFrame, batch_id: int, target_base: str, source: str,
