@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.pipeline import Step, apply_step, conform_records, read_records
+from ..plans.pipeline import Step, apply_step, conform_records, read_records, sync_tenants
 from ..plans.publish import publish, read_current, versions
 from ..plans.run import target_schema
 from ..schemas import write_config
@@ -27,8 +27,13 @@ from ..sources.payloads import LANDED_SCHEMA
 
 
 def sync_batch(spark: SparkSession, pages: DataFrame, batch_id: int, target_base: str, source: str,
-               table: str, row_schema, payload: str = "odata", resource: str | None = None) -> str | None:
-    """Conform one batch of landed pages and publish the merged next version."""
+               table: str, row_schema, payload: str = "odata", resource: str | None = None,
+               plan: DataFrame | None = None) -> str | None:
+    """Conform one batch of landed pages and publish the merged next version.
+
+    With a per-tenant ``plan`` (``tenant, delete_rule, write_rule, year,
+    window_start``) every tenant gets its own delete and write rule
+    (``sync_tenants``); without one the table's keys decide upsert or append."""
     if (batch_id + 1) in versions(spark, target_base):
         return None                                    # replayed batch: already published
     pages = pages.filter((F.col("source") == source) & (F.col("table") == table))
@@ -39,14 +44,17 @@ def sync_batch(spark: SparkSession, pages: DataFrame, batch_id: int, target_base
     if current is None:
         current = spark.createDataFrame([], target_schema(source, table))
     cfg = write_config(source, table)
-    rule = "upsert" if (cfg and cfg.keys) else "append"
-    new = apply_step(current, conformed, Step(source, table, write_rule=rule))
+    if plan is not None and cfg and cfg.tenant_column:
+        new = sync_tenants(current, conformed, plan, list(cfg.keys), cfg.tenant_column)
+    else:
+        rule = "upsert" if (cfg and cfg.keys) else "append"
+        new = apply_step(current, conformed, Step(source, table, write_rule=rule))
     return publish(spark, new, target_base, version=batch_id + 1)
 
 
 def start_landed_sync(spark: SparkSession, landed_dir: str, target_base: str, source: str, table: str,
                       row_schema, checkpoint: str, payload: str = "odata",
-                      max_files_per_trigger: int | None = None) -> StreamingQuery:
+                      max_files_per_trigger: int | None = None, plan: DataFrame | None = None) -> StreamingQuery:
     """Start the stream; the caller waits with ``awaitTermination()``."""
     reader = spark.readStream.schema(LANDED_SCHEMA)
     if max_files_per_trigger:
@@ -54,7 +62,7 @@ def start_landed_sync(spark: SparkSession, landed_dir: str, target_base: str, so
     stream = reader.parquet(landed_dir)
 
     def _process(batch: DataFrame, batch_id: int) -> None:
-        sync_batch(spark, batch, batch_id, target_base, source, table, row_schema, payload)
+        sync_batch(spark, batch, batch_id, target_base, source, table, row_schema, payload, plan=plan)
 
     return (stream.writeStream.foreachBatch(_process)
             .option("checkpointLocation", checkpoint)

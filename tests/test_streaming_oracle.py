@@ -81,3 +81,21 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "OR_OrderRegelID" in df.columns
+
+
+def test_stream_with_tenant_plan(spark, tmpdir_path):
+    parts = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    landed = os.path.join(tmpdir_path, "landed")
+    _landed(spark, parts, " v1").coalesce(1).write.parquet(landed + "/b1")
+    target = os.path.join(tmpdir_path, "target")
+    plan = spark.createDataFrame([(1, "none", "upsert", None, None)],
+                                 "tenant long, delete_rule string, write_rule string, year int, window_start string")
+    for batch in ("b1", "b2"):
+        if batch == "b2":
+            _landed(spark, parts, " v2").coalesce(1).write.parquet(landed + "/b2")
+        q = start_landed_sync(spark, landed + "/*", target, "accounting", "ArtikelGroepen", ROW,
+                              os.path.join(tmpdir_path, "ckpt"), plan=plan)
+        q.awaitTermination()
+    final = publish.read_current(spark, target)
+    assert final.count() == parts.count()
+    assert final.filter(F.col("Omschrijving").endswith(" v2")).count() == parts.count()
