@@ -92,12 +92,21 @@ def _delete_predicate(step: Step, tenant_col: str | None) -> Column | None:
     raise ValueError(f"unknown delete rule {r}")
 
 
+def delete_tenant_column(source: str, table: str) -> str | None:
+    """The column a tenant delete filters on: the environment (``OmgevingID``) for
+    the ERP source, the table's tenant column otherwise."""
+    if source == "erp":
+        return "OmgevingID"
+    cfg = write_config(source, table)
+    return cfg.tenant_column if cfg else None
+
+
 def apply_step(target: DataFrame, rows: DataFrame, step: Step) -> DataFrame:
     """The next version of ``target`` after the step's delete and write."""
     cfg = write_config(step.source, step.table)
     tenant_col = cfg.tenant_column if cfg else None
     keys = list(cfg.keys) if cfg else []
-    pred = _delete_predicate(step, tenant_col)
+    pred = _delete_predicate(step, delete_tenant_column(step.source, step.table))
     base = write.delete_where(target, pred) if pred is not None else target
     w = step.write_rule
     if w == "none":
@@ -132,7 +141,8 @@ def _plan_side(plan: DataFrame, tenant_col: str) -> DataFrame:
 
 
 def sync_tenants(target: DataFrame, source: DataFrame, plan: DataFrame, keys: list[str], tenant_col: str,
-                 year_col: str | None = None, date_col: str | None = None) -> DataFrame:
+                 year_col: str | None = None, date_col: str | None = None,
+                 key_tenant_col: str | None = None) -> DataFrame:
     """W2-W10 + W16 for every tenant of one table in a single job.
 
     ``plan(tenant, delete_rule, write_rule, year, window_start)`` holds one row
@@ -140,8 +150,9 @@ def sync_tenants(target: DataFrame, source: DataFrame, plan: DataFrame, keys: li
     tenant's rule (``tenant`` / ``all`` / ``year_window`` / ``date_window`` /
     ``company_year``; tenants without a plan row keep everything).  Source rows
     of ``upsert``/``upsert_tenant`` tenants replace target rows with equal keys
-    (plus tenant); rows of other tenants are appended.  Both cases go through
-    one full outer join: appended rows carry a join marker that never matches.
+    (plus ``key_tenant_col``, default the tenant column; W10); rows of other
+    tenants are appended.  Both cases go through one full outer join:
+    appended rows carry a join marker that never matches.
     """
     p = _plan_side(plan, tenant_col)
     dr = F.col("_dr")
@@ -158,7 +169,7 @@ def sync_tenants(target: DataFrame, source: DataFrame, plan: DataFrame, keys: li
     src = (source.select(*[F.col(f"`{c}`") for c in target.columns]).join(p, tenant_col, "left")
            .select(*[F.col(f"`{c}`") for c in target.columns],
                    F.when(upserting, F.lit("u")).otherwise(F.lit("a")).alias("_m")))
-    all_keys = write.upsert_keys(keys, tenant_col) + ["_m"]
+    all_keys = write.upsert_keys(keys, key_tenant_col or tenant_col) + ["_m"]
     merged = write.upsert(kept, src, all_keys)
     return merged.drop("_m")
 

@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 from ..functions.coerce import SPARK_TYPES
 from ..schemas import NESTED, column_mapping, target_types, write_config
 from . import publish, rules, sync
-from .pipeline import (Step, apply_step, conform_records, read_records, sync_tenant_partitions,
-                       sync_tenants)
+from .pipeline import (Step, apply_step, conform_records, delete_tenant_column, read_records,
+                       sync_tenant_partitions, sync_tenants)
 
 # Year / date columns the delete windows of a table refer to.
 WINDOW_COLUMNS = {
@@ -103,17 +103,18 @@ def run_source(spark: SparkSession, source: str, landed: DataFrame, work: DataFr
             conformed = conform_records(rows, source, table, tenant=tenant)
             base = f"{target_root}/{source}/{table}"
             year_col, date_col = WINDOW_COLUMNS.get((source, table), (None, None))
-            if in_place and cfg.tenant_column:
-                touched = sync_tenant_partitions(spark, base, conformed, plan_t, list(cfg.keys), cfg.tenant_column,
+            tenant_col = delete_tenant_column(source, table)
+            if in_place and tenant_col:
+                touched = sync_tenant_partitions(spark, base, conformed, plan_t, list(cfg.keys), tenant_col,
                                                  target_schema(source, table), year_col=year_col, date_col=date_col)
                 result.outcomes.append({"table": table, "ok": True, "path": base, "tenants": len(touched)})
                 continue
             current = publish.read_current(spark, base, target_schema(source, table))
             if current is None:
                 current = spark.createDataFrame([], target_schema(source, table))
-            if cfg.tenant_column:
-                new = sync_tenants(current, conformed, plan_t, list(cfg.keys), cfg.tenant_column,
-                                   year_col=year_col, date_col=date_col)
+            if tenant_col:
+                new = sync_tenants(current, conformed, plan_t, list(cfg.keys), tenant_col,
+                                   year_col=year_col, date_col=date_col, key_tenant_col=cfg.tenant_column)
             else:
                 # A table without a tenant column has table-level rules (one plan row is enough).
                 r = plan_t.first()

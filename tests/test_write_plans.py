@@ -194,3 +194,11 @@ def test_sync_tenant_partitions_in_place(spark, tmpdir_path):
     assert rows(out, "k", "t", "v") == [(1, 1, "A"), (2, 2, "b"), (5, 1, "e")]
     assert sorted(os.listdir(os.path.join(path, "t=2"))) == untouched      # tenant 2 never rewritten
     assert not os.path.exists(os.path.join(path, "t=3"))                    # emptied tenant removed
+
+
+def test_erp_deletes_by_environment(spark):
+    from konform.plans.pipeline import Step, apply_step
+    tgt = spark.createDataFrame([(1, 10, "p", None), (2, 10, "p", None), (1, 11, "q", None)],
+                                "OmgevingID long, Administratie_Code long, ProjectID string, Verkoopprijs decimal(38,10)")
+    out = apply_step(tgt, tgt.limit(0), Step("erp", "Tarieven", delete_rule="tenant", write_rule="append", tenant=1))
+    assert rows(out, "OmgevingID", "Administratie_Code") == [(2, 10)]
