@@ -313,7 +313,7 @@ def erp_roosters(spark, sf):
     (B10), values are typed by the ERP policy (untrimmed text, lenient uuid,
     offsets dropped), and the catalogue's filter on ``Gewijzigd_Op`` applies."""
     from ..functions.predicates import predicate_for
-    from ..plans.pipeline import conform_records
+    from ..plans.table_sync import conform_records
     from ..schemas import CATALOGUE_ENTRIES
     e = load(spark, sf, "events")
     rec = F.struct(
@@ -378,7 +378,7 @@ def accounting_relaties(spark, sf):
     """Relations through the real accounting mapping: the strict map keeps the
     ``IsPurchase``/``IsSupplier`` swap simultaneous, text is trimmed, the id
     is a strict uuid, ``/Date(ms)/`` becomes a date; absent fields are null."""
-    from ..plans.pipeline import conform_records
+    from ..plans.table_sync import conform_records
     c = load(spark, sf, "customer")
     sources = [s for s, _ in column_mapping("accounting", "Relaties")]
     rec = F.to_json(F.struct(*[_REL_VALUES[s][0]().alias(s) for s in sources if s in _REL_VALUES]))

@@ -219,7 +219,7 @@ SELECT * FROM kept WHERE NOT EXISTS (SELECT 1 FROM su WHERE su.o_orderkey = kept
 UNION ALL SELECT * FROM s
 """)
 def tenant_batch_sync(spark, sf):
-    from ..plans.pipeline import sync_tenants
+    from ..plans.table_sync import sync_tenants
     plan = spark.createDataFrame(_PLAN, "tenant int, delete_rule string, write_rule string, year int, "
                                         "window_start string")
     return sync_tenants(_old(spark, sf), _new(spark, sf), plan, ["o_orderkey"], "AdministratieCode",

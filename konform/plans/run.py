@@ -3,7 +3,7 @@
 The planner (E1-E6, W16) produces one row per (tenant, table) work item; the
 driver loops over the *tables* of the run (at most the catalogue's ~20, a
 fixed bound) and each table is synchronised for all of its tenants in one
-Spark job (``pipeline.sync_tenants``), published as a new version with
+Spark job (``table_sync.sync_tenants``), published as a new version with
 ``observe``d counts.  Outcomes become run-log rows (G4); the watermark moves
 to the run start only when every table succeeded (G1, deviation V5).
 """
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.coerce import SPARK_TYPES
 from ..schemas import NESTED, column_mapping, target_types, write_config
 from . import publish, rules, sync
-from .pipeline import (Step, apply_step, conform_records, delete_tenant_column, read_records,
+from .table_sync import (Step, apply_step, conform_records, delete_tenant_column, read_records,
                        sync_tenant_partitions, sync_tenants)
 
 # Year / date columns the delete windows of a table refer to.
@@ -85,7 +85,7 @@ def run_source(spark: SparkSession, source: str, landed: DataFrame, work: DataFr
     next_token)``; ``work`` the planned items ``(tenant, table_name,
     watermark, reporting_year)``; ``run_start`` is the new watermark.
     ``in_place`` keeps tenant-partitioned tables in place and rewrites only
-    the touched tenants (``pipeline.sync_tenant_partitions``) instead of
+    the touched tenants (``table_sync.sync_tenant_partitions``) instead of
     publishing a new version of the whole table.
     """
     plans = plan_items(work, source, run_mode, run_start)

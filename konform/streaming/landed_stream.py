@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.pipeline import Step, apply_step, conform_records, read_records, sync_tenants
+from ..plans.table_sync import Step, apply_step, conform_records, read_records, sync_tenants
 from ..plans.publish import publish, read_current, versions
 from ..plans.run import target_schema
 from ..schemas import write_config

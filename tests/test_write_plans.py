@@ -178,7 +178,7 @@ def test_publish_with_observed_counts(spark, tmpdir_path):
 def test_sync_tenant_partitions_in_place(spark, tmpdir_path):
     from pyspark.sql import types as T
 
-    from konform.plans.pipeline import sync_tenant_partitions
+    from konform.plans.table_sync import sync_tenant_partitions
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("t", T.IntegerType()),
                            T.StructField("v", T.StringType()), T.StructField("p", T.DoubleType())])
     path = os.path.join(tmpdir_path, "parted")
@@ -197,7 +197,7 @@ def test_sync_tenant_partitions_in_place(spark, tmpdir_path):
 
 
 def test_erp_deletes_by_environment(spark):
-    from konform.plans.pipeline import Step, apply_step
+    from konform.plans.table_sync import Step, apply_step
     tgt = spark.createDataFrame([(1, 10, "p", None), (2, 10, "p", None), (1, 11, "q", None)],
                                 "OmgevingID long, Administratie_Code long, ProjectID string, Verkoopprijs decimal(38,10)")
     out = apply_step(tgt, tgt.limit(0), Step("erp", "Tarieven", delete_rule="tenant", write_rule="append", tenant=1))
