@@ -99,3 +99,15 @@ def test_stream_with_tenant_plan(spark, tmpdir_path):
     final = publish.read_current(spark, target)
     assert final.count() == parts.count()
     assert final.filter(F.col("Omschrijving").endswith(" v2")).count() == parts.count()
+
+
+def test_replayed_batch_is_not_applied_twice(spark, tmpdir_path):
+    from konform.streaming.landed_stream import sync_batch
+    parts = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    pages = _landed(spark, parts, " v1")
+    target = os.path.join(tmpdir_path, "replay")
+    first = sync_batch(spark, pages, 0, target, "accounting", "ArtikelGroepen", ROW)
+    again = sync_batch(spark, pages, 0, target, "accounting", "ArtikelGroepen", ROW)   # replay of batch 0
+    assert first.endswith("v=00000001") and again is None
+    assert publish.versions(spark, target) == [1]
+    assert publish.read_current(spark, target).count() == parts.count()
