@@ -36,11 +36,12 @@ def odata_unwrap(spark, sf):
                    F.concat(F.lit('{"d":{"results":'), F.col("items"), F.lit(',"__next":"'), nxt, F.lit('"}}')))
             .when(F.col("page_no") % 4 == 1, F.concat(F.lit('{"d":'), F.col("items"), F.lit("}")))
             .otherwise(F.col("items")))
-    pages = grouped.select("page_no", body.alias("body"))
-    # A "d" object without "results" (a bare continuation) carries no records.
-    trailers = grouped.filter(F.col("page_no") % 4 == 0).select(
-        "page_no", F.lit('{"d":{"__count":"0"}}').alias("body"))
-    landed = pages.unionByName(singles).unionByName(trailers)
+    # A "d" object without "results" (a bare continuation) carries no records;
+    # one follows every results page (emitted beside it, no second aggregation).
+    trailer = F.lit('{"d":{"__count":"0"}}')
+    bodies = F.when(F.col("page_no") % 4 == 0, F.array(body, trailer)).otherwise(F.array(body))
+    pages = grouped.select("page_no", F.explode(bodies).alias("body"))
+    landed = pages.unionByName(singles)
     return payloads.odata_rows(landed, c.schema).select(*CUSTOMER_COLS)
 
 
