@@ -39,14 +39,22 @@ def get_spark(master: str | None = None, app: str = "konform",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a private folder is created
-    and registered; on a cluster the configured shared folder is always used.
+    Only when no folder is configured at all (local tests) a private folder is
+    created and registered with ``setCheckpointDir`` (the config itself cannot
+    be changed on a running session); on a cluster the configured shared
+    folder is always used.
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="konform-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if d:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+        return d
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    d = tempfile.mkdtemp(prefix="konform-ckpt-")
+    sc.setCheckpointDir(d)
     return d
 
 

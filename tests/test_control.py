@@ -57,14 +57,8 @@ def test_log_append(spark, tmpdir_path):
     assert log.count() == 3 and runs.next_run_id(log).first()[0] == 5
 
 
-def test_scratch_paths_use_the_sessions_checkpoint_dir(spark, tmpdir_path):
+def test_scratch_paths_use_the_sessions_checkpoint_dir(spark):
     from konform.session import checkpoint_dir, scratch_path
-    shared = os.path.join(tmpdir_path, "shared-ckpt")
-    old = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", shared)          # what a cluster configures
-    try:
-        assert checkpoint_dir(spark) == shared
-        assert scratch_path(spark, "staging/x").startswith(shared + os.sep)
-    finally:
-        if old:
-            spark.conf.set("spark.checkpoint.dir", old)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert configured and checkpoint_dir(spark) == configured
+    assert scratch_path(spark, "staging/x").startswith(configured.rstrip("/") + os.sep)
