@@ -202,3 +202,15 @@ def test_erp_deletes_by_environment(spark):
                                 "OmgevingID long, Administratie_Code long, ProjectID string, Verkoopprijs decimal(38,10)")
     out = apply_step(tgt, tgt.limit(0), Step("erp", "Tarieven", delete_rule="tenant", write_rule="append", tenant=1))
     assert rows(out, "OmgevingID", "Administratie_Code") == [(2, 10)]
+
+
+def test_sync_tenants_company_year_and_all(spark):
+    from konform.plans.table_sync import sync_tenants
+    tgt = spark.createDataFrame([(1, 10, 2024, 1.0), (2, 10, 2025, 2.0), (3, 11, 2025, 3.0), (4, 12, 2025, 4.0)],
+                                "k long, BedrijfID long, Jaar int, v double")
+    src = spark.createDataFrame([(5, 10, 2025, 5.0)], "k long, BedrijfID long, Jaar int, v double")
+    plan = spark.createDataFrame([(10, "company_year", "append", 2025, None), (11, "all", "append", None, None)],
+                                 "tenant long, delete_rule string, write_rule string, year int, window_start string")
+    out = sync_tenants(tgt, src, plan, ["k"], "BedrijfID", year_col="Jaar")
+    # company 10: only its 2025 rows go; company 11: all its rows go; company 12 has no plan row: kept
+    assert rows(out, "k") == [(1,), (4,), (5,)]
