@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, ppm_language, sharding, token_prefix, topk
+from . import mixing, pii, ppm_language, quality, sharding, token_prefix, topk
 from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+@query("op4_mixing_raked", mixing.oracle())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.probabilities(table(spark, sf_dir, "documents"))
+
+
+@query("op9_quality_weak")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 @query("op6_language_ppm")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.identify(table(spark, sf_dir, "documents"))
