@@ -32,6 +32,8 @@ from . import textvec as tv
 TRAIN_DOCS = 6000               # bound of the sample that the linear scorer is fitted on
 CLASS_BITS = 3
 BUCKETS = 1 << 10               # hashed features: 8**3 byte-class trigrams, then binned statistics
+LEAST_WORDS = 4                 # below that the scorer has no say: the share of good documents is the score
+SHORT = 256                     # texts of fewer bytes say less: their trigram shares are held back
 TRIGRAMS = 1 << (3 * CLASS_BITS)
 STATS = ("words", "upper", "shout", "bars", "stutter", "variety", "top_word", "lines", "stops", "symbols")
 # byte classes: lower, upper, digit, white space, line end and stop, other punctuation, bar and exclamation, rest
@@ -48,20 +50,25 @@ LETTER = tv.byte_table(bytes([*range(65, 91), *range(97, 123)]))
 
 @dataclass(frozen=True)
 class Labeller:
-    """Votes bad where the statistic is at least ``bad`` (``sign`` 1) or at most (``sign`` -1), good on the
-    other side of ``good``, abstains between; and on documents with fewer words than ``least``."""
+    """Votes on documents with at least ``least`` words: good where every statistic of ``good`` lies in its range,
+    bad where one of ``bad`` lies in its range, else it abstains."""
 
-    stat: str
-    good: float
-    bad: float
-    sign: int
+    good: tuple[tuple[str, float, float], ...] = ()
+    bad: tuple[tuple[str, float, float], ...] = ()
     least: int = 1
 
 
+INF = float("inf")
 LABELLERS = (
-    Labeller("upper", 0.20, 0.50, 1), Labeller("shout", 0.05, 0.30, 1), Labeller("bars", 0.03, 0.20, 1),
-    Labeller("stutter", 0.10, 0.25, 1, 4), Labeller("variety", 0.50, 0.42, -1, 8), Labeller("top_word", 0.12, 0.20, 1, 20),
-    Labeller("lines", 0.60, 0.40, -1, 8), Labeller("stops", 0.03, 0.01, -1, 8), Labeller("symbols", 0.10, 0.60, 1),
+    Labeller(bad=(("upper", 0.50, INF),)),                                              # shouted text
+    Labeller(bad=(("shout", 0.30, INF), ("bars", 0.20, INF))),                          # tables, exclamations
+    Labeller(bad=(("symbols", 0.60, INF),)),                                            # symbol noise
+    Labeller(bad=(("stutter", 0.25, INF),), least=4),                                   # a word again and again
+    Labeller(bad=(("variety", 0.0, 0.42),), least=8),                                   # few different words
+    Labeller(bad=(("lines", 0.0, 0.40), ("top_word", 0.25, INF)), least=12),            # lines or a word repeated
+    Labeller(good=(("stops", 0.02, 0.60), ("symbols", 0.0, 0.15), ("shout", 0.0, 0.10)),
+             bad=(("stops", 0.0, 0.005),), least=12),                                   # sentences
+    Labeller(good=(("variety", 0.48, 1.0), ("stutter", 0.0, 0.10), ("symbols", 0.0, 0.30), ("bars", 0.0, 0.05), ("upper", 0.0, 0.3)), least=4),
 )
 
 
@@ -93,6 +100,7 @@ def statistics(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     wh = tv.span_hash(p, ws, we)
     words = np.bincount(row, minlength=n).astype(np.float64)
     w1 = np.maximum(words, 1)
+    w8 = np.maximum(words, 8)               # shares in short texts are held back
     same = (wh[1:] == wh[:-1]) & (row[1:] == row[:-1]) if len(wh) else np.zeros(0, bool)
     distinct, top = _repeats(wh, row, n)
     ls, le, lrow = tv.word_spans(data, off, tv.byte_table(b"\n"))
@@ -102,17 +110,19 @@ def statistics(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     upper = _per_row(CLASS[data] == 1, off)
     count = lambda c: _per_row(data == c, off)
     symbols = _per_row(CLASS[data] == 5, off)
-    return np.stack([words, upper / np.maximum(letters, 1), count(33) / w1, count(124) / w1,
-                     np.bincount(row[1:][same], minlength=n) / w1, distinct / w1, top / w1, ldistinct / lines,
-                     count(46) / w1, symbols / w1], 1)
+    return np.stack([words, upper / np.maximum(letters, 40), count(33) / w8, count(124) / w8,
+                     np.bincount(row[1:][same], minlength=n) / w8, distinct / w1, top / w8, ldistinct / lines,
+                     count(46) / w8, symbols / w8], 1)
 
 
 def votes(stats: np.ndarray) -> np.ndarray:
     """1 good, -1 bad, 0 abstains; documents x labellers."""
     out = np.zeros((len(stats), len(LABELLERS)), np.int64)
+    inside = lambda r: (stats[:, STATS.index(r[0])] >= r[1]) & (stats[:, STATS.index(r[0])] <= r[2])
     for k, f in enumerate(LABELLERS):
-        x = stats[:, STATS.index(f.stat)] * f.sign
-        out[:, k] = np.where(x >= f.bad * f.sign, -1, np.where(x <= f.good * f.sign, 1, 0)) * (stats[:, 0] >= f.least)
+        good = np.logical_and.reduce([inside(r) for r in f.good]) if f.good else np.zeros(len(stats), bool)
+        bad = np.logical_or.reduce([inside(r) for r in f.bad]) if f.bad else np.zeros(len(stats), bool)
+        out[:, k] = np.where(bad, -1, np.where(good, 1, 0)) * (stats[:, 0] >= f.least)
     return out
 
 
@@ -124,9 +134,7 @@ def fit_labellers(patterns: np.ndarray, count: np.ndarray, steps: int = 200):
     """EM over vote patterns: (posterior of good per pattern, accuracies [labeller, class, vote], share of good)."""
     n = len(LABELLERS)
     v = patterns[:, None] // 3 ** np.arange(n) % 3                  # 0 bad, 1 abstains, 2 good
-    good = ((v == 2).sum(1) + 1) / ((v != 1).sum(1) + 2)            # start: share of good votes
-    bad_any = (v == 0).any(1)
-    good = np.where(bad_any, np.minimum(good, 0.4), np.maximum(good, 0.6))
+    good = np.where((v == 0).any(1), 0.02, 0.98)                    # start: one bad vote tells
     for _ in range(steps):
         w = np.stack([(1 - good) * count, good * count])            # class x pattern
         share = (w[1].sum() + 1) / (count.sum() + 2)
@@ -138,7 +146,8 @@ def fit_labellers(patterns: np.ndarray, count: np.ndarray, steps: int = 200):
         good = new
         if done:
             break
-    return good, table, share
+    # where every labeller abstains there is no evidence: the share of good documents is all that is known
+    return np.where((v == 1).all(1), share, good), table, share
 
 
 def _features(data: np.ndarray, off: np.ndarray, stats: np.ndarray):
@@ -161,7 +170,7 @@ def feature_matrix(data: np.ndarray, off: np.ndarray, stats: np.ndarray) -> np.n
     tri, row, bins = _features(data, off, stats)
     n = len(stats)
     x = np.bincount(row * BUCKETS + tri, minlength=n * BUCKETS).reshape(n, BUCKETS).astype(np.float64)
-    x /= np.maximum(x.sum(1, keepdims=True), 1)
+    x /= np.maximum(x.sum(1, keepdims=True), SHORT)
     for k in range(bins.shape[1]):
         np.add.at(x, (np.arange(n), bins[:, k]), 1.0 / bins.shape[1])
     return x
@@ -181,9 +190,10 @@ class QualityModel:
             p = np.array([self.patterns.get(int(k), self.share) for k in pattern_of(votes(s))])
         else:
             tri, row, bins = _features(data, off, s)
-            n = np.maximum(np.bincount(row, minlength=len(s)), 1)
+            n = np.maximum(np.bincount(row, minlength=len(s)), SHORT)
             z = np.bincount(row, weights=self.weights[tri], minlength=len(s)) / n + self.weights[bins].mean(1) + self.bias
             p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+            p = np.where(s[:, 0] < LEAST_WORDS, self.share, p)
         return np.where(s[:, 0] > 0, p, 0.0)
 
 
@@ -214,8 +224,10 @@ def fit(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS) -
         for batch in batches:
             for lo, hi, data, off in tv.chunks(batch.column(0), 1 << 18):
                 s = statistics(data, off)
-                p = np.array([model.patterns.get(int(k), model.share) for k in pattern_of(votes(s))])
-                x = feature_matrix(data, off, s)
+                v = votes(s)
+                p = np.array([model.patterns.get(int(k), model.share) for k in pattern_of(v)])
+                told = (v != 0).any(1)                      # without a vote there is nothing to learn
+                p, x = p[told], feature_matrix(data, off, s)[told]
                 yield pa.record_batch([pa.array(list(x), pa.list_(pa.float64())), pa.array(p)], names=["x", "p"])
 
     soft = sample.mapInArrow(examples, "x array<double>, p double")
