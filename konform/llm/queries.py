@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, ppm_language, quality, sharding, token_prefix, topk
+from . import decontaminate, mixing, pii, ppm_language, quality, sharding, token_prefix, topk
 from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.probabilities(table(spark, sf_dir, "documents"))
 
 
+@query("op8_decontaminate_align")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op9_quality_weak")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"))
