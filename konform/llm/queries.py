@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, pii, ppm_language, quality, sharding, token_prefix, topk
+from . import decontaminate, mixing, near_dup, pii, ppm_language, quality, sharding, token_prefix, topk
 from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_language_ppm")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op10_near_dup_tensored")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
