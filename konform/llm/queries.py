@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, near_dup, pii, ppm_language, quality, sharding, token_prefix, topk
+from . import decontaminate, mixing, near_dup, pii, ppm_language, quality, sharding, suffix_dedup, token_prefix, topk
 from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"))
 
 
+@query("op5_suffix_lpf")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.measure(table(spark, sf_dir, "documents"), length=200)
+
+
 @query("op6_language_ppm")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.identify(table(spark, sf_dir, "documents"))
