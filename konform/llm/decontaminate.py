@@ -279,19 +279,21 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     return out
 
 
+def _leak_flag(shared) -> Column:
+    def hit(col: pa.Array) -> pa.Array:
+        flag = np.zeros(len(col), bool)
+        for lo, _, data, off in tv.chunks(col):
+            flag[[lo + m[0] for m in matches(shared.value, data, off)]] = True
+        return pa.array(flag)
+
+    return F.arrow_udf(hit, "boolean")
+
+
 def leaked(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> Column:
     """Does a text hold any of the items?  (a column for filters; no shuffle)"""
     out = F.lit(False)
     for ix in rare_indexes(docs, items, text_col, item_id, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(ix)
-
-        def hit(col: pa.Array, shared=shared) -> pa.Array:
-            flag = np.zeros(len(col), bool)
-            for lo, hi, data, off in tv.chunks(col):
-                flag[[lo + m[0] for m in matches(shared.value, data, off)]] = True
-            return pa.array(flag)
-
-        out = out | F.arrow_udf(hit, "boolean")(F.lower(F.col(text_col)))
+        out = out | _leak_flag(docs.sparkSession.sparkContext.broadcast(ix))(F.lower(F.col(text_col)))
     return out
 
 

@@ -19,9 +19,9 @@ from the links.
 
 Defined results: A-Z are lower-cased, other letters stay; a text with fewer than
 five words is one shingle; texts without words (or null) have an empty set, are
-linked with nothing and kept; rows that share an id are one node of the graph; rows
-without an id are returned unlinked, not kept; an empty table gives no rows; other
-columns are ignored (``keep_first`` passes them on).
+linked with nothing and kept; rows that share an id are judged by their own texts (equal
+rows stay or go together); rows without an id are linked with nothing and kept; an empty
+table gives no rows; other columns are ignored (``keep_first`` passes them on).
 """
 
 from __future__ import annotations
@@ -60,13 +60,17 @@ def shingle_sets(data: np.ndarray, off: np.ndarray):
     return h[keep], kept[bounds]
 
 
+def row_key(id_col: str, text_col: str):
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, n (set size), d1 and d2 (digest of the set), c (one value per collection)."""
+    """id, k (row key), n (set size), d1 and d2 (digest of the set), c (one value per collection)."""
 
     def scan(batches):
         for batch in batches:
-            ids = batch.column(0)
-            for lo, hi, data, off in tv.chunks(batch.column(1)):
+            ids, keys = batch.column(0), batch.column(1)
+            for lo, hi, data, off in tv.chunks(batch.column(2)):
                 h, b = shingle_sets(data, off)
                 n = np.diff(b)
                 some = np.flatnonzero(n)
@@ -81,11 +85,12 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                             low = np.minimum.reduceat(h * _A[k] + _B[k], at)
                             c[some, k // ROWS] = tv.mix(c[some, k // ROWS] * np.uint64(31) + low)
                 flat = pa.array(c.reshape(-1).view(np.int64))
-                yield pa.record_batch([ids.slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
+                yield pa.record_batch([ids.slice(lo, hi - lo), keys.slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
                                        pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * COLLECTIONS), flat)],
-                                      names=["id", "n", "d1", "d2", "c"])
+                                      names=["id", "k", "n", "d1", "d2", "c"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(scan, "id long, n long, d1 long, d2 long, c array<long>")
+    return (docs.select(F.col(id_col).cast("long"), row_key(id_col, text_col), F.col(text_col))
+            .mapInArrow(scan, "id long, k long, n long, d1 long, d2 long, c array<long>"))
 
 
 def similar(inter, n_a, n_b):
@@ -257,8 +262,8 @@ def _across(placed: DataFrame, open_: DataFrame) -> DataFrame:
     return _compare(here.unionByName(there), ["g", "s", "k"]).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles, component_id, kept of every row."""
+def decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, k, n, component_id, kept of every row."""
     spark = docs.sparkSession
     base = scratch_path(spark, f"near-dup-{uuid.uuid4().hex}")
     signatures(docs, id_col, text_col).write.parquet(f"{base}/sets")
@@ -268,14 +273,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = spark.read.parquet(f"{base}/classes")
     label = components(links_of(docs, classes, id_col, text_col, base))
     named = (classes.join(label, classes["rep"] == label["node"], "left")
-             .select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id")))
-    out = sets.drop("c").join(named, ["n", "d1", "d2"], "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.coalesce("component_id", "id").alias("component_id"),
-                      F.coalesce(F.coalesce("component_id", "id") == F.col("id"), F.lit(False)).alias("kept"))
+             .select("n", "d1", "d2", F.coalesce("component", "rep").alias("_c")))
+    out = sets.drop("c").join(named, ["n", "d1", "d2"], "left").withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("_c", "id")))
+    return out.select("id", "k", "n", "component_id", F.coalesce(F.col("component_id") == F.col("id"), F.lit(True)).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_shingles, component_id, kept of every row."""
+    return decided(docs, id_col, text_col).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group (its smallest id), with the columns they came with."""
-    kept = near_duplicates(docs, id_col, text_col).filter("kept").select(id_col).distinct()
-    return docs.join(kept, id_col, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = decided(docs, id_col, text_col).filter("not kept").select(F.col("k").alias("_k")).distinct()
+    key = row_key(id_col, text_col)
+    return docs.join(gone, key == gone["_k"], "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])
