@@ -34,8 +34,9 @@ from . import textvec as tv
 
 ORDER = 3
 PAD = 10                        # byte that stands before the first byte of a text
-MAX_GRAMS = 400_000             # leaves of all trees together that the model may keep
+MAX_GRAMS = 150_000             # leaves of all trees together that the model may keep
 MAX_LANGS = 64
+STEP = 512                      # contexts tabulated at once
 MAX_BYTES = 127                 # bytes with a code of their own; others share one
 
 
@@ -135,13 +136,6 @@ def build(langs: list[str], lang_id: np.ndarray, gram: np.ndarray, count: np.nda
         packed = packed * size + code[(gram >> (8 * back)) & 0xFF]
     n_lang = len(langs)
 
-    def counts_at(order: int):
-        """contexts of this order and their counts (contexts x languages x codes)"""
-        ctx = packed // size % size ** order
-        seen, at = np.unique(ctx, return_inverse=True)
-        flat = np.bincount((at * n_lang + lang_id) * size + packed % size, weights=count, minlength=len(seen) * n_lang * size)
-        return seen, flat.reshape(len(seen), n_lang, size)
-
     uniform = np.broadcast_to(width / 256.0, (n_lang, size))
 
     def predict(c: np.ndarray, shorter: np.ndarray) -> np.ndarray:
@@ -155,17 +149,29 @@ def build(langs: list[str], lang_id: np.ndarray, gram: np.ndarray, count: np.nda
         esc = np.where(new, u / np.maximum(n + u, 1) * rest / np.maximum(mass, 1e-300), 0.0)
         return np.where(n > 0, full + esc, shorter)
 
-    _, c0 = counts_at(0)
-    tables, known = [predict(c0, uniform[None])], np.zeros(1, np.int64)    # order 0: one row
-    row = np.zeros(1, np.int64)                                           # context of this order -> row
-    for order in range(1, ORDER + 1):
-        seen, c = counts_at(order)
-        below = np.concatenate(tables)[row[seen % size ** (order - 1)]]
-        row = np.tile(row, size)                                          # unseen contexts keep the shorter one's row
-        row[seen] = sum(map(len, tables)) + np.arange(len(seen))
-        tables.append(predict(c, below))
-    p = np.concatenate(tables) / width                                    # a byte without a code is one of many
-    return PPM(langs, code, row.astype(np.int32), np.ascontiguousarray(-np.log2(p).transpose(0, 2, 1), dtype=np.float32))
+    table = np.zeros((0, n_lang, size), np.float32)                       # one row per known context, all orders
+    row = np.zeros(1, np.int64)                                           # context of the current order -> row
+    symbol = packed % size
+    for order in range(ORDER + 1):
+        ctx = packed // size % size ** order
+        seen, at = np.unique(ctx, return_inverse=True)
+        by = np.argsort(at, kind="stable")
+        cut = np.searchsorted(at[by], np.arange(0, len(seen) + STEP, STEP))
+        parts = []
+        for k, (lo, hi) in enumerate(zip(cut[:-1], cut[1:])):             # some contexts at a time: small memory
+            pick, first = by[lo:hi], k * STEP
+            here = min(STEP, len(seen) - first)
+            c = np.bincount(((at[pick] - first) * n_lang + lang_id[pick]) * size + symbol[pick], weights=count[pick],
+                            minlength=here * n_lang * size).reshape(here, n_lang, size)
+            below = table[row[seen[first:first + here] % size ** (order - 1)]] if order else uniform[None]
+            parts.append(predict(c, below).astype(np.float32))
+        row = np.tile(row, size) if order else row                        # unseen contexts keep the shorter one's row
+        row[seen] = len(table) + np.arange(len(seen))
+        table = np.concatenate([table, *parts])
+    table /= width.astype(np.float32)                                     # a byte without a code is one of many
+    np.log2(table, out=table)
+    np.negative(table, out=table)
+    return PPM(langs, code, row.astype(np.int32), np.ascontiguousarray(table.transpose(0, 2, 1)))
 
 
 def train(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str = "text", max_grams: int = MAX_GRAMS) -> PPM | None:
