@@ -92,40 +92,28 @@ def _duck_expr(sql: str) -> str:
     return LINE_ID_SQL if sql == "@LINE_ID" else sql
 
 
-def landed_documents(spark, sf: str, table: str, page_rows: int = PAGE_ROWS,
-                     orders: DataFrame | None = None,
+def landed_documents(spark, sf: str, table: str, orders: DataFrame | None = None,
                      header_overrides: dict[str, str] | None = None) -> tuple[DataFrame, T.StructType]:
     """OData pages of nested documents built from orders and their line items.
 
-    A document carries at most ``LIST_ROWS`` lines (a larger order is split
-    into several documents with the same header); a page holds the documents
-    of ``page_rows`` consecutive order keys.
+    A page holds one document with at most ``LIST_ROWS`` lines (a larger order comes
+    in several documents with the same header).  Headers and lines meet in one join on
+    the order key; nesting the lines of (order, chunk) needs no further shuffle.
     """
     spec, doc = DOCS[table], NESTED[table]
     header_spec = {**spec["header"], **(header_overrides or {})}
     o = orders if orders is not None else load(spark, sf, "orders")
-    li = load(spark, sf, "lineitem")
-    # Line records are built in a projection (whole-stage codegen) before the
-    # list aggregate, which evaluates its input without codegen; a document
-    # holds at most LIST_ROWS lines.  When only some orders are extracted,
-    # a key-only semi-join drops the other lines before they are grouped.
-    if orders is not None:
-        li = li.join(o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
-    # Hash-partitioning the raw lines by order key spreads the record-building
-    # projection over all tasks; the (order, chunk) grouping below is already
-    # satisfied by it, so this replaces the aggregate's shuffle (one shuffle).
-    li = li.repartition("l_orderkey")
-    lines = (li.select("l_orderkey", bounded_chunk().alias("_chunk"),
-                       F.struct(*[_spark_expr(e).alias(f) for f, e in spec["line"].items()]).alias("_line"))
-             .groupBy("l_orderkey", "_chunk")
-             .agg(F.collect_list("_line").alias("_lines")))
-    docs = (o.join(lines, o.o_orderkey == lines.l_orderkey, "inner")
-            .select("o_orderkey", F.expr(_DIV).alias("tenant"), F.to_json(F.struct(
-                *[_spark_expr(e).alias(f) for f, e in header_spec.items()],
-                F.struct(F.col("_lines").alias("results")).alias(doc.line_column))).alias("doc")))
-    pages = (docs.groupBy("tenant", F.floor(F.col("o_orderkey") / page_rows).alias("page_no"))
-             .agg(F.concat(F.lit('{"d":{"results":['), F.concat_ws(",", F.collect_list("doc")),
-                           F.lit("]}}")).alias("body")))
+    li = load(spark, sf, "lineitem").withColumn("_chunk", bounded_chunk())
+    # Record structs are built in a projection (whole-stage codegen): the list aggregate
+    # evaluates its input without codegen.
+    joined = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "o_orderkey", "_chunk", F.struct(*[F.col(c) for c in o.columns]).alias("_o"),
+        F.struct(*[_spark_expr(e).alias(f) for f, e in spec["line"].items()]).alias("_line"))
+    docs = (joined.groupBy("o_orderkey", "_chunk").agg(F.any_value("_o").alias("_o"), F.collect_list("_line").alias("_lines"))
+            .select("_o.*", "_lines"))
+    pages = docs.select(F.expr(_DIV).alias("tenant"), F.col("o_orderkey").alias("page_no"), F.to_json(F.struct(F.struct(F.array(F.struct(
+        *[_spark_expr(e).alias(f) for f, e in header_spec.items()],
+        F.struct(F.col("_lines").alias("results")).alias(doc.line_column))).alias("results")).alias("d"))).alias("body"))
     schema = T.StructType([T.StructField(f, T.StringType()) for f in doc.header_fields] +
                           [T.StructField(doc.line_column, flatten.line_struct_type(doc.line_fields))])
     return pages, schema
@@ -195,6 +183,68 @@ def lines_quotation(spark, sf):
 
 
 # ----------------------------------------------------------------- D4-D6
+_TENANT = "CAST(floor({k} / 2000) AS BIGINT)"
+#: every seventh stream has no tenant: a stream of its own
+_STREAM = "CASE WHEN {t} % 7 = 3 THEN NULL ELSE {t} END".format(t=_TENANT)
+
+
+def _header_of(table: str) -> dict[str, str]:
+    """Header fields as Spark / DuckDB expressions over orders; the key marks a header row."""
+    doc, spec = NESTED[table], DOCS[table]["header"]
+    out = {f: spec.get(f) for f in doc.header_fields if spec.get(f) is not None}
+    out[flatten.FORWARD_FILL_IDS[table]] = "o_orderkey"
+    out["Description"] = "'HEAD-' || CAST(o_orderkey AS STRING)"
+    return out
+
+
+def _fill_parts(table: str):
+    doc = NESTED[table]
+    header = {f: e for f, e in _header_of(table).items() if not e.startswith("@")}
+    line = {f: e for f, e in DOCS[table]["line"].items() if e is not None and not e.startswith("@MS:")}
+    line["Description"] = "l_returnflag || l_linestatus"
+    return doc, header, {f: e for f, e in line.items() if f == "Description" or f not in header}
+
+
+def _fill_oracle(table: str) -> str:
+    doc, header, line = _fill_parts(table)
+    cols = [f"{_STREAM.format(k='o.o_orderkey')} AS tenant"]
+    cols += [f"CAST({_duck_expr(e)} AS VARCHAR) AS {f}" for f, e in line.items()]
+    cols += [f"CAST({e} AS VARCHAR) AS {f + '' if f != 'Description' else doc.prefix + '_Description'}" for f, e in header.items()]
+    return f"SELECT {', '.join(cols)} FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey".replace("AS STRING", "AS VARCHAR")
+
+
+def _fill(spark, sf, table: str) -> DataFrame:
+    """Interleaved rows: a header row (with a Description of its own) is followed by its lines in arrival
+    order, ``seq`` = 2 * key (+ 1 for lines); some streams have a null tenant.  Buckets of 4096
+    numbers put some headers and their lines into different buckets."""
+    doc, header, line = _fill_parts(table)
+    names = [*line, *[f for f in header if f not in line]]
+    null = F.lit(None).cast("string")
+    hdr_rows = load(spark, sf, "orders").select(
+        F.expr(_STREAM.format(k="o_orderkey")).alias("tenant"), (F.col("o_orderkey") * 2).alias("seq"),
+        *[(F.expr(header[f]).cast("string") if f in header else null).alias(f) for f in names])
+    line_rows = load(spark, sf, "lineitem").select(
+        F.expr(_STREAM.format(k="l_orderkey")).alias("tenant"), (F.col("l_orderkey") * 2 + 1).alias("seq"),
+        *[(_spark_expr(line[f]).cast("string") if f in line else null).alias(f) for f in names])
+    filled = flatten.flatten_for_table(hdr_rows.unionByName(line_rows), table, seq="seq", partition_cols=["tenant"])
+    return filled.drop("seq")
+
+
+@query("fill_invoice", _fill_oracle("Verkoopfacturen"))
+def fill_invoice(spark, sf):
+    return _fill(spark, sf, "Verkoopfacturen")
+
+
+@query("fill_order", _fill_oracle("VerkoopOrders"))
+def fill_order(spark, sf):
+    return _fill(spark, sf, "VerkoopOrders")
+
+
+@query("fill_quotation", _fill_oracle("Offertes"))
+def fill_quotation(spark, sf):
+    return _fill(spark, sf, "Offertes")
+
+
 QUOTE_HEADER = {"QuotationID": "o_orderkey", "QuotationNumber": "o_orderkey", "VersionNumber": "1",
                 "SalesPersonFullName": "'Sales ' || CAST(o_custkey AS STRING)", "Currency": "'EUR'",
                 "StatusDescription": "o_orderstatus", "OrderAccount": "o_custkey",
@@ -210,7 +260,6 @@ QUOTE_LINE = {"AmountDC": ("l_extendedprice", "o_totalprice"), "CostCenterDescri
               "Quantity": ("l_quantity", "CAST(1 AS DOUBLE)"), "UnitDescription": ("'pcs'", "'pcs'"),
               "UnitPrice": ("l_extendedprice", "o_totalprice"), "VATAmountFC": ("l_tax", "CAST(0 AS DOUBLE)"),
               "VATPercentage": ("l_tax", "CAST(0 AS DOUBLE)")}
-_TENANT = "CAST(floor({k} / 2000) AS BIGINT)"
 
 
 @query("lines_forward_fill", "SELECT " + ", ".join(

@@ -178,7 +178,7 @@ def wage_report(spark, sf):
                      .alias("employee")))
     reports = (employees.groupBy("c_nationkey", "chunk")
                .agg(F.concat_ws("", F.collect_list("employee")).alias("employees"))
-               .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
+               .join(n, F.col("c_nationkey") == n.n_nationkey)
                .select(F.concat(F.lit("<CompanyEmployeeWageComponentsResult>"),
                                 xml_elem("CompanyID", F.col("n_nationkey")),
                                 xml_elem("CompanyName", F.col("n_name")),

@@ -107,8 +107,7 @@ def work_list(spark, sf):
                        F.when(F.col("n_regionkey") == 4, 2).otherwise(1).alias("klant_type"),
                        F.when(F.col("n_regionkey") == 3, "erp").otherwise("accounting").alias("application"))
     c = load(spark, sf, "customer")
-    # nation is a fixed 25-row dimension: a broadcast with a proven bound.
-    tenants = (c.join(F.broadcast(n.select("n_nationkey", "n_name")), c.c_nationkey == n.n_nationkey)
+    tenants = (c.join(n.select("n_nationkey", "n_name"), c.c_nationkey == n.n_nationkey)
                .select(F.col("n_name").alias("klant"), F.col("c_custkey").alias("tenant"),
                        F.when(F.col("c_acctbal") < 0, 0).otherwise(1).alias("status")))
     status_rows = spark.createDataFrame(TABLE_STATUS_ROWS, "table_name string, status int, seq int")
@@ -147,7 +146,7 @@ def resolve_database(spark, sf):
     c = load(spark, sf, "customer")
     n = load(spark, sf, "nation").select("n_nationkey", "n_regionkey")
     r = load(spark, sf, "region")
-    cn = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    cn = c.join(n, c.c_nationkey == n.n_nationkey)
     # Each database lists the customers of its region; customers with a negative
     # balance are also listed (later) in the next region's database.
     listed = (cn.select("c_name", F.col("n_regionkey").alias("pos"))
@@ -155,7 +154,7 @@ def resolve_database(spark, sf):
                            .select("c_name", ((F.col("n_regionkey") + 1) % 5).alias("pos"))))
     members = (listed.withColumn("_chunk", bounded_chunk(LIST_ROWS))
                .groupBy("pos", "_chunk").agg(F.collect_list("c_name").alias("customers"))
-               .join(F.broadcast(r), F.col("pos") == r.r_regionkey)
+               .join(r, F.col("pos") == r.r_regionkey)
                .select(F.col("r_name").alias("database"), F.col("pos").alias("db_pos"), "customers"))
     names = c.select(F.col("c_name").alias("klant")).unionByName(
         load(spark, sf, "nation").select(F.col("n_name").alias("klant")))

@@ -70,7 +70,7 @@ def delete_company_year(spark, sf):
 @query("append_rows", _TARGET_SQL)
 def append_rows(spark, sf):
     t = _target(spark, sf)
-    return write.append(t.filter(F.col("o_orderstatus") == "F"), t.filter(F.col("o_orderstatus") != "F"))
+    return write.append(t.filter(F.col("o_orderstatus").eqNullSafe("F")), t.filter(~F.col("o_orderstatus").eqNullSafe("F")))
 
 
 _UPSERT_SQL = f"""
@@ -148,7 +148,7 @@ _DIV_T = ("SELECT c_custkey AS Division, c_name AS Entiteit, CAST(c_nationkey AS
           "CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 2 END AS Status, "
           "CASE WHEN c_nationkey < 5 THEN 1 ELSE 0 END AS Volledige_sync FROM customer WHERE c_acctbal >= 0")
 _DIV_S = ("SELECT c_custkey AS Division, upper(c_name) AS Entiteit, CAST(c_nationkey AS BIGINT) AS CustomerCode "
-          "FROM customer WHERE c_mktsegment <> 'MACHINERY'")
+          "FROM customer WHERE c_mktsegment <> 'MACHINERY' OR c_acctbal < 0")
 
 
 @query("upsert_preserving", f"""
@@ -166,7 +166,7 @@ def upsert_preserving(spark, sf):
         F.col("c_nationkey").cast("long").alias("CustomerCode"),
         F.when(F.col("c_mktsegment") == "BUILDING", 1).otherwise(2).alias("Status"),
         F.when(F.col("c_nationkey") < 5, 1).otherwise(0).alias("Volledige_sync"))
-    s = c.filter(F.col("c_mktsegment") != "MACHINERY").select(
+    s = c.filter((F.col("c_mktsegment") != "MACHINERY") | (F.col("c_acctbal") < 0)).select(
         F.col("c_custkey").alias("Division"), F.upper("c_name").alias("Entiteit"),
         F.col("c_nationkey").cast("long").alias("CustomerCode"))
     return write.upsert_preserving(t, s, ["Division"], {"Status": 0, "Volledige_sync": 0})
@@ -195,32 +195,82 @@ def write_counts(spark, sf):
                               write.tenant_predicate("AdministratieCode", 3))
 
 
-# Per-tenant plan of one run (control data: one row per administration).
+# Per-tenant plan of one run (control data: one row per administration).  4: rule none, 6: planned but no source
+# rows arrive, 7: arrives without a plan row.
 _PLAN = [(1, "tenant", "append", None, None), (2, "year_window", "append", 1999, None),
-         (3, "none", "upsert", None, None), (4, "none", "append", None, None),
-         (5, "date_window", "append", None, "2000-01-01 00:00:00")]
+         (3, "none", "upsert", None, None), (4, "none", "none", None, None),
+         (5, "date_window", "append", None, "2000-01-01 00:00:00"), (6, "tenant", "append", None, None)]
+# tenants 6 and 7: part of the orders of tenant 4; only the target holds 6, only the source adds to 7
+_MORE_SQL = ("CASE WHEN {t} = 4 AND o_custkey % 3 = 0 THEN {a} WHEN {t} = 4 AND o_custkey % 3 = 1 THEN 7 ELSE {t} END")
 
 
-@query("tenant_batch_sync", f"""
-WITH p AS (SELECT * FROM (VALUES {", ".join(
+def _tenants(df, moved: int):
+    return df.withColumn("AdministratieCode", F.expr(_MORE_SQL.format(t="AdministratieCode", a=moved)).cast("int"))
+
+
+_PLAN_SQL = f"""p AS (SELECT * FROM (VALUES {", ".join(
     f"({t}, '{d}', '{w}', {y if y is not None else 'NULL'}, "
     f"{repr(ws) if ws else 'NULL'})" for t, d, w, y, ws in _PLAN)}) AS p(tenant, dr, wr, yr, ws)),
-t AS (SELECT * FROM ({_TARGET_SQL}) WHERE {OLD}),
-kept AS (SELECT t.* FROM t LEFT JOIN p ON p.tenant = t.AdministratieCode
+t AS (SELECT * EXCLUDE (AdministratieCode), CAST({_MORE_SQL.format(t="AdministratieCode", a=6)} AS INTEGER) AS AdministratieCode
+      FROM ({_TARGET_SQL}) WHERE {OLD}),
+s0 AS (SELECT * EXCLUDE (AdministratieCode, o_totalprice), o_totalprice + 1.0 AS o_totalprice,
+              CAST({_MORE_SQL.format(t="AdministratieCode", a=4)} AS INTEGER) AS AdministratieCode FROM ({_TARGET_SQL}) WHERE {NEW}),
+s AS (SELECT s0.*, p.wr FROM s0 JOIN p ON p.tenant = s0.AdministratieCode),
+kept AS (SELECT t.* FROM t LEFT JOIN p ON p.tenant = t.AdministratieCode AND p.tenant IN (SELECT AdministratieCode FROM s)
          WHERE NOT COALESCE(CASE WHEN p.dr IN ('tenant', 'all') THEN true
                                  WHEN p.dr = 'year_window' THEN t.ReportingYear >= p.yr
                                  WHEN p.dr = 'date_window' THEN t.o_orderdate >= CAST(p.ws AS TIMESTAMP)
-                                 ELSE false END, false)),
-s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice, o_orderdate,
-             AdministratieCode, ReportingYear FROM ({_TARGET_SQL}) WHERE {NEW}),
-su AS (SELECT s.* FROM s JOIN p ON p.tenant = s.AdministratieCode WHERE p.wr IN ('upsert', 'upsert_tenant'))
-SELECT * FROM kept WHERE NOT EXISTS (SELECT 1 FROM su WHERE su.o_orderkey = kept.o_orderkey
+                                 ELSE false END, false))"""
+_SYNC_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, AdministratieCode, ReportingYear"
+
+
+def _plan(spark, rows=None):
+    return spark.createDataFrame(_PLAN if rows is None else rows, "tenant int, delete_rule string, write_rule string, year int, window_start string")
+
+
+@query("tenant_batch_sync", f"""
+WITH {_PLAN_SQL},
+su AS (SELECT * FROM s WHERE wr IN ('upsert', 'upsert_tenant'))
+SELECT {_SYNC_COLS} FROM kept WHERE NOT EXISTS (SELECT 1 FROM su WHERE su.o_orderkey = kept.o_orderkey
                                      AND su.AdministratieCode = kept.AdministratieCode)
-UNION ALL SELECT * FROM s
+UNION ALL SELECT {_SYNC_COLS} FROM s WHERE wr <> 'none'
 """)
 def tenant_batch_sync(spark, sf):
     from ..plans.table_sync import sync_tenants
-    plan = spark.createDataFrame(_PLAN, "tenant int, delete_rule string, write_rule string, year int, "
-                                        "window_start string")
-    return sync_tenants(_old(spark, sf), _new(spark, sf), plan, ["o_orderkey"], "AdministratieCode",
+    return sync_tenants(_tenants(_old(spark, sf), 6), _tenants(_new(spark, sf), 4), _plan(spark), ["o_orderkey"], "AdministratieCode",
+                        year_col="ReportingYear", date_col="o_orderdate")
+
+
+_KEYLESS = [(t, d, "append" if w.startswith("upsert") else w, y, ws) for t, d, w, y, ws in _PLAN]
+
+
+@query("keyless_tenant_sync", f"""
+WITH {_PLAN_SQL}
+SELECT {_SYNC_COLS} FROM kept UNION ALL SELECT {_SYNC_COLS} FROM s WHERE wr <> 'none'
+""")
+def keyless_tenant_sync(spark, sf):
+    """A table without keys: deletes by tenant and appends, no join of target and source rows."""
+    from ..plans.table_sync import sync_tenants
+    return sync_tenants(_tenants(_old(spark, sf), 6), _tenants(_new(spark, sf), 4), _plan(spark, _KEYLESS), [], "AdministratieCode",
                         year_col="ReportingYear", date_col="o_orderdate")
+
+
+@query("upsert_partial", f"""
+WITH t AS (SELECT * FROM ({_TARGET_SQL}) WHERE {OLD}),
+     s AS (SELECT o_orderkey, o_totalprice + 1.0 AS o_totalprice, AdministratieCode FROM ({_TARGET_SQL}) WHERE {NEW})
+SELECT COALESCE(s.o_orderkey, t.o_orderkey) AS o_orderkey, t.o_custkey, t.o_orderstatus,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice, t.o_orderdate,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.AdministratieCode ELSE t.AdministratieCode END AS AdministratieCode, t.ReportingYear
+FROM t FULL OUTER JOIN s ON s.o_orderkey = t.o_orderkey
+""")
+def upsert_partial(spark, sf):
+    """A source with some of the target's columns updates those only."""
+    return write.upsert(_old(spark, sf), _new(spark, sf).select("o_orderkey", "o_totalprice", "AdministratieCode"), ["o_orderkey"])
+
+
+@query("duplicate_key_report", """
+SELECT l_orderkey, CAST(l_suppkey % 10 AS BIGINT) AS part, count(*) AS count FROM lineitem GROUP BY ALL HAVING count(*) > 1
+""")
+def duplicate_key_report(spark, sf):
+    li = load(spark, sf, "lineitem").select("l_orderkey", (F.col("l_suppkey") % 10).cast("long").alias("part"))
+    return write.duplicate_keys(li, ["l_orderkey", "part"])

@@ -77,8 +77,18 @@ def to_tinyint(c: Column, strict: bool = True) -> Column:
 
 
 # ------------------------------------------------------------------------- C3
+def decimal_fits(c: Column) -> Column:
+    """Does the text hold a number without more decimals than the target keeps?"""
+    s = F.trim(_text(c))
+    kept, wide = s.try_cast(DECIMAL), s.try_cast("decimal(38,28)")
+    cut = F.when(s.rlike("[eE]"), wide.isNotNull() & (wide != kept)).otherwise(s.rlike(r"\.[0-9]{10}[0-9]*[1-9]"))
+    return kept.isNotNull() & ~cut
+
+
 def to_decimal(c: Column, strict: bool = True) -> Column:
-    """Null stays null; exact decimal; bad text fails the table when strict."""
+    """Null stays null; exact decimal; bad text fails the table when strict.
+
+    Decimals beyond the target's scale are rounded away; the audit (C13) counts them."""
     conv = F.trim(_text(c)).try_cast(DECIMAL)
     if not strict:
         return conv
@@ -293,33 +303,45 @@ def coerce_table(df: DataFrame, types: list[tuple[str, str]], policy: Policy = E
     return df.select(*stage1).select(*stage2)
 
 
+def _failed(raw: Column, t: str, dtype, policy: Policy) -> Column:
+    """Is the value given (not null) but does not convert under the lenient rule?"""
+    if t in ("int", "tinyint"):
+        # failures become 0: count text that is neither integral nor numeric
+        s = F.trim(_text(raw))
+        conv = F.coalesce(s.try_cast("bigint"), s.try_cast("double").try_cast("bigint"))
+    elif t == "bit":
+        conv = F.when(F.lower(_text(raw)).isin("true", "1", "false", "0"), F.lit(True))
+    elif t == "decimal":
+        conv = F.when(decimal_fits(raw), F.lit(True))        # bad text, or decimals that would be cut
+    else:
+        conv = convert(raw, t, dtype, Policy(policy.missing, policy.unknown_type, "lenient", policy.trim_text, False))
+    return raw.isNotNull() & conv.isNull()
+
+
 def audit(df: DataFrame, types: list[tuple[str, str]], policy: Policy = ERP) -> DataFrame:
     """One row with, per declared column present, the number of values that were
     given (not null) but did not convert (null after the lenient rule)."""
     dtypes = {f.name: f.dataType for f in df.schema.fields}
-    lenient = Policy(policy.missing, policy.unknown_type, "lenient", policy.trim_text, False)
-    aggs = []
-    for col, t in types:
-        if col not in dtypes or t not in SPARK_TYPES:
-            continue
-        raw = F.col(f"`{col}`")
-        if t in ("int",):
-            # C1 turns failures into 0: count text that is neither integral nor numeric.
-            s = F.trim(_text(raw))
-            conv = F.coalesce(s.try_cast("bigint"), s.try_cast("double").try_cast("bigint"))
-        elif t == "tinyint":
-            s = F.trim(_text(raw))
-            conv = F.coalesce(s.try_cast("bigint"), s.try_cast("double").try_cast("bigint"))
-        elif t == "bit":
-            conv = F.when(F.lower(_text(raw)).isin("true", "1", "false", "0"), F.lit(True))
-        else:
-            conv = convert(raw, t, dtypes[col], lenient)
-        aggs.append(F.count_if(raw.isNotNull() & conv.isNull()).alias(col))
+    aggs = [F.count_if(_failed(F.col(f"`{c}`"), t, dtypes[c], policy)).alias(c) for c, t in types if c in dtypes and t in SPARK_TYPES]
     if not aggs:
         return df.sparkSession.createDataFrame([(0,)], "no_columns int")
     return df.agg(*aggs)
 
 
+def audit_values(df: DataFrame, types: list[tuple[str, str]], policy: Policy = ERP) -> DataFrame:
+    """Every distinct bad value: ``column_name, type_name, value, n``.
+
+    One pass: each row yields only its bad values, which are counted map-side."""
+    dtypes = {f.name: f.dataType for f in df.schema.fields}
+    bad = [F.when(_failed(F.col(f"`{c}`"), t, dtypes[c], policy),
+                  F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("type_name"), _text(F.col(f"`{c}`")).alias("value")))
+           for c, t in types if c in dtypes and t in SPARK_TYPES]
+    if not bad:
+        return df.sparkSession.createDataFrame([], "column_name string, type_name string, value string, n long")
+    return (df.select(F.explode(F.array_compact(F.array(*bad))).alias("_b")).select("_b.*")
+            .groupBy("column_name", "type_name", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
 # ------------------------------------------------------------------------ C14
 SQL_TYPE_NAMES = {
     "int": "int", "integer": "int", "bigint": "bigint", "smallint": "smallint",

@@ -82,24 +82,27 @@ def forward_fill_lines(df: DataFrame, id_col: str, header_cols: list[str], seq:
     is_header = _c(id_col).isNotNull()
     hdr = F.when(is_header, F.struct(*[_c(h).alias(h) for h in header_cols]))
     bucket = F.floor(_c(seq) / F.lit(bucket_rows)).cast("long")
-    staged = df.withColumn("_fb", bucket)
-
-    # Local fill inside each bucket: a running last-non-null header.
-    w_local = (Window.partitionBy(*parts, F.col("_fb")).orderBy(_c(seq))
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = staged.withColumn("_fh", F.last(hdr, ignorenulls=True).over(w_local))
-
-    # One row per bucket: the bucket's own last header, then the last one of
-    # all earlier buckets (a window over the small bucket summary).
-    summary = (staged.groupBy(*parts, F.col("_fb"))
-               .agg(F.max_by(hdr, F.when(is_header, _c(seq))).alias("_bh")))
+    staged = df.withColumns({"_fb": bucket, "_fhdr": hdr})
+
+    # Local fill inside each bucket: a running last-non-null header.  The bucket's own last
+    # header rides on its first row, so the input is evaluated once.
+    per_bucket = Window.partitionBy(*parts, F.col("_fb"))
+    w_local = per_bucket.orderBy(_c(seq)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = per_bucket.orderBy(_c(seq)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    local = (staged.withColumn("_fh", F.last("_fhdr", ignorenulls=True).over(w_local))
+             .withColumn("_bh", F.last("_fhdr", ignorenulls=True).over(whole)))
+
+    # One row per bucket with the last header of all earlier buckets.  Null partition
+    # values are streams of their own, so the join compares them null-safely.
+    summary = local.groupBy(*parts, F.col("_fb")).agg(F.any_value("_bh").alias("_bh"))
     w_carry = (Window.partitionBy(*parts).orderBy(F.col("_fb"))
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (summary.withColumn("_carry", F.last("_bh", ignorenulls=True).over(w_carry))
-             .select(*partition_cols, "_fb", "_carry"))
-
-    filled = (local.filter(~is_header)
-              .join(carry, list(partition_cols) + ["_fb"], "left")
+    carry = summary.select(*[_c(p).alias(f"_p{i}") for i, p in enumerate(partition_cols)], F.col("_fb").alias("_cb"),
+                           F.last("_bh", ignorenulls=True).over(w_carry).alias("_carry"))
+    same = F.col("_fb") == F.col("_cb")
+    for i, p in enumerate(partition_cols):
+        same = same & _c(p).eqNullSafe(F.col(f"_p{i}"))
+    filled = (local.filter(F.col("_fhdr").isNull()).join(carry, same, "left")
               .withColumn("_fill", F.coalesce(F.col("_fh"), F.col("_carry"))))
     out = []
     for c in df.columns:
@@ -116,23 +119,35 @@ FORWARD_FILL_IDS = {"Verkoopfacturen": "InvoiceID", "VerkoopOrders": "OrderID",
 
 def forward_fill_document(df: DataFrame, table: str, seq: str, partition_cols: list[str],
                           bucket_rows: int = 1 << 20) -> DataFrame:
-    """D4 (invoices), D5 (orders), D6 (quotations) with the document's header fields."""
+    """D4 (invoices), D5 (orders), D6 (quotations) with the document's header fields.
+
+    The header's ``Description`` becomes ``<Prefix>_Description``; the line's own stays.
+    """
     doc = NESTED[table]
     id_col = FORWARD_FILL_IDS[table]
-    header = [h for h in doc.header_fields if h in df.columns]
-    return forward_fill_lines(df, id_col, header, seq, partition_cols, bucket_rows)
+    renamed = f"{doc.prefix}_Description"
+    if "Description" in df.columns and "Description" in doc.header_fields and renamed not in df.columns:
+        is_header = _c(id_col).isNotNull()
+        df = df.withColumn(renamed, F.when(is_header, _c("Description")))
+    names = [renamed if h == "Description" else h for h in doc.header_fields]
+    return forward_fill_lines(df, id_col, [h for h in names if h in df.columns], seq, partition_cols, bucket_rows)
 
 
 # ------------------------------------------------------------------------- D7
-def flatten_for_table(df: DataFrame, table: str, keep: list[str] | None = None) -> DataFrame:
+def flatten_for_table(df: DataFrame, table: str, keep: list[str] | None = None, seq: str | None = None,
+                      partition_cols: list[str] | None = None) -> DataFrame:
     """The three sales documents flatten, every other table passes through.
 
+    A document with a line list is exploded (D1-D3); interleaved header and line
+    rows, which carry the arrival order ``seq``, are filled forward (D4-D6).
     Unlike the reference (which returns the input unchanged on error), a
     failure here fails the table.
     """
     doc = NESTED.get(table)
     if doc is None:
         return df
+    if doc.line_column not in df.columns and seq is not None and seq in df.columns:
+        return forward_fill_document(df, table, seq, list(partition_cols or []))
     return explode_lines(df, doc, missing_header="null" if table == "VerkoopOrders" else "error",
                          keep=keep)
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 import re
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -93,12 +93,31 @@ def duplicate_keys(source: DataFrame, keys: list[str]) -> DataFrame:
             .filter(F.col("count") > 1))
 
 
+def unique_keys(source: DataFrame, keys: list[str]) -> DataFrame:
+    """``source``, failing the job where complete keys occur more than once (as a MERGE does).
+
+    The window partitions by the same columns as the join that follows, so it adds a sort but no shuffle."""
+    salted = source.withColumn("_salt", _null_key_salt(source, keys))
+    n = F.count(F.lit(1)).over(Window.partitionBy(*[_c(k) for k in keys], F.col("_salt")))
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & _c(k).isNotNull()
+    bad = complete & (F.col("_n") > 1)
+    ok = F.when(bad, F.raise_error(F.lit(f"duplicate source keys on {keys}")).cast("boolean")).otherwise(F.lit(True))
+    return salted.withColumn("_n", n).filter(ok).drop("_n", "_salt")
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str],
            check_duplicates: bool = False) -> DataFrame:
     """Matched target rows are replaced by the source row, other source
     rows are inserted, unmatched target rows stay (removed rows are never
     deleted by an upsert, as in the reference).
 
+    A source without some target columns updates its own columns only: a matched
+    row keeps the target's value, a new row gets null.  Complete keys that
+    occur twice in the source fail the job (checked inside it, or in advance with
+    ``check_duplicates``; rows with a null key never match and may repeat).
+
     One full outer join on the keys: target and source are each evaluated
     and shuffled once (an anti-join plus union would run the source's whole
     extraction pipeline twice).  A null key never matches, so such rows pass
@@ -106,12 +125,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     """
     if not keys:
         raise WriteError("upsert needs key columns")
-    if check_duplicates and not duplicate_keys(source, keys).isEmpty():
-        raise WriteError(f"duplicate source keys on {keys}")
+    if check_duplicates and not duplicate_keys(source.dropna(subset=keys), keys).isEmpty():
+        raise WriteError(f"duplicate source keys on {keys}")            # before anything runs
+    source = unique_keys(source, keys)
     j, values = _marked_outer(target, source, keys)
     in_s = F.col("_in_s").isNotNull()
-    cols = [_c(k) for k in keys] + [F.when(in_s, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c)
-                                    for c in values]
+    cols = [_c(k) for k in keys] + [(F.when(in_s, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")) if c in source.columns
+                                     else F.col(f"_t_{c}")).alias(c) for c in values]
     return j.select(*cols).select(*[_c(c) for c in target.columns])
 
 
@@ -149,9 +169,11 @@ def upsert_changed(target: DataFrame, source: DataFrame, keys: list[str],
     """
     if text_columns is None:
         text_columns = [f.name for f in target.schema.fields if f.dataType.typeName() == "string"]
+    source = unique_keys(source, keys)
     j, values = _marked_outer(target, source, keys)
+    given = [c for c in values if c in source.columns]       # other columns keep the target's value
     diffs = []
-    for c in values:
+    for c in given:
         t, s = F.col(f"_t_{c}"), F.col(f"_s_{c}")
         if c in text_columns:
             diffs.append(F.coalesce(t, F.lit("")) != F.coalesce(s, F.lit("")))
@@ -164,8 +186,8 @@ def upsert_changed(target: DataFrame, source: DataFrame, keys: list[str],
     action = (F.when(in_t & in_s & changed, "update").when(in_t & in_s, "unchanged")
               .when(in_s, "insert").otherwise("keep"))
     take_source = action.isin("insert", "update")
-    cols = [_c(k) for k in keys] + [F.when(take_source, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c)
-                                    for c in values]
+    cols = [_c(k) for k in keys] + [(F.when(take_source, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")) if c in given
+                                     else F.col(f"_t_{c}")).alias(c) for c in values]
     if with_action:
         cols.append(action.alias("action"))
     out = j.select(*cols)
@@ -185,12 +207,15 @@ def upsert_preserving(target: DataFrame, source: DataFrame, keys: list[str],
                       preserved: dict[str, object]) -> DataFrame:
     """As an upsert, but the ``preserved`` operator columns of a matched row
     keep the target's value and a new row gets the given default."""
+    source = unique_keys(source, keys)
     j, values = _marked_outer(target, source, keys)
     in_t, in_s = F.col("_in_t").isNotNull(), F.col("_in_s").isNotNull()
     cols = [_c(k) for k in keys]
     for c in values:
         tcol = F.col(f"_t_{c}")
-        if c in preserved:
+        if c not in preserved and c not in source.columns:
+            cols.append(tcol.alias(c))
+        elif c in preserved:
             dtype = target.schema[c].dataType
             cols.append(F.when(in_t, tcol).otherwise(F.lit(preserved[c]).cast(dtype)).alias(c))
         else:

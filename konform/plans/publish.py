@@ -102,36 +102,68 @@ def to_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
 
 
 # ------------------------------------------------ tenant-partitioned, in place
-def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back: an
-    expensive input is computed once, and its lineage is cut (a lost executor
-    re-reads the staged files instead of recomputing the extraction)."""
+def stage(spark: SparkSession, df: DataFrame, root: str) -> DataFrame:
+    """Write ``df`` once below ``root`` (beside the target, on the same shared store) and read it back:
+    an expensive input is computed once, and its lineage is cut (a lost executor re-reads the
+    staged files instead of recomputing the extraction).  ``unstage`` removes it."""
     import uuid
 
-    from ..session import scratch_path
-
-    path = scratch_path(spark, f"staging/{name}-{uuid.uuid4().hex}")
+    path = f"{root}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def unstage(spark: SparkSession, staged: DataFrame) -> None:
+    _remove(spark, staged._staged_path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return fs.exists(p)
 
 
 def _partition_value(v) -> str:
     return "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
 
 
-def overwrite_tenants(spark: SparkSession, new_slice: DataFrame, table_path: str, tenant_col: str,
-                      touched: list) -> None:
-    """Replace the partitions of the ``touched`` tenants of a tenant-partitioned
-    table with ``new_slice`` (dynamic partition overwrite: every other tenant's
-    files stay untouched), and remove the partitions of touched tenants whose
-    new slice is empty.  ``new_slice`` must not read ``table_path`` itself
-    (stage it first)."""
-    (new_slice.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(tenant_col).parquet(table_path))
-    written = {r[0] for r in new_slice.select(tenant_col).distinct().collect()}  # one value per tenant
-    fs, base, jvm = _fs(spark, table_path)
-    for t in touched:
-        if t not in written:
-            p = jvm.org.apache.hadoop.fs.Path(base, f"{tenant_col}={_partition_value(t)}")
-            if fs.exists(p):
-                fs.delete(p, True)
+def read_tenants(spark: SparkSession, table_path: str, schema, tenant_col: str) -> DataFrame:
+    """The tenant-partitioned table, after finishing a commit that was interrupted."""
+    _apply_pending(spark, table_path, tenant_col)
+    if not _exists(spark, table_path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(table_path)
+
+
+def commit_tenants(spark: SparkSession, new_slice: DataFrame, touched: DataFrame, table_path: str, tenant_col: str) -> dict:
+    """Replace the partitions of the ``touched`` tenants with ``new_slice``; other tenants' files stay untouched.
+
+    The slice is first written whole to ``_pending``; its success marker is the commit.  Moving it into the
+    table (a dynamic partition overwrite, then removing partitions that became empty) can be repeated: an
+    interrupted commit is finished before the table is next read, and never applied to rows it already holds."""
+    pending = f"{table_path}/_pending"
+    _remove(spark, pending)
+    touched.select(tenant_col).write.parquet(f"{pending}/touched")
+    obs = Observation("slice_counts")
+    new_slice.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(f"{pending}/rows")
+    _apply_pending(spark, table_path, tenant_col)
+    return obs.get
+
+
+def _apply_pending(spark: SparkSession, table_path: str, tenant_col: str) -> None:
+    pending = f"{table_path}/_pending"
+    if not _exists(spark, f"{pending}/rows/_SUCCESS"):
+        return
+    rows, touched = spark.read.parquet(f"{pending}/rows"), spark.read.parquet(f"{pending}/touched")
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(tenant_col).parquet(table_path))
+    # tenants left without rows: their partitions go, one by one
+    for r in touched.join(rows.select(tenant_col).distinct(), tenant_col, "left_anti").toLocalIterator():
+        _remove(spark, f"{table_path}/{tenant_col}={_partition_value(r[0])}")
+    _remove(spark, pending)

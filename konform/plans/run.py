@@ -16,11 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.coerce import SPARK_TYPES
-from ..schemas import NESTED, column_mapping, target_types, write_config
-from . import publish, rules, sync
-from .table_sync import (Step, apply_step, conform_records, delete_tenant_column, read_records,
-                       sync_tenant_partitions, sync_tenants)
+from ..functions.coerce import POLICIES, SPARK_TYPES, audit_values
+from ..schemas import DIVISION_OPERATOR_COLUMNS, NESTED, column_mapping, target_types, write_config
+from ..sources.payloads import JSON_PAYLOADS, observed_fields, page_quality
+from . import publish, rules, runs, sync
+from .table_sync import (TENANT_WRITE_RULES, Step, apply_step, delete_tenant_column, mapped_records, read_records,
+                         sync_tenant_partitions, sync_tenants, typed_records)
 
 # Year / date columns the delete windows of a table refer to.
 WINDOW_COLUMNS = {
@@ -51,6 +52,12 @@ def target_schema(source: str, table: str) -> T.StructType:
     return T.StructType([T.StructField(c, SPARK_TYPES[t]) for c, t in target_types(source, table)])
 
 
+def stored_schema(source: str, table: str) -> T.StructType:
+    """The target schema plus the columns that operators of the target maintain."""
+    extra = DIVISION_OPERATOR_COLUMNS if (source, table) == ("accounting", "Divisions") else ()
+    return T.StructType([*target_schema(source, table).fields, *[T.StructField(c, T.IntegerType()) for c in extra]])
+
+
 @dataclass
 class RunResult:
     outcomes: list[dict] = field(default_factory=list)
@@ -76,62 +83,120 @@ def plan_items(work: DataFrame, source: str, run_mode: str, as_of: str) -> DataF
             .withColumn("window_start", sync.full_window_start(as_of_c).cast("timestamp_ntz")))
 
 
+def _present_fields(pages: DataFrame, schema: T.StructType, payload: str, resource: str | None) -> T.StructType | None:
+    """The declared fields that occur in the landed records: a field the API dropped or renamed is
+    absent (so the strict map fails and defaults fill), not silently null.  None: no record at all."""
+    names = {r["field"] for r in observed_fields(pages, payload, resource).select("field").collect()}   # one per API field
+    return T.StructType([f for f in schema.fields if f.name in names]) if names else None
+
+
 def run_source(spark: SparkSession, source: str, landed: DataFrame, work: DataFrame, target_root: str,
                run_start: str, run_mode: str = "Wijzigingen", payload: str = "odata",
-               in_place: bool = False) -> RunResult:
+               in_place: bool = True, resource: str | None = None, path: list[str] | None = None) -> RunResult:
     """Synchronise every table of ``work`` (one job per table) and report outcomes.
 
     ``landed`` holds the run's pages ``(source, tenant, table, page_no, body,
     next_token)``; ``work`` the planned items ``(tenant, table_name,
     watermark, reporting_year)``; ``run_start`` is the new watermark.
-    ``in_place`` keeps tenant-partitioned tables in place and rewrites only
-    the touched tenants (``table_sync.sync_tenant_partitions``) instead of
-    publishing a new version of the whole table.
+    Tables with a tenant column are kept in tenant partitions, of which a run reads and
+    rewrites only the touched ones; ``in_place=False`` publishes a new version of the
+    whole table instead.
+
+    A tenant whose pages cannot all be read, or whose page chain stops short, is left
+    as it is: its pages are not used, nothing of it is deleted, the table's outcome is
+    not ok and the watermark stays.
     """
     plans = plan_items(work, source, run_mode, run_start)
     tables = [r["table_name"] for r in plans.select("table_name").distinct().collect()]  # <= catalogue size
     result = RunResult()
     for table in sorted(tables):
-        cfg = write_config(source, table)
         try:
-            plan_t = (plans.filter(F.col("table_name") == table)
-                      .select(F.col("tenant").cast("long").alias("tenant"), "delete_rule", "write_rule",
-                              "year", "window_start"))
-            pages = landed.filter((F.col("source") == source) & (F.col("table") == table))
-            rows = read_records(pages, row_schema_for(source, table), payload, keep=["tenant"])
-            tenant = F.col("tenant").cast("long")
-            conformed = conform_records(rows, source, table, tenant=tenant)
-            base = f"{target_root}/{source}/{table}"
-            year_col, date_col = WINDOW_COLUMNS.get((source, table), (None, None))
-            tenant_col = delete_tenant_column(source, table)
-            if in_place and tenant_col:
-                touched = sync_tenant_partitions(spark, base, conformed, plan_t, list(cfg.keys), tenant_col,
-                                                 target_schema(source, table), year_col=year_col, date_col=date_col)
-                result.outcomes.append({"table": table, "ok": True, "path": base, "tenants": len(touched)})
-                continue
-            current = publish.read_current(spark, base, target_schema(source, table))
-            if current is None:
-                current = spark.createDataFrame([], target_schema(source, table))
-            if tenant_col:
-                new = sync_tenants(current, conformed, plan_t, list(cfg.keys), tenant_col,
-                                   year_col=year_col, date_col=date_col, key_tenant_col=cfg.tenant_column)
-            else:
-                # A table without a tenant column has table-level rules (one plan row is enough).
-                r = plan_t.first()
-                new = apply_step(current, conformed, Step(source, table, r["delete_rule"], r["write_rule"],
-                                                          year=r["year"], window_start=r["window_start"],
-                                                          year_column=year_col, date_column=date_col))
-            path, counts = publish.publish_with_counts(spark, new, base)
-            result.outcomes.append({"table": table, "ok": True, "path": path, "rows": counts.get("rows")})
+            result.outcomes.append(_run_table(spark, source, table, landed, plans, target_root, payload, in_place, resource, path))
         except Exception as e:  # noqa: BLE001 - a failed table is reported and blocks the watermark
-            result.outcomes.append({"table": table, "ok": False, "error": str(e)[:500]})
+            result.outcomes.append({"table": table, "ok": False, "error": str(e)})
     result.watermark = run_start.replace(" ", "T")[:19] if result.ok and run_mode != "Volledig" else None
     return result
 
 
-def log_entries(result: RunResult, klant: str, run_id: int, script: str, at) -> list[dict]:
-    """One run-log row per table outcome (written with one append per run)."""
-    return [{"KlantNaam": klant, "Tabel": o["table"], "DatumTijd": at, "ScriptID": run_id,
+def _run_table(spark: SparkSession, source: str, table: str, landed: DataFrame, plans: DataFrame, target_root: str,
+               payload: str, in_place: bool, resource: str | None, path: list[str] | None) -> dict:
+    cfg = write_config(source, table)
+    base = f"{target_root}/{source}/{table}"
+    plan_t = (plans.filter(F.col("table_name") == table)
+              .select(F.col("tenant").cast("long").alias("tenant"), "delete_rule", "write_rule", "year", "window_start"))
+    pages = landed.filter((F.col("source") == source) & (F.col("table") == table))
+    quality = page_quality(pages, ["tenant"], payload)
+    q = quality.agg(F.count_if(~F.col("usable")).alias("bad"), F.sum("n_unreadable").alias("unreadable")).first()
+    out = {"table": table, "ok": not q["bad"], "path": base, "rows": 0, "bad_values": 0}
+    if q["bad"]:
+        out["error"] = f"{q['bad']} tenants with unreadable or missing pages ({q['unreadable']} unreadable)"
+        pages = pages.join(quality.filter("usable").select("tenant"), "tenant", "left_semi")
+    schema = row_schema_for(source, table)
+    if payload in JSON_PAYLOADS:
+        schema = _present_fields(pages, schema, payload, resource)
+        if schema is None:
+            return out                                       # nothing arrived: nothing changes
+    rows = read_records(pages, schema, payload, keep=["tenant"], resource=resource, path=path)
+    first = plan_t.agg(F.max("year").alias("year")).first()
+    staged = publish.stage(spark, mapped_records(rows, source, table, tenant=F.col("tenant").cast("long"), year=first["year"]),
+                           f"{base}/_staging")
+    try:
+        bad = audit_values(staged, target_types(source, table), POLICIES[source]).agg(F.sum("n")).first()[0]
+        out["bad_values"] = int(bad or 0)
+        new_rows = typed_records(staged, source, table)
+        out["rows"] = _apply(spark, source, table, cfg, base, new_rows, plan_t, in_place)
+    finally:
+        publish.unstage(spark, staged)
+    return out
+
+
+def _apply(spark: SparkSession, source: str, table: str, cfg, base: str, new_rows: DataFrame, plan_t: DataFrame, in_place: bool):
+    year_col, date_col = WINDOW_COLUMNS.get((source, table), (None, None))
+    tenant_col = delete_tenant_column(source, table)
+    rules_used = {r["write_rule"] for r in plan_t.select("write_rule").distinct().collect()}   # a handful of names
+    per_tenant = tenant_col and rules_used <= set(TENANT_WRITE_RULES)
+    if per_tenant and in_place:
+        return sync_tenant_partitions(spark, base, new_rows, plan_t, list(cfg.keys), tenant_col, target_schema(source, table),
+                                      year_col=year_col, date_col=date_col, key_tenant_col=cfg.tenant_column).get("rows")
+    current = publish.read_current(spark, base)
+    if current is None:
+        current = spark.createDataFrame([], stored_schema(source, table))
+    if per_tenant:
+        new = sync_tenants(current, new_rows, plan_t, list(cfg.keys), tenant_col,
+                           year_col=year_col, date_col=date_col, key_tenant_col=cfg.tenant_column)
+    else:
+        # table-level rules: every plan row of the table must agree
+        steps = plan_t.select("delete_rule", "write_rule", "year", "window_start").distinct().collect()
+        if len(steps) != 1:
+            raise ValueError(f"{table}: {len(steps)} different rules for one table")
+        if new_rows.isEmpty():
+            return 0
+        r = steps[0]
+        new = apply_step(current, new_rows, Step(source, table, r["delete_rule"], r["write_rule"], year=r["year"],
+                                                 window_start=r["window_start"], year_column=year_col, date_column=date_col))
+    _, counts = publish.publish_with_counts(spark, new, base)
+    return counts.get("rows")
+
+
+def finish_run(spark: SparkSession, result: RunResult, entries: list[dict], log_path: str, config: DataFrame, key: list[str],
+               run_start: str, run_mode: str, config_path: str) -> None:
+    """Append the run's log rows once, and write the next state of the control rows: a customer's watermark
+    and reporting year move only when every table of the run succeeded."""
+    runs.append_log(runs.log_rows(spark, entries), log_path)
+    marked = config.withColumn("_ok", F.lit(result.ok))
+    moved = runs.advance_watermark(marked, key, "_ok", run_start, run_mode, "watermark")
+    year = F.when(F.col("advanced"), runs.reporting_year(run_start)).otherwise(F.col("reporting_year"))
+    (config.drop("watermark").join(moved.select(*key, F.col("new_watermark").alias("watermark"), "advanced"), key)
+     .withColumn("reporting_year", year).drop("advanced").write.mode("overwrite").parquet(config_path))
+
+
+def log_entries(result: RunResult, klant: str, run_id: int, script: str, at, klant_id: int | None = None,
+                administration: tuple[int, str] | None = None, application: str | None = None) -> list[dict]:
+    """One run-log row per table outcome (written with one append per run), with the customer, the
+    administration and the application the run was for."""
+    adm_id, adm_name = administration or (None, None)
+    return [{"KlantID": klant_id, "KlantNaam": klant, "AdministratieID": adm_id, "AdministratieNaam": adm_name,
+             "ApplicatieNaam": application, "Tabel": o["table"], "DatumTijd": at, "ScriptID": run_id,
              "ScriptType": script, "TypeActie": "INFO" if o["ok"] else "ERROR",
              "Actie": f"{o['table']} - {'synchronised' if o['ok'] else o['error']}"}
             for o in result.outcomes]

@@ -105,7 +105,7 @@ def work_list(klanten: DataFrame, tenants: DataFrame, table_status: DataFrame,
     not 0; ``table_status(table_name, status)``: tables with status 0 are off,
     tables absent from it are off too (matched by name).  The catalogue is a
     literal array exploded per tenant; ``table_status`` is a control table of
-    one row per catalogue table, so its broadcast has a fixed bound.
+    one row per catalogue table; the planner broadcasts it by its size.
     """
     k = klanten.filter((F.col("klant_type") == 1) &
                        (F.col("application") == F.lit(application or source)))
@@ -114,7 +114,7 @@ def work_list(klanten: DataFrame, tenants: DataFrame, table_status: DataFrame,
              .select("*", F.explode(catalogue_array(source, mode)).alias("_w"))
              .select("*", "_w.*").drop("_w"))
     on = table_status.filter(F.col("status").isNotNull() & (F.col("status") != 0)).select("table_name")
-    return items.join(F.broadcast(on), "table_name", "left_semi")
+    return items.join(on, "table_name", "left_semi")
 
 
 # ------------------------------------------------------------------- E7

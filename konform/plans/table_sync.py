@@ -37,25 +37,36 @@ class Step:
 
 
 def read_records(pages: DataFrame, row_schema, payload: str = "odata", keep=("tenant",),
-                 resource: str | None = None) -> DataFrame:
-    """A1/A3/A4: records of the landed pages in one of the JSON envelope forms."""
+                 resource: str | None = None, path: list[str] | None = None) -> DataFrame:
+    """Records of the landed pages in one of the envelope forms.
+
+    XML forms take the field names of ``row_schema``; ``elements`` also the path of the
+    repeated element below the document root."""
     keep = list(keep)
+    fields = None if row_schema is None else [f.name for f in payloads._schema(row_schema).fields]
     if payload == "odata":
         return payloads.odata_rows(pages, row_schema, keep)
     if payload == "rows":
         return payloads.envelope_rows(pages, row_schema, keep)
     if payload == "keyed":
         return payloads.keyed_rows(pages, row_schema, resource, keep)
+    if payload == "atom":
+        return payloads.atom_rows(pages, fields, keep)
+    if payload == "extra":
+        return payloads.extra_field_rows(pages, keep)
+    if payload == "wage":
+        return payloads.wage_report_rows(pages, keep)
+    if payload == "elements":
+        return payloads.element_rows(pages, path, fields, keep)
     raise ValueError(f"unknown payload form {payload}")
 
 
-def conform_records(rows: DataFrame, source: str, table: str,
-                    tenant: Column | object | None = None) -> DataFrame:
-    """D7 -> B1/B3/B7 -> C: flat, mapped, typed rows in the target's column order."""
+def mapped_records(rows: DataFrame, source: str, table: str,
+                   tenant: Column | object | None = None, year: int | None = None) -> DataFrame:
+    """D7 -> B1/B3/B7: flat rows under the target's column names, not yet typed."""
     rows = mapping.drop_technical(rows)
     rows = flatten.flatten_for_table(rows, table, keep=[c for c in ("tenant",) if c in rows.columns])
-    types = target_types(source, table)
-    if types is None:
+    if target_types(source, table) is None:
         raise ValueError(f"no target schema for {source}.{table}")
     if source == "accounting":
         m = column_mapping(source, table)
@@ -66,13 +77,26 @@ def conform_records(rows: DataFrame, source: str, table: str,
                                    if "Division" in rows.columns else t)
         rows = mapping.map_keep(rows, m)
     elif source == "payroll":
+        if year is not None and "Jaar" in [t for _, t in column_mapping(source, table)]:
+            rows = mapping.add_constant(rows, "Jaar", year, "int")       # B7: the report's year
         rows = mapping.map_select(rows, column_mapping(source, table))
     elif source == "erp":
         if tenant is None:
             raise ValueError("ERP rows need the environment id")
         rows = rows.withColumn("OmgevingID", tenant if isinstance(tenant, Column) else F.lit(tenant))
-    typed = coerce_table(rows, types, POLICIES[source], keep_extra=False)
-    return mapping.conform(typed, types)
+    return rows
+
+
+def typed_records(rows: DataFrame, source: str, table: str) -> DataFrame:
+    """C: mapped rows, typed, in the target's column order."""
+    types = target_types(source, table)
+    return mapping.conform(coerce_table(rows, types, POLICIES[source], keep_extra=False), types)
+
+
+def conform_records(rows: DataFrame, source: str, table: str,
+                    tenant: Column | object | None = None, year: int | None = None) -> DataFrame:
+    """D7 -> B1/B3/B7 -> C: flat, mapped, typed rows in the target's column order."""
+    return typed_records(mapped_records(rows, source, table, tenant, year), source, table)
 
 
 def _delete_predicate(step: Step, tenant_col: str | None) -> Column | None:
@@ -128,16 +152,25 @@ def apply_step(target: DataFrame, rows: DataFrame, step: Step) -> DataFrame:
 
 
 # ------------------------------------------------------------ all tenants at once
-PLAN_BROADCAST_MAX_ROWS = 100_000
-
-
-def _plan_side(plan: DataFrame, tenant_col: str) -> DataFrame:
-    """The per-tenant plan, broadcast only when its row count (one row per
-    tenant, control data) is checked to be small; otherwise a shuffle join."""
-    p = plan.select(F.col("tenant").alias(tenant_col), F.col("delete_rule").alias("_dr"),
-                    F.col("write_rule").alias("_wr"), F.col("year").alias("_yr"),
-                    F.col("window_start").cast("timestamp_ntz").alias("_ws"))
-    return F.broadcast(p) if plan.count() <= PLAN_BROADCAST_MAX_ROWS else p
+DELETE_RULES = ("none", "all", "tenant", "year_window", "date_window", "company_year")
+#: write rules that are applied per tenant; the others concern a whole table (``apply_step``)
+TENANT_WRITE_RULES = ("none", "append", "upsert", "upsert_tenant")
+
+
+def checked_plan(plan: DataFrame, tenant_col: str, has_keys: bool) -> DataFrame:
+    """The plan, one row per tenant; a second row for a tenant, an unknown rule, or an upsert
+    of a table without keys fails the job."""
+    one = plan.groupBy("tenant").agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(
+        "delete_rule", "write_rule", "year", F.col("window_start").cast("timestamp_ntz").alias("window_start"))).alias("_r"))
+    dr, wr = F.col("_r.delete_rule"), F.col("_r.write_rule")
+    fail = lambda text: F.raise_error(F.concat(F.lit(text), F.coalesce(F.col("tenant").cast("string"), F.lit("null")))).cast("string")
+    rule = (F.when(F.col("_n") > 1, fail("more than one plan row for tenant "))
+            .when(~F.coalesce(dr.isin(*DELETE_RULES), F.lit(False)), fail("unknown delete rule for tenant "))
+            .when(~F.coalesce(wr.isin(*TENANT_WRITE_RULES), F.lit(False)), fail("unknown write rule for tenant ")))
+    if not has_keys:
+        rule = rule.when(wr.isin("upsert", "upsert_tenant"), fail("upsert without keys for tenant "))
+    return one.select(F.col("tenant").alias(tenant_col), dr.alias("_dr"), rule.otherwise(wr).alias("_wr"),
+                      F.col("_r.year").alias("_yr"), F.col("_r.window_start").alias("_ws"))
 
 
 def sync_tenants(target: DataFrame, source: DataFrame, plan: DataFrame, keys: list[str], tenant_col: str,
@@ -146,63 +179,58 @@ def sync_tenants(target: DataFrame, source: DataFrame, plan: DataFrame, keys: li
     """W2-W10 + W16 for every tenant of one table in a single job.
 
     ``plan(tenant, delete_rule, write_rule, year, window_start)`` holds one row
-    per tenant (from ``rules.choose_rule``).  Target rows are deleted by their
-    tenant's rule (``tenant`` / ``all`` / ``year_window`` / ``date_window`` /
-    ``company_year``; tenants without a plan row keep everything).  Source rows
-    of ``upsert``/``upsert_tenant`` tenants replace target rows with equal keys
-    (plus ``key_tenant_col``, default the tenant column; W10); rows of other
-    tenants are appended.  Both cases go through one full outer join:
-    appended rows carry a join marker that never matches.
+    per tenant (from ``rules.choose_rule``).  Only planned tenants with at least one source
+    row change: their target rows are deleted by the delete rule (``tenant`` / ``all`` /
+    ``year_window`` / ``date_window`` / ``company_year``), then the write rule applies -
+    ``append`` adds the source rows, ``upsert`` / ``upsert_tenant`` replace target rows with
+    equal keys (plus ``key_tenant_col``, default the tenant column; W10), ``none`` writes
+    nothing.  Nothing is deleted where nothing arrived, and rows of unplanned tenants
+    are not written.
+
+    The target is read once: an anti-join on the upserted keys (none for a table without
+    keys), then a union with the source rows.  The source is read more than once,
+    so stage it where it is expensive.  Duplicate complete keys of upserted rows
+    fail the job.
     """
-    p = _plan_side(plan, tenant_col)
+    cols = [F.col(f"`{c}`") for c in target.columns]
+    p = checked_plan(plan, tenant_col, bool(keys))
+    src = source.select(*cols).join(p, tenant_col)                       # planned tenants only
+    active = src.select(tenant_col).distinct()
     dr = F.col("_dr")
-    yc = F.col(year_col) if year_col else F.lit(None)
-    dc = F.col(date_col) if date_col else F.lit(None)
+    yc = F.col(f"`{year_col}`") if year_col else F.lit(None)
+    dc = F.col(f"`{date_col}`") if date_col else F.lit(None)
     delete = F.coalesce(
         F.when(dr.isin("tenant", "all"), F.lit(True))
         .when(dr == "year_window", yc >= F.col("_yr"))
         .when(dr == "date_window", dc >= F.col("_ws"))
         .when(dr == "company_year", yc == F.col("_yr")), F.lit(False))
-    kept = (target.join(p, tenant_col, "left").filter(~delete)
-            .select(*[F.col(f"`{c}`") for c in target.columns], F.lit("u").alias("_m")))
-    upserting = F.coalesce(F.col("_wr"), F.lit("append")).isin("upsert", "upsert_tenant")
-    src = (source.select(*[F.col(f"`{c}`") for c in target.columns]).join(p, tenant_col, "left")
-           .select(*[F.col(f"`{c}`") for c in target.columns],
-                   F.when(upserting, F.lit("u")).otherwise(F.lit("a")).alias("_m")))
-    all_keys = write.upsert_keys(keys, key_tenant_col or tenant_col) + ["_m"]
-    merged = write.upsert(kept, src, all_keys)
-    return merged.drop("_m")
+    kept = target.join(p.join(active, tenant_col, "left_semi"), tenant_col, "left").filter(~delete).select(*cols)
+    written = src.filter(F.col("_wr") != "none").select(*cols, "_wr")
+    if not keys:
+        return kept.unionByName(written.drop("_wr"))
+    all_keys = write.upsert_keys(keys, key_tenant_col or tenant_col)
+    replaced = write.unique_keys(written.filter(F.col("_wr") != "append").select(*[F.col(f"`{k}`") for k in all_keys]), all_keys)
+    return kept.join(replaced, all_keys, "left_anti").select(*cols).unionByName(written.drop("_wr"))
 
 
 def sync_tenant_partitions(spark, table_path: str, source: DataFrame, plan: DataFrame, keys: list[str],
                            tenant_col: str, target_schema, year_col: str | None = None,
-                           date_col: str | None = None) -> list:
-    """``sync_tenants`` applied in place to a table partitioned by tenant: only
-    the partitions of touched tenants (planned or present in the source) are
-    read (an IN filter on the partition column, pruned when planning) and
-    rewritten; all other tenants' files are never read or written.
-    Returns the touched tenants."""
+                           date_col: str | None = None, key_tenant_col: str | None = None) -> dict:
+    """``sync_tenants`` for a table kept in tenant partitions: only the partitions of touched
+    tenants (planned, with source rows) are read and rewritten.
+
+    The touched tenants reach the scan as a semi-join on the partition column, which the planner
+    turns into dynamic partition pruning.  ``publish.commit_tenants`` then makes the
+    new slices visible at once.  Returns the counts of the write."""
     from . import publish as pub
 
-    src = pub.stage(spark, source, "source")
+    src = pub.stage(spark, source, f"{table_path}/_staging")
     ttype = dict((f.name, f.dataType) for f in target_schema.fields)[tenant_col]
-    touched_df = (src.select(F.col(tenant_col))
-                  .union(plan.select(F.col("tenant").cast(ttype).alias(tenant_col))).distinct())
-    touched = [r[0] for r in touched_df.collect()]          # one value per tenant (control-sized)
-    fs, base, _ = pub._fs(spark, table_path)
-    if fs.exists(base):
-        target = spark.read.schema(target_schema).parquet(table_path)
-        if len(touched) <= PLAN_BROADCAST_MAX_ROWS:
-            # a literal IN list on the partition column: partitions pruned at planning time
-            target = target.filter(F.col(tenant_col).isin(touched) |
-                                   (F.col(tenant_col).isNull() if None in touched else F.lit(False)))
-        else:
-            target = target.join(touched_df, tenant_col, "left_semi")
-        target = target.select(*[F.col(f"`{c}`") for c in target_schema.names])
-    else:
-        target = spark.createDataFrame([], target_schema)
-    new = sync_tenants(target, src, plan, keys, tenant_col, year_col=year_col, date_col=date_col)
-    staged = pub.stage(spark, new, "slice")
-    pub.overwrite_tenants(spark, staged.select(*[F.col(f"`{c}`") for c in target_schema.names]),
-                          table_path, tenant_col, touched)
-    return touched
+    planned = plan.select(F.col("tenant").cast(ttype).alias(tenant_col))
+    touched = src.groupBy(tenant_col).count().filter("count > 0").join(planned, tenant_col, "left_semi").select(tenant_col)
+    target = pub.read_tenants(spark, table_path, target_schema, tenant_col)
+    target = target.join(touched, tenant_col, "left_semi").select(*[F.col(f"`{c}`") for c in target_schema.names])
+    new = sync_tenants(target, src, plan, keys, tenant_col, year_col=year_col, date_col=date_col, key_tenant_col=key_tenant_col)
+    counts = pub.commit_tenants(spark, new, touched, table_path, tenant_col)
+    pub.unstage(spark, src)
+    return counts

@@ -2,13 +2,10 @@
 and extraction catalogues.
 
 Everything between the ``FIXED VALUES`` markers is data that must equal the
-source system's contract (table names, column names, type codes, write
-modes, key lists).  It is stated as plain text in natural order and parsed
-once into Python structures below.  Type codes:
-
-    i  int (bigint)       u8 tinyint (0-255)    d  decimal
-    b  bit (boolean)      s  nvarchar (string)  g  uniqueidentifier
-    dt date               ts datetime (timestamp without zone)
+source system's contract (table names, column names, types, write modes, key
+lists).  It is stated as plain text in natural order and parsed once into
+Python structures below.  ``int`` columns are stored as bigint, ``tinyint``
+holds 0-255, ``datetime`` has no time zone.
 """
 
 from __future__ import annotations
@@ -17,54 +14,54 @@ from dataclasses import dataclass, field
 
 # ---------------------------------------------------------------- FIXED VALUES
 ACCOUNTING_TARGETS = """
-CrediteurenOpenstaand: ID:i AdministratieCode:i RelatieID:s Valuta:s Bedrag:d Omschrijving:s BoekstukNummer:s FactuurNummer:s Referentie:s FactuurDatum:dt VervalDatum:dt
-DebiteurenOpenstaand: ID:i AdministratieCode:i RelatieID:s Valuta:s Bedrag:d Omschrijving:s BoekstukNummer:s FactuurNummer:s Referentie:s FactuurDatum:dt VervalDatum:dt
-GrootboekRubriek: ID:g AdministratieCode:i RubriekCode:s Naam:s ParentID:s GrootboekSchema:s
-Grootboekrekening: ID:g AdministratieCode:i Grootboekrekeningen:s Grootboek:s BalansType:s DebetCredit:s GrootboekIndelingID:s GrootboekIndeling:s KostenplaatsID:s Kostenplaats:s KostenDragerID:s KostenDrager:s
-Relaties: ID:g AdministratieCode:i RelatieCode:s KlantSinds:dt KlantNaam:s Adres:s Postcode:s Plaats:s Provincie:s Land:s Relatiebeheerder:s BusinessType:s BusinessSector:s BusinessSubSector:s RelatieGroep:s RelatieGroepID1:s RelatieGroepID2:s RelatieGroepID3:s RelatieGroepID4:s RelatieGroepID5:s RelatieGroepID6:s RelatieGroepID7:s RelatieGroepID8:s RelatieGroepOmschrijving:s Parent:s IsSupplier:b IsPurchase:b Status:s
-RelatieKeten: ID:g AdministratieCode:i ClassificatieNaam:s Code:s Omschrijving:s
-Budget: ID:g AdministratieCode:i BudgetScenario:s GrootboekID:s Kostenplaats:s Kostendrager:s Artikel:s Boekjaar:i Boekperiode:i Bedrag:d
-GrootboekMapping: ID:g AdministratieCode:i GrootboekRubriekID:s GrootboekID:s GrootboekMappingSchema:s
-ReportingBalance: ID:i AdministratieCode:i GrootboekID:s ReportingPeriod:i ReportingYear:i AantalMutaties:i KostenPlaats:s KostenDrager:s BalansType:s Bedrag:d BedragCredit:d BedragDebit:d
-GrootboekMutaties: ID:g AdministratieCode:i GrootboekID:s RelatieID:s Datum:dt Boekjaar:i BoekPeriode:i Omschrijving:s BoekstukNummer:s FactuurNummer:s OrderNummer:s Referentie:s Valuta:s Bedrag:d BTWBedrag:d BTWPercentage:d Type:i KostenplaatsID:s Kostenplaats:s KostenDragerID:s KostenDrager:s DocumentID:g
-Voorraad: ID:g HuidigeVoorraad:d AdministratieCode:i ArtikelID:s ArtikelEindDatum:dt ArtikelStartDatum:dt ArtikelEenheid:s ArtikelEenheidOmschrijving:s MaximaleVoorraad:d GeplandeInkomendeVoorraad:d GeplandeUitgaandeVoorraad:d VerwachteVoorraad:d GereserveerdeVoorraad:d Veiligheidsvoorraad:d MagazijnID:s MagazijnCode:s MagazijnOmschrijving:s
-Artikelen: ID:g StandaardVerkoopprijs:d Categorie1:s Categorie2:s Categorie3:s Categorie4:s Categorie5:s Categorie6:s Categorie7:s Categorie8:s Categorie9:s Categorie10:s Artikelcode:s Valuta:s NieuweKostprijs:d StandaardKostprijs:d GemiddeldeKostprijs:d AangemaaktOp:dt Artikelomschrijving:s AdministratieCode:i Einddatum:dt ExtraOmschrijving:s VrijBooleanVeld1:b VrijBooleanVeld2:b VrijBooleanVeld3:b VrijBooleanVeld4:b VrijBooleanVeld5:b VrijDatumVeld1:dt VrijDatumVeld2:dt VrijDatumVeld3:dt VrijDatumVeld4:dt VrijDatumVeld5:dt VrijNummerVeld1:d VrijNummerVeld2:d VrijNummerVeld3:d VrijNummerVeld4:d VrijNummerVeld5:d VrijNummerVeld6:d VrijNummerVeld7:d VrijNummerVeld8:d VrijTekstVeld1:s VrijTekstVeld2:s VrijTekstVeld3:s VrijTekstVeld4:s VrijTekstVeld5:s VrijTekstVeld6:s VrijTekstVeld7:s VrijTekstVeld8:s VrijTekstVeld9:s VrijTekstVeld10:s Artikelgroep:s IsMaakartikel:u8 IsNieuwContract:u8 IsOpAanvraagArtikel:u8 IsVerpakkingArtikel:b IsInkoopArtikel:b IsVerkoopArtikel:b IsSerieArtikel:b IsVoorraadArtikel:b IsOnderaannemerArtikel:b IsBelastingArtikel:u8 IsTijdArtikel:u8 IsWebshopArtikel:u8 BrutoGewicht:d NettoGewicht:d NettoGewichtEenheid:s Notities:s BTWcode:s BTWcodeBeschrijving:s Beveiligingsniveau:i Startdatum:dt GoederenCode:s Eenheid:s EenheidBeschrijving:s EenheidType:s
-ArtikelenExtraVelden: ArtikelID:s GewijzigdOp:dt Nummer:i Omschrijving:s Waarde:s AdministratieCode:i
-ArtikelGroepen: ID:g Code:s Omschrijving:s AdministratieCode:i
-Verkoopfacturen: F_Valuta:s F_VersturenNaarID:s F_Omschrijving:s F_AdministratieCode:i F_Factuurdatum:dt F_FactuurID:s F_Factuurnummer:i F_FactuurNaarID:s F_Orderdatum:dt F_BesteldDoorID:s F_BetaalconditieBeschrijving:s F_Opmerkingen:s F_VerzendmethodeBeschrijving:s F_StatusBeschrijving:s F_UwReferentie:s F_StartVerkoopfactuurStatus:s FR_Bedrag:d FR_Kostenplaats:s FR_Kostendrager:s FR_Leverdatum:dt FR_Omschrijving:s FR_Korting:d FR_WerknemerNaam:s FR_GrootboekrekeningID:s FR_FactuurregelID:g FR_ArtikelID:s FR_Regelnummer:i FR_Aantal:d FR_VerkooporderID:s FR_VerkooporderRegelID:s FR_EenheidBeschrijving:s FR_Eenheidsprijs:d FR_BTWBedrag:d FR_BTWPercentage:d
-VerkoopOrders: O_ApprovalStatusBeschrijving:s O_Goedgekeurd:dt O_GoedgekeurdDoorNaam:s O_Aangemaakt:dt O_AangemaaktDoorNaam:s O_Valuta:s O_VersturenNaarID:s O_Omschrijving:s O_AdministratieCode:i O_FactuurStatusBeschrijving:s O_FactuurNaarID:s O_Orderdatum:dt O_BesteldDoorNaam:s O_OrderID:s O_Ordernummer:i O_Opmerkingen:s O_VerzendmethodeBeschrijving:s O_StatusBeschrijving:s O_UwReferentie:s OR_Bedrag:d OR_Kostenplaats:s OR_Kostprijs:d OR_Kostendrager:s OR_Leverdatum:dt OR_Omschrijving:s OR_Korting:d OR_OrderRegelID:g OR_ArtikelID:s OR_Regelnummer:i OR_Aantal:d OR_BTWBedrag:d OR_BTWPercentage:d
-Verkoopkansen: VerkoopkansID:g AccountID:s Actiedatum:dt Bedrag:d Sluitingsdatum:dt Aangemaakt:dt AangemaaktDoorNaam:s Valuta:s AdministratieCode:i Naam:s FaseBeschrijving:s Status:i Kans:d EigenaarNaam:s VerkooptypeBeschrijving:s RedenBeschrijving:s CampagneBeschrijving:s LeadBronBeschrijving:s ContactpersoonNaam:s
-Offertes: O_AdministratieCode:i O_OfferteID:s O_Offertenummer:i O_Versie:i OR_OfferteRegelID:g O_Medewerker:s O_Valuta:s O_Omschrijving:s O_Status:s O_RelatieID:s O_VerkoopKansID:s O_OfferteDatum:dt O_VervalDatum:dt O_EindDatum:dt O_AfleverDatum:dt O_Opmerkingen:s O_UwReferentie:s OR_Bedrag:d OR_Kostenplaats:s OR_Kostendrager:s OR_Omschrijving:s OR_Korting:d OR_ArtikelID:s OR_Regelnummer:i OR_Aantal:d OR_Eenheid:s OR_PrijsPerEenheid:d OR_BTWBedrag:d OR_BTWPercentage:d
-Divisions: Division:i Entiteit:s CustomerCode:i CustomerName:s State:s City:s HID:s CompanySizeDescription:s
-Documenten: ID:g AdministratieCode:i Categorie_omschrijving:s Documentdatum:dt Document_URL:s GrootboekmutatieID:g Is_leeg:b Gewijzigd_op:dt Factuur_nummer:i Document_type:i
+CrediteurenOpenstaand: ID:int AdministratieCode:int RelatieID:nvarchar Valuta:nvarchar Bedrag:decimal Omschrijving:nvarchar BoekstukNummer:nvarchar FactuurNummer:nvarchar Referentie:nvarchar FactuurDatum:date VervalDatum:date
+DebiteurenOpenstaand: ID:int AdministratieCode:int RelatieID:nvarchar Valuta:nvarchar Bedrag:decimal Omschrijving:nvarchar BoekstukNummer:nvarchar FactuurNummer:nvarchar Referentie:nvarchar FactuurDatum:date VervalDatum:date
+GrootboekRubriek: ID:uniqueidentifier AdministratieCode:int RubriekCode:nvarchar Naam:nvarchar ParentID:nvarchar GrootboekSchema:nvarchar
+Grootboekrekening: ID:uniqueidentifier AdministratieCode:int Grootboekrekeningen:nvarchar Grootboek:nvarchar BalansType:nvarchar DebetCredit:nvarchar GrootboekIndelingID:nvarchar GrootboekIndeling:nvarchar KostenplaatsID:nvarchar Kostenplaats:nvarchar KostenDragerID:nvarchar KostenDrager:nvarchar
+Relaties: ID:uniqueidentifier AdministratieCode:int RelatieCode:nvarchar KlantSinds:date KlantNaam:nvarchar Adres:nvarchar Postcode:nvarchar Plaats:nvarchar Provincie:nvarchar Land:nvarchar Relatiebeheerder:nvarchar BusinessType:nvarchar BusinessSector:nvarchar BusinessSubSector:nvarchar RelatieGroep:nvarchar RelatieGroepID1:nvarchar RelatieGroepID2:nvarchar RelatieGroepID3:nvarchar RelatieGroepID4:nvarchar RelatieGroepID5:nvarchar RelatieGroepID6:nvarchar RelatieGroepID7:nvarchar RelatieGroepID8:nvarchar RelatieGroepOmschrijving:nvarchar Parent:nvarchar IsSupplier:bit IsPurchase:bit Status:nvarchar
+RelatieKeten: ID:uniqueidentifier AdministratieCode:int ClassificatieNaam:nvarchar Code:nvarchar Omschrijving:nvarchar
+Budget: ID:uniqueidentifier AdministratieCode:int BudgetScenario:nvarchar GrootboekID:nvarchar Kostenplaats:nvarchar Kostendrager:nvarchar Artikel:nvarchar Boekjaar:int Boekperiode:int Bedrag:decimal
+GrootboekMapping: ID:uniqueidentifier AdministratieCode:int GrootboekRubriekID:nvarchar GrootboekID:nvarchar GrootboekMappingSchema:nvarchar
+ReportingBalance: ID:int AdministratieCode:int GrootboekID:nvarchar ReportingPeriod:int ReportingYear:int AantalMutaties:int KostenPlaats:nvarchar KostenDrager:nvarchar BalansType:nvarchar Bedrag:decimal BedragCredit:decimal BedragDebit:decimal
+GrootboekMutaties: ID:uniqueidentifier AdministratieCode:int GrootboekID:nvarchar RelatieID:nvarchar Datum:date Boekjaar:int BoekPeriode:int Omschrijving:nvarchar BoekstukNummer:nvarchar FactuurNummer:nvarchar OrderNummer:nvarchar Referentie:nvarchar Valuta:nvarchar Bedrag:decimal BTWBedrag:decimal BTWPercentage:decimal Type:int KostenplaatsID:nvarchar Kostenplaats:nvarchar KostenDragerID:nvarchar KostenDrager:nvarchar DocumentID:uniqueidentifier
+Voorraad: ID:uniqueidentifier HuidigeVoorraad:decimal AdministratieCode:int ArtikelID:nvarchar ArtikelEindDatum:date ArtikelStartDatum:date ArtikelEenheid:nvarchar ArtikelEenheidOmschrijving:nvarchar MaximaleVoorraad:decimal GeplandeInkomendeVoorraad:decimal GeplandeUitgaandeVoorraad:decimal VerwachteVoorraad:decimal GereserveerdeVoorraad:decimal Veiligheidsvoorraad:decimal MagazijnID:nvarchar MagazijnCode:nvarchar MagazijnOmschrijving:nvarchar
+Artikelen: ID:uniqueidentifier StandaardVerkoopprijs:decimal Categorie1:nvarchar Categorie2:nvarchar Categorie3:nvarchar Categorie4:nvarchar Categorie5:nvarchar Categorie6:nvarchar Categorie7:nvarchar Categorie8:nvarchar Categorie9:nvarchar Categorie10:nvarchar Artikelcode:nvarchar Valuta:nvarchar NieuweKostprijs:decimal StandaardKostprijs:decimal GemiddeldeKostprijs:decimal AangemaaktOp:date Artikelomschrijving:nvarchar AdministratieCode:int Einddatum:date ExtraOmschrijving:nvarchar VrijBooleanVeld1:bit VrijBooleanVeld2:bit VrijBooleanVeld3:bit VrijBooleanVeld4:bit VrijBooleanVeld5:bit VrijDatumVeld1:date VrijDatumVeld2:date VrijDatumVeld3:date VrijDatumVeld4:date VrijDatumVeld5:date VrijNummerVeld1:decimal VrijNummerVeld2:decimal VrijNummerVeld3:decimal VrijNummerVeld4:decimal VrijNummerVeld5:decimal VrijNummerVeld6:decimal VrijNummerVeld7:decimal VrijNummerVeld8:decimal VrijTekstVeld1:nvarchar VrijTekstVeld2:nvarchar VrijTekstVeld3:nvarchar VrijTekstVeld4:nvarchar VrijTekstVeld5:nvarchar VrijTekstVeld6:nvarchar VrijTekstVeld7:nvarchar VrijTekstVeld8:nvarchar VrijTekstVeld9:nvarchar VrijTekstVeld10:nvarchar Artikelgroep:nvarchar IsMaakartikel:tinyint IsNieuwContract:tinyint IsOpAanvraagArtikel:tinyint IsVerpakkingArtikel:bit IsInkoopArtikel:bit IsVerkoopArtikel:bit IsSerieArtikel:bit IsVoorraadArtikel:bit IsOnderaannemerArtikel:bit IsBelastingArtikel:tinyint IsTijdArtikel:tinyint IsWebshopArtikel:tinyint BrutoGewicht:decimal NettoGewicht:decimal NettoGewichtEenheid:nvarchar Notities:nvarchar BTWcode:nvarchar BTWcodeBeschrijving:nvarchar Beveiligingsniveau:int Startdatum:date GoederenCode:nvarchar Eenheid:nvarchar EenheidBeschrijving:nvarchar EenheidType:nvarchar
+ArtikelenExtraVelden: ArtikelID:nvarchar GewijzigdOp:date Nummer:int Omschrijving:nvarchar Waarde:nvarchar AdministratieCode:int
+ArtikelGroepen: ID:uniqueidentifier Code:nvarchar Omschrijving:nvarchar AdministratieCode:int
+Verkoopfacturen: F_Valuta:nvarchar F_VersturenNaarID:nvarchar F_Omschrijving:nvarchar F_AdministratieCode:int F_Factuurdatum:date F_FactuurID:nvarchar F_Factuurnummer:int F_FactuurNaarID:nvarchar F_Orderdatum:date F_BesteldDoorID:nvarchar F_BetaalconditieBeschrijving:nvarchar F_Opmerkingen:nvarchar F_VerzendmethodeBeschrijving:nvarchar F_StatusBeschrijving:nvarchar F_UwReferentie:nvarchar F_StartVerkoopfactuurStatus:nvarchar FR_Bedrag:decimal FR_Kostenplaats:nvarchar FR_Kostendrager:nvarchar FR_Leverdatum:date FR_Omschrijving:nvarchar FR_Korting:decimal FR_WerknemerNaam:nvarchar FR_GrootboekrekeningID:nvarchar FR_FactuurregelID:uniqueidentifier FR_ArtikelID:nvarchar FR_Regelnummer:int FR_Aantal:decimal FR_VerkooporderID:nvarchar FR_VerkooporderRegelID:nvarchar FR_EenheidBeschrijving:nvarchar FR_Eenheidsprijs:decimal FR_BTWBedrag:decimal FR_BTWPercentage:decimal
+VerkoopOrders: O_ApprovalStatusBeschrijving:nvarchar O_Goedgekeurd:date O_GoedgekeurdDoorNaam:nvarchar O_Aangemaakt:date O_AangemaaktDoorNaam:nvarchar O_Valuta:nvarchar O_VersturenNaarID:nvarchar O_Omschrijving:nvarchar O_AdministratieCode:int O_FactuurStatusBeschrijving:nvarchar O_FactuurNaarID:nvarchar O_Orderdatum:date O_BesteldDoorNaam:nvarchar O_OrderID:nvarchar O_Ordernummer:int O_Opmerkingen:nvarchar O_VerzendmethodeBeschrijving:nvarchar O_StatusBeschrijving:nvarchar O_UwReferentie:nvarchar OR_Bedrag:decimal OR_Kostenplaats:nvarchar OR_Kostprijs:decimal OR_Kostendrager:nvarchar OR_Leverdatum:date OR_Omschrijving:nvarchar OR_Korting:decimal OR_OrderRegelID:uniqueidentifier OR_ArtikelID:nvarchar OR_Regelnummer:int OR_Aantal:decimal OR_BTWBedrag:decimal OR_BTWPercentage:decimal
+Verkoopkansen: VerkoopkansID:uniqueidentifier AccountID:nvarchar Actiedatum:date Bedrag:decimal Sluitingsdatum:date Aangemaakt:date AangemaaktDoorNaam:nvarchar Valuta:nvarchar AdministratieCode:int Naam:nvarchar FaseBeschrijving:nvarchar Status:int Kans:decimal EigenaarNaam:nvarchar VerkooptypeBeschrijving:nvarchar RedenBeschrijving:nvarchar CampagneBeschrijving:nvarchar LeadBronBeschrijving:nvarchar ContactpersoonNaam:nvarchar
+Offertes: O_AdministratieCode:int O_OfferteID:nvarchar O_Offertenummer:int O_Versie:int OR_OfferteRegelID:uniqueidentifier O_Medewerker:nvarchar O_Valuta:nvarchar O_Omschrijving:nvarchar O_Status:nvarchar O_RelatieID:nvarchar O_VerkoopKansID:nvarchar O_OfferteDatum:date O_VervalDatum:date O_EindDatum:date O_AfleverDatum:date O_Opmerkingen:nvarchar O_UwReferentie:nvarchar OR_Bedrag:decimal OR_Kostenplaats:nvarchar OR_Kostendrager:nvarchar OR_Omschrijving:nvarchar OR_Korting:decimal OR_ArtikelID:nvarchar OR_Regelnummer:int OR_Aantal:decimal OR_Eenheid:nvarchar OR_PrijsPerEenheid:decimal OR_BTWBedrag:decimal OR_BTWPercentage:decimal
+Divisions: Division:int Entiteit:nvarchar CustomerCode:int CustomerName:nvarchar State:nvarchar City:nvarchar HID:nvarchar CompanySizeDescription:nvarchar
+Documenten: ID:uniqueidentifier AdministratieCode:int Categorie_omschrijving:nvarchar Documentdatum:date Document_URL:nvarchar GrootboekmutatieID:uniqueidentifier Is_leeg:bit Gewijzigd_op:date Factuur_nummer:int Document_type:int
 """
 
 ERP_TARGETS = """
-GrootboekRubriek: OmgevingID:i Grootboek_RubriekID:s Rubriek_Code:s Rubriek:s Balanscode:s Soort:s Hoofdgroep_Code:s HoofdgroepID:s Hoofdgroep_Omschrijving:s Subgroep_Code:s SubgroepID:s Subgroep_Omschrijving:s Subgroep2_Code:s Subgroep2ID:s Subgroep2_Omschrijving:s
-Grootboekrekening: OmgevingID:i Administratie_Code:i GrootboekID:s Type_RekeningID:s Type_Rekening_Omschrijving:s Kenmerk_RekeningID:s Kenmerk_Rekening_Omschrijving:s Omschrijving:s Soort_Rekening:s Rubriek_Code:s Balans_Code:s Gewijzigd_Op:dt Intercompany:b
-Budget: OmgevingID:i Administratie_Code:i Budget_Scenario_Code:s Budget_Scenario:s GrootboekID:s Boekjaar:i Boekperiode:i Datum:dt Bedrag:d KostenplaatsID:s KostendragerID:s
-GrootboekMutaties: OmgevingID:i Administratie_Code:i Boekjaar:i Code_Dagboek:s Nummer_Journaalpost:i Volgnummer_Journaalpost:i GrootboekID:s RelatieID:s Datum:dt Boekperiode:i Omschrijving:s Boekstuk_Nummer:s Factuur_Nummer:s Order_Nummer:s Valuta:s Bedrag:d BTW_Bedrag:d BTW_Percentage:d Type_Boeking:s Type_Mutatie:s Dagboek_Soort:s KostenplaatsID:s KostendragerID:s Gewijzigd_Op:ts AbonnementID:i AbonnementID2:i
-Divisions: OmgevingID:i Administratie_Code:i Administratie_Naam:s
-Medewerkers: OmgevingID:i Administratie_Code:i GUID:g Medewerker:s Start_Datum:dt Eind_Datum:dt Geslacht:s Functie:s Type_Functie:s AfdelingID:s Afdeling:s
-Projecten: OmgevingID:i Administratie_Code:i Project_Classificatie:s ProjectID:s Project:s Project_Type:s Project_Status:s Project_Status_Code:i Projectleider_GUID:g Uitvoerend_Consultant_GUID:g Opdrachtnemer_GUID:g Organisatie_ID:i OpdrachtgeverID:s RelatieID:i Contactpersoon:s HoofdprojectID:s Hoofdproject_Omschrijving:s Hoofdproject_Status_Code:i Hoofdproject_Status:s Start_Datum:dt Voorcalculatie_Uren:d Voorcalculatie_Kostprijs:d Nacalculatie_Uren:d Nacalculatie_Kostprijs:d Eind_Datum_Planning:dt Eind_Datum:dt Voortgang_Percentage:d Decharge_Verzonden:b Afgemeld:b Gewijzigd_Op:ts Termijnbedrag:d Totale_aanneemsom:d Fixed_Price_Project:b Gereed:b Doorbelasten:b WBSO:s Termijnen:i Gefactureerd:d Te_factureren:d
-Relaties: OmgevingID:i Soort_Contact:s Naam:s Inkooprelatie:b Verkooprelatie:b Medewerker:b Medewerker_GUID:g VerkooprelatieID:i InkooprelatieID:i RelatieNummer:i
-Urenregistratie: OmgevingID:i Administratie_Code:i Urenregistratie_GUID:g ProjectID:s Project_ActiviteitID:s RelatieID:i Medewerker_GUID:g Uur_SoortID:i Datum:dt Datum_gewijzigd:dt Aantal:d Valuta_Code:s Prijs:d Bedrag:d Geaccordeerd:b Gereedgemeld:b Gefactureerd:b Kostprijs:d Kostprijs_Bedrag:d Doorbelasten:b Uur_Type:i Uur_Type_Detail:s
-Verlof: OmgevingID:i Administratie_Code:i Medewerker_GUID:g Verlof:s Start_Datum:dt Eind_Datum:dt Verlof_Uren:d Verlof_Type:s AfdelingID:s
-VerzuimUren: OmgevingID:i Administratie_Code:i Medewerker_GUID:g Verzuim:s Start_Datum:ts Eind_Datum:ts Verzuim_Uren:d Aanwezigheid_Percentage:d Verzuim_Type:s Status:d AfdelingID:s
-VerzuimVerloop: OmgevingID:i Verzuimmelding_GUID:g Verzuimverloop_GUID:g Medewerker_GUID:g Gewijzigd_Op:ts Datum:ts Vangnet_Regeling:b Aanwezigheid_Percentage:d
-Contracten: OmgevingID:i Administratie_Code:i Arbeids_ContractID:i Medewerker_GUID:g Medewerker_Type:s Start_Datum:dt Eind_Datum:dt Proeftijd_Eind_Datum:dt Contract_Type:s Volgnummer:i AfdelingID:s Meedere_Dienstverbanden:b Aantal_FTE:d Dagen_Per_Week:d Uren_Per_Week:d
-Abonnementen: OmgevingID:i Administratie_Code:i AbonnementID:i Licentiehouder:s RelatieID:i Abonnement_Type:s Item:s Licentie_Type:s Aantal:d Eenheid:s Prijs:d Waarde:d Begin_Regel:dt Start_Datum:dt Eind_Regel:dt Eind_Datum:dt Gefactureerd_Tot:dt Gefactureerd_Vanaf:dt Gecrediteerd:b Crediteren_Vanaf:dt Cyclus_Code:s Cyclus:s Cyclus_Begin:dt Gewijzigd_Op:ts
-CaseLogging: OmgevingID:i Administratie_Code:i Logregel:i DossierID:i ForecastID:i ActieID:i Volgende_Actie:s Begin_Datum:ts Uitvoer_Datum:ts Gekozen_Actie:s Doorlooptijd_Sec:d Doorlooptijd_Uur:d Gewijzigd_Op:ts Omschrijving:s
-Dossiers: OmgevingID:i Administratie_Code:i DossierID:i Dossier_Nummer:i Instuur_Datum:dt Onderwerp:s Aanmaker:s AanmakerID:i Verantwoordelijke:s VerantwoordelijkeID:i Potentiele_Omzet:d Oplossing:s Volgende_Actie:s Prioriteit:s Forecast:s Huidige_Status:s Datum_Afgehandeld:ts Gewijzigd_Op:ts Organisatie_Naam:s OrganisatieID:i ForecastID:i Eind_Datum:ts Bevinding:s Prioriteit_Herstelcase:s Reactie_Datum:ts TypeDossieritemID:i TypeDossieritemOmschrijving:s Woonplaats:s Postcode:s
-Forecasts: OmgevingID:i Administratie_Code:i ForecastID:i OrganisatieID:i Organisatie_Naam:s Start_Datum:dt Eind_Datum_Verwacht:dt Eind_Datum:dt Forecast_Bedrag:d Verwacht_Bedrag:d Verantwoordelijke_GUID:g Omschrijving:s Forecastgroep_Code:i Forecastgroep:s Datum_Laatste_Wijziging:ts Status:s Voortgang:s RPA_Diensten:d RPA_Licentie:d Bruto_Omzet:d Aantal_Uren:d Scoringskans:d Oplossing:s Type_Abonnement_Code_Verwacht:i Type_Abonnement_Verwacht:s Gewijzigd_Op:ts
-Nacalculatie: OmgevingID:i Administratie_Code:i Nacalculatie_GUID:g Datum:dt Boekjaar:i Periode:i ProjectID:s Project_Naam:s Projectgroep:s Project_Type:s Start_Datum:dt Organisatie:s OrganisatieID:i RelatieID:i Uitvoerend_Consultant_GUID:g Medewerker_GUID:g Uren:d Omschrijving:s Werksoort_Type:i Werksoort:s Integratiegroep_Code:s Integratiegroep:s Afdeling_Code:s Geaccordeerd:b Doorbelasten:b Gefactureerd:b Verkoop_Bedrag:d Uurprijs_Verkoop:d Item_Code:s Item_Omschrijving:s Innovatie:s WBSO:b Jira_Ticket_Nummer:s Gewijzigd_Op:ts Kostprijs:d Kostprijs_Bedrag:d Uur_Type:i Uur_Type_Detail:s Project_ActiviteitID:s Valuta_Code:s Gereedgemeld:b
-Roosters: OmgevingID:i Administratie_Code:i Medewerker_Naam:s Medewerker_GUID:g Type:s Datum:dt Uren:d FTE:d Parttime_Percentage:d Afdeling_Code:s Gewijzigd_Op:ts Pro_forma:b
-Tarieven: OmgevingID:i Administratie_Code:i ProjectID:s Verkoopprijs:d
+GrootboekRubriek: OmgevingID:int Grootboek_RubriekID:nvarchar Rubriek_Code:nvarchar Rubriek:nvarchar Balanscode:nvarchar Soort:nvarchar Hoofdgroep_Code:nvarchar HoofdgroepID:nvarchar Hoofdgroep_Omschrijving:nvarchar Subgroep_Code:nvarchar SubgroepID:nvarchar Subgroep_Omschrijving:nvarchar Subgroep2_Code:nvarchar Subgroep2ID:nvarchar Subgroep2_Omschrijving:nvarchar
+Grootboekrekening: OmgevingID:int Administratie_Code:int GrootboekID:nvarchar Type_RekeningID:nvarchar Type_Rekening_Omschrijving:nvarchar Kenmerk_RekeningID:nvarchar Kenmerk_Rekening_Omschrijving:nvarchar Omschrijving:nvarchar Soort_Rekening:nvarchar Rubriek_Code:nvarchar Balans_Code:nvarchar Gewijzigd_Op:date Intercompany:bit
+Budget: OmgevingID:int Administratie_Code:int Budget_Scenario_Code:nvarchar Budget_Scenario:nvarchar GrootboekID:nvarchar Boekjaar:int Boekperiode:int Datum:date Bedrag:decimal KostenplaatsID:nvarchar KostendragerID:nvarchar
+GrootboekMutaties: OmgevingID:int Administratie_Code:int Boekjaar:int Code_Dagboek:nvarchar Nummer_Journaalpost:int Volgnummer_Journaalpost:int GrootboekID:nvarchar RelatieID:nvarchar Datum:date Boekperiode:int Omschrijving:nvarchar Boekstuk_Nummer:nvarchar Factuur_Nummer:nvarchar Order_Nummer:nvarchar Valuta:nvarchar Bedrag:decimal BTW_Bedrag:decimal BTW_Percentage:decimal Type_Boeking:nvarchar Type_Mutatie:nvarchar Dagboek_Soort:nvarchar KostenplaatsID:nvarchar KostendragerID:nvarchar Gewijzigd_Op:datetime AbonnementID:int AbonnementID2:int
+Divisions: OmgevingID:int Administratie_Code:int Administratie_Naam:nvarchar
+Medewerkers: OmgevingID:int Administratie_Code:int GUID:uniqueidentifier Medewerker:nvarchar Start_Datum:date Eind_Datum:date Geslacht:nvarchar Functie:nvarchar Type_Functie:nvarchar AfdelingID:nvarchar Afdeling:nvarchar
+Projecten: OmgevingID:int Administratie_Code:int Project_Classificatie:nvarchar ProjectID:nvarchar Project:nvarchar Project_Type:nvarchar Project_Status:nvarchar Project_Status_Code:int Projectleider_GUID:uniqueidentifier Uitvoerend_Consultant_GUID:uniqueidentifier Opdrachtnemer_GUID:uniqueidentifier Organisatie_ID:int OpdrachtgeverID:nvarchar RelatieID:int Contactpersoon:nvarchar HoofdprojectID:nvarchar Hoofdproject_Omschrijving:nvarchar Hoofdproject_Status_Code:int Hoofdproject_Status:nvarchar Start_Datum:date Voorcalculatie_Uren:decimal Voorcalculatie_Kostprijs:decimal Nacalculatie_Uren:decimal Nacalculatie_Kostprijs:decimal Eind_Datum_Planning:date Eind_Datum:date Voortgang_Percentage:decimal Decharge_Verzonden:bit Afgemeld:bit Gewijzigd_Op:datetime Termijnbedrag:decimal Totale_aanneemsom:decimal Fixed_Price_Project:bit Gereed:bit Doorbelasten:bit WBSO:nvarchar Termijnen:int Gefactureerd:decimal Te_factureren:decimal
+Relaties: OmgevingID:int Soort_Contact:nvarchar Naam:nvarchar Inkooprelatie:bit Verkooprelatie:bit Medewerker:bit Medewerker_GUID:uniqueidentifier VerkooprelatieID:int InkooprelatieID:int RelatieNummer:int
+Urenregistratie: OmgevingID:int Administratie_Code:int Urenregistratie_GUID:uniqueidentifier ProjectID:nvarchar Project_ActiviteitID:nvarchar RelatieID:int Medewerker_GUID:uniqueidentifier Uur_SoortID:int Datum:date Datum_gewijzigd:date Aantal:decimal Valuta_Code:nvarchar Prijs:decimal Bedrag:decimal Geaccordeerd:bit Gereedgemeld:bit Gefactureerd:bit Kostprijs:decimal Kostprijs_Bedrag:decimal Doorbelasten:bit Uur_Type:int Uur_Type_Detail:nvarchar
+Verlof: OmgevingID:int Administratie_Code:int Medewerker_GUID:uniqueidentifier Verlof:nvarchar Start_Datum:date Eind_Datum:date Verlof_Uren:decimal Verlof_Type:nvarchar AfdelingID:nvarchar
+VerzuimUren: OmgevingID:int Administratie_Code:int Medewerker_GUID:uniqueidentifier Verzuim:nvarchar Start_Datum:datetime Eind_Datum:datetime Verzuim_Uren:decimal Aanwezigheid_Percentage:decimal Verzuim_Type:nvarchar Status:decimal AfdelingID:nvarchar
+VerzuimVerloop: OmgevingID:int Verzuimmelding_GUID:uniqueidentifier Verzuimverloop_GUID:uniqueidentifier Medewerker_GUID:uniqueidentifier Gewijzigd_Op:datetime Datum:datetime Vangnet_Regeling:bit Aanwezigheid_Percentage:decimal
+Contracten: OmgevingID:int Administratie_Code:int Arbeids_ContractID:int Medewerker_GUID:uniqueidentifier Medewerker_Type:nvarchar Start_Datum:date Eind_Datum:date Proeftijd_Eind_Datum:date Contract_Type:nvarchar Volgnummer:int AfdelingID:nvarchar Meedere_Dienstverbanden:bit Aantal_FTE:decimal Dagen_Per_Week:decimal Uren_Per_Week:decimal
+Abonnementen: OmgevingID:int Administratie_Code:int AbonnementID:int Licentiehouder:nvarchar RelatieID:int Abonnement_Type:nvarchar Item:nvarchar Licentie_Type:nvarchar Aantal:decimal Eenheid:nvarchar Prijs:decimal Waarde:decimal Begin_Regel:date Start_Datum:date Eind_Regel:date Eind_Datum:date Gefactureerd_Tot:date Gefactureerd_Vanaf:date Gecrediteerd:bit Crediteren_Vanaf:date Cyclus_Code:nvarchar Cyclus:nvarchar Cyclus_Begin:date Gewijzigd_Op:datetime
+CaseLogging: OmgevingID:int Administratie_Code:int Logregel:int DossierID:int ForecastID:int ActieID:int Volgende_Actie:nvarchar Begin_Datum:datetime Uitvoer_Datum:datetime Gekozen_Actie:nvarchar Doorlooptijd_Sec:decimal Doorlooptijd_Uur:decimal Gewijzigd_Op:datetime Omschrijving:nvarchar
+Dossiers: OmgevingID:int Administratie_Code:int DossierID:int Dossier_Nummer:int Instuur_Datum:date Onderwerp:nvarchar Aanmaker:nvarchar AanmakerID:int Verantwoordelijke:nvarchar VerantwoordelijkeID:int Potentiele_Omzet:decimal Oplossing:nvarchar Volgende_Actie:nvarchar Prioriteit:nvarchar Forecast:nvarchar Huidige_Status:nvarchar Datum_Afgehandeld:datetime Gewijzigd_Op:datetime Organisatie_Naam:nvarchar OrganisatieID:int ForecastID:int Eind_Datum:datetime Bevinding:nvarchar Prioriteit_Herstelcase:nvarchar Reactie_Datum:datetime TypeDossieritemID:int TypeDossieritemOmschrijving:nvarchar Woonplaats:nvarchar Postcode:nvarchar
+Forecasts: OmgevingID:int Administratie_Code:int ForecastID:int OrganisatieID:int Organisatie_Naam:nvarchar Start_Datum:date Eind_Datum_Verwacht:date Eind_Datum:date Forecast_Bedrag:decimal Verwacht_Bedrag:decimal Verantwoordelijke_GUID:uniqueidentifier Omschrijving:nvarchar Forecastgroep_Code:int Forecastgroep:nvarchar Datum_Laatste_Wijziging:datetime Status:nvarchar Voortgang:nvarchar RPA_Diensten:decimal RPA_Licentie:decimal Bruto_Omzet:decimal Aantal_Uren:decimal Scoringskans:decimal Oplossing:nvarchar Type_Abonnement_Code_Verwacht:int Type_Abonnement_Verwacht:nvarchar Gewijzigd_Op:datetime
+Nacalculatie: OmgevingID:int Administratie_Code:int Nacalculatie_GUID:uniqueidentifier Datum:date Boekjaar:int Periode:int ProjectID:nvarchar Project_Naam:nvarchar Projectgroep:nvarchar Project_Type:nvarchar Start_Datum:date Organisatie:nvarchar OrganisatieID:int RelatieID:int Uitvoerend_Consultant_GUID:uniqueidentifier Medewerker_GUID:uniqueidentifier Uren:decimal Omschrijving:nvarchar Werksoort_Type:int Werksoort:nvarchar Integratiegroep_Code:nvarchar Integratiegroep:nvarchar Afdeling_Code:nvarchar Geaccordeerd:bit Doorbelasten:bit Gefactureerd:bit Verkoop_Bedrag:decimal Uurprijs_Verkoop:decimal Item_Code:nvarchar Item_Omschrijving:nvarchar Innovatie:nvarchar WBSO:bit Jira_Ticket_Nummer:nvarchar Gewijzigd_Op:datetime Kostprijs:decimal Kostprijs_Bedrag:decimal Uur_Type:int Uur_Type_Detail:nvarchar Project_ActiviteitID:nvarchar Valuta_Code:nvarchar Gereedgemeld:bit
+Roosters: OmgevingID:int Administratie_Code:int Medewerker_Naam:nvarchar Medewerker_GUID:uniqueidentifier Type:nvarchar Datum:date Uren:decimal FTE:decimal Parttime_Percentage:decimal Afdeling_Code:nvarchar Gewijzigd_Op:datetime Pro_forma:bit
+Tarieven: OmgevingID:int Administratie_Code:int ProjectID:nvarchar Verkoopprijs:decimal
 """
 
 PAYROLL_TARGETS = """
-Bedrijven: BedrijfID:i Bedrijfsnummer:i Bedrijfsnaam:s
-Looncomponenten: BedrijfID:i Bedrijfsnummer:i Bedrijfsnaam:s WerknemerID:i Werknemer_nummer:i LooncomponentID:i Looncomponent_nummer:i Looncomponentnaam:s Looncomponentwaarde:d Periode:i Jaar:i Run:i
+Bedrijven: BedrijfID:int Bedrijfsnummer:int Bedrijfsnaam:nvarchar
+Looncomponenten: BedrijfID:int Bedrijfsnummer:int Bedrijfsnaam:nvarchar WerknemerID:int Werknemer_nummer:int LooncomponentID:int Looncomponent_nummer:int Looncomponentnaam:nvarchar Looncomponentwaarde:decimal Periode:int Jaar:int Run:int
 """
 
 MAPPINGS = """
@@ -251,10 +248,6 @@ DIVISION_OPERATOR_COLUMNS = ("Status", "Volledige_sync")
 # ---------------------------------------------------------- END FIXED VALUES
 
 
-TYPE_CODES = {"i": "int", "u8": "tinyint", "d": "decimal", "b": "bit",
-              "s": "nvarchar", "g": "uniqueidentifier", "dt": "date", "ts": "datetime"}
-
-
 def _lines(text: str) -> list[str]:
     return [ln.strip() for ln in text.strip().splitlines() if ln.strip()]
 
@@ -263,7 +256,7 @@ def _parse_targets(text: str) -> dict[str, list[tuple[str, str]]]:
     out: dict[str, list[tuple[str, str]]] = {}
     for ln in _lines(text):
         table, cols = ln.split(":", 1)
-        out[table.strip()] = [(c.rsplit(":", 1)[0], TYPE_CODES[c.rsplit(":", 1)[1]])
+        out[table.strip()] = [(c.rsplit(":", 1)[0], c.rsplit(":", 1)[1])
                               for c in cols.split()]
     return out
 

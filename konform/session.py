@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,10 +40,10 @@ def get_spark(master: str | None = None, app: str = "konform",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when no folder is configured at all (local tests) a private folder is
-    created and registered with ``setCheckpointDir`` (the config itself cannot
-    be changed on a running session); on a cluster the configured shared
-    folder is always used.
+    Only a local session (one JVM, as in tests) without any configured folder
+    gets a private one, registered with ``setCheckpointDir`` (the config itself
+    cannot be changed on a running session).  On a cluster without a shared
+    folder this is an error: each executor would write to its own disk.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
@@ -53,6 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     d = tempfile.mkdtemp(prefix="konform-ckpt-")
     sc.setCheckpointDir(d)
     return d

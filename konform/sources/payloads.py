@@ -10,6 +10,8 @@ the job restartable and streaming-capable.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,20 +54,18 @@ def odata_items(body: Column, row_schema) -> Column:
     arr = T.ArrayType(row_schema)
     d_list = T.StructType([T.StructField("d", arr)])
     d_results = T.StructType([T.StructField("d", T.StructType([T.StructField("results", arr)]))])
-    # The envelope shape is read from a short prefix, so each page body is
-    # parsed exactly once by the matching ``from_json`` (OData writes ``d``
-    # as the only top-level key).  Bodies whose prefix does not show the
-    # shape (``d`` after other keys) take the slower generic path.
-    head = F.substring(body, 1, 64)
+    # Each body is parsed once by the matching ``from_json`` (OData writes ``d`` as the only
+    # top-level key); anchored patterns tell the shape wherever the text begins.  Bodies with
+    # ``d`` after other keys take the slower generic path.
     generic_d = F.trim(F.get_json_object(body, "$.d"))
     generic = (F.when(generic_d.isNull(), F.array(F.from_json(body, row_schema)))
                .when(generic_d.startswith("["), F.from_json(generic_d, arr))
                .when(generic_d.startswith("{"), F.from_json(F.get_json_object(body, "$.d.results"), arr)))
-    return (F.when(head.rlike(r"^\s*\["), F.from_json(body, arr))
-            .when(head.rlike(r'^\s*\{\s*"d"\s*:\s*\['), F.from_json(body, d_list)["d"])
-            .when(head.rlike(r'^\s*\{\s*"d"\s*:\s*\{'), F.from_json(body, d_results)["d"]["results"])
-            .when(head.rlike(r'^\s*\{\s*"d"\s*:'), F.lit(None).cast(arr))
-            .when(head.rlike(r"^\s*\{"), generic))
+    return (F.when(body.rlike(r"^\s*\["), F.from_json(body, arr))
+            .when(body.rlike(r'^\s*\{\s*"d"\s*:\s*\['), F.from_json(body, d_list)["d"])
+            .when(body.rlike(r'^\s*\{\s*"d"\s*:\s*\{'), F.from_json(body, d_results)["d"]["results"])
+            .when(body.rlike(r'^\s*\{\s*"d"\s*:'), F.lit(None).cast(arr))
+            .when(body.rlike(r"^\s*\{"), generic))
 
 
 def odata_next(body: Column) -> Column:
@@ -105,6 +105,63 @@ def complete_pages(pages: DataFrame, keys: list[str]) -> DataFrame:
     return pages.join(ok, keys, "left_semi")
 
 
+# ------------------------------------------------------------ observed fields
+def record_texts(body: Column, payload: str = "odata", resource: str | None = None) -> Column:
+    """The records of one JSON page, each as its own JSON text."""
+    texts = T.ArrayType(T.StringType())
+    if payload == "rows":
+        inner = F.get_json_object(body, "$.rows")
+    elif payload == "keyed":
+        inner = F.get_json_object(body, f"$.{resource}")
+    else:
+        d = F.trim(F.get_json_object(body, "$.d"))
+        inner = (F.when(body.rlike(r"^\s*\["), body).when(d.isNull(), F.concat(F.lit("["), body, F.lit("]")))
+                 .when(d.startswith("{"), F.get_json_object(body, "$.d.results")).otherwise(d))
+    return F.from_json(inner, texts)
+
+
+def observed_fields(pages: DataFrame, payload: str = "odata", resource: str | None = None, keep: list[str] | None = None,
+                    body: str = "body") -> DataFrame:
+    """The field names that occur in any record (per ``keep``), with the number of records that carry them."""
+    keep = list(keep or [])
+    records = pages.select(*keep, F.explode(record_texts(F.col(body), payload, resource)).alias("_r"))
+    return (records.select(*keep, F.explode(F.json_object_keys("_r")).alias("field"))
+            .groupBy(*keep, "field").agg(F.count(F.lit(1)).alias("n")))
+
+
+# ------------------------------------------------------------ readable pages
+JSON_PAYLOADS = ("odata", "rows", "keyed")
+XML_PAYLOADS = ("atom", "extra", "wage", "elements")
+
+
+def readable(body: Column, payload: str) -> Column:
+    """Can the whole body be parsed?  A page that cannot (an error page, a body cut
+    off in transit, no body at all) gives no rows, and must not pass for an empty page."""
+    if payload in JSON_PAYLOADS:
+        ok = F.json_object_keys(body).isNotNull() | F.json_array_length(body).isNotNull()
+    elif payload in XML_PAYLOADS:
+        text = scrub_char_refs(strip_bom(body))
+        parsed = F.from_xml(text, "_bad string", {**XML_OPTIONS, "columnNameOfCorruptRecord": "_bad"})
+        ok = body.isNotNull() & parsed["_bad"].isNull()
+    else:
+        raise ValueError(f"unknown payload form {payload}")
+    return F.coalesce(ok, F.lit(False))
+
+
+def page_quality(pages: DataFrame, keys: list[str], payload: str = "odata", body: str = "body",
+                 page_no: str = "page_no", next_token: str = "next_token") -> DataFrame:
+    """Per chain: ``n_pages``, ``n_unreadable``, ``complete`` (A2) and ``usable`` - every page
+    readable and the chain followed to its end.  One partial aggregate; no body moves."""
+    marked = pages.withColumn("_unreadable", (~readable(F.col(body), payload)).cast("long"))
+    return (marked.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("n_pages"), F.sum("_unreadable").alias("n_unreadable"),
+                 F.max(page_no).alias("_last"), F.count_if(F.col(next_token).isNull()).alias("_final"),
+                 F.max_by(F.col(next_token).isNull(), F.col(page_no)).alias("_last_final"))
+            .withColumn("complete", (F.col("_final") == 1) & F.col("_last_final"))
+            .withColumn("usable", (F.col("n_unreadable") == 0) & F.col("complete"))
+            .select(*keys, "n_pages", "n_unreadable", "complete", "usable"))
+
+
 # ------------------------------------------------------------------------- A3
 def envelope_rows(pages: DataFrame, row_schema, keep: list[str] | None = None,
                   body: str = "body", field: str = "rows") -> DataFrame:
@@ -118,7 +175,7 @@ def envelope_rows(pages: DataFrame, row_schema, keep: list[str] | None = None,
 # -------------------------------------------------------------------- A4, A11
 def resource_of(endpoint: Column) -> Column:
     """The last path segment of an endpoint (``.../admdat`` -> ``admdat``)."""
-    return F.element_at(F.split(F.regexp_replace(endpoint, r"[?].*$", ""), "/"), -1)
+    return F.element_at(F.split(F.regexp_replace(endpoint, r"/*([?].*)?$", ""), "/"), -1)
 
 
 def keyed_rows(pages: DataFrame, row_schema, resource: Column | str,
@@ -147,20 +204,24 @@ def strip_bom(body: Column) -> Column:
 
 
 # ------------------------------------------------------------------------- A5
+def elements(xml: Column, name: str) -> Column:
+    """Every element of this local name as its own XML text, at any depth (it must not nest in itself)."""
+    tag = rf"(?:[\w.-]+:)?{re.escape(name)}"
+    return F.regexp_extract_all(xml, F.lit(rf"(?s)<{tag}(?:\s[^>]*)?(?:(?<=/)>|(?<!/)>.*?</{tag}\s*>)"), F.lit(0))
+
+
 def atom_rows(pages: DataFrame, fields: list[str], keep: list[str] | None = None,
               body: str = "body") -> DataFrame:
-    """A5 + A7: one row per ``entry``, a column per ``properties/*`` local name.
+    """A5 + A7: one row per ``entry``, a column per local name below its ``properties``
+    (inside ``content`` or beside it).
 
     Values stay text (typing is the coercion step); an empty element is null.
     """
     keep = list(keep or [])
-    props = _strings(fields)
-    feed = T.StructType([T.StructField("entry", T.ArrayType(T.StructType([
-        T.StructField("content", T.StructType([T.StructField("properties", props)]))])))])
-    parsed = F.from_xml(scrub_char_refs(F.col(body)), feed, XML_OPTIONS)
-    exploded = pages.select(*keep, F.explode(parsed["entry"]).alias("_e"))
-    return exploded.select(*keep, *[F.nullif(F.col(f"_e.content.properties.{f}"), F.lit("")).alias(f)
-                                    for f in fields])
+    entries = pages.select(*keep, F.explode(elements(scrub_char_refs(F.col(body)), "entry")).alias("_e"))
+    props = F.from_xml(F.element_at(elements(F.col("_e"), "properties"), 1), _strings(fields), XML_OPTIONS)
+    return entries.select(*keep, props.alias("_p")).select(
+        *keep, *[F.nullif(F.col(f"_p.{f}"), F.lit("")).alias(f) for f in fields])
 
 
 def atom_next_link(body: Column) -> Column:
@@ -175,12 +236,11 @@ EXTRA_FIELDS = ("ItemID", "Modified", "Number", "Description", "Value")
 
 def extra_field_rows(pages: DataFrame, keep: list[str] | None = None, body: str = "body",
                      element: str = "element") -> DataFrame:
-    """Each ``element`` gives the five fixed fields, trimmed; absent -> null."""
+    """Each ``element``, at any depth, gives the five fixed fields, trimmed; absent -> null."""
     keep = list(keep or [])
-    schema = T.StructType([T.StructField(element, T.ArrayType(_strings(EXTRA_FIELDS)))])
-    parsed = F.from_xml(scrub_char_refs(F.col(body)), schema, XML_OPTIONS)
-    exploded = pages.select(*keep, F.explode(parsed[element]).alias("_e"))
-    return exploded.select(*keep, *[F.trim(F.col(f"_e.{f}")).alias(f) for f in EXTRA_FIELDS])
+    found = pages.select(*keep, F.explode(elements(scrub_char_refs(F.col(body)), element)).alias("_e"))
+    parsed = found.select(*keep, F.from_xml("_e", _strings(EXTRA_FIELDS), XML_OPTIONS).alias("_x"))
+    return parsed.select(*keep, *[F.trim(F.col(f"_x.{f}")).alias(f) for f in EXTRA_FIELDS])
 
 
 # ------------------------------------------------------------------------- A8

@@ -8,33 +8,54 @@ append when it has none).  ``trigger(availableNow=True)`` processes what is
 there and stops, which is how a scheduled sync run uses it.
 
 Fault tolerance: the stream's checkpoint (in the shared checkpoint folder)
-records which files each batch consumed; the version written by batch ``n``
-is ``v=n+1``, so a batch replayed after a failure finds its version already
-committed and writes nothing twice.
+records which files each batch consumed; the version a batch writes is noted
+beside the table before it is written, so a batch replayed after a failure finds
+its version already committed and writes nothing twice.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.table_sync import Step, apply_step, conform_records, read_records, sync_tenants
-from ..plans.publish import publish, read_current, versions
+from ..plans.publish import _fs, publish, read_current, versions
 from ..plans.run import target_schema
 from ..schemas import write_config
 from ..sources.payloads import LANDED_SCHEMA
 
 
+def batch_version(spark: SparkSession, target_base: str, stream_id: str, batch_id: int) -> tuple[int, bool]:
+    """The table version that this batch of this stream writes, and whether it is committed.
+
+    The number is noted under ``_batches`` before the version is written, so a replay finds it: a committed
+    version is not written again, an uncommitted one is written anew under the same number.  Another
+    stream (another checkpoint) has notes of its own, so its batch 0 is never taken for a replay."""
+    fs, note, jvm = _fs(spark, f"{target_base}/_batches/{stream_id}/{batch_id}")
+    have = versions(spark, target_base)
+    if fs.exists(note):
+        version = int(fs.listStatus(note)[0].getPath().getName())
+        return version, version in have
+    version = (have[-1] + 1) if have else 1
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(note, str(version)))
+    return version, False
+
+
 def sync_batch(spark: SparkSession, pages: DataFrame, batch_id: int, target_base: str, source: str,
                table: str, row_schema, payload: str = "odata", resource: str | None = None,
-               plan: DataFrame | None = None) -> str | None:
+               plan: DataFrame | None = None, stream_id: str = "stream") -> str | None:
     """Conform one batch of landed pages and publish the merged next version.
 
+    The version is the next free one, whatever the batch number (``batch_version``).
+
     With a per-tenant ``plan`` (``tenant, delete_rule, write_rule, year,
     window_start``) every tenant gets its own delete and write rule
     (``sync_tenants``); without one the table's keys decide upsert or append."""
-    if (batch_id + 1) in versions(spark, target_base):
+    version, done = batch_version(spark, target_base, stream_id, batch_id)
+    if done:
         return None                                    # replayed batch: already published
     pages = pages.filter((F.col("source") == source) & (F.col("table") == table))
     rows = read_records(pages, row_schema, payload, keep=["tenant"], resource=resource)
@@ -49,20 +70,21 @@ def sync_batch(spark: SparkSession, pages: DataFrame, batch_id: int, target_base
     else:
         rule = "upsert" if (cfg and cfg.keys) else "append"
         new = apply_step(current, conformed, Step(source, table, write_rule=rule))
-    return publish(spark, new, target_base, version=batch_id + 1)
+    return publish(spark, new, target_base, version=version)
 
 
 def start_landed_sync(spark: SparkSession, landed_dir: str, target_base: str, source: str, table: str,
                       row_schema, checkpoint: str, payload: str = "odata",
                       max_files_per_trigger: int | None = None, plan: DataFrame | None = None) -> StreamingQuery:
     """Start the stream; the caller waits with ``awaitTermination()``."""
+    stream_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]      # a checkpoint is a stream's identity
     reader = spark.readStream.schema(LANDED_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(landed_dir)
 
     def _process(batch: DataFrame, batch_id: int) -> None:
-        sync_batch(spark, batch, batch_id, target_base, source, table, row_schema, payload, plan=plan)
+        sync_batch(spark, batch, batch_id, target_base, source, table, row_schema, payload, plan=plan, stream_id=stream_id)
 
     return (stream.writeStream.foreachBatch(_process)
             .option("checkpointLocation", checkpoint)

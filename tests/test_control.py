@@ -16,11 +16,11 @@ def test_control_scans_with_equality_filters(spark, tmpdir_path):
                           control.ADMINISTRATIE).write.parquet(adm)
     a = control.read_control(spark, adm, control.ADMINISTRATIE)
     assert rows(control.administrations_for(a, 7), "AdministratieID") == [(1,)]
-    tab = spark.createDataFrame([(1, "exact", "Relaties", "crm/Accounts"), (2, "afas", "Relaties", "Finnit_Relaties")],
+    tab = spark.createDataFrame([(1, "exact", "Relaties", "crm/Accounts"), (2, "afas", "Relaties", "Demo_Relaties")],
                                 control.TABELLEN)
     assert rows(control.tables_for_application(tab, "exact"), "TabelID") == [(1,)]
     assert rows(control.endpoint_for(control.tables_for_application(tab, "afas"), "Relaties")) == [
-        ("Relaties", "Finnit_Relaties")]
+        ("Relaties", "Demo_Relaties")]
     m = spark.createDataFrame([(1, "a", "A", "int"), (2, "b", "B", None)], control.TABELLEN_MAPPING)
     assert rows(control.mapping_for_table(m, 2), "Bronkolom") == [("b",)]
     k = spark.createDataFrame([(1, 5, "Relaties", True), (1, 6, "Budget", False)], control.TABEL_ADMIN_KOPPELING)

@@ -2,6 +2,7 @@
 
 import os
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from konform.plans import publish, runs
@@ -24,7 +25,9 @@ def _pages(spark, label, bad_voorraad=False):
              .agg(F.concat(F.lit('{"d":{"results":['), F.concat_ws(",", F.collect_list("rec")), F.lit("]}}"))
                   .alias("body"))
              .select(F.lit("accounting").alias("source"), "tenant", F.lit("ArtikelGroepen").alias("table"),
-                     F.col("page_no").cast("long"), "body", F.lit(None).cast("string").alias("next_token")))
+                     F.col("page_no").cast("long"), "body",
+                     # every page but a tenant's last names the next one
+                     F.when(F.col("page_no") < F.max("page_no").over(Window.partitionBy("tenant")), "next").alias("next_token")))
     if bad_voorraad:
         bad = spark.createDataFrame([("accounting", "1", "Voorraad", 0, '{"d":{"results":[{"ID":"not-a-uuid"}]}}', None)],
                                     pages.schema)
@@ -47,13 +50,14 @@ def test_run_source_upserts_appends_and_blocks_watermark(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "tables")
     parts = spark.read.parquet(f"{SF_SMALL}/part.parquet")
     n, n1 = parts.count(), parts.filter("p_partkey < 100").count()
-    r1 = run_source(spark, "accounting", _pages(spark, " v1"), _work(spark, ["ArtikelGroepen"]), root, RUN_START)
+    r1 = run_source(spark, "accounting", _pages(spark, " v1"), _work(spark, ["ArtikelGroepen"]), root, RUN_START,
+                    in_place=False)
     assert r1.ok and r1.watermark == "2024-06-30T12:00:00"
     t = publish.read_current(spark, f"{root}/accounting/ArtikelGroepen")
     assert t.count() == n and t.columns == ["ID", "Code", "Omschrijving", "AdministratieCode"]
     # second run: tenant 1 (fresh watermark, keys) upserts; tenant 2 (no watermark) appends
     r2 = run_source(spark, "accounting", _pages(spark, " v2", bad_voorraad=True),
-                    _work(spark, ["ArtikelGroepen", "Voorraad"]), root, RUN_START)
+                    _work(spark, ["ArtikelGroepen", "Voorraad"]), root, RUN_START, in_place=False)
     outcome = {o["table"]: o["ok"] for o in r2.outcomes}
     assert outcome == {"ArtikelGroepen": True, "Voorraad": False}
     assert r2.watermark is None                       # a failed table blocks the watermark
@@ -69,8 +73,7 @@ def test_run_source_in_place(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "inplace")
     parts = spark.read.parquet(f"{SF_SMALL}/part.parquet")
     n, n1 = parts.count(), parts.filter("p_partkey < 100").count()
-    r1 = run_source(spark, "accounting", _pages(spark, " v1"), _work(spark, ["ArtikelGroepen"]), root, RUN_START,
-                    in_place=True)
+    r1 = run_source(spark, "accounting", _pages(spark, " v1"), _work(spark, ["ArtikelGroepen"]), root, RUN_START)
     assert r1.ok
     base = f"{root}/accounting/ArtikelGroepen"
     assert sorted(os.listdir(base))[:2] == ["AdministratieCode=1", "AdministratieCode=2"]
@@ -81,3 +84,70 @@ def test_run_source_in_place(spark, tmpdir_path):
     t = spark.read.schema(target_schema("accounting", "ArtikelGroepen")).parquet(base)
     assert t.filter("AdministratieCode = 1").count() == n1
     assert t.filter("AdministratieCode = 2").count() == 2 * (n - n1)
+
+
+PAGE_SCHEMA = "source string, tenant string, table string, page_no long, body string, next_token string"
+
+
+def _landed(spark, *pages, table="GrootboekRubriek", source="accounting"):
+    return spark.createDataFrame([(source, t, table, n, body, nxt) for t, n, body, nxt in pages], PAGE_SCHEMA)
+
+
+def _rubriek(n, naam="N", field="Description"):
+    from konform.schemas import column_mapping
+    import json
+    rec = {s: None for s, _ in column_mapping("accounting", "GrootboekRubriek") if s != "Division"}
+    rec.update({"ID": f"00000000-0000-0000-0000-{n:012d}", field: naam})
+    return json.dumps({"d": {"results": [rec]}})
+
+
+def _stored(spark, root, table="GrootboekRubriek"):
+    from konform.plans.run import target_schema
+    t = publish.read_tenants(spark, f"{root}/accounting/{table}", target_schema("accounting", table), "AdministratieCode")
+    return sorted((r["AdministratieCode"], r["ID"][-2:]) for r in t.collect())
+
+
+def test_nothing_is_lost_to_missing_or_broken_pages(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "loss")
+    go = lambda *pages: run_source(spark, "accounting", _landed(spark, *pages), _work(spark, ["GrootboekRubriek"]), root, RUN_START)
+    assert go(("1", 0, _rubriek(1), None), ("2", 0, _rubriek(2), None)).ok
+    both = [(1, "01"), (2, "02")]
+    assert _stored(spark, root) == both
+    # tenant 2 lands nothing: it stays
+    assert go(("1", 0, _rubriek(1), None)).ok and _stored(spark, root) == both
+    # an error page, a body that is cut off, a page chain that stops short: the tenant stays, the watermark too
+    for bad in ("<html>502</html>", _rubriek(3)[:-4], "", None):
+        r = go(("1", 0, _rubriek(1), None), ("2", 0, bad, None))
+        assert not r.ok and r.watermark is None and _stored(spark, root) == both
+    r = go(("1", 0, _rubriek(1), None), ("2", 0, _rubriek(4), "next"))
+    assert not r.ok and _stored(spark, root) == both
+    # a page behind any number of blanks is read
+    assert go(("2", 0, " " * 200 + "\n" * 100 + _rubriek(5).replace('{"d":', '{"d":' + " " * 90), None)).ok
+    assert _stored(spark, root) == [(1, "01"), (2, "05")]
+
+
+def test_a_field_the_api_dropped_fails_the_strict_map(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "strict")
+    body = _rubriek(1).replace('"ID"', '"Id2"')
+    r = run_source(spark, "accounting", _landed(spark, ("1", 0, body, None)), _work(spark, ["GrootboekRubriek"]), root, RUN_START)
+    assert not r.ok and "missing" in r.outcomes[0]["error"]
+
+
+def test_divisions_keep_the_operator_columns(spark, tmpdir_path):
+    from konform.plans.run import stored_schema
+    from konform.schemas import column_mapping, target_types
+    import json
+    root = os.path.join(tmpdir_path, "div")
+    base = f"{root}/accounting/Divisions"
+    names = [c for c, _ in target_types("accounting", "Divisions")]
+    row = {c: None for c in stored_schema("accounting", "Divisions").names} | {"Division": 1, "Entiteit": "old", "Status": 2, "Volledige_sync": 1}
+    publish.publish(spark, spark.createDataFrame([tuple(row[c] for c in stored_schema("accounting", "Divisions").names)],
+                                                 stored_schema("accounting", "Divisions")), base)
+    m = column_mapping("accounting", "Divisions") or [(c, c) for c in names]
+    recs = [{s: (d if t == "Division" else "new" if t == "Entiteit" else None) for s, t in m} for d in (1, 2)]
+    r = run_source(spark, "accounting", _landed(spark, ("1", 0, json.dumps({"d": {"results": recs}}), None), table="Divisions"),
+                   spark.createDataFrame([(1, "Divisions", None, 2023)], "tenant long, table_name string, watermark string, reporting_year int"),
+                   root, RUN_START)
+    assert r.ok, r.outcomes
+    got = sorted((x["Division"], x["Entiteit"], x["Status"], x["Volledige_sync"]) for x in publish.read_current(spark, base).collect())
+    assert got == [(1, "new", 2, 1), (2, "new", 0, 0)]

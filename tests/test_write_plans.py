@@ -188,12 +188,72 @@ def test_sync_tenant_partitions_in_place(spark, tmpdir_path):
     src = spark.createDataFrame([(1, 1, "A", 9.0), (5, 1, "e", 5.0)], schema)
     plan = spark.createDataFrame([(1, "none", "upsert", None, None), (3, "tenant", "append", None, None)],
                                  "tenant int, delete_rule string, write_rule string, year int, window_start string")
-    touched = sync_tenant_partitions(spark, path, src, plan, ["k"], "t", schema)
-    assert sorted(touched) == [1, 3]
+    before3 = sorted(os.listdir(os.path.join(path, "t=3")))
+    counts = sync_tenant_partitions(spark, path, src, plan, ["k"], "t", schema)
+    assert counts == {"rows": 2}
     out = spark.read.schema(schema).parquet(path)
-    assert rows(out, "k", "t", "v") == [(1, 1, "A"), (2, 2, "b"), (5, 1, "e")]
+    # tenant 3 is planned for a delete, but nothing arrived for it: it stays
+    assert rows(out, "k", "t", "v") == [(1, 1, "A"), (2, 2, "b"), (3, 3, "c"), (4, 3, "d"), (5, 1, "e")]
     assert sorted(os.listdir(os.path.join(path, "t=2"))) == untouched      # tenant 2 never rewritten
-    assert not os.path.exists(os.path.join(path, "t=3"))                    # emptied tenant removed
+    assert sorted(os.listdir(os.path.join(path, "t=3"))) == before3
+    assert not [n for n in os.listdir(path) if n.startswith("_pending")] and not os.listdir(os.path.join(path, "_staging"))
+
+
+def test_interrupted_commit_is_finished_before_the_next_read(spark, tmpdir_path):
+    from konform.plans import publish as pub
+    path = os.path.join(tmpdir_path, "redo")
+    df = spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "k long, t int")
+    df.write.partitionBy("t").parquet(path)
+    # a commit that was cut off after its marker: the slice is whole, the table still old
+    spark.createDataFrame([(1,), (3,)], "t int").write.parquet(f"{path}/_pending/touched")
+    spark.createDataFrame([(9, 1)], "k long, t int").write.parquet(f"{path}/_pending/rows")
+    for _ in range(2):
+        assert rows(pub.read_tenants(spark, path, df.schema, "t"), "k", "t") == [(2, 2), (9, 1)]
+    # one that was cut off before its marker never happened
+    spark.createDataFrame([(1,)], "t int").write.parquet(f"{path}/_pending/touched")
+    assert rows(pub.read_tenants(spark, path, df.schema, "t"), "k", "t") == [(2, 2), (9, 1)]
+
+
+def _sync(spark, tgt, src, plan, keys=("k",), **kw):
+    from konform.plans.table_sync import sync_tenants
+    schema = "k long, t int, v string"
+    p = spark.createDataFrame(plan, "tenant int, delete_rule string, write_rule string, year int, window_start string")
+    return rows(sync_tenants(spark.createDataFrame(tgt, schema), spark.createDataFrame(src, schema), p, list(keys), "t", **kw), "k", "t", "v")
+
+
+def test_sync_tenants_changes_only_planned_tenants_with_rows(spark):
+    tgt = [(1, 1, "a"), (2, 2, "b"), (3, 3, "c"), (4, None, "n")]
+    plan = [(1, "tenant", "append", None, None), (2, "tenant", "append", None, None)]
+    # 2: nothing arrived; 3 and 9: not planned; null tenant: never matches
+    assert _sync(spark, tgt, [(7, 1, "x"), (8, 9, "y"), (8, 3, "z"), (5, None, "m")], plan) == \
+        sorted([(7, 1, "x"), (2, 2, "b"), (3, 3, "c"), (4, None, "n")], key=repr)
+    assert _sync(spark, tgt, [(7, 1, "x")], [(1, "none", "none", None, None)]) == sorted(tgt, key=repr)
+    assert _sync(spark, tgt, [(7, 1, "x")], [(1, "tenant", "append", None, None)], keys=()) == \
+        sorted([(7, 1, "x"), (2, 2, "b"), (3, 3, "c"), (4, None, "n")], key=repr)
+
+
+@pytest.mark.parametrize("src,plan,keys,text", [
+    ([(1, 1, "x"), (1, 1, "y")], [(1, "none", "upsert", None, None)], ("k",), "duplicate source keys"),
+    ([(1, 1, "x")], [(1, "none", "append", None, None), (1, "none", "append", None, None)], ("k",), "more than one plan row"),
+    ([(1, 1, "x")], [(1, "none", "merge", None, None)], ("k",), "unknown write rule"),
+    ([(1, 1, "x")], [(1, "gone", "append", None, None)], ("k",), "unknown delete rule"),
+    ([(1, 1, "x")], [(1, "none", "upsert", None, None)], (), "upsert without keys"),
+])
+def test_sync_tenants_fails_rather_than_guesses(spark, src, plan, keys, text):
+    with pytest.raises(Exception, match=text):
+        _sync(spark, [(1, 1, "a")], src, plan, keys)
+
+
+def test_upsert_duplicate_and_partial_sources(spark):
+    tgt = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], "k long, v string, p double")
+    part = spark.createDataFrame([(2, 9.0), (3, 8.0)], "k long, p double")
+    assert rows(write.upsert(tgt, part, ["k"])) == sorted([(1, "a", 1.0), (2, "b", 9.0), (3, None, 8.0)], key=repr)
+    assert rows(write.upsert_changed(tgt, part, ["k"], with_action=False)) == sorted([(1, "a", 1.0), (2, "b", 9.0), (3, None, 8.0)], key=repr)
+    twice = spark.createDataFrame([(2, "x", 9.0), (2, "y", 8.0)], tgt.schema)
+    with pytest.raises(Exception, match="duplicate source keys"):
+        write.upsert(tgt, twice, ["k"]).collect()
+    nulls = spark.createDataFrame([(None, "x", 9.0), (None, "y", 8.0)], tgt.schema)      # null keys never match
+    assert write.upsert(tgt, nulls, ["k"]).count() == 4
 
 
 def test_erp_deletes_by_environment(spark):
@@ -208,9 +268,9 @@ def test_sync_tenants_company_year_and_all(spark):
     from konform.plans.table_sync import sync_tenants
     tgt = spark.createDataFrame([(1, 10, 2024, 1.0), (2, 10, 2025, 2.0), (3, 11, 2025, 3.0), (4, 12, 2025, 4.0)],
                                 "k long, BedrijfID long, Jaar int, v double")
-    src = spark.createDataFrame([(5, 10, 2025, 5.0)], "k long, BedrijfID long, Jaar int, v double")
+    src = spark.createDataFrame([(5, 10, 2025, 5.0), (6, 11, 2024, 6.0)], "k long, BedrijfID long, Jaar int, v double")
     plan = spark.createDataFrame([(10, "company_year", "append", 2025, None), (11, "all", "append", None, None)],
                                  "tenant long, delete_rule string, write_rule string, year int, window_start string")
     out = sync_tenants(tgt, src, plan, ["k"], "BedrijfID", year_col="Jaar")
     # company 10: only its 2025 rows go; company 11: all its rows go; company 12 has no plan row: kept
-    assert rows(out, "k") == [(1,), (4,), (5,)]
+    assert rows(out, "k") == [(1,), (4,), (5,), (6,)]
