@@ -163,3 +163,20 @@ def coerce_audit(spark, sf):
                c_decimal="CASE WHEN o_orderkey % 11 = 0 THEN 'x' || CAST(o_orderkey AS STRING) "
                          "ELSE CAST(o_custkey AS STRING) END")
     return C.audit(raw, AUDIT_TYPES, C.ACCOUNTING)
+
+
+_BAD = {"amount": ("decimal", "CASE WHEN o_orderkey % 13 = 0 THEN 'x' || CAST(o_orderkey % 5 AS STRING) WHEN o_orderkey % 17 = 1 THEN '1.12345678901'"
+                              " WHEN o_orderkey % 19 = 2 THEN NULL ELSE CAST(o_orderkey AS STRING) || '.50' END", "o_orderkey % 13 = 0 OR o_orderkey % 17 = 1"),
+        "count": ("int", "CASE WHEN o_orderkey % 11 = 3 THEN 'n/a' ELSE CAST(o_custkey AS STRING) END", "o_orderkey % 11 = 3"),
+        "paid": ("bit", "CASE WHEN o_orderkey % 7 = 1 THEN 'maybe' ELSE 'TRUE' END", "o_orderkey % 7 = 1")}
+
+
+@query("audit_values", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS type_name, {e.replace('STRING', 'VARCHAR')} AS value, count(*) AS n FROM orders WHERE {bad} GROUP BY ALL"
+    for c, (t, e, bad) in _BAD.items()))
+def audit_values(spark, sf):
+    """Every distinct value that does not convert, with its count."""
+    from ..functions import coerce
+
+    rows = load(spark, sf, "orders").select(*[F.expr(e).alias(c) for c, (_, e, _) in _BAD.items()])
+    return coerce.audit_values(rows, [(c, t) for c, (t, _, _) in _BAD.items()])

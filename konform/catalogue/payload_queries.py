@@ -389,3 +389,46 @@ def accounting_relaties(spark, sf):
                   .alias("body")))
     schema = T.StructType([T.StructField(s, T.StringType()) for s in sources])
     return conform_records(payloads.odata_rows(pages, schema), "accounting", "Relaties")
+
+
+# ------------------------------------------------------ pages a run can rely on
+_LANDED_BODY = """CASE WHEN c_custkey % 307 = 7 THEN '<html>502</html>'
+ WHEN c_custkey % 211 = 5 THEN '{"d":{"results":[{"c_custkey":' || CAST(c_custkey AS STRING) || '}'
+ ELSE repeat(' ', CAST(c_custkey % 97 AS INT)) || '{"d":' || repeat(' ', CAST(c_custkey % 89 AS INT)) || '{"results":[{"c_custkey":'
+      || CAST(c_custkey AS STRING) || '}]}}' END"""
+
+
+def landed_customers(spark, sf):
+    """One page per customer, chained per nation: some bodies are error pages or cut off, all others start behind
+    blanks; the chain of every fifth nation names a page that never came."""
+    c = load(spark, sf, "customer")
+    last = c.groupBy(F.col("c_nationkey").alias("_n")).agg(F.max("c_custkey").alias("_last"))
+    return (c.join(last, F.col("c_nationkey") == F.col("_n"))
+            .select(F.col("c_nationkey").cast("long").alias("tenant"), F.col("c_custkey").alias("page_no"), F.expr(_LANDED_BODY).alias("body"),
+                    F.when((F.col("c_custkey") < F.col("_last")) | (F.col("c_nationkey") % 5 == 2), "next").alias("next_token")))
+
+
+@query("page_quality", """
+WITH p AS (SELECT CAST(c_nationkey AS BIGINT) AS tenant, c_custkey % 307 = 7 OR c_custkey % 211 = 5 AS bad, c_nationkey % 5 <> 2 AS chained FROM customer)
+SELECT tenant, count(*) AS n_pages, CAST(sum(CAST(bad AS BIGINT)) AS BIGINT) AS n_unreadable, bool_and(chained) AS complete,
+       NOT bool_or(bad) AND bool_and(chained) AS usable, CAST(sum(CASE WHEN bad THEN 0 ELSE 1 END) AS BIGINT) AS n_rows
+FROM p GROUP BY tenant
+""")
+def page_quality(spark, sf):
+    pages = landed_customers(spark, sf)
+    quality = payloads.page_quality(pages, ["tenant"])
+    n = (payloads.odata_rows(pages, "c_custkey long", keep=["tenant"]).groupBy("tenant").agg(F.count("c_custkey").alias("n_rows")))
+    return quality.join(n, "tenant", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("long")))
+
+
+@query("observed_fields", """
+SELECT CAST(c_nationkey AS BIGINT) AS tenant, f.field, count(*) AS n
+FROM customer JOIN (VALUES ('c_custkey'), ('c_name'), ('c_acctbal')) AS f(field)
+  ON f.field <> 'c_acctbal' OR c_acctbal < 0 GROUP BY ALL
+""")
+def observed_fields(spark, sf):
+    """Which fields the API sent, per tenant: the balance only comes where it is negative."""
+    rec = F.to_json(F.struct("c_custkey", "c_name", F.when(F.col("c_acctbal") < 0, F.col("c_acctbal")).alias("c_acctbal")))
+    pages = load(spark, sf, "customer").select(F.col("c_nationkey").cast("long").alias("tenant"),
+                                               F.concat(F.lit('{"d":['), rec, F.lit("]}")).alias("body"))
+    return payloads.observed_fields(pages, keep=["tenant"])

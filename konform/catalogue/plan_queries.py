@@ -273,3 +273,50 @@ def run_log(spark, sf):
     return e.select(F.col("user_id").alias("KlantID"), F.col("event_id").alias("ScriptID"),
                     message_tail(msg).alias("Actie"), message_tail(msg, "-").alias("ActieKort"),
                     elapsed_hms(secs).alias("Duur"), local_time(F.col("ts")).alias("DatumTijd"))
+
+
+# --------------------------------------------------- W16 + G: a whole run's plan
+_RUN_TABLES = ("VerkoopOrders", "GrootboekMutaties", "ReportingBalance", "ArtikelGroepen", "Divisions")
+_RUN_CFG = ", ".join(f"('{t}', '{m}', {str(bool(k)).lower()})" for s, t, m, k, _ in rules.write_config_rows()
+                     if s == "accounting" and t in _RUN_TABLES)
+
+
+@query("run_plan", f"""
+WITH items AS (SELECT c.c_custkey AS tenant, w.*, {_WM_SQL} AS wm FROM customer c
+               JOIN (VALUES {_RUN_CFG}) AS w(table_name, table_mode, has_keys) ON true),
+j AS (SELECT *, {_AGE_SQL} AS age FROM items)
+SELECT tenant, table_name,
+  CASE WHEN table_name = 'Divisions' THEN 'none' WHEN COALESCE(age > 2.0, false) THEN 'tenant'
+       WHEN table_mode = 'truncate' THEN 'tenant' WHEN table_mode = 'reporting_year' THEN 'year_window' ELSE 'none' END AS delete_rule,
+  CASE WHEN table_name = 'Divisions' THEN 'upsert_preserving'
+       WHEN COALESCE(age > 2.0, false) OR table_mode IN ('truncate', 'reporting_year') THEN 'append'
+       WHEN age IS NOT NULL AND has_keys THEN 'upsert' ELSE 'append' END AS write_rule,
+  CAST(2023 AS INTEGER) AS year, CAST(make_date(CAST(year({AS_OF_SQL} - INTERVAL 365 DAY) AS BIGINT), 1, 1) AS TIMESTAMP) AS window_start
+FROM j
+""")
+def run_plan(spark, sf):
+    """What a run decides for every customer and table (the plan that ``run_source`` follows)."""
+    from ..plans.run import plan_items
+
+    work = _watermark(spark, sf).select(F.col("c_custkey").alias("tenant"), "watermark", F.lit(2023).alias("reporting_year"),
+                                        F.explode(F.array(*[F.lit(t) for t in _RUN_TABLES])).alias("table_name"))
+    return plan_items(work, "accounting", "Wijzigingen", AS_OF).select("tenant", "table_name", "delete_rule", "write_rule", "year", "window_start")
+
+
+@query("run_log_rows", f"""
+SELECT CAST(o_custkey AS INTEGER) AS KlantID, 'Customer ' || CAST(o_custkey AS VARCHAR) AS KlantNaam,
+       CAST(o_orderkey % 97 AS INTEGER) AS AdministratieID, 'Adm ' || CAST(o_orderkey % 97 AS VARCHAR) AS AdministratieNaam,
+       'accounting' AS ApplicatieNaam, o_orderpriority AS Tabel, {AS_OF_SQL} AS DatumTijd,
+       o_orderpriority || CASE WHEN o_orderstatus = 'F' THEN ' - failed' ELSE ' - synchronised' END AS Actie,
+       CASE WHEN o_orderstatus = 'F' THEN 'ERROR' ELSE 'INFO' END AS TypeActie, 'Wijzigingen' AS ScriptType, CAST(7 AS INTEGER) AS ScriptID
+FROM orders
+""")
+def run_log_rows(spark, sf):
+    """The 11 fields of the run log, one row per table outcome."""
+    o = load(spark, sf, "orders")
+    text = lambda c: c.cast("string")
+    adm = F.col("o_orderkey") % 97
+    outcomes = o.select(F.col("o_custkey").cast("int").alias("KlantID"), F.concat(F.lit("Customer "), text(F.col("o_custkey"))).alias("KlantNaam"),
+                        adm.cast("int").alias("AdministratieID"), F.concat(F.lit("Adm "), text(adm)).alias("AdministratieNaam"),
+                        F.col("o_orderpriority").alias("Tabel"), (F.col("o_orderstatus") != "F").alias("ok"), F.lit("failed").alias("error"))
+    return runs.log_frame(outcomes, "accounting", 7, "Wijzigingen", _as_of())

@@ -101,6 +101,45 @@ def to_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
     w.save()
 
 
+def to_jdbc_staged(spark: SparkSession, df: DataFrame, url: str, table: str, keys: list[str] | None = None,
+                   properties: dict | None = None, batchsize: int = 10_000) -> int:
+    """Upsert (with ``keys``) or append through a staging table, in one transaction.
+
+    Executors only write the staging table, which is made anew each time.  If its row count is not the number of
+    rows Spark produced (a retried task inserted twice), nothing reaches the target.  Then one connection
+    replaces the matching rows and inserts the staged ones, or rolls back.  Returns the rows written.
+    """
+    staging = f"{table}_STAGING"
+    obs = Observation("jdbc_rows")
+    to_jdbc(df.observe(obs, F.count(F.lit(1)).alias("rows")), url, staging, "overwrite", properties, batchsize)
+    produced = obs.get["rows"]
+    jvm = spark.sparkContext._jvm
+    conn = jvm.java.sql.DriverManager.getConnection(url)
+    q = lambda c: f'"{c}"'
+    try:
+        conn.setAutoCommit(False)
+        st = conn.createStatement()
+        rs = st.executeQuery(f"SELECT count(*) FROM {staging}")
+        rs.next()
+        staged = rs.getLong(1)
+        if staged != produced:
+            raise RuntimeError(f"{staging} holds {staged} rows, {produced} were produced")
+        if keys:
+            same = " AND ".join(f"s.{q(k)} = {table}.{q(k)}" for k in keys)
+            st.executeUpdate(f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {staging} s WHERE {same})")
+        cols = ", ".join(q(c) for c in df.columns)
+        st.executeUpdate(f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging}")
+        conn.commit()
+        st.executeUpdate(f"DROP TABLE {staging}")
+        conn.commit()
+    except Exception:
+        conn.rollback()
+        raise
+    finally:
+        conn.close()
+    return produced
+
+
 # ------------------------------------------------ tenant-partitioned, in place
 def stage(spark: SparkSession, df: DataFrame, root: str) -> DataFrame:
     """Write ``df`` once below ``root`` (beside the target, on the same shared store) and read it back:

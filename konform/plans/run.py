@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.coerce import POLICIES, SPARK_TYPES, audit_values
+from ..operators import write
 from ..schemas import DIVISION_OPERATOR_COLUMNS, NESTED, column_mapping, target_types, write_config
 from ..sources.payloads import JSON_PAYLOADS, observed_fields, page_quality
 from . import publish, rules, runs, sync
@@ -151,6 +152,8 @@ def _run_table(spark: SparkSession, source: str, table: str, landed: DataFrame,
 
 
 def _apply(spark: SparkSession, source: str, table: str, cfg, base: str, new_rows: DataFrame, plan_t: DataFrame, in_place: bool):
+    if not write.validate_write(new_rows, table, list(cfg.keys)):
+        return 0                                             # nothing arrived: nothing changes
     year_col, date_col = WINDOW_COLUMNS.get((source, table), (None, None))
     tenant_col = delete_tenant_column(source, table)
     rules_used = {r["write_rule"] for r in plan_t.select("write_rule").distinct().collect()}   # a handful of names
@@ -169,8 +172,6 @@ def _apply(spark: SparkSession, source: str, table: str, cfg, base: str, new_row
         steps = plan_t.select("delete_rule", "write_rule", "year", "window_start").distinct().collect()
         if len(steps) != 1:
             raise ValueError(f"{table}: {len(steps)} different rules for one table")
-        if new_rows.isEmpty():
-            return 0
         r = steps[0]
         new = apply_step(current, new_rows, Step(source, table, r["delete_rule"], r["write_rule"], year=r["year"],
                                                  window_start=r["window_start"], year_column=year_col, date_column=date_col))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,9 +46,15 @@ def log_rows(spark: SparkSession, entries: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, LOG_SCHEMA)
 
 
+def log_frame(outcomes: DataFrame, application: str, run_id: int, script: str, at) -> DataFrame:
+    """G4 for a frame of outcomes (customer, administration, table, ``ok``, ``error``): the 11 log fields."""
+    action = F.concat(F.col("Tabel"), F.lit(" - "), F.when(F.col("ok"), F.lit("synchronised")).otherwise(F.col("error")))
+    at = at if isinstance(at, Column) else F.lit(str(at)).cast("timestamp_ntz")
+    extra = {"ApplicatieNaam": F.lit(application), "DatumTijd": at.cast("timestamp_ntz"), "Actie": action,
+             "TypeActie": F.when(F.col("ok"), "INFO").otherwise("ERROR"), "ScriptType": F.lit(script), "ScriptID": F.lit(run_id)}
+    return outcomes.select(*[(extra[f.name] if f.name in extra else F.col(f.name)).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA.fields])
+
+
 def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
-
-def now_utc() -> datetime:
-    return datetime.utcnow().replace(microsecond=0)

@@ -207,7 +207,7 @@ def strip_bom(body: Column) -> Column:
 def elements(xml: Column, name: str) -> Column:
     """Every element of this local name as its own XML text, at any depth (it must not nest in itself)."""
     tag = rf"(?:[\w.-]+:)?{re.escape(name)}"
-    return F.regexp_extract_all(xml, F.lit(rf"(?s)<{tag}(?:\s[^>]*)?(?:(?<=/)>|(?<!/)>.*?</{tag}\s*>)"), F.lit(0))
+    return F.regexp_extract_all(xml, F.lit(rf"(?s)<{tag}(?:\s[^>]*?)?(?:/>|(?<!/)>.*?</{tag}\s*>)"), F.lit(0))
 
 
 def atom_rows(pages: DataFrame, fields: list[str], keep: list[str] | None = None,

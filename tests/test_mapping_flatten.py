@@ -107,3 +107,23 @@ def test_forward_fill_document(spark):
                                "seq long, QuotationID string, Currency string, ID string").withColumn("t", F.lit(1))
     out = flatten.forward_fill_document(df, "Offertes", "seq", ["t"])
     assert [tuple(r) for r in out.select("QuotationID", "Currency", "ID").collect()] == [("Q1", "EUR", "l")]
+
+
+def test_fill_by_document_keeps_the_line_description(spark):
+    from konform.operators import flatten
+    schema = "tenant string, seq long, InvoiceID string, Description string, Quantity double"
+    for t in ("1", None):                                    # a null tenant is a stream of its own
+        df = spark.createDataFrame([(t, 0, "i1", "HEAD", None), (t, 1, None, "line one", 1.0), (t, 900, None, "line two", 2.0),
+                                    (t, 901, "i2", None, None), (t, 902, None, "line three", 3.0)], schema)
+        for bucket in (1, 2, 1000):
+            out = flatten.forward_fill_document(df, "Verkoopfacturen", "seq", ["tenant"], bucket_rows=bucket)
+            got = sorted((r["seq"], r["InvoiceID"], r["Description"], r["Invoice_Description"]) for r in out.collect())
+            assert got == [(1, "i1", "line one", "HEAD"), (900, "i1", "line two", "HEAD"), (902, "i2", "line three", None)]
+
+
+def test_empty_frame_carries_its_columns(spark):
+    from pyspark.sql import types as T
+
+    from konform.operators import mapping
+    assert mapping.empty_frame(spark, ["a", "b"]).dtypes == [("a", "string"), ("b", "string")]
+    assert mapping.empty_frame(spark, T.StructType([T.StructField("n", T.LongType())])).dtypes == [("n", "bigint")]

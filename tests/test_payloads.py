@@ -121,3 +121,41 @@ def test_delimited_sample(spark, tmpdir_path):
                            T.StructField("AmountDC", T.DoubleType())])
     got = [tuple(r) for r in read_delimited(spark, path, schema).collect()]
     assert got == [("Q1", "Head", -0.0), (None, "Line", 12.5)]
+
+
+def test_readable_and_page_quality(spark):
+    bodies = [('{"d":{"results":[]}}', "odata", True), ('  [{"a":1}]', "odata", True), ('{"d":{"results":[{"a":1}', "odata", False),
+              ("<html>502</html>", "odata", False), ("", "odata", False), (None, "odata", False), ('{"rows":[{"a":', "rows", False),
+              ("<f><entry/></f>", "atom", True), ("<f><entry>", "atom", False), ('{"d":[]}', "atom", False), (None, "wage", False)]
+    for body, payload, want in bodies:
+        df = spark.createDataFrame([(body,)], "body string")
+        assert df.select(payloads.readable(F.col("body"), payload)).first()[0] is want, body
+    df = spark.createDataFrame([("1", 0, bodies[0][0], "n"), ("1", 1, bodies[2][0], None), ("2", 0, bodies[0][0], "n"), ("3", 0, bodies[0][0], None)],
+                               "tenant string, page_no long, body string, next_token string")
+    got = {r["tenant"]: (r["n_pages"], r["n_unreadable"], r["complete"], r["usable"]) for r in payloads.page_quality(df, ["tenant"]).collect()}
+    assert got == {"1": (2, 1, True, False), "2": (1, 0, False, False), "3": (1, 0, True, True)}
+
+
+def test_whole_bodies_decide_the_shape(spark):
+    pad = " " * 90 + "\n" * 64
+    df = spark.createDataFrame([(pad + '{"d":' + pad + '{"results":[{"a":"1"}]}}',), (pad + '[{"a":"2"}]',), ('{' + pad + '"d":[{"a":"3"}]}',)], "body string")
+    assert sorted(r["a"] for r in payloads.odata_rows(df, "a string").collect()) == ["1", "2", "3"]
+    ends = spark.createDataFrame([("/api/admdat/",), ("/api/admdat",), ("/api/admdat/?x=1",), ("/api/admdat?x=a/b",)], "e string")
+    assert {r[0] for r in ends.select(payloads.resource_of(F.col("e"))).collect()} == {"admdat"}
+
+
+def test_elements_at_any_depth(spark):
+    atom = ('<feed xmlns:m="m" xmlns:d="d"><entry><content/><m:properties><d:A>1</d:A></m:properties></entry>'
+            '<x><entry><content><m:properties><d:A m:null="true"/></m:properties></content></entry></x></feed>')
+    df = spark.createDataFrame([(atom,)], "body string")
+    assert sorted((r["A"] for r in payloads.atom_rows(df, ["A"]).collect()), key=str) == ["1", None]
+    extra = "<r><element><ItemID> a </ItemID></element><list><y><element><ItemID>b</ItemID></element></y></list><element/></r>"
+    got = payloads.extra_field_rows(spark.createDataFrame([(extra,)], "body string")).collect()
+    assert sorted((r["ItemID"] for r in got), key=str) == [None, "a", "b"]
+
+
+def test_observed_fields(spark):
+    df = spark.createDataFrame([('{"d":{"results":[{"a":1,"b":null},{"a":2}]}}',), ('[{"c":{"x":1}}]',), ('{"e":1}',)], "body string")
+    assert {r["field"]: r["n"] for r in payloads.observed_fields(df).collect()} == {"a": 2, "b": 1, "c": 1, "e": 1}
+    rows_ = spark.createDataFrame([('{"rows":[{"a":1}]}',)], "body string")
+    assert [r["field"] for r in payloads.observed_fields(rows_, "rows").collect()] == ["a"]

@@ -151,3 +151,32 @@ def test_divisions_keep_the_operator_columns(spark, tmpdir_path):
     assert r.ok, r.outcomes
     got = sorted((x["Division"], x["Entiteit"], x["Status"], x["Volledige_sync"]) for x in publish.read_current(spark, base).collect())
     assert got == [(1, "new", 2, 1), (2, "new", 0, 0)]
+
+
+def test_finish_run_writes_log_and_state(spark, tmpdir_path):
+    from konform.plans.run import RunResult, finish_run
+    log, state = os.path.join(tmpdir_path, "log"), os.path.join(tmpdir_path, "state")
+    config = spark.createDataFrame([("K", "2024-01-01T00:00:00", 2022)], "klant string, watermark string, reporting_year int")
+    for ok, want in ((True, ("2024-06-30T12:00:00", 2023)), (False, ("2024-01-01T00:00:00", 2022))):
+        r = RunResult([{"table": "T", "ok": ok, "error": "broke"}])
+        entries = log_entries(r, "K", 7, "Wijzigingen", None, klant_id=3, administration=(4, "A"), application="accounting")
+        finish_run(spark, r, entries, log, config, ["klant"], RUN_START, "Wijzigingen", state)
+        got = spark.read.parquet(state).first()
+        assert (got["watermark"], got["reporting_year"]) == want
+    rows_ = spark.read.parquet(log)
+    assert rows_.count() == 2 and len(rows_.columns) == 11 and rows_.filter("KlantID = 3 and AdministratieID = 4 and TypeActie = 'ERROR'").count() == 1
+
+
+def test_payroll_xml_run(spark, tmpdir_path):
+    """XML forms go through the same run: unreadable reports are an error, the year is a constant."""
+    from konform.schemas import column_mapping
+    root = os.path.join(tmpdir_path, "payroll")
+    fields = [s for s, t in column_mapping("payroll", "Bedrijven") if t != "Jaar"]
+    item = "".join(f"<{f}>{'1' if 'ID' in f or 'Number' in f else 'x'}</{f}>" for f in fields)
+    body = f"<Company_GetListResponse><Result><Company>{item}</Company></Result></Company_GetListResponse>"
+    work = spark.createDataFrame([(1, "Bedrijven", None, 2023)], "tenant long, table_name string, watermark string, reporting_year int")
+    go = lambda b: run_source(spark, "payroll", _landed(spark, ("1", 0, b, None), table="Bedrijven", source="payroll"), work, root, RUN_START,
+                              payload="elements", path=["Result", "Company"])
+    r = go(body)
+    assert r.ok and r.outcomes[0]["rows"] == 1, r.outcomes
+    assert not go(body[:-9]).ok

@@ -111,3 +111,17 @@ def test_replayed_batch_is_not_applied_twice(spark, tmpdir_path):
     assert first.endswith("v=00000001") and again is None
     assert publish.versions(spark, target) == [1]
     assert publish.read_current(spark, target).count() == parts.count()
+
+
+def test_a_new_stream_on_an_existing_table_loses_no_batch(spark, tmpdir_path):
+    from konform.streaming.landed_stream import batch_version, sync_batch
+    parts = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    target = os.path.join(tmpdir_path, "second")
+    go = lambda label, batch, stream: sync_batch(spark, _landed(spark, parts, label), batch, target, "accounting", "ArtikelGroepen", ROW,
+                                                 stream_id=stream)
+    assert go(" v1", 0, "one").endswith("v=00000001") and go(" v2", 1, "one").endswith("v=00000002")
+    assert go(" v3", 0, "two").endswith("v=00000003") and go(" v3", 0, "two") is None       # another checkpoint starts at 0
+    assert publish.read_current(spark, target).filter(F.col("Omschrijving").endswith(" v3")).count() == parts.count()
+    # noted but not committed: the replay writes the same version
+    assert batch_version(spark, target, "two", 1) == (4, False) and batch_version(spark, target, "two", 1) == (4, False)
+    assert go(" v4", 1, "two").endswith("v=00000004")

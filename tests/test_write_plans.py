@@ -85,6 +85,20 @@ def test_jdbc_sink_in_memory_derby(spark):
     assert rows(back) == [(1, "a"), (2, "b")]
 
 
+def test_jdbc_staged_upsert(spark):
+    url = "jdbc:derby:memory:konform_staged;create=true"
+    driver = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    publish.to_jdbc(spark.createDataFrame([(1, "a"), (2, "b")], "K BIGINT, V STRING"), url, "T", "overwrite", driver)
+    new = spark.createDataFrame([(2, "B"), (3, "c")], "K BIGINT, V STRING")
+    read = lambda: rows(spark.read.format("jdbc").option("url", url).option("dbtable", "T").options(**driver).load())
+    assert publish.to_jdbc_staged(spark, new, url, "T", keys=["K"], properties=driver) == 2
+    assert read() == [(1, "a"), (2, "B"), (3, "c")]
+    # a failure after staging leaves the target as it was
+    with pytest.raises(Exception):
+        publish.to_jdbc_staged(spark, new.withColumnRenamed("V", "W"), url, "T", keys=["K"], properties=driver)
+    assert read() == [(1, "a"), (2, "B"), (3, "c")]
+
+
 def test_sync_modes_and_windows(spark):
     as_of = F.lit("2024-06-30 12:00:00").cast("timestamp_ntz")
     df = spark.createDataFrame([("2023-01-01T00:00:00", "Wijzigingen"), (None, "Wijzigingen"),
