@@ -226,11 +226,13 @@ def list_unnest(spark, sf):
     o = load(spark, sf, "orders")
     li = load(spark, sf, "lineitem")
     fields = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"]
-    # Partitioned by order key once: the (order, chunk) grouping needs no other shuffle.
-    lists = (li.repartition("l_orderkey")
-             .select("l_orderkey", bounded_chunk().alias("chunk"), F.struct(*fields).alias("rec"))
-             .groupBy("l_orderkey", "chunk").agg(F.collect_list("rec").alias("line")))
-    docs = o.join(lists, o.o_orderkey == lists.l_orderkey, "left").drop("l_orderkey", "chunk")
+    # The join deals both sides by order key; nesting (order, chunk) lists needs no further shuffle, and a chunk
+    # bounds every list however many lines an order has.
+    joined = o.join(li.select("l_orderkey", bounded_chunk().alias("chunk"), F.struct(*fields).alias("rec")),
+                    F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    docs = (joined.groupBy("o_orderkey", "chunk").agg(F.any_value(F.struct(*[F.col(c) for c in o.columns if c != "o_orderkey"])).alias("_o"),
+                                                      F.collect_list("rec").alias("line"))
+            .select("o_orderkey", "_o.*", "line"))
     return payloads.unnest_list(docs, "line")
 
 
