@@ -12,7 +12,7 @@ hold every pair of equal strings in one bucket.
    every string start, the previous and the next *smaller position* in suffix order
    give the longest earlier match: LPF = the larger of the two common prefixes.  The
    mirrored arrays (greater positions) give later matches.
-4. Buckets with very many different blocks (a common line in different surroundings) are
+4. Buckets beyond ``BUCKET_BYTES`` (a very common line in different surroundings) are
    not sorted in one task: their strings are grouped by hash over the cluster,
    and the group's first position takes the place of the smaller position.
 
@@ -42,8 +42,8 @@ from . import textvec as tv
 LENGTH = 200
 SEED = 32
 SLICE = 2 << 20                 # a longer text is scanned in slices that overlap by LENGTH - 1
-BUCKET_BLOCKS = 256             # different blocks of one anchor that are sorted in one task
-SORT_BYTES = 1 << 19            # bytes sorted at once
+BUCKET_BYTES = 4 << 20          # blocks of one anchor that one task may put in suffix order
+SORT_BYTES = 1 << 19            # bytes sorted at once where buckets are small
 POS_BITS = 23
 KEY = ("_id", "_k")
 
@@ -249,7 +249,7 @@ def _whole_buckets(batches):
                 if end:
                     yield t.slice(0, end)
                 held = [t.slice(end)]
-                size = held[0]["bytes"].nbytes if held[0].num_rows < BUCKET_BLOCKS else 0
+                size = held[0]["bytes"].nbytes
     if held:
         t = pa.concat_tables(held).combine_chunks()
         if t.num_rows:
@@ -309,7 +309,8 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     whole = twice.select("_k", "s", "n", F.explode(F.when(F.struct("_id", "_k", "s", "n") == F.col("first"), F.array(F.lit(False)))
                                                   .otherwise(F.array(F.lit(False), F.lit(True)))).alias("earlier"))
     # buckets with different blocks: their representatives' bytes
-    sizes = blocks.groupBy("a").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    sizes = (blocks.groupBy("a").agg(F.count(F.lit(1)).alias("_m"), F.sum(F.col("first.n") + (length - 1)).alias("m"))
+             .filter("_m > 1").drop("_m"))                              # m: bytes of the bucket
     reps = (blocks.join(sizes, "a").select(F.col("first._k").alias("_k"), F.struct("a", F.col("first._id").alias("_id"), F.col("first.s").alias("s"),
                                                                                 F.col("first.n").alias("n"), (F.col("c") > 1).alias("many"), "m").alias("r"))
             .groupBy("_k").agg(F.collect_list("r").alias("r")))         # at most one entry per run of the document
@@ -330,8 +331,8 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         cut, "a long, _id long, _k long, s long, n int, many boolean, m long, bytes binary").dropDuplicates(["a", "_k", "s"])
     found.write.parquet(f"{base}/bytes")
     found = spark.read.parquet(f"{base}/bytes")
-    parts = whole.unionByName(_sorted_buckets(found.filter(F.col("m") <= BUCKET_BLOCKS), length)) \
-        .unionByName(_grouped_buckets(found.filter(F.col("m") > BUCKET_BLOCKS), length))
+    parts = whole.unionByName(_sorted_buckets(found.filter(F.col("m") <= BUCKET_BYTES), length)) \
+        .unionByName(_grouped_buckets(found.filter(F.col("m") > BUCKET_BYTES), length))
     parts.write.parquet(f"{base}/repeated")
     return spark.read.parquet(f"{base}/repeated")
 
@@ -346,11 +347,13 @@ def _merge(s: np.ndarray, n: np.ndarray, length: int):
     return a[new], b[np.append(np.flatnonzero(new)[1:] - 1, len(a) - 1)]
 
 
-def _with_runs(docs: DataFrame, id_col: str, text_col: str, length: int, earlier: bool, keep: list[str]) -> DataFrame:
+def _with_runs(docs: DataFrame, id_col: str, text_col: str, length: int, earlier: bool) -> DataFrame:
+    """_doc (the row as it came), _t, _k and _runs (null where nothing repeats)."""
     found = (repeated_runs(docs, id_col, text_col, length).filter(F.col("earlier") == earlier)
              .groupBy("_k").agg(F.collect_list(F.struct("s", "n")).alias("_runs")))       # at most one entry per start of the document
     key = F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
-    return docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_t"), key.alias("_k")).join(found, "_k", "left")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    return docs.select(F.struct(*others).alias("_doc"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"), key.alias("_k")).join(found, "_k", "left")
 
 
 def _cut_rows(batch, length: int):
@@ -379,8 +382,8 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
     f = F.arrow_udf(digest, "n_removed long, n_spans long, kept_sha256 string")
     cut = F.when(F.col("_runs").isNotNull(), f("_t", "_runs"))
-    return (_with_runs(docs, id_col, text_col, length, earlier, [id_col]).withColumn("_d", cut)
-            .select(id_col, F.octet_length("_t").cast("long").alias("n_bytes"), F.coalesce("_d.n_removed", F.lit(0).cast("long")).alias("n_removed"),
+    return (_with_runs(docs.select(id_col, text_col), id_col, text_col, length, earlier).withColumn("_d", cut)
+            .select(F.col(f"_doc.{id_col}").alias(id_col), F.octet_length("_t").cast("long").alias("n_bytes"), F.coalesce("_d.n_removed", F.lit(0).cast("long")).alias("n_removed"),
                     F.coalesce("_d.n_spans", F.lit(0).cast("long")).alias("n_spans"),
                     F.coalesce("_d.kept_sha256", F.sha2(F.col("_t").cast("binary"), 256)).alias("kept_sha256")))
 
@@ -398,6 +401,6 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(spans, kind)], ["text", "spans"])
 
     f = F.arrow_udf(cut, "text string, spans array<struct<start:long,end:long>>")
-    others = [c for c in docs.columns if c != text_col]
-    d = _with_runs(docs, id_col, text_col, length, keep_first, others).withColumn("_d", F.when(F.col("_runs").isNotNull(), f("_t", "_runs")))
-    return d.select(*others, F.coalesce("_d.text", "_t").alias(text_col), F.coalesce("_d.spans", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("cut_spans"))
+    d = _with_runs(docs, id_col, text_col, length, keep_first).withColumn("_d", F.when(F.col("_runs").isNotNull(), f("_t", "_runs")))
+    columns = [F.coalesce("_d.text", "_t").alias(c) if c == text_col else F.col(f"_doc.`{c}`").alias(c) for c in docs.columns]
+    return d.select(*columns, F.coalesce("_d.spans", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("cut_spans"))
