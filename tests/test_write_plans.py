@@ -288,3 +288,17 @@ def test_sync_tenants_company_year_and_all(spark):
     out = sync_tenants(tgt, src, plan, ["k"], "BedrijfID", year_col="Jaar")
     # company 10: only its 2025 rows go; company 11: all its rows go; company 12 has no plan row: kept
     assert rows(out, "k") == [(1,), (4,), (5,), (6,)]
+
+
+def test_untouched_tenants_are_pruned_from_the_scan(spark, tmpdir_path):
+    """The touched tenants prune the target's partitions at run time: other tenants' files are not read."""
+    from pyspark.sql import types as T
+    path, staged = os.path.join(tmpdir_path, "pruned"), os.path.join(tmpdir_path, "staged")
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("t", T.IntegerType())])
+    spark.range(400).select(F.col("id").alias("k"), (F.col("id") % 8).cast("int").alias("t")).write.partitionBy("t").parquet(path)
+    spark.createDataFrame([(1, 3), (2, 3)], schema).write.parquet(staged)
+    src = spark.read.parquet(staged)
+    touched = src.groupBy("t").count().filter("count > 0").select("t")
+    target = publish.read_tenants(spark, path, schema, "t").join(touched, "t", "left_semi")
+    assert target.count() == 50
+    assert "dynamicpruning" in target._jdf.queryExecution().executedPlan().toString()
