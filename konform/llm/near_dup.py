@@ -218,13 +218,14 @@ def groups_of(classes: DataFrame, base: str) -> DataFrame:
     key = F.explode(F.array(*[F.xxhash64(F.lit(k), F.col("c")[i], F.col("c")[j]) for k, (i, j) in enumerate(tables)]))
     keyed = classes.select("rep", key.alias("key"))
     shared = keyed.groupBy("key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    keyed.join(shared, "key").write.parquet(f"{base}/buckets")
+    # none of these tables has a size bound, so none is broadcast, at any size
+    keyed.join(shared.hint("merge"), "key").write.parquet(f"{base}/buckets")
     buckets = spark.read.parquet(f"{base}/buckets")
     # a bucket whose members all have the same first centre joins that centre's group: fewer, larger groups
     first = buckets.groupBy("rep").agg(F.min("centre").alias("_first"))
-    merged = (buckets.join(first, "rep").groupBy("key").agg(F.min("_first").alias("_lo"), F.max("_first").alias("_hi"), F.min("centre").alias("_c"))
+    merged = (buckets.join(first.hint("merge"), "rep").groupBy("key").agg(F.min("_first").alias("_lo"), F.max("_first").alias("_hi"), F.min("centre").alias("_c"))
               .select("key", F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(F.col("_c")).alias("g")))
-    return buckets.join(merged, "key").select("rep", "g").distinct().filter("rep <> g")
+    return buckets.join(merged.hint("merge"), "key").select("rep", "g").distinct().filter("rep <> g")
 
 
 def links_of(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, base: str) -> DataFrame:
@@ -238,7 +239,7 @@ def links_of(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, ba
              .unionByName(size.select(F.col("g").alias("id"), "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1)).alias("s"),
                                       "chunks", F.lit(0).alias("role"))))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null and text is not null")
-    roles.join(texts, "id").write.parquet(f"{base}/texts")
+    texts.join(roles.hint("merge"), "id").write.parquet(f"{base}/texts")
     placed = spark.read.parquet(f"{base}/texts")
     _compare(placed, ["g", "s"]).write.parquet(f"{base}/links")
     found = spark.read.parquet(f"{base}/links")
@@ -274,7 +275,7 @@ def decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     label = components(links_of(docs, classes, id_col, text_col, base))
     named = (classes.join(label, classes["rep"] == label["node"], "left")
              .select("n", "d1", "d2", F.coalesce("component", "rep").alias("_c")))
-    out = sets.drop("c").join(named, ["n", "d1", "d2"], "left").withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("_c", "id")))
+    out = sets.drop("c").join(named.hint("merge"), ["n", "d1", "d2"], "left").withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("_c", "id")))
     return out.select("id", "k", "n", "component_id", F.coalesce(F.col("component_id") == F.col("id"), F.lit(True)).alias("kept"))
 
 
