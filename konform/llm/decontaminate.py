@@ -94,9 +94,13 @@ class Index:
         seed = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         return pos, seed
 
-    def rare(self, df: dict[int, int], docs: int) -> "Index":
+    def rare(self, df: tuple[np.ndarray, np.ndarray], docs: int) -> "Index":
         """Without the seeds that stand in too many documents."""
-        count = np.array([df.get(int(np.int64(np.uint64(x))), 0) for x in self.hashes])
+        keys, n = df
+        count = np.zeros(len(self.hashes), np.int64)
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, self.hashes), len(keys) - 1)
+            count = np.where(keys[at] == self.hashes, n[at], 0)
         rare = count <= max(1, docs * RARE_SHARE)
         n = np.bincount(self.passage[rare], minlength=len(self.item))
         keep = rare | (n[self.passage] < LEAST_SEEDS)
@@ -208,8 +212,8 @@ def _diagonals(pos: np.ndarray, place: np.ndarray, size: int, need: int):
             yield int(d[a]), int(d[b - 1])
 
 
-def document_frequency(texts: DataFrame, ix: Index) -> dict[int, int]:
-    """Seed -> number of documents that hold it; at most one row per seed and task is shuffled."""
+def document_frequency(texts: DataFrame, ix: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted seeds and the number of documents that hold each; at most one row per seed and task is shuffled."""
     shared = texts.sparkSession.sparkContext.broadcast(ix)
 
     def count(batches):
@@ -231,9 +235,11 @@ def document_frequency(texts: DataFrame, ix: Index) -> dict[int, int]:
         yield pa.record_batch([pa.array(keys[some].astype(np.int64)), pa.array(total[some])], names=["h", "n"])
 
     if not len(ix.hashes):
-        return {}
-    rows = texts.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).collect()   # bounded by BLOCK_WORDS
-    return {r["h"]: r["n"] for r in rows}
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    rows = texts.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).toArrow()   # bounded by BLOCK_WORDS
+    keys, n = rows["h"].to_numpy().astype(np.int64).view(np.uint64), rows["n"].to_numpy()
+    o = np.argsort(keys)
+    return keys[o], n[o]
 
 
 def blocks(items: DataFrame, id_col: str, text_col: str):
