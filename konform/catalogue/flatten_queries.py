@@ -18,7 +18,7 @@ from ..functions.coerce import ACCOUNTING, coerce_table
 from ..operators import flatten, mapping
 from ..schemas import NESTED, column_mapping, target_types
 from ..sources import payloads
-from ._base import LINE_ID_SQL, PAGE_ROWS, bounded_chunk, line_key_cols, line_uuid, load, query
+from ._base import LINE_ID_SQL, bounded_chunk, line_key_cols, line_uuid, load, query
 
 # Shared field expressions (valid Spark SQL and DuckDB SQL).
 _DIV = "CAST(substr(o_orderpriority, 1, 1) AS INT)"

@@ -4,7 +4,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.coerce import metadata_cast
 from ..functions.predicates import extract, modified_since, modified_since_day
