@@ -25,10 +25,14 @@ rows; other columns are kept by ``mix`` and ignored by ``probabilities``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import scratch_path
+
 MARGINS = ("source", "lang", "topic")
 #: marker text -> topic
 TOPICS = (("@", "contact"), ("://", "link"), ("password", "secret"), ("AKIA", "secret"), ("icense", "licence"))
@@ -101,8 +105,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", rate: float | None = None, text
     cells = rake(marked.groupBy(*keys).agg(F.sum("_tokens").alias("tokens")), **raking)
     times = F.col("weight") / F.col("tokens")
     scaled = F.lit(float(rate)) * times if rate is not None else times / F.max(times).over(Window.partitionBy())
-    # no hint: the planner knows the size of the aggregated cells and broadcasts or shuffles by it
-    per_cell = cells.select(*keys, F.least(scaled, F.lit(1.0)).alias("_probability"))
+    # raked once and read back: the planner sees the table's size, so it sends the cells to the texts (up to
+    # its broadcast limit) rather than the texts to the cells
+    path = scratch_path(docs.sparkSession, f"mixing-{uuid.uuid4().hex}")
+    cells.select(*keys, F.least(scaled, F.lit(1.0)).alias("_probability")).write.parquet(path)
+    per_cell = docs.sparkSession.read.parquet(path)
     return (marked.join(per_cell, keys, "left").fillna(0.0, ["_probability"])
             .withColumn("_drawn", draw_number(F.col(id_col)) < F.col("_probability")))
 
