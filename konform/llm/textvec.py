@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20          # text handled at once inside a task (one longer text is its own chunk)
+CHUNK_BYTES = 1 << 20          # text handled at once inside a task (one longer text is its own chunk)
 U64 = np.uint64
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
