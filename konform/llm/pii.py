@@ -18,10 +18,10 @@ are added, the best score first.
 One scan reads the texts; everything after works on the candidate rows.
 
 Defined results: a null or empty text has no spans (the digest of the empty
-string); offsets are code points, ends exclusive; repeated rows are documents
-of their own only if their ids differ, rows that share an id are told apart by
-a row key and returned each; without both kinds of training examples nothing is
-added to the base; other columns are ignored.
+string); offsets are code points, ends exclusive; repeated rows are each returned,
+with equal spans; rows that share an id are told apart by their texts; without
+training examples of both outcomes nothing is added to the base; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -217,10 +217,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", precis
     """One row per document: id, spans array<struct<kind, start, end, base, score>> sorted by kind (as in
     KINDS) and start."""
     spark = docs.sparkSession
-    keyed = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
+    key = F.xxhash64(F.col(id_col), F.col(text_col))                       # the same in every scan, whoever runs it
+    keyed = docs.select(key.alias("_row"), F.col(text_col).alias("_t"))
     path = scratch_path(spark, f"pii-{_fresh()}")
     candidate_rows(keyed, "_row", "_t").write.parquet(path)                 # the texts are read once
-    cands = spark.read.parquet(path)
+    cands = spark.read.parquet(path).dropDuplicates(["_row", "kind", "a", "b"])        # equal rows share their candidates
     scored = _score(cands, train_rows)
     if scored is None:
         spans = cands.filter("base").select("_row", "kind", "a", "b", "base", F.lit(1.0).alias("_p"))
@@ -236,7 +237,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", precis
     order = F.array_position(F.lit(list(KINDS)), F.col("kind")).cast("int")
     per_doc = (spans.groupBy("_row").agg(F.sort_array(F.collect_list(
         F.struct(order.alias("o"), F.col("a").alias("start"), F.col("b").alias("end"), "kind", "base", F.col("_p").alias("score")))).alias("spans")))
-    ids = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col))
+    ids = docs.select(key.alias("_row"), F.col(id_col))
     return (ids.join(per_doc, "_row", "left")
             .withColumn("spans", F.coalesce("spans", F.array().cast(per_doc.schema["spans"].dataType))).drop("_row"))
 
