@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 
-CACHE_PIECES = 300_000      # piece -> count entries a Python worker keeps (memory only; misses are recomputed)
+CACHE_PIECES = 120_000      # piece -> count entries a Python worker keeps (memory only; misses are recomputed)
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: The suffixes that the pattern splits off after an apostrophe.
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
