@@ -298,8 +298,10 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = _keyed(docs, id_col, text_col)
     all_runs = runs(rows.filter(F.octet_length("_t") >= length), length)
     # anchors that occur once leave here
-    shared = all_runs.select("a").groupBy("a").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("a")
-    all_runs.join(shared, "a").write.parquet(f"{base}/runs")
+    all_runs.select("a").groupBy("a").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("a").write.parquet(f"{base}/anchors")
+    # read back, so that both sides of the join are plain exchanges and a very frequent anchor is split over tasks
+    shared = spark.read.parquet(f"{base}/anchors")
+    all_runs.join(shared.hint("merge"), "a").write.parquet(f"{base}/runs")
     left = spark.read.parquet(f"{base}/runs")
     blocks = left.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("_id", "_k", "s", "n")).alias("first"))
     blocks.write.parquet(f"{base}/blocks")
