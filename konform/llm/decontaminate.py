@@ -1,15 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, the rarest first, then Smith-Waterman alignment.
 
 Test items are cut into passages of at most ``PASSAGE`` words (overlapping by
-half), and every run of ``SEED`` words of a passage is a seed.  One scan counts in
-how many documents each seed occurs; seeds in more than ``RARE_SHARE`` of the documents
-do not seed (unless their passage has fewer than ``LEAST_SEEDS`` rarer ones, then
-all of its seeds stay).  A second scan joins every run of words of a document to
-the seeds; where two different seeds of a passage meet a document on nearby
-diagonals (one, if the passage has only one), the passage is aligned with that
-window word by word (Smith-Waterman), which finds edited and paraphrased
-copies.  An alignment counts if enough of its columns are equal words
-(``identity``) and enough of the passage takes part (``coverage``).
+half), and every run of ``SEED`` words of a passage is a seed, however many
+documents hold it.  A scan joins every run of words of a document to the seeds;
+where two different seeds of a passage meet a document on nearby diagonals (one,
+if the passage has only one; more, where no alignment that counts can do with
+two), the passage is aligned with that window word by word (Smith-Waterman),
+which finds edited and paraphrased copies.  An alignment counts if enough of its
+columns are equal words (``identity``) and enough of the passage takes part
+(``coverage``).  ``leaked`` needs one hit a document: a scan before it counts in how
+many documents each seed occurs, and the windows with the rarest seeds come first.
 
 Items are joined in blocks of at most ``BLOCK_WORDS`` words: one block is what a task
 holds in memory, whatever the size of the benchmark; each further block is a further
@@ -24,7 +24,7 @@ columns are ignored (``keep_clean`` passes them on).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +35,11 @@ from . import textvec as tv
 
 SEED = 3
 PASSAGE = 200
-RARE_SHARE = 1 / 64
-LEAST_SEEDS = 4
 BLOCK_WORDS = 1_000_000
 IDENTITY = 0.75
 COVERAGE = 0.5
 LEAST_WORDS = 8
+PAIRS = 4_000_000               # meetings of a word run and a seed held at once (one document is not split)
 MATCH, MISMATCH, GAP = 2, -1, -1
 SEPARATORS = ~tv.byte_table(bytes([*range(48, 58), *range(97, 123), *range(128, 256)]))
 
@@ -76,6 +75,8 @@ class Index:
     place: np.ndarray               # seed -> first word within the passage
     lengths: tuple[int, ...]        # run lengths in use
     need: np.ndarray                # passage -> seeds that must meet
+    least: np.ndarray               # passage -> equal words of an alignment that counts
+    df: np.ndarray | None = None    # seed -> documents that hold it, where counted
     bits: np.ndarray | None = None
 
     def __post_init__(self):
@@ -85,6 +86,11 @@ class Index:
     def candidates(self, h: np.ndarray) -> np.ndarray:
         return np.flatnonzero(self.bits[(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
 
+    def meetings(self, h: np.ndarray) -> int:
+        """Number of pairs that ``lookup`` gives."""
+        c = self.candidates(h)
+        return int((np.searchsorted(self.hashes, h[c], "right") - np.searchsorted(self.hashes, h[c], "left")).sum())
+
     def lookup(self, h: np.ndarray):
         """(position in h, seed row) for every equal pair."""
         c = self.candidates(h)
@@ -94,21 +100,18 @@ class Index:
         seed = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         return pos, seed
 
-    def rare(self, df: tuple[np.ndarray, np.ndarray], docs: int) -> "Index":
-        """Without the seeds that stand in too many documents."""
+    def ranked(self, df: tuple[np.ndarray, np.ndarray]) -> "Index":
+        """With the number of documents that hold each seed."""
         keys, n = df
         count = np.zeros(len(self.hashes), np.int64)
         if len(keys):
             at = np.minimum(np.searchsorted(keys, self.hashes), len(keys) - 1)
             count = np.where(keys[at] == self.hashes, n[at], 0)
-        rare = count <= max(1, docs * RARE_SHARE)
-        n = np.bincount(self.passage[rare], minlength=len(self.item))
-        keep = rare | (n[self.passage] < LEAST_SEEDS)
-        return Index(self.item, self.words, self.size, self.hashes[keep], self.passage[keep], self.place[keep], self.lengths, self.need)
+        return replace(self, df=count)
 
 
 def index_items(ids: np.ndarray, texts: pa.Array) -> Index:
-    item, words, size, hs, ps, pl, need, lengths = [], [], [], [], [], [], [], set()
+    item, words, size, hs, ps, pl, need, least, lengths = [], [], [], [], [], [], [], [], set()
     for lo, hi, data, off in tv.chunks(texts):
         wh, _, _, row = words_of(data, off)
         first = np.searchsorted(row, np.arange(hi - lo + 1))
@@ -123,12 +126,20 @@ def index_items(ids: np.ndarray, texts: pa.Array) -> Index:
                 k = len(item)
                 item.append(ids[lo + r]); words.append(part); size.append(len(w))
                 hs.append(h); ps.append(np.full(len(h), k)); pl.append(at)
-                need.append(min(2, len(np.unique(h))))
+                least.append(max(int(np.ceil(len(part) * COVERAGE)), min(len(part), LEAST_WORDS)))
+                need.append(max(min(2, len(np.unique(h))), _intact(least[-1]) if n == SEED else 0))
     cat = lambda x, t: np.concatenate(x).astype(t) if x else np.zeros(0, t)
     h = cat(hs, np.uint64)
     o = np.argsort(h, kind="stable")
     return Index(np.array(item, np.int64), words, np.array(size, np.int64), h[o], cat(ps, np.int64)[o], cat(pl, np.int64)[o],
-                 tuple(sorted(lengths)), np.array(need, np.int64))
+                 tuple(sorted(lengths)), np.array(need, np.int64), np.array(least, np.int64))
+
+
+def _intact(equal: int) -> int:
+    """Seeds that an alignment with so many equal words or more holds whole: each of its other columns breaks at
+    most SEED - 1 of them beside the equal word it stands for."""
+    others = int(equal * (1 / IDENTITY - 1) + 1e-9)
+    return equal - (SEED - 1) * (others + 1) - (SEED - 1)
 
 
 def align(a: np.ndarray, b: np.ndarray):
@@ -157,21 +168,26 @@ def align(a: np.ndarray, b: np.ndarray):
     return score, equal, columns, int(j), last
 
 
-def matches(ix: Index, data: np.ndarray, off: np.ndarray):
-    """(row, item, identity, coverage, score, first byte, last byte) of every item found in a chunk of texts."""
+def matches(ix: Index, data: np.ndarray, off: np.ndarray, one: bool = False):
+    """(row, item, identity, coverage, score, first byte, last byte) of every item found in a chunk of texts
+    (of one item a row, if one is enough)."""
     wh, ws, we, row = words_of(data, off)
     if not len(wh) or not len(ix.hashes):
         return []
     bounds = np.searchsorted(row, np.arange(len(off)))
+    runs = [_run_hashes(wh, row, n) for n in ix.lengths]
+    if len(off) > 2 and sum(ix.meetings(h) for h, _ in runs) > PAIRS:
+        mid = len(off) // 2
+        return (matches(ix, data[:off[mid]], off[:mid + 1], one)
+                + [(m[0] + mid, *m[1:]) for m in matches(ix, data[off[mid]:], off[mid:] - off[mid], one)])
     pos, seed = [], []
-    for n in ix.lengths:
-        h, at = _run_hashes(wh, row, n)
+    for h, at in runs:
         p, s = ix.lookup(h)
         pos.append(at[p]); seed.append(s)
     pos, seed = np.concatenate(pos), np.concatenate(seed)
     ps, pl = ix.passage[seed], ix.place[seed]
     o = np.lexsort((pos, ps, row[pos]))
-    pos, ps, pl = pos[o], ps[o], pl[o]
+    pos, ps, pl, seed = pos[o], ps[o], pl[o], seed[o]
     best: dict[tuple[int, int], tuple] = {}
     if not len(pos):
         return []
@@ -180,24 +196,35 @@ def matches(ix: Index, data: np.ndarray, off: np.ndarray):
     # a new window where the row or passage changes, or the document goes on for more than a passage without a seed
     new = np.concatenate(([True], (r[1:] != r[:-1]) | (ps[1:] != ps[:-1]) | (pos[1:] - pos[:-1] > plen[ps[1:]])))
     starts = np.flatnonzero(new)
-    for a, b in zip(starts, np.append(starts[1:], len(pos))):
-        p = int(ps[a])
-        if b - a < ix.need[p] or len(set(pl[a:b].tolist())) < ix.need[p]:
+    ends = np.append(starts[1:], len(pos))
+    window = np.cumsum(new) - 1
+    places = np.bincount(np.unique(window * np.int64(PASSAGE) + pl) // PASSAGE, minlength=len(starts))
+    todo = np.flatnonzero(places >= ix.need[ps[starts]])
+    if one and ix.df is not None:
+        todo = todo[np.argsort(np.minimum.reduceat(ix.df[seed], starts)[todo], kind="stable")]
+    found = set()
+    for a, b in zip(starts[todo], ends[todo]):
+        p, rr = int(ps[a]), int(r[a])
+        if one and rr in found:
             continue
         w = ix.words[p]
-        rr = int(r[a])
         # within a window, only the neighbourhood of seeds on nearby diagonals is aligned
         for lo, hi in _diagonals(pos[a:b], pl[a:b], len(w), int(ix.need[p])):
             slack = len(w) // 4 + 2
             lo, hi = max(int(bounds[rr]), lo - slack), min(int(bounds[rr + 1]), hi + len(w) + slack)
+            # no alignment has more equal words than the passage has in common with the window
+            if np.isin(w, wh[lo:hi]).sum() < ix.least[p]:
+                continue
             score, equal, columns, j0, j1 = align(w, wh[lo:hi])
             identity, coverage = equal / max(1, columns), equal / len(w)
-            if identity >= IDENTITY and (coverage >= COVERAGE and equal >= min(len(w), LEAST_WORDS)):
+            if identity >= IDENTITY and equal >= ix.least[p]:
                 key = (rr, int(ix.item[p]))
-                got = (identity * coverage, score, identity, coverage, int(ws[lo + j0] - off[rr]), int(we[lo + j1 - 1] - off[rr]))
-                if key not in best or got[:2] > best[key][:2]:
+                start = int(ws[lo + j0] - off[rr])
+                got = (identity * coverage, score, -start, identity, coverage, start, int(we[lo + j1 - 1] - off[rr]))
+                if key not in best or got[:3] > best[key][:3]:
                     best[key] = got
-    return [(k[0], k[1], v[2], v[3], v[1], v[4], v[5]) for k, v in sorted(best.items())]
+                found.add(rr)
+    return [(k[0], k[1], v[3], v[4], v[1], v[5], v[6]) for k, v in sorted(best.items())]
 
 
 def _diagonals(pos: np.ndarray, place: np.ndarray, size: int, need: int):
@@ -252,11 +279,10 @@ def blocks(items: DataFrame, id_col: str, text_col: str):
         yield index_items(part["i"].to_numpy(), part["t"].combine_chunks())
 
 
-def rare_indexes(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str):
+def ranked_indexes(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str):
     texts = docs.select(F.lower(F.col(text_col)).alias("t")).filter("t is not null")
-    n = docs.count()
     for ix in blocks(items, item_id, item_text):
-        yield ix.rare(document_frequency(texts, ix), n)
+        yield ix.ranked(document_frequency(texts, ix))
 
 
 def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
@@ -265,7 +291,7 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     schema = f"{id_col} long, item_id long, identity double, coverage double, score int, start_byte long, end_byte long"
     out = None
     rows = docs.select(F.col(id_col).cast("long"), F.lower(F.col(text_col)).alias("_t"))
-    for ix in rare_indexes(docs, items, text_col, item_id, item_text):
+    for ix in blocks(items, item_id, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(ix)
 
         def scan(batches, shared=shared):
@@ -289,7 +315,7 @@ def _leak_flag(shared) -> Column:
     def hit(col: pa.Array) -> pa.Array:
         flag = np.zeros(len(col), bool)
         for lo, _, data, off in tv.chunks(col):
-            flag[[lo + m[0] for m in matches(shared.value, data, off)]] = True
+            flag[[lo + m[0] for m in matches(shared.value, data, off, one=True)]] = True
         return pa.array(flag)
 
     return F.arrow_udf(hit, "boolean")
@@ -298,7 +324,7 @@ def _leak_flag(shared) -> Column:
 def leaked(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> Column:
     """Does a text hold any of the items?  (a column for filters; no shuffle)"""
     out = F.lit(False)
-    for ix in rare_indexes(docs, items, text_col, item_id, item_text):
+    for ix in ranked_indexes(docs, items, text_col, item_id, item_text):
         out = out | _leak_flag(docs.sparkSession.sparkContext.broadcast(ix))(F.lower(F.col(text_col)))
     return out
 

@@ -210,6 +210,30 @@ def test_copies_and_edited_copies_are_found(spark):
     assert decontaminate.find(d.unionByName(d), items_of(spark)).count() == 2 * len(got)
 
 
+def test_edited_copies_in_a_third_of_the_documents(spark):
+    """Frequent seeds are all that edited and partial copies hold."""
+    ship(spark)
+    item = words(60, 900)
+    copies = [" ".join("x" if k % 8 == 3 else w for k, w in enumerate(item)), " ".join(item[:35])]
+    texts = [" ".join(words(80, 1000 + i)) + (f" {copies[i % 2]}" if i % 3 == 0 else "") for i in range(120)]
+    d, b = docs_of(spark, texts), items_of(spark, [" ".join(item)])
+    want = list(range(0, 120, 3))
+    assert sorted(r["doc_id"] for r in decontaminate.find(d, b).collect()) == want
+    assert sorted(r["doc_id"] for r in d.filter(decontaminate.leaked(d, b)).collect()) == want
+
+
+def test_few_meetings_at_once_give_the_same(monkeypatch):
+    import pyarrow as pa
+
+    item = words(60, 900)
+    texts = pa.array([" ".join(words(20, i) + item[i:] + words(20, 50 + i)) for i in range(9)])
+    ix = decontaminate.index_items(np.array([7]), pa.array([" ".join(item)]))
+    (_, _, data, off), = decontaminate.tv.chunks(texts)
+    whole = decontaminate.matches(ix, data, off)
+    monkeypatch.setattr(decontaminate, "PAIRS", 1)
+    assert decontaminate.matches(ix, data, off) == whole and [m[0] for m in whole] == list(range(9))
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     ship(spark)
     d, b = table(spark, "documents"), table(spark, "benchmark")
