@@ -6,14 +6,15 @@ counts of the byte that follows.  A byte seen in a context costs
 other byte costs the escape ``-log2(u / (n + u))`` plus its code length in the
 next shorter context, renormalised over the bytes not yet excluded.  The
 statistics are frozen after training, so every (context, byte) pair has one exact
-code length per language: they are tabulated once, and a text's code length is
-a sum of table look-ups.  The language with the shortest code wins; the score
-is its posterior probability.
+code length per language: that of each seen pair and the escape of each context
+are tabulated once, and a text's code length is a sum of look-ups.  The language
+with the shortest code wins; the score is its posterior probability.
 
 Counts are taken over every training text in Spark (partial counts per task,
 then a sum per gram); only the model leaves the cluster, bounded by
-``max_grams`` leaves of the trees, the most frequent first - rarer leaves back
-off to shorter contexts.
+``max_grams`` leaves of the tree of each language, its own most frequent first -
+rarer leaves back off to shorter contexts.  No language takes room from another,
+and every language that is learned from stays.
 
 Defined results: a null text or a text without a letter is ``und`` with score 0,
 as is everything when there is no training text; equal code lengths go to the
@@ -34,10 +35,8 @@ from . import textvec as tv
 
 ORDER = 3
 PAD = 10                        # byte that stands before the first byte of a text
-MAX_GRAMS = 150_000             # leaves of all trees together that the model may keep
+MAX_GRAMS = 150_000             # leaves of each language's tree that the model may keep
 MAX_LANGS = 64
-STEP = 512                      # contexts tabulated at once
-MAX_BYTES = 127                 # bytes with a code of their own; others share one
 
 
 def _windows(data: np.ndarray, off: np.ndarray):
@@ -87,106 +86,102 @@ def gram_counts(train: DataFrame, lang: str, text: str) -> DataFrame:
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+@dataclass
+class Tree:
+    """One language: per order, the seen (context, byte) keys with their bits and the contexts with their escape's bits."""
+
+    keys: list[np.ndarray]      # order -> packed context and byte, sorted
+    bits: list[np.ndarray]
+    contexts: list[np.ndarray]  # order -> packed context, sorted
+    escape: list[np.ndarray]
+
+    def code_lengths(self, gram: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of every gram."""
+        out = np.zeros(len(gram))
+        rest = np.arange(len(gram))
+        for order in range(ORDER, -1, -1):
+            key = _suffix(gram[rest], order)
+            at = _find(self.keys[order], key)
+            hit = at >= 0
+            out[rest[hit]] += self.bits[order][at[hit]]
+            rest, key = rest[~hit], key[~hit]
+            at = _find(self.contexts[order], key >> np.uint32(8))
+            out[rest[at >= 0]] += self.escape[order][at[at >= 0]]
+        out[rest] += 8                                  # no context knows the byte: one of 256
+        return out
+
+
+def _suffix(gram: np.ndarray, order: int) -> np.ndarray:
+    """The last byte with ``order`` bytes of context."""
+    return gram & np.uint32((1 << 8 * (order + 1)) - 1)
+
+
+def _find(table: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Place of every key in a sorted table, -1 if it is not there."""
+    at = np.minimum(np.searchsorted(table, key), len(table) - 1)
+    return np.where(table[at] == key, at, -1)
+
+
 @dataclass
 class PPM:
-    """Tabulated code lengths: row[context] -> first cell of its bytes; bits[row, byte code, language]."""
+    """The trees of all languages; they hold only what was seen."""
 
     langs: list[str]
-    code: np.ndarray            # byte -> code (0: no code of its own)
-    row: np.ndarray             # packed context of ORDER codes -> row of `bits`
-    bits: np.ndarray            # rows x codes x languages, float32
+    trees: list[Tree]
 
     def code_lengths(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Bits of every text under every language (rows x languages)."""
-        size = self.bits.shape[1]
-        c = self.code[data].astype(np.int64)
-        n = len(c)
         out = np.zeros((len(off) - 1, len(self.langs)))
-        if not n:
+        if not len(data):
             return out
-        ctx = np.zeros(n, np.int64)
-        pad = int(self.code[PAD])
-        for back in range(1, ORDER + 1):
-            prev = np.full(n, pad, np.int64)
-            prev[back:] = c[:-back] if n > back else c[:0]
-            for k in range(back):
-                at = off[:-1] + k
-                prev[at[at < off[1:]]] = pad
-            ctx += prev * size ** (back - 1)
-        cell = self.row[ctx].astype(np.int64) * size + c
-        flat = self.bits.reshape(-1, len(self.langs))
-        for k in range(len(self.langs)):
-            total = np.concatenate(([0.0], np.cumsum(flat[cell, k], dtype=np.float64)))
+        gram, at = np.unique(_windows(data, off), return_inverse=True)
+        for k, tree in enumerate(self.trees):
+            total = np.concatenate(([0.0], np.cumsum(tree.code_lengths(gram)[at])))
             out[:, k] = total[off[1:]] - total[off[:-1]]
         return out
 
 
-def build(langs: list[str], lang_id: np.ndarray, gram: np.ndarray, count: np.ndarray) -> PPM:
-    """Code-length tables from (language, 4-byte gram, count) rows."""
-    total = np.bincount((gram & 0xFF).astype(np.int64), weights=count, minlength=256)
-    own = np.argsort(-total, kind="stable")[:MAX_BYTES]
-    own = np.sort(own[total[own] > 0])
-    code = np.zeros(256, np.uint8)
-    code[own] = np.arange(1, len(own) + 1)
-    size = len(own) + 1
-    width = np.ones(size)
-    width[0] = 256 - len(own)                      # code 0 stands for all bytes without one
-    packed = np.zeros(len(gram), np.int64)
-    for back in range(ORDER, -1, -1):
-        packed = packed * size + code[(gram >> (8 * back)) & 0xFF]
-    n_lang = len(langs)
-
-    uniform = np.broadcast_to(width / 256.0, (n_lang, size))
-
-    def predict(c: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-        """probabilities in a context from its counts and those of the shorter context"""
-        n = c.sum(-1, keepdims=True)
-        new = c == 0
-        u = (~new).sum(-1, keepdims=True)
-        rest = np.where(new, shorter, 0.0)
-        mass = rest.sum(-1, keepdims=True)
-        full = np.where(new, 0.0, c / np.maximum(n + np.where(mass > 0, u, 0), 1))
-        esc = np.where(new, u / np.maximum(n + u, 1) * rest / np.maximum(mass, 1e-300), 0.0)
-        return np.where(n > 0, full + esc, shorter)
-
-    table = np.zeros((0, n_lang, size), np.float32)                       # one row per known context, all orders
-    row = np.zeros(1, np.int64)                                           # context of the current order -> row
-    symbol = packed % size
+def build_tree(gram: np.ndarray, count: np.ndarray) -> Tree:
+    """Code lengths of one language from its 4-byte grams and their counts."""
+    tree = Tree([], [], [], [])
+    shorter_keys, shorter_p = np.zeros(0, np.uint32), np.zeros(0)
     for order in range(ORDER + 1):
-        ctx = packed // size % size ** order
-        seen, at = np.unique(ctx, return_inverse=True)
-        by = np.argsort(at, kind="stable")
-        cut = np.searchsorted(at[by], np.arange(0, len(seen) + STEP, STEP))
-        parts = []
-        for k, (lo, hi) in enumerate(zip(cut[:-1], cut[1:])):             # some contexts at a time: small memory
-            pick, first = by[lo:hi], k * STEP
-            here = min(STEP, len(seen) - first)
-            c = np.bincount(((at[pick] - first) * n_lang + lang_id[pick]) * size + symbol[pick], weights=count[pick],
-                            minlength=here * n_lang * size).reshape(here, n_lang, size)
-            below = table[row[seen[first:first + here] % size ** (order - 1)]] if order else uniform[None]
-            parts.append(predict(c, below).astype(np.float32))
-        row = np.tile(row, size) if order else row                        # unseen contexts keep the shorter one's row
-        row[seen] = len(table) + np.arange(len(seen))
-        table = np.concatenate([table, *parts])
-    table /= width.astype(np.float32)                                     # a byte without a code is one of many
-    np.log2(table, out=table)
-    np.negative(table, out=table)
-    return PPM(langs, code, row.astype(np.int32), np.ascontiguousarray(table.transpose(0, 2, 1)))
+        keys, at = np.unique(_suffix(gram, order), return_inverse=True)
+        c = np.bincount(at, weights=count)
+        contexts, ctx = np.unique(keys >> np.uint32(8), return_inverse=True)
+        n, u = np.bincount(ctx, weights=c), np.bincount(ctx)
+        # every seen pair is also seen in the next shorter context
+        below = shorter_p[np.searchsorted(shorter_keys, _suffix(keys, order - 1))] if order else np.full(len(keys), 1 / 256)
+        mass = np.maximum(1 - np.bincount(ctx, weights=below), 1e-12)       # of the bytes that the context has not seen
+        p = c / (n + np.where(u < 256, u, 0))[ctx]
+        tree.keys.append(keys)
+        tree.bits.append(-np.log2(p).astype(np.float32))
+        tree.contexts.append(contexts)
+        tree.escape.append(-np.log2(u / (n + u) / mass).astype(np.float32))
+        shorter_keys, shorter_p = keys, p
+    return tree
+
+
+def build(langs: list[str], lang_id: np.ndarray, gram: np.ndarray, count: np.ndarray) -> PPM:
+    """Trees from (language, 4-byte gram, count) rows."""
+    gram = gram.astype(np.uint32)
+    return PPM(langs, [build_tree(gram[lang_id == k], count[lang_id == k]) for k in range(len(langs))])
 
 
 def train(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str = "text", max_grams: int = MAX_GRAMS) -> PPM | None:
     """The frozen model of all rows that satisfy ``learn``."""
     t = docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("_l"), F.lower(F.col(text_col)).alias("_t"))
-    counts = gram_counts(t, "_l", "_t")
-    top = counts.orderBy(F.desc("n"), "lang", "gram").limit(max_grams).toPandas()        # the model itself, bounded
-    if not len(top):
-        return None
-    langs = sorted(top["lang"].unique())
+    counts = gram_counts(t, "_l", "_t").persist()
+    langs = [r["lang"] for r in counts.select("lang").distinct().orderBy("lang").limit(MAX_LANGS + 1).collect()]
     if len(langs) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
-    ids = top["lang"].map({v: i for i, v in enumerate(langs)}).to_numpy()
-    return build(langs, ids, top["gram"].to_numpy(np.int64), top["n"].to_numpy(np.float64))
+    trees = []
+    for name in langs:                                                    # the model itself, bounded per language
+        top = counts.filter(F.col("lang") == name).select("gram", "n").orderBy(F.desc("n"), "gram").limit(max_grams).toArrow()
+        trees.append(build_tree(top["gram"].to_numpy().astype(np.uint32), top["n"].to_numpy().astype(np.float64)))
+    counts.unpersist()
+    return PPM(langs, trees) if trees else None
 
 
 def predict(docs: DataFrame, model: PPM | None, text_col: str = "text") -> Column:
@@ -194,7 +189,7 @@ def predict(docs: DataFrame, model: PPM | None, text_col: str = "text") -> Colum
     out = "lang_pred string, score double"
     if model is None:
         return F.struct(F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)              # bounded by MAX_GRAMS, whatever the corpus
+    shared = docs.sparkSession.sparkContext.broadcast(model)              # bounded by MAX_GRAMS x MAX_LANGS, whatever the corpus
 
     def score(col: pa.Array) -> pa.Array:
         m = shared.value

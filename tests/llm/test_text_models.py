@@ -94,6 +94,17 @@ def test_language_odd_rows(spark):
     assert ppm_language.identify(d.limit(0)).count() == 0
 
 
+def test_a_rare_language_keeps_its_own_tree(spark):
+    ship(spark)
+    hot = docs_of(spark, [" ".join(words(200, i)) for i in range(60)])
+    rare = docs_of(spark, ["žluťoučký kůň úpěl ďábelské ódy"] * 2, 60, "cs")
+    d = hot.unionByName(rare)
+    model = ppm_language.train(d, F.lit(True), max_grams=1500)
+    assert model.langs == ["cs", "en"] and all(len(t.keys[-1]) <= 1500 for t in model.trees)
+    got = by_id(d.select("doc_id", ppm_language.predict(d, model)["lang_pred"].alias("lang_pred")))
+    assert {got[60 + i]["lang_pred"] for i in range(2)} == {"cs"} and got[0]["lang_pred"] == "en"
+
+
 def test_code_lengths_are_a_probability():
     texts = [b"abracadabra alakazam", b"lorem ipsum dolor"]
     gram = np.concatenate([ppm_language._windows(np.frombuffer(t, np.uint8), np.array([0, len(t)])) for t in texts]).astype(np.int64)
