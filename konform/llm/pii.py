@@ -8,9 +8,14 @@
    digits, separators, groups) and context features (the characters and words
    beside the span).  They learn from the strict formats: candidates that pass
    every check against those of the same shape that fail one.  The outcome of a
-   check is never a feature.
+   check is never a feature.  Every match of the strict e-mail format passes, and it
+   looks unlike a spelled-out one, so each is learned from spelled out (``at``,
+   ``[at]``, ``dot`` ...) and, as its near miss, as the end of a sentence about its
+   name; a loose e-mail whose dot ends a sentence, or with no ending that
+   domains have, is an example of failing, too.
 3. *Calibrated thresholds*: per kind the smallest score at which candidates that
-   are held out from training reach the wanted precision.
+   are held out from training reach the wanted precision; nothing is added of a kind
+   whose held-out candidates lack either outcome.
 
 Base spans always stay; selected candidates that overlap nothing of their kind
 are added, the best score first.
@@ -27,6 +32,7 @@ ignored.
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +64,11 @@ LOOSE = {
     "card": re.compile(r"(?<![0-9])[0-9]{4}(?:[\x20./_-]{0,3}[0-9]{3,6}){2,4}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9+])(?:00[0-9]{1,3}[\x20./-]?)?\(?[0-9]{2,5}\)?(?:[\x20./-]{1,2}[0-9]{2,5}){2,4}(?![0-9])"),
 }
+# a dot or at-sign spelled out, as people do
+SPELLED = ((" at ", "."), (" at ", " dot "), ("[at]", "."), (" [at] ", " [dot] "), ("(at)", "."), (" (at) ", " (dot) "), ("＠", "."), ("{at}", " dot "))
+SENTENCE = re.compile(r"\.\s")
+ENDINGS = frozenset("""com org net edu gov mil int info biz name pro aero coop museum jobs mobi travel app dev xyz online site shop tech
+    store blog cloud email agency berlin hamburg bayern koeln wien paris london nyc example test invalid local""".split())
 CUES = {
     "email": re.compile(r"mail|kontakt|contact|correo|courriel", re.I),
     "ip": re.compile(r"\bip\b|host|server|addr|serveur|servidor", re.I),
@@ -120,6 +131,23 @@ def loose_candidates(t: str):
             yield kind, *m.span()
 
 
+def plausible_email(s: str) -> bool:
+    """May a loose e-mail be one?  Not if its dot ends a sentence or its ending is none that domains have."""
+    end = re.split("[^A-Za-z]", s)[-1].lower()
+    return not SENTENCE.search(s) and (len(end) == 2 or end in ENDINGS)
+
+
+def spelled(t: str, a: int, b: int) -> list[tuple[str, int, int, int]]:
+    """(text around, start, end, label) of an e-mail spelled out, and of its near miss in prose."""
+    local, _, domain = t[a:b].rpartition("@")
+    left, right = t[max(0, a - 32):a], t[b:b + 12]
+    at, dot = SPELLED[zlib.crc32(t[a:b].encode()) % len(SPELLED)]
+    word = re.match(r"\W*([^\W\d_]{2,12})", right)
+    miss = f"{local} at {domain.partition('.')[0]}. {(word[1] if word else local).capitalize()}"
+    return [(left + s + right, len(left), len(left) + len(s), label)
+            for s, label in ((local + at + domain.replace(".", dot), 1), (miss, 0))]
+
+
 def features(t: str, kind: str, a: int, b: int, base: list[tuple[int, int]]) -> list[float]:
     s, left, right = t[a:b], t[max(0, a - 32):a], t[b:b + 12]
     groups = re.findall("[0-9]+", s)
@@ -162,11 +190,15 @@ def candidate_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     for kind, a, b, ok in found:
                         seen.add((kind, a, b))
                         out.append((int(keys[lo + r]), kind, a, b, ok, int(ok), *map(float, features(t, kind, a, b, []))))
+                        if kind == "email":
+                            for around, x, y, label in spelled(t, a, b):
+                                out.append((int(keys[lo + r]), kind, a, b, False, label, *map(float, features(around, kind, x, y, []))))
                     for kind, a, b in loose_candidates(t):
                         if (kind, a, b) not in seen and not any(x < b and a < y for x, y in spans[kind]):
                             seen.add((kind, a, b))
                             every = [s for k in KINDS for s in spans[k]]
-                            out.append((int(keys[lo + r]), kind, a, b, False, None, *map(float, features(t, kind, a, b, every))))
+                            label = 0 if kind == "email" and not plausible_email(t[a:b]) else None
+                            out.append((int(keys[lo + r]), kind, a, b, False, label, *map(float, features(t, kind, a, b, every))))
                 if len(out) >= 2000:
                     yield to_batch(out)
                     out = []
@@ -183,7 +215,7 @@ def candidate_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _score(cands: DataFrame, base_rows: int) -> DataFrame | None:
     """Candidates with the trees' score; None where there is nothing to learn from."""
     labelled = cands.filter(F.col("label").isNotNull()).withColumn("_h", F.xxhash64("_row", "kind", "a"))
-    train = (labelled.filter(F.pmod("_h", F.lit(4)) != 0).orderBy("_h", "_row", "a", "b").limit(base_rows)
+    train = (labelled.filter(F.pmod("_h", F.lit(4)) != 0).orderBy("_h", "_row", "a", "b", "base", "label").limit(base_rows)
              .select(*FEATURES, F.col("label").cast("double").alias("label")).coalesce(1))
     seen = {r["label"] for r in train.select("label").distinct().collect()}
     if len(seen) < 2:
@@ -196,7 +228,8 @@ def _score(cands: DataFrame, base_rows: int) -> DataFrame | None:
 
 
 def thresholds(scored: DataFrame, precision: float) -> dict[str, float]:
-    """Per kind, the smallest score from which held-out candidates reach the precision (counts per score bin)."""
+    """Per kind, the smallest score from which held-out candidates reach the precision (counts per score bin); above
+    every score where all of them passed, or none."""
     held = scored.filter(F.col("label").isNotNull() & (F.pmod("_h", F.lit(4)) == 0))
     bins = (held.groupBy("kind", F.least(F.floor(F.col("_p") * BINS), F.lit(BINS - 1)).alias("bin"))
             .agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect())       # at most kinds x bins rows
@@ -207,7 +240,7 @@ def thresholds(scored: DataFrame, precision: float) -> dict[str, float]:
             if r["kind"] == kind:
                 good[r["bin"]], n[r["bin"]] = r["good"], r["n"]
         above_good, above = np.cumsum(good[::-1])[::-1], np.cumsum(n[::-1])[::-1]
-        fit = np.flatnonzero((above >= 5) & (above_good >= precision * above))
+        fit = np.flatnonzero((above >= 5) & (above_good >= precision * above) & (0 < good.sum() < n.sum()))
         out[kind] = fit[0] / BINS if len(fit) else 2.0
     return out
 
@@ -221,7 +254,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", precis
     keyed = docs.select(key.alias("_row"), F.col(text_col).alias("_t"))
     path = scratch_path(spark, f"pii-{_fresh()}")
     candidate_rows(keyed, "_row", "_t").write.parquet(path)                 # the texts are read once
-    cands = spark.read.parquet(path).dropDuplicates(["_row", "kind", "a", "b"])        # equal rows share their candidates
+    cands = spark.read.parquet(path).dropDuplicates(["_row", "kind", "a", "b", "base", "label"])        # equal rows share their candidates
     scored = _score(cands, train_rows)
     if scored is None:
         spans = cands.filter("base").select("_row", "kind", "a", "b", "base", F.lit(1.0).alias("_p"))

@@ -69,6 +69,28 @@ def test_added_spans_rescue_joined_cards(spark):
     assert got["n_card"] == 0 and "card:5:21" in got["spans"] and "card:22:38" in got["spans"]
 
 
+def test_prose_is_no_email_and_spelled_out_ones_are(spark):
+    ship(spark)
+    train = [f"Please write to {a}{i}@{b}{i % 7}.com today about {c}." for i in range(100)
+             for a, b, c in (("anna", "mill", "rent"), ("bo.li", "north-sea", "trams"), ("office", "shop", "it"))]
+    prose = ["He was from at and. Of course inged at rewhre. In time", "We met at noon.\nRe the rest, look at that. It is", "the cat at home. No one"] * 10
+    asked = ["Please write to jane [at] harbour [dot] com today.", "Please write to max at garden.com today about it.", "mail kim(at)lake.org now"]
+    rows = by_id(pii.contract(pii.find(docs_of(spark, train + prose + asked))))
+    n = len(train)
+    assert all(rows[n + i]["spans"] == "" for i in range(len(prose)))
+    want = ("jane [at] harbour [dot] com", "max at garden.com", "kim(at)lake.org")
+    for i, (t, w) in enumerate(zip(asked, want)):
+        assert rows[n + len(prose) + i]["spans"] == f"email:{t.index(w)}:{t.index(w) + len(w)}"
+    assert all(rows[i]["n_email"] == 1 and rows[i]["n_added"] == 0 for i in range(n))
+
+
+def test_a_kind_without_both_outcomes_is_not_calibrated(spark):
+    held = spark.range(1, 400).selectExpr("'ip' AS kind", "0.9D AS _p", "1 AS label", "id * 4 AS _h").unionByName(
+        spark.range(1, 400).selectExpr("'card' AS kind", "IF(id % 2 = 0, 0.9D, 0.1D) AS _p", "IF(id % 2 = 0, 1, 0) AS label", "id * 4 AS _h"))
+    cut = pii.thresholds(held, 0.98)
+    assert cut["ip"] == 2.0 and 0.1 < cut["card"] <= 0.9
+
+
 # --------------------------------------------------------------------- language
 def test_language_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
