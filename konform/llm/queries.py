@@ -1,7 +1,8 @@
-"""Registered queries of the ten corpus operators: thin, whole tables, production parameters."""
+"""Registered queries of the corpus operators: thin, whole tables, production parameters."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -9,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, near_dup, pii, ppm_language, quality, sharding, suffix_dedup, token_prefix, topk
+from ..session import scratch_path
+from . import decontaminate, mixing, near_dup, pii, ppm_language, quality, sharding, suffix_dedup, token_prefix, topk, wavelet
 from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +96,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_near_dup_tensored")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op11_token_wavelet")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, f"token-files-{uuid.uuid4().hex}")
+    wavelet.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path, end_id=1)
+    return wavelet.documents(spark, path).withColumnRenamed("id", "doc_id")
