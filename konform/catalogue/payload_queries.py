@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..functions.coerce import PAYROLL, coerce_table, ACCOUNTING
 from ..operators.mapping import add_constant, map_select
 from ..schemas import column_mapping, target_types
-from ..sources import payloads
+from ..sources import chains, payloads
 from ._base import PAGE_ROWS, bounded_chunk, load, query, text, xml_elem
 
 CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -246,7 +246,8 @@ WITH p AS (SELECT c_nationkey AS tenant, CAST(floor(c_custkey / 50) AS BIGINT) A
            FROM p JOIN m USING (tenant))
 SELECT tenant, count(*) AS n_pages, max(page_no) AS last_page,
        count(*) FILTER (WHERE next_token IS NULL) AS n_final,
-       (count(*) FILTER (WHERE next_token IS NULL) = 1 AND arg_max(next_token IS NULL, page_no)) AS complete
+       (count(*) FILTER (WHERE next_token IS NULL) = 1 AND arg_max(next_token IS NULL, page_no)
+        AND count(*) = max(page_no) - min(page_no) + 1) AS complete
 FROM t GROUP BY tenant
 """)
 def page_chain_complete(spark, sf):
@@ -401,28 +402,84 @@ _LANDED_BODY = """CASE WHEN c_custkey % 307 = 7 THEN '<html>502</html>'
 
 
 def landed_customers(spark, sf):
-    """One page per customer, chained per nation: some bodies are error pages or cut off, all others start behind
-    blanks; the chain of every fifth nation names a page that never came."""
+    """One page per customer, chained per tenant: some bodies are error pages or cut off, all others start behind
+    blanks; of every five tenants one names a page that never came, one lost a page in the middle, and one landed
+    a page twice."""
     c = load(spark, sf, "customer")
-    last = c.groupBy(F.col("c_nationkey").alias("_n")).agg(F.max("c_custkey").alias("_last"))
-    return (c.join(last, F.col("c_nationkey") == F.col("_n"))
-            .select(F.col("c_nationkey").cast("long").alias("tenant"), F.col("c_custkey").alias("page_no"), F.expr(_LANDED_BODY).alias("body"),
-                    F.when((F.col("c_custkey") < F.col("_last")) | (F.col("c_nationkey") % 5 == 2), "next").alias("next_token")))
+    last = c.groupBy(F.col("c_custkey") % 25).agg(F.max("c_custkey").alias("_last")).toDF("_n", "_last")
+    c = (c.withColumns({"tenant": (F.col("c_custkey") % 25).cast("long"), "page_no": F.floor(F.col("c_custkey") / 25).cast("long")})
+         .filter("not (tenant % 5 = 4 and page_no = 3)")
+         .withColumn("_copy", F.explode(F.when(F.expr("tenant % 5 = 3 and page_no = 2"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))))
+    return (c.join(last, F.col("tenant") == F.col("_n"))
+            .select("tenant", "page_no", F.expr(_LANDED_BODY).alias("body"),
+                    F.when((F.col("c_custkey") < F.col("_last")) | (F.col("tenant") % 5 == 2), "next").alias("next_token")))
 
 
 @query("page_quality", """
-WITH p AS (SELECT CAST(c_nationkey AS BIGINT) AS tenant, c_custkey % 307 = 7 OR c_custkey % 211 = 5 AS bad, c_nationkey % 5 <> 2 AS chained FROM customer)
-SELECT tenant, count(*) AS n_pages, CAST(sum(CAST(bad AS BIGINT)) AS BIGINT) AS n_unreadable, bool_and(chained) AS complete,
-       NOT bool_or(bad) AND bool_and(chained) AS usable, CAST(sum(CASE WHEN bad THEN 0 ELSE 1 END) AS BIGINT) AS n_rows
-FROM p GROUP BY tenant
+WITH p AS (SELECT CAST(c_custkey % 25 AS BIGINT) AS tenant, c_custkey // 25 AS page_no, c_custkey % 307 = 7 OR c_custkey % 211 = 5 AS bad,
+                  CASE WHEN c_custkey % 25 % 5 = 3 AND c_custkey // 25 = 2 THEN 2 ELSE 1 END AS copies
+           FROM customer WHERE NOT (c_custkey % 25 % 5 = 4 AND c_custkey // 25 = 3)),
+     g AS (SELECT tenant, sum(copies) AS n_pages, sum(CASE WHEN bad THEN copies ELSE 0 END) AS n_bad, sum(CASE WHEN bad THEN 0 ELSE 1 END) AS n_good,
+                  tenant % 5 <> 2 AND count(*) = max(page_no) - min(page_no) + 1 AS whole
+           FROM p GROUP BY tenant)
+SELECT tenant, CAST(n_pages AS BIGINT) AS n_pages, CAST(n_bad AS BIGINT) AS n_unreadable, whole AS complete, whole AND n_bad = 0 AS usable,
+       CAST(n_good AS BIGINT) AS n_rows
+FROM g
 """)
 def page_quality(spark, sf):
     pages = landed_customers(spark, sf)
     quality = payloads.page_quality(pages, ["tenant"])
-    n = (payloads.odata_rows(pages, "c_custkey long", keep=["tenant"]).groupBy("tenant").agg(F.count("c_custkey").alias("n_rows")))
+    once = chains.landed_once(pages, ["tenant"], ["page_no"])
+    n = payloads.odata_rows(once, "c_custkey long", keep=["tenant"]).groupBy("tenant").agg(F.count("c_custkey").alias("n_rows"))
     return quality.join(n, "tenant", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("long")))
 
 
+# ------------------------------------------------------------- A2 by links
+_CHAIN_SQL = """
+WITH c AS (SELECT c_custkey AS k, c_custkey % 40 AS chain, c_custkey // 40 AS i FROM customer),
+     m AS (SELECT chain, max(i) AS mx, min(i) AS mn FROM c GROUP BY chain),
+     -- what a landing of each chain holds: own link, next link, body
+     p AS (SELECT chain, CASE WHEN i > mn THEN 'p' || i END AS own,
+                  CASE WHEN chain % 8 = 2 AND i = mx THEN 'p' || (mn + 1)                      -- back into the chain
+                       WHEN chain % 8 = 3 AND i = mx - 1 THEN 'p' || (mn + 1)                  -- a branch: two pages name one
+                       WHEN i < mx THEN 'p' || (i + 1) END AS nxt, k AS body, i
+           FROM c JOIN m USING (chain)
+           WHERE NOT (chain % 8 = 1 AND i = mn + 1)                                            -- a page in the middle is lost
+           UNION ALL
+           SELECT chain, 'p' || i, CASE WHEN i < mx THEN 'p' || (i + 1) END, CASE WHEN chain % 8 = 5 THEN -k ELSE k END, i
+           FROM c JOIN m USING (chain) WHERE chain % 8 IN (4, 5) AND i = mn + 1),              -- landed twice, equal or not
+"""
+
+
+@query("page_chain_links", _CHAIN_SQL.replace("WITH c AS", "WITH RECURSIVE c AS", 1) + """
+     d AS (SELECT chain, coalesce(own, '') AS own, count(*) AS copies, count(DISTINCT (body, coalesce(nxt, ''))) > 1 AS conflict, max(nxt) AS nxt
+           FROM p GROUP BY 1, 2),
+     n AS (SELECT chain, sum(copies) AS n_pages, count(*) AS n_distinct, sum(CASE WHEN conflict THEN 1 ELSE 0 END) AS n_conflicts FROM d GROUP BY 1),
+     walk AS (SELECT chain, nxt, 1 AS steps FROM d WHERE own = ''
+              UNION ALL
+              SELECT d.chain, d.nxt, steps + 1 FROM walk JOIN d ON d.chain = walk.chain AND d.own = walk.nxt JOIN n ON n.chain = d.chain WHERE steps <= n_distinct),
+     r AS (SELECT chain, max(steps) AS reached FROM walk WHERE nxt IS NULL GROUP BY 1)
+SELECT CAST(chain AS BIGINT) AS chain, CAST(n_pages AS BIGINT) AS n_pages, n_distinct, CAST(n_conflicts AS BIGINT) AS n_conflicts,
+       CAST(coalesce(reached, 0) AS BIGINT) AS n_reached, n_conflicts = 0 AND coalesce(reached, 0) = n_distinct AS complete
+FROM n LEFT JOIN r USING (chain)
+""")
+def page_chain_links(spark, sf):
+    """Shuffled pages in chains of links: whole ones, and ones with a gap, a loop, a branch, an equal and an unequal repeat.
+    Half of the chains are linked by the row offset sent and received (``offset_rowid``)."""
+    c = load(spark, sf, "customer").select(F.col("c_custkey").alias("k"), (F.col("c_custkey") % 40).cast("long").alias("chain"),
+                                           F.floor(F.col("c_custkey") / 40).alias("i"))
+    m = c.groupBy("chain").agg(F.min("i").alias("mn"), F.max("i").alias("mx"))
+    c = c.join(m, "chain")
+    link = lambda x: F.concat(F.when(F.col("chain") % 2 == 0, F.lit("https://api/x?$skiptoken=")).otherwise(F.lit("offset_rowid:")), x.cast("string"))
+    own, straight = F.when(F.col("i") > F.col("mn"), link(F.col("i"))), F.when(F.col("i") < F.col("mx"), link(F.col("i") + 1))
+    back = (F.expr("chain % 8 = 2 and i = mx") | F.expr("chain % 8 = 3 and i = mx - 1"))
+    first = c.filter("not (chain % 8 = 1 and i = mn + 1)").select("chain", own.alias("own"), F.when(back, link(F.col("mn") + 1)).otherwise(straight).alias("nxt"),
+                                                                 F.col("k").cast("string").alias("body"))
+    again = c.filter("chain % 8 in (4, 5) and i = mn + 1").select("chain", link(F.col("i")).alias("own"), straight.alias("nxt"),
+                                                                 F.expr("case when chain % 8 = 5 then -k else k end").cast("string").alias("body"))
+    return chains.chain_report(first.unionByName(again), ["chain"])
+
+
 @query("observed_fields", """
 SELECT CAST(c_nationkey AS BIGINT) AS tenant, f.field, count(*) AS n
 FROM customer JOIN (VALUES ('c_custkey'), ('c_name'), ('c_acctbal')) AS f(field)

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import chains
+
 LANDED_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("tenant", T.StringType()),
@@ -82,21 +84,35 @@ def odata_rows(pages: DataFrame, row_schema, keep: list[str] | None = None,
 
 
 # ------------------------------------------------------------------------- A2
+def _per_page(pages: DataFrame, keys: list[str], page_no: str, next_token: str, body: str | None, extra: list[Column]) -> DataFrame:
+    """One row per chain and page number: ``copies`` and whether they are equal; no body moves."""
+    parts = [F.col(next_token), *([F.col(body)] if body else [])]
+    digest = F.xxhash64(*parts)
+    return pages.groupBy(*keys, F.col(page_no).alias("_page")).agg(
+        F.count(F.lit(1)).alias("copies"), (F.min(digest) == F.max(digest)).alias("same"),
+        F.bool_and(F.col(next_token).isNull()).alias("final"), *extra)
+
+
+def _per_chain(per_page: DataFrame, keys: list[str], extra: list[Column]) -> DataFrame:
+    """A chain is complete when its pages follow each other without a gap from the first number to the last, the last
+    page and no other has no next token, and pages that landed again are equal."""
+    return (per_page.groupBy(*keys)
+            .agg(F.sum("copies").alias("n_pages"), F.max("_page").alias("last_page"), F.count_if("final").alias("n_final"),
+                 F.count(F.lit(1)).alias("_distinct"), F.min("_page").alias("_first"), F.count_if(~F.col("same")).alias("_conflicts"),
+                 F.max_by("final", "_page").alias("_last_final"), *extra)
+            .withColumn("complete", F.coalesce((F.col("n_final") == 1) & F.col("_last_final") & (F.col("_conflicts") == 0)
+                                               & (F.col("_distinct") == F.col("last_page") - F.col("_first") + 1), F.lit(False))))
+
+
 def chain_status(pages: DataFrame, keys: list[str], page_no: str = "page_no",
                  next_token: str = "next_token") -> DataFrame:
-    """A2: is every page chain complete?
+    """A2: is every chain of numbered pages complete?  (``chains.chain_report`` follows links instead.)
 
-    A chain (one ``keys`` group) is complete when exactly one page has no
-    next token and that page is the last one.  One partial aggregate per
-    group: no page bodies move.
+    Two partial aggregates, per page and per chain: no page bodies move.  Copies of a page count as equal
+    when their next tokens are (``page_quality`` compares the bodies too).
     """
-    return (pages.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("n_pages"),
-                 F.max(page_no).alias("last_page"),
-                 F.count_if(F.col(next_token).isNull()).alias("n_final"),
-                 F.max_by(F.col(next_token).isNull(), F.col(page_no)).alias("_last_final"))
-            .withColumn("complete", (F.col("n_final") == 1) & F.col("_last_final"))
-            .drop("_last_final"))
+    return (_per_chain(_per_page(pages, keys, page_no, next_token, None, []), keys, [])
+            .select(*keys, "n_pages", "last_page", "n_final", "complete"))
 
 
 def complete_pages(pages: DataFrame, keys: list[str]) -> DataFrame:
@@ -151,14 +167,17 @@ def readable(body: Column, payload: str) -> Column:
 def page_quality(pages: DataFrame, keys: list[str], payload: str = "odata", body: str = "body",
                  page_no: str = "page_no", next_token: str = "next_token") -> DataFrame:
     """Per chain: ``n_pages``, ``n_unreadable``, ``complete`` (A2) and ``usable`` - every page
-    readable and the chain followed to its end.  One partial aggregate; no body moves."""
-    marked = pages.withColumn("_unreadable", (~readable(F.col(body), payload)).cast("long"))
-    return (marked.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("n_pages"), F.sum("_unreadable").alias("n_unreadable"),
-                 F.max(page_no).alias("_last"), F.count_if(F.col(next_token).isNull()).alias("_final"),
-                 F.max_by(F.col(next_token).isNull(), F.col(page_no)).alias("_last_final"))
-            .withColumn("complete", (F.col("_final") == 1) & F.col("_last_final"))
-            .withColumn("usable", (F.col("n_unreadable") == 0) & F.col("complete"))
+    readable and the chain followed to its end.
+
+    Pages with an ``own`` and a ``nxt`` link (see ``chains``) are followed by their links, others by
+    their numbers.  Partial aggregates; no body moves."""
+    bad = F.sum((~readable(F.col(body), payload)).cast("long"))
+    if {"own", "nxt"} <= set(pages.columns):
+        broken = pages.groupBy(*keys).agg(bad.alias("n_unreadable"))
+        found = chains.chain_report(pages, keys, body).join(broken, keys)
+    else:
+        found = _per_chain(_per_page(pages, keys, page_no, next_token, body, [bad.alias("_bad")]), keys, [F.sum("_bad").alias("n_unreadable")])
+    return (found.withColumn("usable", (F.col("n_unreadable") == 0) & F.col("complete"))
             .select(*keys, "n_pages", "n_unreadable", "complete", "usable"))
 
 
