@@ -37,10 +37,11 @@ class Step:
 
 
 def read_records(pages: DataFrame, row_schema, payload: str = "odata", keep=("tenant",),
-                 resource: str | None = None, path: list[str] | None = None) -> DataFrame:
+                 resource: Column | str | None = None, path: list[str] | None = None) -> DataFrame:
     """Records of the landed pages in one of the envelope forms.
 
-    XML forms take the field names of ``row_schema``; ``elements`` also the path of the
+    ``resource`` is the key of a ``keyed`` payload: a name for all pages, or the page column that holds it
+    (``_resource``, a column).  XML forms take the field names of ``row_schema``; ``elements`` also the path of the
     repeated element below the document root."""
     keep = list(keep)
     fields = None if row_schema is None else [f.name for f in payloads._schema(row_schema).fields]
@@ -49,7 +50,8 @@ def read_records(pages: DataFrame, row_schema, payload: str = "odata", keep=("te
     if payload == "rows":
         return payloads.envelope_rows(pages, row_schema, keep)
     if payload == "keyed":
-        return payloads.keyed_rows(pages, row_schema, resource, keep)
+        by_page = isinstance(resource, str) and resource in pages.columns
+        return payloads.keyed_rows(pages, row_schema, F.col(resource) if by_page else resource, keep)
     if payload == "atom":
         return payloads.atom_rows(pages, fields, keep)
     if payload == "extra":
@@ -62,10 +64,15 @@ def read_records(pages: DataFrame, row_schema, payload: str = "odata", keep=("te
 
 
 def mapped_records(rows: DataFrame, source: str, table: str,
-                   tenant: Column | object | None = None, year: int | None = None) -> DataFrame:
-    """D7 -> B1/B3/B7: flat rows under the target's column names, not yet typed."""
+                   tenant: Column | object | None = None, year: Column | int | None = None, owner: str | None = None) -> DataFrame:
+    """D7 -> B1/B3/B7: flat rows under the target's column names, not yet typed.
+
+    ``year`` may be a column: the reporting year of each row's own tenant.  ``owner`` adds a column with the tenant (for
+    tables that have none of their own)."""
     rows = mapping.drop_technical(rows)
-    rows = flatten.flatten_for_table(rows, table, keep=[c for c in ("tenant",) if c in rows.columns])
+    rows = flatten.flatten_for_table(rows, table, keep=[c for c in ("tenant", "_year") if c in rows.columns])
+    if owner:
+        rows = rows.withColumn("_owner", (tenant if isinstance(tenant, Column) else F.lit(tenant)).cast("long"))
     if target_types(source, table) is None:
         raise ValueError(f"no target schema for {source}.{table}")
     if source == "accounting":
@@ -78,19 +85,22 @@ def mapped_records(rows: DataFrame, source: str, table: str,
         rows = mapping.map_keep(rows, m)
     elif source == "payroll":
         if year is not None and "Jaar" in [t for _, t in column_mapping(source, table)]:
-            rows = mapping.add_constant(rows, "Jaar", year, "int")       # B7: the report's year
-        rows = mapping.map_select(rows, column_mapping(source, table))
+            # The report's year
+            rows = rows.withColumn("Jaar", year.cast("int")) if isinstance(year, Column) else mapping.add_constant(rows, "Jaar", year, "int")
+        chosen = column_mapping(source, table)
+        rows = mapping.map_select(rows, [*chosen, ("_owner", "_owner")] if owner else chosen)
     elif source == "erp":
         if tenant is None:
             raise ValueError("ERP rows need the environment id")
         rows = rows.withColumn("OmgevingID", tenant if isinstance(tenant, Column) else F.lit(tenant))
-    return rows
+    return rows.withColumnRenamed("_owner", owner) if owner else rows
 
 
-def typed_records(rows: DataFrame, source: str, table: str) -> DataFrame:
-    """C: mapped rows, typed, in the target's column order."""
+def typed_records(rows: DataFrame, source: str, table: str, extra: list[str] | None = None) -> DataFrame:
+    """C: mapped rows, typed, in the target's column order; ``extra`` columns are passed on behind them."""
     types = target_types(source, table)
-    return mapping.conform(coerce_table(rows, types, POLICIES[source], keep_extra=False), types)
+    typed = coerce_table(rows, types, POLICIES[source], keep_extra=bool(extra))
+    return mapping.conform(typed, types) if not extra else typed.select(*[F.col(f"`{c}`") for c, _ in types], *extra)
 
 
 def conform_records(rows: DataFrame, source: str, table: str,

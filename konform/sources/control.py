@@ -61,6 +61,13 @@ def endpoint_for(tables: DataFrame, table_name: str) -> DataFrame:
     return tables.filter(F.col("TabelNaam") == table_name).select("TabelNaam", "Endpoint")
 
 
+def with_endpoints(work: DataFrame, tables: DataFrame) -> DataFrame:
+    """B15 for a whole work list: the endpoint of each item's table (null for a table without one), so that one run
+    serves tables of any number of endpoints.  A table listed more than once takes the alphabetically first."""
+    known = tables.groupBy(F.col("TabelNaam").alias("table_name")).agg(F.min("Endpoint").alias("endpoint"))
+    return work.drop("endpoint").join(known, "table_name", "left")
+
+
 # ------------------------------------------------------------------------ A13
 def control_map(df: DataFrame, key: list[str], seq: str) -> DataFrame:
     """A13 + E7: a control table as a key/value relation, the last row per key wins."""

@@ -122,13 +122,13 @@ def complete_pages(pages: DataFrame, keys: list[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------ observed fields
-def record_texts(body: Column, payload: str = "odata", resource: str | None = None) -> Column:
+def record_texts(body: Column, payload: str = "odata", resource: Column | str | None = None) -> Column:
     """The records of one JSON page, each as its own JSON text."""
     texts = T.ArrayType(T.StringType())
     if payload == "rows":
         inner = F.get_json_object(body, "$.rows")
     elif payload == "keyed":
-        inner = F.get_json_object(body, f"$.{resource}")
+        inner = F.element_at(F.from_json(body, T.MapType(T.StringType(), T.StringType())), F.lit(resource) if isinstance(resource, str) else resource)
     else:
         d = F.trim(F.get_json_object(body, "$.d"))
         inner = (F.when(body.rlike(r"^\s*\["), body).when(d.isNull(), F.concat(F.lit("["), body, F.lit("]")))
@@ -136,13 +136,34 @@ def record_texts(body: Column, payload: str = "odata", resource: str | None = No
     return F.from_json(inner, texts)
 
 
-def observed_fields(pages: DataFrame, payload: str = "odata", resource: str | None = None, keep: list[str] | None = None,
-                    body: str = "body") -> DataFrame:
-    """The field names that occur in any record (per ``keep``), with the number of records that carry them."""
+#: the element whose children are a record's fields, by payload form (``elements``: the last of the path)
+XML_RECORDS = {"atom": "properties", "extra": "element", "wage": None, "elements": None}
+
+
+def element_names(record: Column, name: str) -> Column:
+    """The local names of the children of one element, given as its own XML text (no children: null)."""
+    parsed = F.from_xml(F.concat(F.lit("<x>"), record, F.lit("</x>")), T.StructType([T.StructField(name, T.VariantType())]), XML_OPTIONS)[name]
+    # an element without children is a plain value; names with a leading underscore are attributes
+    names = F.when(F.schema_of_variant(parsed).startswith("OBJECT"), F.json_object_keys(F.to_json(parsed)))
+    return F.filter(names, lambda n: ~n.startswith("_"))
+
+
+def observed_fields(pages: DataFrame, payload: str = "odata", resource: Column | str | None = None, keep: list[str] | None = None,
+                    body: str = "body", path: list[str] | None = None) -> DataFrame:
+    """The field names that occur in any record (per ``keep``), with the number of records that carry them.
+
+    One aggregate over the parsed records, JSON or XML: the union of keys of any number of pages."""
     keep = list(keep or [])
-    records = pages.select(*keep, F.explode(record_texts(F.col(body), payload, resource)).alias("_r"))
-    return (records.select(*keep, F.explode(F.json_object_keys("_r")).alias("field"))
-            .groupBy(*keep, "field").agg(F.count(F.lit(1)).alias("n")))
+    if payload in XML_PAYLOADS:
+        name = XML_RECORDS[payload] or (path or [None])[-1]
+        if name is None:
+            raise ValueError(f"the path of the repeated element is needed for {payload}")
+        records = pages.select(*keep, F.explode(elements(scrub_char_refs(strip_bom(F.col(body))), name)).alias("_r"))
+        names = element_names(F.col("_r"), name)
+    else:
+        records = pages.select(*keep, F.explode(record_texts(F.col(body), payload, resource)).alias("_r"))
+        names = F.json_object_keys("_r")
+    return records.select(*keep, F.explode(names).alias("field")).groupBy(*keep, "field").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ------------------------------------------------------------ readable pages
@@ -223,10 +244,26 @@ def strip_bom(body: Column) -> Column:
 
 
 # ------------------------------------------------------------------------- A5
+_SPECIAL = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>"
+
+
+def plain_xml(xml: Column) -> Column:
+    """The same document without comments and processing instructions, and with CDATA sections as escaped text, so that
+    ``<`` only begins a tag."""
+    part = lambda x: F.when(x.startswith("<![CDATA["), F.replace(F.replace(F.replace(
+        F.substring(x, F.lit(10), F.length(x) - 12), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))).otherwise(F.lit(""))
+    between, special = F.split(xml, _SPECIAL, -1), F.regexp_extract_all(xml, F.lit(_SPECIAL), F.lit(0))
+    whole = F.array_join(F.zip_with(between, special, lambda a, x: F.concat(a, F.coalesce(part(x), F.lit("")))), "")
+    return F.when(F.contains(xml, F.lit("<!")) | F.contains(xml, F.lit("<?")), whole).otherwise(xml)
+
+
 def elements(xml: Column, name: str) -> Column:
-    """Every element of this local name as its own XML text, at any depth (it must not nest in itself)."""
+    """Every element of this local name as its own XML text, at any depth (it must not nest in itself).
+
+    In ``plain_xml`` a ``<`` is always a tag and a ``>`` inside an attribute is quoted, so the ends found are the element's own."""
     tag = rf"(?:[\w.-]+:)?{re.escape(name)}"
-    return F.regexp_extract_all(xml, F.lit(rf"(?s)<{tag}(?:\s[^>]*?)?(?:/>|(?<!/)>.*?</{tag}\s*>)"), F.lit(0))
+    attributes = r"""(?:[^>"'/]++|"[^"]*+"|'[^']*+'|/(?!>))*+"""
+    return F.regexp_extract_all(plain_xml(xml), F.lit(rf"(?s)<{tag}(?=[\s/>]){attributes}(?:/>|>.*?</{tag}\s*>)"), F.lit(0))
 
 
 def atom_rows(pages: DataFrame, fields: list[str], keep: list[str] | None = None,
@@ -234,11 +271,12 @@ def atom_rows(pages: DataFrame, fields: list[str], keep: list[str] | None = None
     """A5 + A7: one row per ``entry``, a column per local name below its ``properties``
     (inside ``content`` or beside it).
 
-    Values stay text (typing is the coercion step); an empty element is null.
+    Values stay text (typing is the coercion step); an empty element is null, and an entry without
+    properties gives a row of nulls.
     """
     keep = list(keep or [])
     entries = pages.select(*keep, F.explode(elements(scrub_char_refs(F.col(body)), "entry")).alias("_e"))
-    props = F.from_xml(F.element_at(elements(F.col("_e"), "properties"), 1), _strings(fields), XML_OPTIONS)
+    props = F.from_xml(F.get(elements(F.col("_e"), "properties"), F.lit(0)), _strings(fields), XML_OPTIONS)
     return entries.select(*keep, props.alias("_p")).select(
         *keep, *[F.nullif(F.col(f"_p.{f}"), F.lit("")).alias(f) for f in fields])
 
@@ -317,6 +355,19 @@ def element_rows(pages: DataFrame, path: list[str], fields: list[str],
     return exploded.select(*keep, *[F.nullif(F.col(f"_e.{f}"), F.lit("")).alias(f) for f in fields])
 
 
+def element_union_rows(pages: DataFrame, element: str, keep: list[str] | None = None, body: str = "body") -> DataFrame:
+    """A9 without declared fields: every ``element`` at any depth is a row, and the columns are the union of the
+    children's local names over all records, in alphabetical order (found by one aggregate over the pages).
+
+    No element anywhere: no columns but ``keep`` and no rows."""
+    keep = list(keep or [])
+    found = observed_fields(pages, "elements", path=[element], body=body).select("field").collect()      # one per field of the API
+    fields = sorted(r["field"] for r in found)
+    records = pages.select(*keep, F.explode(elements(scrub_char_refs(strip_bom(F.col(body))), element)).alias("_r"))
+    row = F.from_xml(F.col("_r"), _strings(fields or ["_none"]), XML_OPTIONS)
+    return records.select(*keep, row.alias("_p")).select(*keep, *[F.nullif(F.col(f"_p.`{f}`"), F.lit("")).alias(f) for f in fields])
+
+
 def read_elements(spark: SparkSession, path: str, element: str, fields: list[str]) -> DataFrame:
     """A9 over landed XML files: the XML reader splits files on ``rowTag`` in parallel."""
     return (spark.read.format("xml").option("rowTag", element).option("ignoreNamespace", "true")

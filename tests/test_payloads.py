@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from conftest import rows
 from konform.sources import payloads
 from konform.sources.control import read_delimited
 
@@ -159,3 +160,33 @@ def test_observed_fields(spark):
     assert {r["field"]: r["n"] for r in payloads.observed_fields(df).collect()} == {"a": 2, "b": 1, "c": 1, "e": 1}
     rows_ = spark.createDataFrame([('{"rows":[{"a":1}]}',)], "body string")
     assert [r["field"] for r in payloads.observed_fields(rows_, "rows").collect()] == ["a"]
+
+
+ATOM = ("<?xml version=\"1.0\"?><feed xmlns='http://a' xmlns:m='http://m' xmlns:d='http://d'><!-- <entry> --><entry a='x>y'><content><m:properties>"
+        "<d:ID m:type='Edm.Guid'>abc</d:ID><d:Name><![CDATA[a </entry> <b> & <!-- q -->]]></d:Name><d:Nul m:null='true'/></m:properties></content></entry>"
+        "<entry><m:properties><d:ID>q</d:ID></m:properties></entry><entry><id>3</id></entry><entry/></feed>")
+SOAP = ("<Root xmlns='u'><Result><Company a='1'><ID>001</ID><Name>x &amp; y &lt;z&gt;</Name></Company><Company><ID>2</ID>"
+        "<Extra><![CDATA[</Company> & <b>]]></Extra></Company><Company/></Result></Root>")
+
+
+def test_atom_entries_with_cdata_comments_and_without_properties(spark):
+    d = spark.createDataFrame([(1, ATOM), (2, "<feed/>"), (3, None), (4, "not xml")], "k int, body string")
+    got = rows(payloads.atom_rows(d, ["ID", "Name", "Nul"], ["k"]))
+    assert got == sorted([(1, "abc", "a </entry> <b> & <!-- q -->", None), (1, "q", None, None), (1, None, None, None), (1, None, None, None)], key=repr)
+    fields = {r["field"]: r["n"] for r in payloads.observed_fields(d, "atom").collect()}
+    assert fields == {"ID": 2, "Name": 1, "Nul": 1}
+
+
+def test_union_of_keys(spark):
+    d = spark.createDataFrame([(1, SOAP), (2, "<R><Company><Z>1</Z></Company></R>"), (3, None)], "k int, body string")
+    got = payloads.element_union_rows(d, "Company", ["k"])
+    assert got.columns == ["k", "Extra", "ID", "Name", "Z"]
+    assert rows(got) == sorted([(1, None, "001", "x & y <z>", None), (1, "</Company> & <b>", "2", None, None), (1, None, None, None, None),
+                                (2, None, None, None, "1")], key=repr)
+    assert payloads.element_union_rows(d, "None", ["k"]).collect() == []
+
+
+def test_extra_fields_in_cdata(spark):
+    body = "<x><element><ItemID>1</ItemID><Description><![CDATA[ </element> ]]></Description></element><element/></x>"
+    got = rows(payloads.extra_field_rows(spark.createDataFrame([(body,)], "body string")))
+    assert got == sorted([("1", None, None, "</element>", None), (None,) * 5], key=repr)
