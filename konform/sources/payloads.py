@@ -25,6 +25,8 @@ LANDED_SCHEMA = T.StructType([
     T.StructField("page_no", T.LongType()),
     T.StructField("body", T.StringType()),
     T.StructField("next_token", T.StringType()),
+    # which extraction a page belongs to (null where a tenant has one at a time)
+    T.StructField("extraction", T.StringType()),
 ])
 
 XML_OPTIONS = {"ignoreNamespace": "true"}
@@ -186,9 +188,10 @@ def readable(body: Column, payload: str) -> Column:
 
 
 def page_quality(pages: DataFrame, keys: list[str], payload: str = "odata", body: str = "body",
-                 page_no: str = "page_no", next_token: str = "next_token") -> DataFrame:
+                 page_no: str = "page_no", next_token: str = "next_token", first_page: int | None = None) -> DataFrame:
     """Per chain: ``n_pages``, ``n_unreadable``, ``complete`` (A2) and ``usable`` - every page
-    readable and the chain followed to its end.
+    readable and the chain followed to its end.  With ``first_page``, numbered chains must begin there (without it a
+    chain whose first pages are still to come looks whole).
 
     Pages with an ``own`` and a ``nxt`` link (see ``chains``) are followed by their links, others by
     their numbers.  Partial aggregates; no body moves."""
@@ -198,6 +201,8 @@ def page_quality(pages: DataFrame, keys: list[str], payload: str = "odata", body
         found = chains.chain_report(pages, keys, body).join(broken, keys)
     else:
         found = _per_chain(_per_page(pages, keys, page_no, next_token, body, [bad.alias("_bad")]), keys, [F.sum("_bad").alias("n_unreadable")])
+        if first_page is not None:
+            found = found.withColumn("complete", F.col("complete") & (F.col("_first") == first_page))
     return (found.withColumn("usable", (F.col("n_unreadable") == 0) & F.col("complete"))
             .select(*keys, "n_pages", "n_unreadable", "complete", "usable"))
 
