@@ -7,15 +7,17 @@ documents meet in a table as soon as any two of their collections agree; a pair
 similarity 0.75 is missed with probability 8e-4, one with 0.8 with 1e-4, before
 links through third documents are counted.
 
-Equal sets are one class from the start.  The members of a bucket are compared
-with the bucket's centre (its smallest document) on their full sets, and with each
+Equal sets are one class from the start, known by the row (id and text) that stands for it.  The members of a
+bucket are compared with the bucket's centre on their full sets, and with each
 other: all members with one centre form a group, which is dealt out in chunks of
-``CHUNK`` documents.  In a chunk, members that match the centre are settled; the
-others are compared with every member.  Members that are unsettled in a group of
-several chunks then meet the other chunks, block by block.  So every candidate pair is
-either compared or already linked, no pairs are listed as rows, and no task
-holds more than two blocks.  Links are confirmed on full sets; components follow
-from the links.
+``CHUNK`` members.  In a chunk, members that match the centre are attached to it; each
+other is compared with every member, and is attached if it reaches the centre through them.  Pairs of
+attached members are linked already.  Members that are still open in a group of several chunks
+are regrouped under a centre of their own (the smallest of them) as long as that halves
+them, which gives most a common label; then they meet the other chunks block by block, where pairs with
+one label need no comparison.  So every candidate pair is either compared or already linked, and no task
+holds more than two blocks.  Links are confirmed on full sets and leave a task as a spanning forest: fewer
+links than members (or labels), however many pairs are similar.  Components follow from the links.
 
 Defined results: A-Z are lower-cased, other letters stay; a text with fewer than
 five words is one shingle; texts without words (or null) have an empty set, are
@@ -119,30 +121,46 @@ class _Sets:
         return np.flatnonzero(similar(self.shared(s), self.size, len(s)))
 
 
-def _links_of_chunk(ids: list[int], sets: list[np.ndarray], first: int):
-    """Links among documents: ``ids[0]`` is the centre where ``first`` is 1.  Returns (links, unsettled positions).
+class _Forest:
+    """Union-find over some labels; ``join`` says whether two were apart."""
 
-    The centre meets everyone; who does not match it meets everyone else.
-    """
-    links, open_ = [], []
-    group = _Sets(sets)
-    settled = np.zeros(len(ids), bool)
-    if first:
-        p = group.partners(sets[0])
-        settled[p] = True
-        links += [(ids[0], ids[k]) for k in p if k]
-    for k in range(first, len(ids)):
-        if not settled[k]:
-            open_.append(k)
-            if len(ids) > first + 1:
-                links += [(ids[k], ids[j]) for j in _spanning(group.partners(sets[k]), k, settled)]
-    return links, open_
+    def __init__(self, labels):
+        self.up = {x: x for x in labels}
 
+    def root(self, x):
+        while self.up[x] != x:
+            self.up[x] = x = self.up[self.up[x]]
+        return x
 
-def _spanning(partners: np.ndarray, k: int, settled: np.ndarray):
-    """Partners worth a link: one of those already linked through the centre, and every open one."""
-    done = partners[settled[partners]]
-    return [*done[:1].tolist(), *[j for j in partners[~settled[partners]].tolist() if j > k]]
+    def join(self, a, b) -> bool:
+        a, b = self.root(a), self.root(b)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _links_of_chunk(ids: list[int], sets: list[np.ndarray]):
+    """Links among documents, ``ids[0]`` being the centre: a spanning forest of the similar pairs.  Returns (links, positions
+    of the members that do not reach the centre)."""
+    group, forest, links = _Sets(sets), _Forest(range(len(ids))), []
+    for k in range(len(ids)):
+        if k and forest.root(k) == 0:
+            continue
+        for j in group.partners(sets[k]).tolist():
+            if forest.join(k, j):
+                links.append((ids[k], ids[j]))
+    return links, [k for k in range(len(ids)) if forest.root(k)]
+
+
+def _links_of_blocks(ids, labels, sets, others, other_labels, other_sets):
+    """Links between two blocks: a spanning forest of their labels."""
+    group, forest, links, distinct = _Sets(sets), _Forest([*labels, *other_labels]), [], list(dict.fromkeys(labels))
+    for x, label, s in zip(others, other_labels, other_sets):
+        if all(forest.root(label) == forest.root(y) for y in distinct):
+            continue
+        for j in group.partners(s).tolist():
+            if forest.join(label, labels[j]):
+                links.append((x, ids[j]))
+    return links
 
 
 def _grouped(batches, keys: int):
@@ -175,39 +193,35 @@ def _sets_of(col) -> list[np.ndarray]:
 
 def _compare(parts: DataFrame, keys: list[str]) -> DataFrame:
     """Links within each group of ``keys``; rows are sorted by key, then role (0 centre, 1 member, 2 open member of
-    another chunk).  Unsettled members of groups with more than one chunk come back as rows with kind 1."""
+    another chunk).  Members of groups with more than one chunk that stay open come back as rows with kind 1."""
     n = len(keys)
 
     def run(batches):
-        a, b, kind, g, s = [], [], [], [], []
+        out = []
         for t in _grouped(batches, n):
             role, ids = t["role"].to_numpy(), t["id"].to_pylist()
             if len(ids) < 2:
                 continue
             sets = _sets_of(t["text"])
             if role[0] == 0:
-                m = int((role == 0).sum())                  # a repeated id may bring the centre twice
-                links, open_ = _links_of_chunk(ids[m - 1:], sets[m - 1:], 1)
+                links, open_ = _links_of_chunk(ids, sets)
                 if t["chunks"][0].as_py() > 1:
-                    for k in open_:
-                        a.append(ids[m - 1 + k]); b.append(0); kind.append(1); g.append(t[keys[0]][0].as_py()); s.append(t[keys[1]][0].as_py())
+                    out += [(ids[k], 0, 1, t[keys[0]][0].as_py(), t[keys[1]][0].as_py()) for k in open_]
             else:
-                here = np.flatnonzero(role == 1)
-                group = _Sets([sets[k] for k in here])
-                links = [(ids[k], ids[here[j]]) for k in np.flatnonzero(role == 2) for j in group.partners(sets[k])] if len(here) else []
-            for x, y in links:
-                a.append(x); b.append(y); kind.append(0); g.append(0); s.append(0)
-            if len(a) > 5000:
-                yield batch_of(a, b, kind, g, s)
-                a, b, kind, g, s = [], [], [], [], []
-        if a:
-            yield batch_of(a, b, kind, g, s)
-
-    def batch_of(a, b, kind, g, s):
-        return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(kind, pa.int32()), pa.array(g, pa.int64()), pa.array(s, pa.int64())],
-                               names=["a", "b", "kind", "g", "s"])
-
-    return (parts.repartition(*keys).sortWithinPartitions(*keys, "role", "id").select(*keys, "role", "chunks", "id", "text")
+                here, labels = int((role == 1).sum()), t["label"].to_pylist()
+                links = _links_of_blocks(ids[:here], labels[:here], sets[:here], ids[here:], labels[here:], sets[here:]) if here else []
+            out += [(x, y, 0, 0, 0) for x, y in links]
+            if len(out) > 5000:
+                yield batch_of(out)
+                out = []
+        if out:
+            yield batch_of(out)
+
+    def batch_of(rows):
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+        return pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["a", "b", "kind", "g", "s"])
+
+    return (parts.repartition(*keys).sortWithinPartitions(*keys, "role", "id").select(*keys, "role", "chunks", "label", "id", "text")
             .mapInArrow(run, "a long, b long, kind int, g long, s long"))
 
 
@@ -228,38 +242,81 @@ def groups_of(classes: DataFrame, base: str) -> DataFrame:
     return buckets.join(merged.hint("merge"), "key").select("rep", "g").distinct().filter("rep <> g")
 
 
+def _dealt(member: DataFrame) -> DataFrame:
+    """id, g, s, chunks, role of every member (rep, g) and of the centres, one for each chunk of their group."""
+    size = member.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    chunk = F.pmod(F.xxhash64("rep", "g"), F.col("chunks").cast("long"))
+    return (member.join(size, "g").select(F.col("rep").alias("id"), "g", chunk.alias("s"), "chunks", F.lit(1).alias("role"))
+            .unionByName(size.select(F.col("g").alias("id"), "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1)).alias("s"),
+                                     "chunks", F.lit(0).alias("role"))).withColumn("label", F.lit(0).cast("long")))
+
+
 def links_of(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, base: str) -> DataFrame:
-    """Confirmed links (a, b) between class representatives."""
+    """Confirmed links (a, b) between class representatives: forests whose components are those of all similar pairs."""
     spark = docs.sparkSession
     groups_of(classes, base).write.parquet(f"{base}/groups")
-    member = spark.read.parquet(f"{base}/groups")
-    size = member.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    chunk = F.pmod(F.xxhash64("rep", "g"), F.col("chunks").cast("long"))
-    roles = (member.join(size, "g").select(F.col("rep").alias("id"), "g", chunk.alias("s"), "chunks", F.lit(1).alias("role"))
-             .unionByName(size.select(F.col("g").alias("id"), "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1)).alias("s"),
-                                      "chunks", F.lit(0).alias("role"))))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null and text is not null")
+    roles = _dealt(spark.read.parquet(f"{base}/groups"))
+    # one text of each row key, so that equal rows come once
+    texts = (docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(row_key(id_col, text_col).alias("id"), F.col(text_col).alias("text"))
+             .groupBy("id").agg(F.any_value("text").alias("text")))
     texts.join(roles.hint("merge"), "id").write.parquet(f"{base}/texts")
     placed = spark.read.parquet(f"{base}/texts")
     _compare(placed, ["g", "s"]).write.parquet(f"{base}/links")
     found = spark.read.parquet(f"{base}/links")
     links = found.filter("kind = 0").select("a", "b")
-    open_ = found.filter("kind = 1").select(F.col("a").alias("id"), "g", "s").distinct()
-    if not open_.isEmpty():
-        links = links.unionByName(_across(placed, open_))
-    return links
-
-
-def _across(placed: DataFrame, open_: DataFrame) -> DataFrame:
-    """Open members against the other chunks of their group: a block of open members and a chunk at a time."""
-    blocks = open_.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("blocks"))
-    members = placed.filter("role = 1 and chunks > 1")
+    open_ = found.filter("kind = 1").select(F.col("a").alias("id"), "g", "s")
+    if open_.isEmpty():
+        return links
+    labels, more = _regrouped(placed, open_, base)
+    return links.unionByName(more).unionByName(_across(placed, labels))
+
+
+def _regrouped(placed: DataFrame, open_: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:
+    """(g, s, id, label of every open member; the links found): open members of a group compared under centres of their own,
+    the smallest first, as long as half of them are attached to it."""
+    spark = placed.sparkSession
+    texts = placed.filter("role = 1 and chunks > 1").select("g", "id", "text").join(open_.select("g", "id"), ["g", "id"], "left_semi")
+    texts.write.parquet(f"{base}/open-texts")
+    texts = spark.read.parquet(f"{base}/open-texts")
+    left, before, named, links, r = open_.select("g", "id"), None, [], [], 0
+    while True:
+        n = left.count()
+        if not n or (before is not None and 2 * n > before):
+            break
+        centre = left.groupBy("g").agg(F.min("id").alias("c"))
+        member = left.join(centre, "g")
+        # a group's open members under their new centre; the old group stays as ``_g``
+        size = member.groupBy("g", "c").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("_n"))
+        dealt = (member.filter("id <> c").join(size.drop("c"), "g").select("g", "id", F.pmod(F.xxhash64("id", "c"), F.col("_n").cast("long")).alias("s"), F.lit(1).alias("role"))
+                 .unionByName(size.select("g", F.col("c").alias("id"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n").cast("long") - 1)).alias("s"), F.lit(0).alias("role"))))
+        (_compare(texts.join(dealt, ["g", "id"]).withColumns({"chunks": F.lit(2), "label": F.lit(0).cast("long")}), ["g", "s"]).write.parquet(f"{base}/regroup-{r}"))
+        found = spark.read.parquet(f"{base}/regroup-{r}")
+        links.append(found.filter("kind = 0").select("a", "b"))
+        rest = found.filter("kind = 1").select("g", F.col("a").alias("id"))
+        named.append(member.join(rest, ["g", "id"], "left_anti").select("g", "id", F.col("c").alias("label")))
+        left, before, r = rest, n, r + 1
+    named.append(left.select("g", "id", F.col("id").alias("label")))
+    label, link = named[0], links[0]
+    for x in named[1:]:
+        label = label.unionByName(x)
+    for x in links[1:]:
+        link = link.unionByName(x)
+    open_.join(label, ["g", "id"]).write.parquet(f"{base}/labels")
+    return spark.read.parquet(f"{base}/labels"), link
+
+
+def _across(placed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Open members against the other chunks of their group: a block of open members and a chunk at a time.  The others of a
+    group are attached to its centre, which is their label."""
+    blocks = labels.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("blocks"))
+    members = placed.filter("role = 1 and chunks > 1").drop("label").join(labels.select("g", "s", "id", F.col("label").alias("_l")), ["g", "s", "id"], "left")
+    members = members.withColumn("label", F.coalesce("_l", "g"))
     here = (members.join(blocks, "g").withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
-            .select("g", "s", F.col("k").cast("long").alias("k"), F.lit(1).alias("role"), "chunks", "id", "text"))
-    there = (members.join(open_, ["g", "s", "id"], "left_semi").join(blocks, "g")
-             .withColumn("k", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")))
+            .select("g", "s", F.col("k").cast("long").alias("k"), F.lit(1).alias("role"), "chunks", "label", "id", "text"))
+    there = (members.filter("_l is not null").join(blocks, "g")
+             .withColumn("k", F.pmod(F.xxhash64("label", "id"), F.col("blocks").cast("long")))
              .withColumn("_to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1))).filter("_to <> s")
-             .select("g", F.col("_to").cast("long").alias("s"), "k", F.lit(2).alias("role"), "chunks", "id", "text"))
+             .select("g", F.col("_to").cast("long").alias("s"), "k", F.lit(2).alias("role"), "chunks", "label", "id", "text"))
     return _compare(here.unionByName(there), ["g", "s", "k"]).select("a", "b")
 
 
@@ -269,13 +326,17 @@ def decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     base = scratch_path(spark, f"near-dup-{uuid.uuid4().hex}")
     signatures(docs, id_col, text_col).write.parquet(f"{base}/sets")
     sets = spark.read.parquet(f"{base}/sets")
-    (sets.filter("n > 0 and id is not null").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"), F.any_value("c").alias("c"))
-     .write.parquet(f"{base}/classes"))
+    # a class is known by the key of its first row, not by an id that other texts may share
+    (sets.filter("n > 0 and id is not null").groupBy("n", "d1", "d2").agg(F.min(F.struct("id", "k")).alias("m"), F.any_value("c").alias("c"))
+     .select("n", "d1", "d2", F.col("m.k").alias("rep"), F.col("m.id").alias("first"), "c").write.parquet(f"{base}/classes"))
     classes = spark.read.parquet(f"{base}/classes")
     label = components(links_of(docs, classes, id_col, text_col, base))
-    named = (classes.join(label, classes["rep"] == label["node"], "left")
-             .select("n", "d1", "d2", F.coalesce("component", "rep").alias("_c")))
-    out = sets.drop("c").join(named.hint("merge"), ["n", "d1", "d2"], "left").withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("_c", "id")))
+    (classes.join(label, classes["rep"] == label["node"], "left").select("n", "d1", "d2", "first", F.coalesce("component", "rep").alias("_c"))
+     .write.parquet(f"{base}/named"))
+    named = spark.read.parquet(f"{base}/named")
+    smallest = named.groupBy("_c").agg(F.min("first").alias("_id"))
+    named = named.join(smallest.hint("merge"), "_c").select("n", "d1", "d2", "_id")
+    out = sets.drop("c").join(named.hint("merge"), ["n", "d1", "d2"], "left").withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("_id", "id")))
     return out.select("id", "k", "n", "component_id", F.coalesce(F.col("component_id") == F.col("id"), F.lit(True)).alias("kept"))
 
 
