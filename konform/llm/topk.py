@@ -16,8 +16,9 @@ Defined results: vectors that are null, or hold null or non-finite components,
 take no part; a vector only meets vectors of its own length; empty vectors
 score 0 with each other; rows that repeat an id are candidates each, but one
 query (the first by vector); an id is never its own candidate; ties go to the
-smaller id; an empty table gives no rows.  Components must stay below 2**24
-after scaling, so that every score is exact.
+smaller id; an empty table gives no rows.  Scores are exact for components of any size: where a block's
+largest possible score passes 2**52, survivors are scored in integers instead of doubles (and the bounds
+get a margin for their rounding); a score among the k best that does not fit a long fails the job.
 """
 
 from __future__ import annotations
@@ -45,15 +46,36 @@ def segment_features(v: np.ndarray, parts: int) -> np.ndarray:
     return np.stack(out, 1) if out else np.zeros((len(v), 1))
 
 
+def exact_scores(q: np.ndarray, x: np.ndarray, a: np.ndarray, b: np.ndarray, largest: float) -> np.ndarray:
+    """Integer inner products of the pairs (a, b) of rows that hold integers: in doubles, longs or Python's integers, by
+    the largest score there can be."""
+    if largest < 2.0 ** 62:
+        kind = np.float64 if largest < 2.0 ** 52 else np.int64
+        q, x = q.astype(kind), x.astype(kind)
+        parts = [np.einsum("ij,ij->i", q[a[s:s + (1 << 18)]], x[b[s:s + (1 << 18)]]) for s in range(0, len(a), 1 << 18)]
+        return np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
+    rows = {}
+    whole = lambda m, i, side: rows.setdefault((side, i), [int(v) for v in m[i]])
+    return np.array([sum(u * v for u, v in zip(whole(q, i, 0), whole(x, j, 1))) for i, j in zip(a.tolist(), b.tolist())], object)
+
+
 def best_in_block(q: np.ndarray, q_id: np.ndarray, x: np.ndarray, x_id: np.ndarray, k: int):
     """(query row, candidate row, score) of the k best candidates of every query."""
-    feats = [(segment_features(q, m), segment_features(x, m)) for m in LEVELS if m < max(2, q.shape[1])]
+    top_q, top_x = (float(np.abs(m).max(initial=0.0)) for m in (q, x))
+    largest = top_q * top_x * max(q.shape[1], 1)
+    large = not largest < 2.0 ** 52
+    # large components are brought to 1 for the bounds, so that nothing overflows
+    fq_, fx_ = (q / max(top_q, 1.0), x / max(top_x, 1.0)) if large else (q, x)
+    norm_q, norm_x = (np.sqrt((m * m).sum(1)) for m in (fq_, fx_))
+    feats = [(segment_features(fq_, m), segment_features(fx_, m)) for m in LEVELS if m < max(2, q.shape[1])]
     got = []
     for lo in range(0, len(q), STEP):
         hi = min(len(q), lo + STEP)
         other = q_id[lo:hi, None] != x_id[None, :]
         alive = other
         floor = np.full(hi - lo, -np.inf)
+        # small scores are integers: half a point covers all rounding of the bounds
+        margin = 1e-9 * norm_q[lo:hi, None] * norm_x[None, :] if large else 0.5
         for level, (fq, fx) in enumerate(feats):
             dense = alive.mean() > 0.1
             if dense:
@@ -66,29 +88,39 @@ def best_in_block(q: np.ndarray, q_id: np.ndarray, x: np.ndarray, x_id: np.ndarr
                     i, j = a[s:s + (1 << 18)], b[s:s + (1 << 18)]
                     bound[i, j] = np.einsum("ij,ij->i", fq[lo + i], fx[j])
             if level == 0:
-                # exact scores of the most promising candidates give the first threshold
+                # scores of the most promising candidates give the first threshold
                 n = min(SEEDS, len(x))
                 top = np.argpartition(-bound, n - 1, axis=1)[:, :n]
-                exact = np.einsum("ij,ikj->ik", q[lo:hi], x[top])
-                exact[~np.take_along_axis(other, top, 1)] = -np.inf
+                seen = np.einsum("ij,ikj->ik", fq_[lo:hi], fx_[top])
+                if large:
+                    seen -= np.take_along_axis(margin, top, 1)
+                seen[~np.take_along_axis(other, top, 1)] = -np.inf
                 if n >= k:
-                    floor = np.partition(exact, n - k, axis=1)[:, n - k]
-            # scores are integers: half a point covers all rounding of the bounds
-            alive = alive & (bound >= floor[:, None] - 0.5 - 1e-9 * np.abs(bound))
+                    floor = np.partition(seen, n - k, axis=1)[:, n - k]
+            alive = alive & (bound >= floor[:, None] - margin - 1e-9 * np.abs(bound))
         a, b = np.nonzero(alive)
-        score = np.concatenate([np.einsum("ij,ij->i", q[lo + a[s:s + (1 << 18)]], x[b[s:s + (1 << 18)]])
-                                for s in range(0, len(a), 1 << 18)]) if len(a) else np.zeros(0)
-        keep = score >= floor[a]
-        a, b, score = a[keep], b[keep], score[keep]
-        order = np.lexsort((x_id[b], -score, a))
+        score = exact_scores(q, x, lo + a, b, largest)
+        if not large:
+            keep = score >= floor[a]
+            a, b, score = a[keep], b[keep], score[keep]
+        # descending by score, ties to the smaller id; Python's integers are ranked first
+        rank = np.unique(score, return_inverse=True)[1] if score.dtype == object else score
+        order = np.lexsort((x_id[b], -rank, a))
         a, b, score = a[order], b[order], score[order]
         place = np.arange(len(a)) - np.searchsorted(a, a)
         keep = place < k
-        got.append((lo + a[keep], b[keep], score[keep]))
+        if score.dtype == object and any(not -(1 << 63) <= s < 1 << 63 for s in score[keep]):
+            raise OverflowError("an inner product among the best does not fit a long")
+        got.append((lo + a[keep], b[keep], score[keep].astype(np.int64)))
     cat = lambda i: np.concatenate([g[i] for g in got]) if got else np.zeros(0, np.int64)
     return cat(0), cat(1), cat(2)
 
 
+def _floor(x: Column) -> Column:
+    """The largest whole number up to x, as a double (every double from 2**53 on is one)."""
+    return F.when(F.abs(x) < 2.0 ** 53, F.floor(x).cast("double")).otherwise(x)
+
+
 def _matrix(col, dim: int) -> np.ndarray:
     flat = col.combine_chunks().flatten().to_numpy(zero_copy_only=False) if isinstance(col, pa.ChunkedArray) else col.flatten().to_numpy()
     return flat.astype(np.float64).reshape(-1, dim)
@@ -101,7 +133,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, i
                           F.col(vector_col).cast("array<double>").alias("_v"))
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     rows = (rows.filter(F.col("_v").isNotNull() & F.col("_id").isNotNull() & F.forall("_v", finite))
-            .withColumn("_v", F.transform("_v", lambda x: F.floor(x * scale).cast("long")))
+            .withColumn("_v", F.transform("_v", lambda x: _floor(x * scale)))
             .withColumn("_d", F.size("_v")))
     queries = rows.filter("_q").groupBy("_id", "_d").agg(F.min("_v").alias("_v"))
     n_rows, n_queries = rows.agg(F.count(F.lit(1)), F.count_if("_q")).first()

@@ -83,6 +83,26 @@ def _search(df):
     return sorted(tuple(r) for r in topk.search(df, F.col("vec_id") % 50 == 0).collect())
 
 
+def test_large_components_are_scored_exactly(spark):
+    rnd = random.Random(9)
+    for size in (2.0 ** 17, 2.0 ** 20, 2.0 ** 21):                       # largest scores of 2**55, 2**61 and close to 2**63
+        rows = [(i, [rnd.choice((-1, 1)) * size * rnd.random() for _ in range(24)]) for i in range(120)] + [(500, [size] * 24), (501, [size] * 24)]
+        v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        whole = {i: [int(np.floor(256 * x)) for x in e] for i, e in rows}
+        got = {}
+        for r in topk.search(v, F.col("vec_id") % 10 == 0, k=5, scale=256).collect():
+            got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+        for q in [i for i in whole if i % 10 == 0]:
+            want = sorted((-sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in whole if i != q)[:5]
+            assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(want)]
+
+
+def test_a_score_beyond_a_long_fails(spark):
+    v = spark.createDataFrame([(0, [1e19, 1.0]), (1, [1e19, 2.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.search(v, F.col("vec_id") == 0, k=2).collect()
+
+
 def test_topk_odd_rows(spark):
     ship(spark)
     rnd = np.random.default_rng(1)
