@@ -1,19 +1,19 @@
-"""Benchmark decontamination: n-gram seeds, the rarest first, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Test items are cut into passages of at most ``PASSAGE`` words (overlapping by
-half), and every run of ``SEED`` words of a passage is a seed, however many
-documents hold it.  A scan joins every run of words of a document to the seeds;
-where two different seeds of a passage meet a document on nearby diagonals (one,
-if the passage has only one; more, where no alignment that counts can do with
-two), the passage is aligned with that window word by word (Smith-Waterman),
-which finds edited and paraphrased copies.  An alignment counts if enough of its
-columns are equal words (``identity``) and enough of the passage takes part
-(``coverage``).  ``leaked`` needs one hit a document: a scan before it counts in how
-many documents each seed occurs, and the windows with the rarest seeds come first.
+half), and the runs of ``SEED`` words of a passage are its seeds.  An alignment counts if enough of its
+columns are equal words (``identity``) and enough of the passage takes part (``coverage``); with so many equal
+words and so few others, some number of runs is *certain* to be intact in every alignment that counts
+(at least one).  A first scan counts the documents that hold each seed; all but one of that number may be left
+out, and the most frequent ones are: the rare seeds that stay lose no alignment that counts.  A second scan joins every run
+of words of a document to them, and wherever one meets, the passage is aligned with its surroundings word by word
+(Smith-Waterman), which finds edited and paraphrased copies.
 
 Items are joined in blocks of at most ``BLOCK_WORDS`` words: one block is what a task
 holds in memory, whatever the size of the benchmark; each further block is a further
-scan.  Documents are never shuffled.
+scan, for the filter too.  Documents are never shuffled by ``find``; the filter takes out the flagged texts by their hashes.  Long texts are
+read in slices of ``SLICE_WORDS`` words that overlap by more than an alignment can span, and a seed that a passage repeats
+is met once with the range of its places, so the meetings held at once stay below ``PAIRS`` or those of one passage with one slice.
 
 Defined results: words are lower-case runs of letters and digits; null or empty
 texts and items match nothing; an item of fewer than ``SEED`` words matches only as a
@@ -24,13 +24,15 @@ columns are ignored (``keep_clean`` passes them on).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import textvec as tv
 
 SEED = 3
@@ -39,7 +41,8 @@ BLOCK_WORDS = 1_000_000
 IDENTITY = 0.75
 COVERAGE = 0.5
 LEAST_WORDS = 8
-PAIRS = 4_000_000               # meetings of a word run and a seed held at once (one document is not split)
+PAIRS = 4_000_000               # meetings of a word run and a seed held at once
+SLICE_WORDS = 20_000            # words of one text handled at once
 MATCH, MISMATCH, GAP = 2, -1, -1
 SEPARATORS = ~tv.byte_table(bytes([*range(48, 58), *range(97, 123), *range(128, 256)]))
 
@@ -69,14 +72,14 @@ class Index:
 
     item: np.ndarray                # passage -> item
     words: list[np.ndarray]         # passage -> word hashes
-    size: np.ndarray                # passage -> words of the whole item
-    hashes: np.ndarray              # seed hashes, sorted (repeats allowed)
+    hashes: np.ndarray              # seed hashes, sorted (one row per passage and hash)
     passage: np.ndarray             # seed -> passage
-    place: np.ndarray               # seed -> first word within the passage
+    first: np.ndarray               # seed -> its first place within the passage
+    last: np.ndarray                # seed -> its last place
+    times: np.ndarray               # seed -> number of places
     lengths: tuple[int, ...]        # run lengths in use
-    need: np.ndarray                # passage -> seeds that must meet
+    certain: np.ndarray             # passage -> seeds that every alignment that counts holds
     least: np.ndarray               # passage -> equal words of an alignment that counts
-    df: np.ndarray | None = None    # seed -> documents that hold it, where counted
     bits: np.ndarray | None = None
 
     def __post_init__(self):
@@ -86,60 +89,68 @@ class Index:
     def candidates(self, h: np.ndarray) -> np.ndarray:
         return np.flatnonzero(self.bits[(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
 
-    def meetings(self, h: np.ndarray) -> int:
-        """Number of pairs that ``lookup`` gives."""
-        c = self.candidates(h)
-        return int((np.searchsorted(self.hashes, h[c], "right") - np.searchsorted(self.hashes, h[c], "left")).sum())
-
     def lookup(self, h: np.ndarray):
-        """(position in h, seed row) for every equal pair."""
+        """(positions in h that meet, first seed row and number of seed rows of each)."""
         c = self.candidates(h)
-        lo, hi = np.searchsorted(self.hashes, h[c], "left"), np.searchsorted(self.hashes, h[c], "right")
-        n = hi - lo
-        pos = np.repeat(c, n)
-        seed = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        return pos, seed
-
-    def ranked(self, df: tuple[np.ndarray, np.ndarray]) -> "Index":
-        """With the number of documents that hold each seed."""
+        lo = np.searchsorted(self.hashes, h[c], "left")
+        n = np.searchsorted(self.hashes, h[c], "right") - lo
+        return c[n > 0], lo[n > 0], n[n > 0]
+
+    def only(self, seeds: np.ndarray) -> "Index":
+        return replace(self, hashes=self.hashes[seeds], passage=self.passage[seeds], first=self.first[seeds], last=self.last[seeds],
+                       times=self.times[seeds], bits=None)
+
+    def rare(self, df: tuple[np.ndarray, np.ndarray]) -> "Index":
+        """Without the most frequent seeds that no alignment that counts can depend on: of a passage, fewer places
+        than every such alignment is certain to hold."""
         keys, n = df
         count = np.zeros(len(self.hashes), np.int64)
         if len(keys):
             at = np.minimum(np.searchsorted(keys, self.hashes), len(keys) - 1)
             count = np.where(keys[at] == self.hashes, n[at], 0)
-        return replace(self, df=count)
+        order = np.lexsort((self.hashes, -count, self.passage))
+        places = np.cumsum(self.times[order])
+        starts = np.flatnonzero(np.diff(self.passage[order], prepend=-1))
+        before = np.repeat(places[starts] - self.times[order][starts], np.diff([*starts, len(order)]))
+        drop = places - before < self.certain[self.passage[order]]
+        return self.only(np.sort(order[~drop]))
 
 
 def index_items(ids: np.ndarray, texts: pa.Array) -> Index:
-    item, words, size, hs, ps, pl, need, least, lengths = [], [], [], [], [], [], [], [], set()
+    item, words, hs, ps, first, last, times, certain, least, lengths = [], [], [], [], [], [], [], [], [], set()
     for lo, hi, data, off in tv.chunks(texts):
         wh, _, _, row = words_of(data, off)
-        first = np.searchsorted(row, np.arange(hi - lo + 1))
+        bound = np.searchsorted(row, np.arange(hi - lo + 1))
         for r in range(hi - lo):
-            w = wh[first[r]:first[r + 1]]
+            w = wh[bound[r]:bound[r + 1]]
             step = PASSAGE // 2
             for a in range(0, max(1, len(w) - step), step) if len(w) else ():
                 part = w[a:a + PASSAGE]
                 n = min(SEED, len(part))
                 h, at = _run_hashes(part, np.zeros(len(part), np.int64), n)
+                keys, of = np.unique(h, return_inverse=True)
                 lengths.add(n)
-                k = len(item)
-                item.append(ids[lo + r]); words.append(part); size.append(len(w))
-                hs.append(h); ps.append(np.full(len(h), k)); pl.append(at)
+                hs.append(keys); ps.append(np.full(len(keys), len(item)))
+                lows, highs = np.full(len(keys), len(part)), np.zeros(len(keys), np.int64)
+                np.minimum.at(lows, of, at)
+                np.maximum.at(highs, of, at)
+                first.append(lows); last.append(highs); times.append(np.bincount(of, minlength=len(keys)))
+                item.append(ids[lo + r]); words.append(part)
                 least.append(max(int(np.ceil(len(part) * COVERAGE)), min(len(part), LEAST_WORDS)))
-                need.append(max(min(2, len(np.unique(h))), _intact(least[-1]) if n == SEED else 0))
+                certain.append(_certain(least[-1], len(part)) if n == SEED else 1)
     cat = lambda x, t: np.concatenate(x).astype(t) if x else np.zeros(0, t)
     h = cat(hs, np.uint64)
     o = np.argsort(h, kind="stable")
-    return Index(np.array(item, np.int64), words, np.array(size, np.int64), h[o], cat(ps, np.int64)[o], cat(pl, np.int64)[o],
-                 tuple(sorted(lengths)), np.array(need, np.int64), np.array(least, np.int64))
+    return Index(np.array(item, np.int64), words, h[o], cat(ps, np.int64)[o], cat(first, np.int64)[o], cat(last, np.int64)[o], cat(times, np.int64)[o],
+                 tuple(sorted(lengths)), np.array(certain, np.int64), np.array(least, np.int64))
 
 
-def _intact(equal: int) -> int:
-    """Seeds that an alignment with so many equal words or more holds whole: each of its other columns breaks at
-    most SEED - 1 of them beside the equal word it stands for."""
-    others = int(equal * (1 / IDENTITY - 1) + 1e-9)
-    return equal - (SEED - 1) * (others + 1) - (SEED - 1)
+def _certain(least: int, size: int) -> int:
+    """Runs of SEED words that every alignment with at least so many equal words holds whole.
+
+    Its other columns - few, by the identity - cut the equal words into one more run of equal columns than there are; each run is SEED - 1
+    short of as many seeds."""
+    return max(1, min(e - (SEED - 1) * (int(e * (1 / IDENTITY - 1) + 1e-9) + 1) for e in range(least, size + 1)))
 
 
 def align(a: np.ndarray, b: np.ndarray):
@@ -175,68 +186,72 @@ def matches(ix: Index, data: np.ndarray, off: np.ndarray, one: bool = False):
     if not len(wh) or not len(ix.hashes):
         return []
     bounds = np.searchsorted(row, np.arange(len(off)))
-    runs = [_run_hashes(wh, row, n) for n in ix.lengths]
-    if len(off) > 2 and sum(ix.meetings(h) for h, _ in runs) > PAIRS:
-        mid = len(off) // 2
-        return (matches(ix, data[:off[mid]], off[:mid + 1], one)
-                + [(m[0] + mid, *m[1:]) for m in matches(ix, data[off[mid]:], off[mid:] - off[mid], one)])
-    pos, seed = [], []
-    for h, at in runs:
-        p, s = ix.lookup(h)
-        pos.append(at[p]); seed.append(s)
-    pos, seed = np.concatenate(pos), np.concatenate(seed)
-    ps, pl = ix.passage[seed], ix.place[seed]
-    o = np.lexsort((pos, ps, row[pos]))
-    pos, ps, pl, seed = pos[o], ps[o], pl[o], seed[o]
+    step = SLICE_WORDS - 3 * PASSAGE                       # an alignment spans less than two passages
+    slices = [(r, a, min(int(bounds[r + 1]), a + SLICE_WORDS)) for r in range(len(off) - 1)
+              for a in range(int(bounds[r]), max(int(bounds[r]) + 1, int(bounds[r + 1]) - 3 * PASSAGE), step)]
     best: dict[tuple[int, int], tuple] = {}
-    if not len(pos):
-        return []
-    r = row[pos]
-    plen = np.array([len(w) for w in ix.words])
-    # a new window where the row or passage changes, or the document goes on for more than a passage without a seed
-    new = np.concatenate(([True], (r[1:] != r[:-1]) | (ps[1:] != ps[:-1]) | (pos[1:] - pos[:-1] > plen[ps[1:]])))
+    _match_slices(ix, wh, slices, best, one)
+    return [(k[0], k[1], v[3], v[4], v[1], int(ws[v[5]] - off[k[0]]), int(we[v[6]] - off[k[0]])) for k, v in sorted(best.items())]
+
+
+def _match_slices(ix: Index, wh: np.ndarray, slices: list[tuple[int, int, int]], best: dict, one: bool) -> None:
+    """Add the best alignment of each (row, item) to ``best``; splits the slices, then the passages, where too many meet at once."""
+    if not len(ix.hashes):
+        return
+    place = np.concatenate([np.arange(a, b) for _, a, b in slices])
+    part = np.repeat(np.arange(len(slices)), [b - a for _, a, b in slices])
+    found = []
+    for n in ix.lengths:
+        h, at = _run_hashes(wh[place], part, n)
+        c, lo, k = ix.lookup(h)
+        found.append((at[c], lo, k))
+    at, lo, k = (np.concatenate(x) for x in zip(*found))
+    if k.sum() > PAIRS:
+        passages = np.unique(ix.passage)
+        if len(slices) > 1:
+            mid = len(slices) // 2
+            _match_slices(ix, wh, slices[:mid], best, one)
+            return _match_slices(ix, wh, slices[mid:], best, one)
+        if len(passages) > 1:
+            low = ix.passage < passages[len(passages) // 2]
+            _match_slices(ix.only(np.flatnonzero(low)), wh, slices, best, one)
+            return _match_slices(ix.only(np.flatnonzero(~low)), wh, slices, best, one)
+    if not len(at):
+        return
+    seed = np.repeat(lo, k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+    at = np.repeat(at, k)
+    ps = ix.passage[seed]
+    # the diagonals (document word less passage word) that the meeting may lie on
+    low, high = place[at] - ix.last[seed], place[at] - ix.first[seed]
+    o = np.lexsort((low, ps, part[at]))
+    pt, ps, low, high = part[at][o], ps[o], low[o], high[o]
+    size = np.array([len(w) for w in ix.words])[ps]
+    # a new window where the slice or passage changes, or the diagonals are too far apart for one alignment
+    change = np.concatenate(([True], (pt[1:] != pt[:-1]) | (ps[1:] != ps[:-1])))
+    group = np.cumsum(change) - 1
+    reach = np.maximum.accumulate(high + group * (1 << 40)) - group * (1 << 40)
+    new = change.copy()
+    new[1:] |= low[1:] - reach[:-1] > size[1:] // 2 + 2
     starts = np.flatnonzero(new)
-    ends = np.append(starts[1:], len(pos))
-    window = np.cumsum(new) - 1
-    places = np.bincount(np.unique(window * np.int64(PASSAGE) + pl) // PASSAGE, minlength=len(starts))
-    todo = np.flatnonzero(places >= ix.need[ps[starts]])
-    if one and ix.df is not None:
-        todo = todo[np.argsort(np.minimum.reduceat(ix.df[seed], starts)[todo], kind="stable")]
-    found = set()
-    for a, b in zip(starts[todo], ends[todo]):
-        p, rr = int(ps[a]), int(r[a])
-        if one and rr in found:
+    ends = np.append(starts[1:], len(ps)) - 1
+    for a, b in zip(starts.tolist(), ends.tolist()):
+        r, start, end = slices[int(pt[a])]
+        p = int(ps[a])
+        if one and (r, -1) in best:
             continue
         w = ix.words[p]
-        # within a window, only the neighbourhood of seeds on nearby diagonals is aligned
-        for lo, hi in _diagonals(pos[a:b], pl[a:b], len(w), int(ix.need[p])):
-            slack = len(w) // 4 + 2
-            lo, hi = max(int(bounds[rr]), lo - slack), min(int(bounds[rr + 1]), hi + len(w) + slack)
-            # no alignment has more equal words than the passage has in common with the window
-            if np.isin(w, wh[lo:hi]).sum() < ix.least[p]:
-                continue
-            score, equal, columns, j0, j1 = align(w, wh[lo:hi])
-            identity, coverage = equal / max(1, columns), equal / len(w)
-            if identity >= IDENTITY and equal >= ix.least[p]:
-                key = (rr, int(ix.item[p]))
-                start = int(ws[lo + j0] - off[rr])
-                got = (identity * coverage, score, -start, identity, coverage, start, int(we[lo + j1 - 1] - off[rr]))
-                if key not in best or got[:3] > best[key][:3]:
-                    best[key] = got
-                found.add(rr)
-    return [(k[0], k[1], v[3], v[4], v[1], v[5], v[6]) for k, v in sorted(best.items())]
-
-
-def _diagonals(pos: np.ndarray, place: np.ndarray, size: int, need: int):
-    """Ranges of diagonals (document word minus passage word) that hold enough different seeds."""
-    d = pos - place
-    o = np.argsort(d, kind="stable")
-    d, place = d[o], place[o]
-    reach = size // 2 + 2
-    cut = np.flatnonzero(np.concatenate(([True], d[1:] - d[:-1] > reach)))
-    for a, b in zip(cut, np.append(cut[1:], len(d))):
-        if len(np.unique(place[a:b])) >= need:
-            yield int(d[a]), int(d[b - 1])
+        slack = len(w) // 3 + 2
+        lo_, hi_ = max(start, int(low[a]) - slack), min(end, int(reach[b]) + len(w) + slack)
+        # no alignment has more equal words than the passage has in common with the window
+        if np.isin(w, wh[lo_:hi_]).sum() < ix.least[p]:
+            continue
+        score, equal, columns, j0, j1 = align(w, wh[lo_:hi_])
+        identity, coverage = equal / max(1, columns), equal / len(w)
+        if identity >= IDENTITY and equal >= ix.least[p]:
+            key = (r, -1 if one else int(ix.item[p]))
+            got = (identity * coverage, score, -(lo_ + j0), identity, coverage, lo_ + j0, lo_ + j1 - 1)
+            if key not in best or got[:3] > best[key][:3]:
+                best[key] = got
 
 
 def document_frequency(texts: DataFrame, ix: Index) -> tuple[np.ndarray, np.ndarray]:
@@ -279,10 +294,10 @@ def blocks(items: DataFrame, id_col: str, text_col: str):
         yield index_items(part["i"].to_numpy(), part["t"].combine_chunks())
 
 
-def ranked_indexes(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str):
+def rare_indexes(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str):
     texts = docs.select(F.lower(F.col(text_col)).alias("t")).filter("t is not null")
     for ix in blocks(items, item_id, item_text):
-        yield ix.ranked(document_frequency(texts, ix))
+        yield ix.rare(document_frequency(texts, ix))
 
 
 def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
@@ -291,7 +306,7 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     schema = f"{id_col} long, item_id long, identity double, coverage double, score int, start_byte long, end_byte long"
     out = None
     rows = docs.select(F.col(id_col).cast("long"), F.lower(F.col(text_col)).alias("_t"))
-    for ix in blocks(items, item_id, item_text):
+    for ix in rare_indexes(docs, items, text_col, item_id, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(ix)
 
         def scan(batches, shared=shared):
@@ -311,24 +326,35 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     return out
 
 
-def _leak_flag(shared) -> Column:
-    def hit(col: pa.Array) -> pa.Array:
-        flag = np.zeros(len(col), bool)
-        for lo, _, data, off in tv.chunks(col):
-            flag[[lo + m[0] for m in matches(shared.value, data, off, one=True)]] = True
-        return pa.array(flag)
+def _text_key(text_col: str):
+    text = F.col(text_col)
+    return [F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit("second"), text).alias("_h2")]
 
-    return F.arrow_udf(hit, "boolean")
 
+def leaked_texts(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The hashes (_h1, _h2) of the texts that hold any of the items; one scan a block of items, each written when done."""
+    spark = docs.sparkSession
+    base = scratch_path(spark, f"leaked-{uuid.uuid4().hex}")
+    rows = docs.select(*_text_key(text_col), F.lower(F.col(text_col)).alias("_t"))
+    paths = []
+    for k, ix in enumerate(rare_indexes(docs, items, text_col, item_id, item_text)):
+        shared = spark.sparkContext.broadcast(ix)
 
-def leaked(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> Column:
-    """Does a text hold any of the items?  (a column for filters; no shuffle)"""
-    out = F.lit(False)
-    for ix in ranked_indexes(docs, items, text_col, item_id, item_text):
-        out = out | _leak_flag(docs.sparkSession.sparkContext.broadcast(ix))(F.lower(F.col(text_col)))
-    return out
+        def scan(batches, shared=shared):
+            for batch in batches:
+                for lo, hi, data, off in tv.chunks(batch.column(2)):
+                    hit = pa.array([lo + m[0] for m in matches(shared.value, data, off, one=True)], pa.int64())
+                    yield pa.record_batch([batch.column(0).take(hit), batch.column(1).take(hit)], names=["_h1", "_h2"])
+
+        rows.mapInArrow(scan, "_h1 long, _h2 long").distinct().write.parquet(f"{base}/{k}")
+        shared.unpersist()
+        paths.append(f"{base}/{k}")
+    out = spark.createDataFrame([], "_h1 long, _h2 long")
+    return spark.read.parquet(*paths).distinct() if paths else out
 
 
-def keep_clean(docs: DataFrame, items: DataFrame, **kw) -> DataFrame:
+def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", **kw) -> DataFrame:
     """The documents without any item, with the columns they came with."""
-    return docs.filter(~leaked(docs, items, **kw))
+    gone = leaked_texts(docs, items, text_col, **kw)
+    key = _text_key(text_col)
+    return docs.join(gone, (key[0] == gone["_h1"]) & (key[1] == gone["_h2"]), "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])

@@ -79,6 +79,44 @@ def test_groups_of_any_size(spark, monkeypatch, chunk):
     check_near(near_dup.near_duplicates(docs_of(spark, texts)), list(enumerate(texts)))
 
 
+def test_off_centre_group_and_number_of_links(spark, monkeypatch, tmpdir_path):
+    """500 copies that mostly miss the centre, in many chunks: no pair is lost, and links stay below members."""
+    ship(spark)
+    monkeypatch.setattr(near_dup, "CHUNK", 16)
+    base, centre = words(120, 5), words(120, 5)
+    for i in range(0, 120, 9):
+        centre[i] = f"c{i}"
+    # the centre's own few copies, a large cluster around the base it is half similar to, and strays between the two
+    texts = [" ".join(centre)] + [edited(centre, .01, i) for i in range(30)]
+    texts += [edited(base, .015 if i % 5 else .05, 1000 + i) for i in range(470)]
+    rows = list(enumerate(texts))
+    check_near(near_dup.near_duplicates(docs_of(spark, texts)), rows)
+    docs = docs_of(spark, texts)
+    sets = near_dup.signatures(docs, "doc_id", "text")
+    classes = sets.groupBy("n", "d1", "d2").agg(F.min("k").alias("rep"), F.any_value("c").alias("c"))
+    groups = near_dup.groups_of(classes, f"{tmpdir_path}/a").count()
+    assert near_dup.links_of(docs, classes, "doc_id", "text", f"{tmpdir_path}/b").count() <= 4 * groups
+
+
+def test_forests_have_fewer_links_than_members():
+    same = [np.arange(100, dtype=np.uint64) + np.uint64(k % 3) for k in range(64)]
+    links, open_ = near_dup._links_of_chunk([999, *range(64)], [np.arange(5000, 5100, dtype=np.uint64), *same])
+    assert len(links) == 63 and open_ == list(range(1, 65))
+    links = near_dup._links_of_blocks(list(range(32)), [7] * 32, same[:32], list(range(32, 64)), [8] * 32, same[32:])
+    assert len(links) == 1
+
+
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    ship(spark)
+    a, b, c = words(60, 1), words(60, 2), words(60, 3)
+    near = lambda w: " ".join([*w[:-1], "other"])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (3, " ".join(c)), (4, near(c)), (5, "alone in the world with five words")]
+    rows += [(6, " ".join(a))] * 40
+    d = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], docs_of(spark, []).schema)
+    got = sorted((r["doc_id"], r["component_id"]) for r in near_dup.near_duplicates(d).collect())
+    assert got == sorted([(1, 1), (1, 1), (2, 1), (3, 1), (3, 3), (4, 3), (5, 5)] + [(6, 1)] * 40)
+
+
 def test_near_duplicate_odd_rows(spark):
     ship(spark)
     texts = [None, "", " \t\n", "one two", "ONE  two", "One three", "a b c d e", "A B\vC D E", "ÄB c d e f", "äB c d e f",
@@ -219,7 +257,7 @@ def test_edited_copies_in_a_third_of_the_documents(spark):
     d, b = docs_of(spark, texts), items_of(spark, [" ".join(item)])
     want = list(range(0, 120, 3))
     assert sorted(r["doc_id"] for r in decontaminate.find(d, b).collect()) == want
-    assert sorted(r["doc_id"] for r in d.filter(decontaminate.leaked(d, b)).collect()) == want
+    assert sorted(r["doc_id"] for r in decontaminate.keep_clean(d, b).collect()) == [i for i in range(120) if i not in want]
 
 
 def test_few_meetings_at_once_give_the_same(monkeypatch):
@@ -234,6 +272,51 @@ def test_few_meetings_at_once_give_the_same(monkeypatch):
     assert decontaminate.matches(ix, data, off) == whole and [m[0] for m in whole] == list(range(9))
 
 
+def test_threshold_edits_equal_the_alignment_of_everything(spark):
+    """Whatever a full alignment of item and text counts is found, with as few intact seeds as the identity allows."""
+    ship(spark)
+    rnd = random.Random(6)
+    items = [words(n, 500 + n) for n in (8, 9, 10, 12, 13, 16, 21, 40, 90)]
+    texts = [" ".join("x" if k % 3 == 2 and k < 9 else w for k, w in enumerate(items[3]))]              # 9 of 12 words, one seed whole
+    for w in items:
+        for every in (3, 4, 5, 9):
+            for cut in (0, len(w) // 3):
+                copy = [f"e{rnd.randrange(99)}" if k % every == every - 1 else x for k, x in enumerate(w[cut:])]
+                texts.append(" ".join(words(rnd.randrange(20), rnd.randrange(10**6)) + copy + words(rnd.randrange(20), rnd.randrange(10**6))))
+        texts.append(" ".join(x for k, x in enumerate(w) if k % 5))                                      # words left out
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find(docs_of(spark, texts), items_of(spark, [" ".join(w) for w in items])).collect()}
+    assert (0, 3) in got
+    for i, text in enumerate(texts):
+        t = np.array([hash(x) for x in text.split()])
+        for j, item in enumerate(items):
+            w = np.array([hash(x) for x in item])
+            _, equal, columns, _, _ = decontaminate.align(w, t)
+            least = max(-(-len(w) // 2), min(len(w), decontaminate.LEAST_WORDS))
+            assert ((i, j) in got) == (equal >= least and equal >= decontaminate.IDENTITY * columns), (i, j)
+
+
+def test_one_word_over_and_over(spark, monkeypatch):
+    """Items and a long text of one repeated word: meetings are split, alignments stay the same."""
+    ship(spark)
+    monkeypatch.setattr(decontaminate, "PAIRS", 50_000)
+    items = ["same " * n for n in (10, 50, 199, 450)] + ["other words altogether here"]
+    texts = ["same " * 60_000, "same " * 30, " ".join(words(300, 1)) + " same" * 260]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find(docs_of(spark, texts), items_of(spark, items)).collect()}
+    assert got == {(0, 0), (0, 1), (0, 2), (0, 3), (1, 0), (1, 1), (2, 0), (2, 1), (2, 2), (2, 3)}
+
+
+def test_a_copy_across_slices_of_a_long_text(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SLICE_WORDS", 700)
+    item = words(150, 3)
+    import pyarrow as pa
+    ix = decontaminate.index_items(np.array([7]), pa.array([" ".join(item)]))
+    for at in (0, 80, 90, 100, 555, 699, 700, 2000):
+        text = " ".join(words(at, 8) + item + words(900, 9))
+        (_, _, data, off), = decontaminate.tv.chunks(pa.array([text]))
+        (found,) = decontaminate.matches(ix, data, off)
+        assert found[:4] == (0, 7, 1.0, 1.0) and text[found[5]:found[6]] == " ".join(item)
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     ship(spark)
     d, b = table(spark, "documents"), table(spark, "benchmark")
