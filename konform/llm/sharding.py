@@ -11,8 +11,9 @@ shard until that is full and then to the shards further on.  So the number of
 rows per arc (``shards * vnodes`` numbers, whatever the input) is all that
 reaches the driver, and the plan it returns - which stretch of an arc's order
 goes to which shard - has at most ``arcs + shards`` entries.  Each row then finds
-its rank on the arc in two levels: a running count over fine hash cells, and
-its place within a cell.  No task ever holds an arc or a shard.
+its rank on the arc in two levels: a running count over fine hash cells, each dealt into
+``SALTS`` parts by row, and its place within a part.  So no task ever holds an arc, a shard, or all
+rows of one key: a key with a third of the rows spreads over the parts of its cell.
 
 Defined results: a null id hashes like any other value; a null text has the
 fixed overhead as its size and crc 0; rows that repeat an id are placed
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -31,7 +33,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..session import scratch_path
+
 RING_BITS = 62
+SALTS = 64
 OVERHEAD_BYTES = 16
 
 
@@ -110,8 +115,8 @@ def assign(docs: DataFrame, shards: int = 40, vnodes: int = 32, slack: float = 0
            text_col: str = "text", fine_bits: int = 16) -> DataFrame:
     """id, size, text_crc32, shard, slot, arc of every row.
 
-    ``fine_bits`` leading bits of the position make the cells within which ranks are counted; raise it so
-    that a cell keeps to about 100,000 rows (16 bits serve 6.5 billion).
+    ``fine_bits`` leading bits of the position make the cells within which ranks are counted (16 bits and 64 parts
+    serve 400 billion rows with some 100,000 in a part; raise it beyond that).
     """
     spark = docs.sparkSession
     points = ring_points(shards, vnodes)
@@ -121,9 +126,14 @@ def assign(docs: DataFrame, shards: int = 40, vnodes: int = 32, slack: float = 0
         (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD_BYTES).cast("long").alias("size"),
         F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
         key_hash(F.col(id_col)).alias("_pos"))
-    rows = (rows.withColumn("_arc", _arc(F.col("_pos"), points, 10))
-            .withColumn("_cell", F.shiftright("_pos", RING_BITS - fine_bits).cast("int")))
-    per_cell = rows.groupBy("_arc", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    path = scratch_path(spark, f"ring-{uuid.uuid4().hex}")
+    # texts are read once; the row number that salts equal rows is stored with them, so every later pass sees the same one
+    (rows.withColumn("_arc", _arc(F.col("_pos"), points, 10))
+     .withColumn("_cell", F.shiftright("_pos", RING_BITS - fine_bits).cast("int"))
+     .withColumn("_salt", F.pmod(F.xxhash64("text_crc32", F.monotonically_increasing_id()), F.lit(SALTS)).cast("int"))
+     .write.parquet(path))
+    rows = spark.read.parquet(path)
+    per_cell = rows.groupBy("_arc", "_cell", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     counts = {r["_arc"]: r["n"] for r in per_cell.groupBy("_arc").agg(F.sum("_n").alias("n")).collect()}
     plan = plan_stretches(counts, points, shards, slack)
     schema = T.StructType([T.StructField("_arc", T.IntegerType()), T.StructField("_from", T.LongType()),
@@ -131,11 +141,11 @@ def assign(docs: DataFrame, shards: int = 40, vnodes: int = 32, slack: float = 0
                            T.StructField("_slot", T.LongType())])
     stretches = spark.createDataFrame([(s.arc, s.start, s.end, s.shard, s.slot) for s in plan], schema)
     # the arc that wraps around zero is ordered by position like any other, so cells need no turning
-    before = per_cell.select("_arc", "_cell", (F.sum("_n").over(
-        Window.partitionBy("_arc").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1))).alias("_before"))
-    inner = Window.partitionBy("_arc", "_cell").orderBy("_pos", "_id", "text_crc32", "size")
+    before = per_cell.select("_arc", "_cell", "_salt", (F.sum("_n").over(
+        Window.partitionBy("_arc").orderBy("_cell", "_salt").rowsBetween(Window.unboundedPreceding, -1))).alias("_before"))
+    inner = Window.partitionBy("_arc", "_cell", "_salt").orderBy("_pos", "_id", "text_crc32", "size")
     ranked = (rows.withColumn("_k", F.row_number().over(inner) - 1)
-              .join(before, ["_arc", "_cell"])
+              .join(before, ["_arc", "_cell", "_salt"])
               .withColumn("_rank", F.coalesce("_before", F.lit(0)) + F.col("_k")))
     # at most arcs + shards rows, whatever the input
     placed = ranked.join(F.broadcast(stretches), "_arc").filter((F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))

@@ -181,3 +181,52 @@ def test_ring_moves_few_keys_and_respects_bounds():
     assert covered == counts and max(got) - min(got) <= 1
     own = sum(s.end - s.start for s in plan if points[s.arc][1] == s.shard)
     assert own > 0.8 * total                                               # overflow is the exception
+
+
+def _ring_brute(rows, shards, vnodes):
+    """arc -> rows per shard, by walking the ring with bounds of the floor or ceiling of the mean."""
+    points = sharding.ring_points(shards, vnodes)
+    n = len(rows)
+    room = [n // shards + (s < n % shards) for s in range(shards)]
+    arcs = {}
+    for pos in rows:
+        a = next((k for k, (p, _) in enumerate(points) if p >= pos), 0)
+        arcs[a] = arcs.get(a, 0) + 1
+    placed = {a: {} for a in arcs}
+    for first in (True, False):                                   # own shards fill up first, then overflow goes on clockwise
+        for a in sorted(arcs):
+            k = a
+            while sum(placed[a].values()) < arcs[a] and (first or True):
+                s = points[k][1]
+                if room[s]:
+                    room[s] -= 1
+                    placed[a][s] = placed[a].get(s, 0) + 1
+                elif first:
+                    break
+                else:
+                    k = (k + 1) % len(points)
+    return placed
+
+
+def test_placement_equals_a_walk_around_the_ring(spark):
+    d = table(spark, "documents")
+    got = {}
+    for r in sharding.assign(d, shards=7, vnodes=5).collect():
+        got.setdefault(r["arc"], {}).setdefault(r["shard"], []).append(r["slot"])
+    pos = [r["p"] for r in d.select(sharding.key_hash(F.col("doc_id")).alias("p")).collect()]
+    assert {a: {s: len(x) for s, x in v.items()} for a, v in got.items()} == _ring_brute(pos, 7, 5)
+
+
+def test_a_hot_id_is_dealt_like_any_rows(spark):
+    d = docs_of(spark, ["x"] * 300, 0).withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, 7).when(F.col("doc_id") % 3 == 1, None).otherwise(F.col("doc_id")))
+    rows = sharding.shard_rows(d, shards=6, vnodes=4).collect()
+    _check_law(rows, 6)
+    assert len(rows) == 300
+
+
+def test_movement_to_one_more_shard_is_limited(spark):
+    """With some slack only what the new shard takes and what overflows differently moves."""
+    d = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    at = [{r["doc_id"]: r["shard"] for r in sharding.assign(d, shards=n, vnodes=64, slack=0.25).collect()} for n in (40, 41)]
+    moved = [i for i in at[0] if at[0][i] != at[1][i]]
+    assert 0 < len(moved) / 4000 < 3 / 41
