@@ -76,3 +76,19 @@ def extract(df: DataFrame, columns: list[str] | None = None, predicate: Column |
         keep = list(columns) + [c for c in (expand or []) if c not in columns]
         df = df.select(*[F.col(c) for c in keep])
     return df
+
+
+def projected(df: DataFrame, columns: list[str], line_column: str | None = None, line_fields: list[str] | None = None,
+              results: str | None = "results") -> DataFrame:
+    """B14 over a nested landing (parquet): the declared header fields and, for documents, one row per line with its declared
+    fields as ``<line column>_<field>`` (a document without lines gives none).
+
+    The line fields are taken out of the array one by one and zipped, instead of exploding whole lines: that way the scan
+    reads only the listed leaves of the array of structs (see ``ReadSchema``), however wide lines are.  ``results`` is the
+    field of the line column that holds the array (OData), none if it is the array itself."""
+    if not line_column:
+        return df.select(*columns)
+    lines = F.col(f"{line_column}.{results}" if results else line_column)
+    zipped = F.arrays_zip(*[lines[f].alias(f) for f in line_fields])
+    out = df.select(*columns, F.explode(zipped).alias("_l"))
+    return out.select(*columns, *[F.col("_l").getField(f).alias(f"{line_column}_{f}") for f in line_fields])

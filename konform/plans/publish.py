@@ -102,19 +102,27 @@ def to_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
 
 
 def to_jdbc_staged(spark: SparkSession, df: DataFrame, url: str, table: str, keys: list[str] | None = None,
-                   properties: dict | None = None, batchsize: int = 10_000) -> int:
+                   properties: dict | None = None, batchsize: int = 10_000, changed_only: bool = False,
+                   preserved: dict[str, object] | None = None) -> int:
     """Upsert (with ``keys``) or append through a staging table, in one transaction.
 
-    Executors only write the staging table, which is made anew each time.  If its row count is not the number of
-    rows Spark produced (a retried task inserted twice), nothing reaches the target.  Then one connection
-    replaces the matching rows and inserts the staged ones, or rolls back.  Returns the rows written.
+    Executors only write the staging table, which each run names for itself.  If its row count is not the number of
+    rows Spark produced (a retried task inserted twice), or a complete key was staged twice, nothing reaches the target.  Then one connection
+    (with the same ``properties`` as the writers: user, password) replaces the matching rows and inserts the staged ones, or
+    rolls back.  With ``changed_only`` matched rows that are equal in every column stay untouched (W12); ``preserved`` columns
+    keep the target's value and get the given default in new rows (W14).  Returns the rows staged.
     """
-    staging = f"{table}_STAGING"
+    import uuid
+
+    staging = f"{table}_STAGING_{uuid.uuid4().hex[:12].upper()}"
     obs = Observation("jdbc_rows")
     to_jdbc(df.observe(obs, F.count(F.lit(1)).alias("rows")), url, staging, "overwrite", properties, batchsize)
     produced = obs.get["rows"]
     jvm = spark.sparkContext._jvm
-    conn = jvm.java.sql.DriverManager.getConnection(url)
+    login = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        login.setProperty(str(k), str(v))
+    conn = jvm.java.sql.DriverManager.getConnection(url, login)
     q = lambda c: f'"{c}"'
     try:
         conn.setAutoCommit(False)
@@ -125,21 +133,47 @@ def to_jdbc_staged(spark: SparkSession, df: DataFrame, url: str, table: str, key
         if staged != produced:
             raise RuntimeError(f"{staging} holds {staged} rows, {produced} were produced")
         if keys:
-            same = " AND ".join(f"s.{q(k)} = {table}.{q(k)}" for k in keys)
-            st.executeUpdate(f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {staging} s WHERE {same})")
-        cols = ", ".join(q(c) for c in df.columns)
-        st.executeUpdate(f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging}")
+            complete = " AND ".join(f"{q(k)} IS NOT NULL" for k in keys)
+            names = ", ".join(q(k) for k in keys)
+            rs = st.executeQuery(f"SELECT count(*) FROM (SELECT {names} FROM {staging} WHERE {complete} GROUP BY {names} HAVING count(*) > 1) d")
+            rs.next()
+            if rs.getLong(1):
+                raise RuntimeError(f"{rs.getLong(1)} keys were staged more than once")
+            _merge_staged(st, table, staging, df.columns, keys, changed_only, preserved or {}, q)
+        else:
+            cols = ", ".join(q(c) for c in df.columns)
+            st.executeUpdate(f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging}")
         conn.commit()
         st.executeUpdate(f"DROP TABLE {staging}")
         conn.commit()
     except Exception:
         conn.rollback()
+        st = conn.createStatement()
+        st.executeUpdate(f"DROP TABLE {staging}")
+        conn.commit()
         raise
     finally:
         conn.close()
     return produced
 
 
+def _merge_staged(st, table: str, staging: str, columns: list[str], keys: list[str], changed_only: bool, preserved: dict[str, object], q) -> None:
+    """Set-based update of matched rows and insert of new ones; null keys never match."""
+    same = " AND ".join(f"s.{q(k)} = {table}.{q(k)}" for k in keys)
+    values = [c for c in columns if c not in keys and c not in preserved]
+    if values:
+        differs = " OR ".join(f"(s.{q(c)} <> {table}.{q(c)} OR (s.{q(c)} IS NULL AND {table}.{q(c)} IS NOT NULL) OR (s.{q(c)} IS NOT NULL AND {table}.{q(c)} IS NULL))"
+                              for c in values) if changed_only else "1 = 1"
+        sets = ", ".join(f"{q(c)} = (SELECT s.{q(c)} FROM {staging} s WHERE {same})" for c in values)
+        st.executeUpdate(f"UPDATE {table} SET {sets} WHERE EXISTS (SELECT 1 FROM {staging} s WHERE {same} AND ({differs}))")
+    given = [c for c in columns if c not in preserved]
+    fixed = {c: f"'{v}'" if isinstance(v, str) else str(v) for c, v in preserved.items()}
+    into = ", ".join(q(c) for c in [*given, *fixed])
+    what = ", ".join([*(f"s.{q(c)}" for c in given), *fixed.values()])
+    # rows that were there before are told from new ones by their keys, so the update above does not matter here
+    st.executeUpdate(f"INSERT INTO {table} ({into}) SELECT {what} FROM {staging} s WHERE NOT EXISTS (SELECT 1 FROM {table} WHERE {same})")
+
+
 # ------------------------------------------------ tenant-partitioned, in place
 def stage(spark: SparkSession, df: DataFrame, root: str) -> DataFrame:
     """Write ``df`` once below ``root`` (beside the target, on the same shared store) and read it back:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,29 @@ def next_run_id(log: DataFrame, col: str = "ScriptID") -> DataFrame:
     return log.agg((F.coalesce(F.max(F.col(col)).cast("long"), F.lit(0).cast("long")) + 1).alias("next_run_id"))
 
 
+def claim_run_id(spark: SparkSession, log_path: str, col: str = "ScriptID") -> int:
+    """G3 for concurrent runs: the next id, claimed before any work starts.
+
+    A claim is an empty file named by the id beside the log, created only if it does not exist (which the file system does
+    atomically); a run that finds its id taken tries the next one, so no two runs ever share one."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{log_path.rstrip('/')}_ids")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    log = jvm.org.apache.hadoop.fs.Path(log_path)
+    last = next_run_id(spark.read.schema(LOG_SCHEMA).parquet(log_path), col).first()[0] - 1 if fs.exists(log) else 0
+    fs.mkdirs(folder)
+    claimed = [int(st.getPath().getName()) for st in fs.listStatus(folder) if st.getPath().getName().isdigit()]
+    n = max([last, *claimed]) + 1
+    while True:
+        try:
+            fs.create(jvm.org.apache.hadoop.fs.Path(folder, str(n)), False).close()
+            return n
+        except Py4JJavaError as e:
+            if not fs.exists(jvm.org.apache.hadoop.fs.Path(folder, str(n))):
+                raise e                                      # not a lost race
+            n += 1
+
+
 def log_rows(spark: SparkSession, entries: list[dict]) -> DataFrame:
     """Buffered log entries of one run (one per table step) as a DataFrame
     with the fixed 11-field schema; written with one append per run."""

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import (CATALOGUE_ENTRIES, FULL_RESYNC_REPORTING_YEAR, FULL_RESYNC_WATERMARK,
+from ..schemas import (projection, CATALOGUE_ENTRIES, FULL_RESYNC_REPORTING_YEAR, FULL_RESYNC_WATERMARK,
                        RESET_AFTER_YEARS, RUN_MODE_FULL)
 
 MICROS_PER_DAY = 86_400_000_000
@@ -69,7 +69,8 @@ def full_window_start(as_of, lineage: str = "current") -> Column:
 CATALOGUE_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()), T.StructField("mode", T.StringType()),
     T.StructField("table_name", T.StringType()), T.StructField("filter_column", T.StringType()),
-    T.StructField("filter_kind", T.StringType()), T.StructField("line_column", T.StringType())])
+    T.StructField("filter_kind", T.StringType()), T.StructField("line_column", T.StringType()),
+    T.StructField("columns", T.ArrayType(T.StringType())), T.StructField("line_fields", T.ArrayType(T.StringType()))])
 
 
 def catalogue_rows(source: str | None = None, mode: str | None = None) -> list[tuple]:
@@ -79,8 +80,10 @@ def catalogue_rows(source: str | None = None, mode: str | None = None) -> list[t
 
 
 def catalogue(spark: SparkSession, source: str | None = None, mode: str | None = None) -> DataFrame:
-    """E5: the extraction catalogue as a (fixed, tiny) DataFrame."""
-    return spark.createDataFrame(catalogue_rows(source, mode), CATALOGUE_SCHEMA)
+    """E5: the extraction catalogue as a (fixed, tiny) DataFrame, with the declared fields of each table (B14); the
+    older catalogues are the sources ``accounting_o`` and ``erp_o``."""
+    rows = [(*r, projection(r[0], r[2])[0], projection(r[0], r[2])[2]) for r in catalogue_rows(source, mode)]
+    return spark.createDataFrame(rows, CATALOGUE_SCHEMA)
 
 
 def catalogue_array(source: str, mode: str) -> Column:

@@ -10,7 +10,7 @@ holds 0-255, ``datetime`` has no time zone.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 # ---------------------------------------------------------------- FIXED VALUES
 ACCOUNTING_TARGETS = """
@@ -224,6 +224,26 @@ erp full Roosters: - none
 erp full Tarieven: - none
 """
 
+# The older catalogues (E5).  Accounting: the current one without the named tables; ERP: its own tables.
+OLDER_WITHOUT = {"reset": ("Documenten",), "regular": ("Documenten",), "full": ("Documenten", "Budget")}
+OLDER_ERP = """
+erp_o regular Divisions: - none
+erp_o regular GrootboekMutaties: Gewijzigd_Op modified
+erp_o regular Grootboekrekening: - none
+erp_o regular GrootboekRubriek: - none
+erp_o regular Budget: - none
+erp_o regular BudgetProjecten: - none
+erp_o regular Urenregistratie: - none
+erp_o regular Verlof: - none
+erp_o regular VerzuimUren: - none
+erp_o regular VerzuimVerloop: - none
+erp_o regular Medewerkers: - none
+erp_o regular Projecten: - none
+erp_o regular Relaties: - none
+erp_o regular Contracten: - none
+erp_o full GrootboekMutaties: Boekjaar window_year
+"""
+
 # Header and line fields of the three nested sales documents (D1-D3).  The
 # header's ``Description`` is renamed to ``<Prefix>_Description``.
 NESTED_DOCUMENTS = """
@@ -351,7 +371,12 @@ def _parse_catalogue(text: str) -> list[CatalogueEntry]:
     return out
 
 
+def _older_accounting(current: list[CatalogueEntry]) -> list[CatalogueEntry]:
+    return [replace(e, source="accounting_o") for e in current if e.source == "accounting" and e.table not in OLDER_WITHOUT[e.mode]]
+
+
 CATALOGUE_ENTRIES = _parse_catalogue(CATALOGUE)
+CATALOGUE_ENTRIES += _older_accounting(CATALOGUE_ENTRIES) + _parse_catalogue(OLDER_ERP)
 
 
 @dataclass(frozen=True)
@@ -374,3 +399,16 @@ def _parse_nested(text: str) -> dict[str, NestedDocument]:
 
 
 NESTED = _parse_nested(NESTED_DOCUMENTS)
+
+
+def projection(source: str, table: str) -> tuple[list[str], str | None, list[str]]:
+    """The fields an extraction of the table reads - header fields, line list and line fields.
+
+    A sales document's are its declared ones; any other table's are the source fields of its mapping.  A table without
+    either is read whole (no header fields)."""
+    base = source.removesuffix("_o")
+    doc = NESTED.get(table) if base == "accounting" else None
+    if doc is not None:
+        return list(doc.header_fields), doc.line_column, list(doc.line_fields)
+    m = column_mapping(base, table)
+    return ([s for s, _ in m] if m else []), None, []
