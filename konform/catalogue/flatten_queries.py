@@ -97,8 +97,8 @@ def landed_documents(spark, sf: str, table: str, orders: DataFrame | None = None
     """OData pages of nested documents built from orders and their line items.
 
     A page holds one document with at most ``LIST_ROWS`` lines (a larger order comes
-    in several documents with the same header).  Headers and lines meet in one join on
-    the order key; nesting the lines of (order, chunk) needs no further shuffle.
+    in several documents with the same header).  Lines are dealt by order key and nested there; the
+    header joins each document once, on the same partitioning.
     """
     spec, doc = DOCS[table], NESTED[table]
     header_spec = {**spec["header"], **(header_overrides or {})}
@@ -106,11 +106,9 @@ def landed_documents(spark, sf: str, table: str, orders: DataFrame | None = None
     li = load(spark, sf, "lineitem").withColumn("_chunk", bounded_chunk())
     # Record structs are built in a projection (whole-stage codegen): the list aggregate
     # evaluates its input without codegen.
-    joined = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        "o_orderkey", "_chunk", F.struct(*[F.col(c) for c in o.columns]).alias("_o"),
-        F.struct(*[_spark_expr(e).alias(f) for f, e in spec["line"].items()]).alias("_line"))
-    docs = (joined.groupBy("o_orderkey", "_chunk").agg(F.any_value("_o").alias("_o"), F.collect_list("_line").alias("_lines"))
-            .select("_o.*", "_lines"))
+    lines = li.select(F.col("l_orderkey").alias("_k"), "_chunk", F.struct(*[_spark_expr(e).alias(f) for f, e in spec["line"].items()]).alias("_line"))
+    nested = lines.repartition("_k").groupBy("_k", "_chunk").agg(F.collect_list("_line").alias("_lines"))
+    docs = nested.join(o, F.col("_k") == F.col("o_orderkey"))
     pages = docs.select(F.expr(_DIV).alias("tenant"), F.col("o_orderkey").alias("page_no"), F.to_json(F.struct(F.struct(F.array(F.struct(
         *[_spark_expr(e).alias(f) for f, e in header_spec.items()],
         F.struct(F.col("_lines").alias("results")).alias(doc.line_column))).alias("results")).alias("d"))).alias("body"))
