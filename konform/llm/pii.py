@@ -31,6 +31,7 @@ ignored.
 
 from __future__ import annotations
 
+import bisect
 import re
 import zlib
 
@@ -41,7 +42,6 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..session import scratch_path
 from . import textvec as tv
@@ -148,7 +148,18 @@ def spelled(t: str, a: int, b: int) -> list[tuple[str, int, int, int]]:
             for s, label in ((local + at + domain.replace(".", dot), 1), (miss, 0))]
 
 
-def features(t: str, kind: str, a: int, b: int, base: list[tuple[int, int]]) -> list[float]:
+class Spans:
+    """Spans of one kind, which do not overlap: how many overlap another one, by two binary searches."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        spans = sorted(spans)
+        self.starts, self.ends = [a for a, _ in spans], [b for _, b in spans]
+
+    def overlapping(self, a: int, b: int) -> int:
+        return max(0, bisect.bisect_left(self.starts, b) - bisect.bisect_right(self.ends, a))
+
+
+def features(t: str, kind: str, a: int, b: int, base: list[Spans]) -> list[float]:
     s, left, right = t[a:b], t[max(0, a - 32):a], t[b:b + 12]
     groups = re.findall("[0-9]+", s)
     seps = re.findall("[^0-9A-Za-z]", s)
@@ -158,7 +169,7 @@ def features(t: str, kind: str, a: int, b: int, base: list[tuple[int, int]]) ->
             len(set("".join(groups))), left[-1:].isalpha(), left[-1:].isdigit(), right[:1].isalpha(), right[:1].isdigit(),
             left[-1:].isspace(), right[:1] in tuple(".,;!?\n"), CUES[kind].search(left) is not None,
             sum(c.isdigit() for c in near) / max(1, len(near)), not left or left[-1] == "\n",
-            sum(x < b and a < y for x, y in base)]
+            sum(x.overlapping(a, b) for x in base)]
 
 
 HAS = tv.byte_table(b"0123456789@")
@@ -185,7 +196,8 @@ def candidate_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 for r in np.flatnonzero(hits):
                     t = whole[off[r]:off[r + 1]].decode("utf-8", "replace")
                     found = base_candidates(t)
-                    spans = {k: [(a, b) for kk, a, b, ok in found if kk == k and ok] for k in KINDS}
+                    spans = {k: Spans([(a, b) for kk, a, b, ok in found if kk == k and ok]) for k in KINDS}
+                    every = list(spans.values())
                     seen = set()
                     for kind, a, b, ok in found:
                         seen.add((kind, a, b))
@@ -194,9 +206,8 @@ def candidate_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                             for around, x, y, label in spelled(t, a, b):
                                 out.append((int(keys[lo + r]), kind, a, b, False, label, *map(float, features(around, kind, x, y, []))))
                     for kind, a, b in loose_candidates(t):
-                        if (kind, a, b) not in seen and not any(x < b and a < y for x, y in spans[kind]):
+                        if (kind, a, b) not in seen and not spans[kind].overlapping(a, b):
                             seen.add((kind, a, b))
-                            every = [s for k in KINDS for s in spans[k]]
                             label = 0 if kind == "email" and not plausible_email(t[a:b]) else None
                             out.append((int(keys[lo + r]), kind, a, b, False, label, *map(float, features(t, kind, a, b, every))))
                 if len(out) >= 2000:
@@ -221,7 +232,11 @@ def _score(cands: DataFrame, base_rows: int) -> DataFrame | None:
     if len(seen) < 2:
         return None
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="_x")
-    model = GBTClassifier(featuresCol="_x", labelCol="label", maxIter=12, maxDepth=4, maxBins=32, seed=7).fit(assemble.transform(train).persist())
+    rows = assemble.transform(train).persist()              # at most base_rows, read once a round of boosting
+    try:
+        model = GBTClassifier(featuresCol="_x", labelCol="label", maxIter=12, maxDepth=4, maxBins=32, seed=7).fit(rows)
+    finally:
+        rows.unpersist()
     return (model.transform(assemble.transform(cands.withColumn("_h", F.xxhash64("_row", "kind", "a"))))
             .withColumn("_p", F.element_at(vector_to_array("probability"), 2))
             .select("_row", "kind", "a", "b", "base", "label", "_h", "_p"))
@@ -260,13 +275,10 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", precis
         spans = cands.filter("base").select("_row", "kind", "a", "b", "base", F.lit(1.0).alias("_p"))
     else:
         cut = F.create_map(*[F.lit(v) for kv in thresholds(scored, precision).items() for v in kv])
-        best = Window.partitionBy("_row", "kind").orderBy(F.desc("base"), F.desc("_p"), "a", "b")
+        # what is chosen does not overlap within a kind: loose candidates of a kind are the leftmost matches of one pattern, and
+        # those that overlap a base span of their kind are not proposed
         chosen = scored.filter(F.col("base") | (F.col("label").isNull() & (F.col("_p") >= cut[F.col("kind")])))
-        # of overlapping proposals the best stays; base spans overlap none of their kind
-        earlier = F.collect_list(F.struct("a", "b")).over(best.rowsBetween(Window.unboundedPreceding, -1))
-        spans = (chosen.withColumn("_before", earlier)
-                 .filter(F.col("base") | ~F.exists("_before", lambda s: (s["a"] < F.col("b")) & (F.col("a") < s["b"])))
-                 .select("_row", "kind", "a", "b", "base", "_p"))
+        spans = chosen.select("_row", "kind", "a", "b", "base", "_p")
     order = F.array_position(F.lit(list(KINDS)), F.col("kind")).cast("int")
     per_doc = (spans.groupBy("_row").agg(F.sort_array(F.collect_list(
         F.struct(order.alias("o"), F.col("a").alias("start"), F.col("b").alias("end"), "kind", "base", F.col("_p").alias("score")))).alias("spans")))
@@ -282,9 +294,9 @@ def _fresh() -> str:
 
 
 def contract(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Counts and digest of the base spans, and all spans as text."""
+    """Counts and digest of the base spans, all spans as text, and how many were added and found in all."""
     text = lambda s: F.concat_ws(",", F.transform(s, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))))
     base = F.filter("spans", lambda x: x["base"])
     n = lambda k: F.size(F.filter(base, lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
     return found.select(id_col, *[n(k) for k in KINDS], F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"),
-                        (F.size("spans") - F.size(base)).cast("long").alias("n_added"))
+                        (F.size("spans") - F.size(base)).cast("long").alias("n_added"), F.size("spans").cast("long").alias("n_spans"))
