@@ -121,7 +121,8 @@ def to_jdbc_staged(spark: SparkSession, df: DataFrame, url: str, table: str, key
     jvm = spark.sparkContext._jvm
     login = jvm.java.util.Properties()
     for k, v in (properties or {}).items():
-        login.setProperty(str(k), str(v))
+        if k != "driver":                                    # the writers' option, not the database's
+            login.setProperty(str(k), str(v))
     conn = jvm.java.sql.DriverManager.getConnection(url, login)
     q = lambda c: f'"{c}"'
     try:
@@ -139,8 +140,12 @@ def to_jdbc_staged(spark: SparkSession, df: DataFrame, url: str, table: str, key
             rs.next()
             if rs.getLong(1):
                 raise RuntimeError(f"{rs.getLong(1)} keys were staged more than once")
+        if keys and (changed_only or preserved):
             _merge_staged(st, table, staging, df.columns, keys, changed_only, preserved or {}, q)
         else:
+            if keys:
+                same = " AND ".join(f"s.{q(k)} = {table}.{q(k)}" for k in keys)
+                st.executeUpdate(f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {staging} s WHERE {same})")
             cols = ", ".join(q(c) for c in df.columns)
             st.executeUpdate(f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging}")
         conn.commit()
