@@ -14,7 +14,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,11 +67,13 @@ def stored_schema(source: str, table: str) -> T.StructType:
 @dataclass
 class RunResult:
     """``outcomes``: a dict per table; ``items``: the relation of ``outcomes.run_outcomes``; ``watermark``: the new one if every
-    item of every customer succeeded."""
+    item of every customer succeeded; ``audit``: the values that did not fit their type (table_name, column, value, n ...), with how
+    often they occurred, of all tables of the run."""
 
     outcomes: list[dict] = field(default_factory=list)
     watermark: str | None = None
     items: DataFrame | None = None
+    audit: DataFrame | None = None
 
     @property
     def ok(self) -> bool:
@@ -135,7 +137,7 @@ def run_source(spark: SparkSession, source: str, landed: DataFrame, work: DataFr
         out = {"table": table, "ok": True, "rows": 0, "bad_values": 0}
         if tables[table]:
             try:
-                out |= _run_table(spark, source, table, pages, plans, quality, target_root, payload, in_place, resource, path)
+                out |= _run_table(spark, source, table, pages, plans, quality, target_root, payload, in_place, resource, path, f"{base}/audit")
             except Exception as e:  # noqa: BLE001 - a failed table is reported and blocks the watermark of its customers
                 out |= {"ok": False, "error": str(e) or type(e).__name__}
         written.append((table, out.get("error")))
@@ -143,6 +145,8 @@ def run_source(spark: SparkSession, source: str, landed: DataFrame, work: DataFr
     oc.run_outcomes(plans.select("customer", "tenant", "table_name", "configured"), quality,
                     spark.createDataFrame(written, "table_name string, error string")).write.parquet(f"{base}/outcomes")
     result.items = spark.read.parquet(f"{base}/outcomes")
+    if publish._exists(spark, f"{base}/audit"):
+        result.audit = spark.read.parquet(f"{base}/audit")
     bad = {r["table_name"]: r for r in result.items.filter("planned and not ok").groupBy("table_name")
            .agg(F.count(F.lit(1)).alias("n"), F.min("error").alias("error")).collect()}                       # at most the catalogue's tables
     for out in result.outcomes:
@@ -168,7 +172,7 @@ def _owner_column(source: str, table: str, plan_t: DataFrame) -> str | None:
 
 
 def _run_table(spark: SparkSession, source: str, table: str, landed: DataFrame, plans: DataFrame, quality: DataFrame, target_root: str,
-               payload: str, in_place: bool, resource: str | None, path: list[str] | None) -> dict:
+               payload: str, in_place: bool, resource: str | None, path: list[str] | None, audit_path: str) -> dict:
     cfg = write_config(source, table)
     base = f"{target_root}/{source}/{table}"
     plan_t = (plans.filter(F.col("table_name") == table)
@@ -191,8 +195,11 @@ def _run_table(spark: SparkSession, source: str, table: str, landed: DataFrame,
     mapped = mapped_records(rows, source, table, tenant=F.col("tenant").cast("long"), year=F.col("_year"), owner=OWNER if owner == OWNER else None)
     staged = publish.stage(spark, mapped, f"{base}/_staging")
     try:
-        bad = audit_values(staged, target_types(source, table), POLICIES[source]).agg(F.sum("n")).first()[0]
-        out["bad_values"] = int(bad or 0)
+        # one audit table per run; its total is observed while it is written
+        seen = Observation("bad_values")
+        found = audit_values(staged, target_types(source, table), POLICIES[source]).select(F.lit(table).alias("table_name"), "*")
+        found.observe(seen, F.sum("n").alias("n")).write.mode("append").parquet(audit_path)
+        out["bad_values"] = int(seen.get["n"] or 0)
         new_rows = typed_records(staged, source, table, extra=[OWNER] if owner == OWNER else [])
         out["rows"] = _apply(spark, source, table, cfg, base, new_rows, plan_t.drop("endpoint"), in_place, owner)
     finally:

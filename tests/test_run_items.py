@@ -129,6 +129,15 @@ def test_outcomes_block_their_own_customer(spark, tmpdir_path):
     assert written.filter(F.col("Actie").contains("no page landed")).count() == 1
 
 
+def test_values_that_do_not_fit_are_kept_in_one_audit_table(spark, tmpdir_path):
+    bad = companies(10, 11).replace("<Number>11</Number>", "<Number>eleven</Number>")
+    r = go(spark, os.path.join(tmpdir_path, "audit"), "payroll", landed(spark, "payroll", "Bedrijven", ("1", 0, bad, None)), work(spark, ("K", 1, "Bedrijven", 2023)),
+           payload="elements", path=["Result", "Company"])
+    found = [x.asDict() for x in r.audit.collect()]
+    assert r.outcomes[0]["bad_values"] == sum(x["n"] for x in found) == 1
+    assert found[0]["table_name"] == "Bedrijven" and "eleven" in map(str, found[0].values())
+
+
 def test_a_run_without_any_page(spark, tmpdir_path):
     empty = landed(spark, "accounting", "GrootboekRubriek", ("1", 0, rubriek(1), None)).limit(0)
     r = go(spark, os.path.join(tmpdir_path, "none"), "accounting", empty, work(spark, ("A", 1, "GrootboekRubriek", 2023)))
