@@ -42,7 +42,8 @@ MAGIC = b"WVM1"
 END_ID = 1
 SHARD_TOKENS = 1 << 22
 ENCODE_BYTES = 4 << 20          # text whose different words are encoded together
-WORD_CACHE = 500_000            # words a Python worker remembers (memory only; others are encoded again)
+WORD_CACHE = 700_000            # words a Python worker remembers (memory only; others are encoded again)
+WORDS_AT_ONCE = 512
 _MARKS = tv.byte_table(b".,;:!?")
 _LETTERS = tv.byte_table(bytes([*range(65, 91), *range(97, 123)]))
 FILES = "part int, shard int, n_docs long, n_tokens long, payload binary"
@@ -60,7 +61,7 @@ class WaveletMatrix:
         n, zeros, words, ranks = len(ids), np.zeros(planes, np.int64), [], []
         now = np.asarray(ids)
         for k in range(planes):
-            ones = (now >> (planes - 1 - k)) & 1 == 1
+            ones = (now & now.dtype.type(1 << (planes - 1 - k))) != 0
             packed = np.zeros((n + 511) // 512 * 64, np.uint8)
             packed[:(n + 7) // 8] = np.packbits(ones, bitorder="little")
             w = packed.view(np.uint64)
@@ -140,15 +141,16 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids, by undoing the partitions from the last plane to the first."""
-        out = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.planes <= 16 else np.uint32
+        out = np.zeros(self.n, kind)
         for k in reversed(range(self.planes)):
-            bits = np.unpackbits(self.words[k].view(np.uint8), bitorder="little")[:self.n].astype(bool)
+            bits = np.unpackbits(self.words[k].view(np.uint8), count=self.n, bitorder="little").view(bool)
             z = int(self.zeros[k])
-            before = np.empty(self.n, np.uint32)
+            before = np.empty(self.n, kind)
             before[~bits] = out[:z]
-            before[bits] = out[z:] | np.uint32(1 << (self.planes - 1 - k))
+            before[bits] = out[z:] | kind(1 << (self.planes - 1 - k))
             out = before
-        return out
+        return out.astype(np.uint32)
 
 
 def pack(matrix: WaveletMatrix, doc_ids: list, lengths: np.ndarray) -> bytes:
@@ -206,15 +208,15 @@ class WordEncoder:
         self.flat, self.at = np.zeros(0, np.int64), np.zeros(1, np.int64)
 
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words, ids per word).  A word of a-z is one piece and so holds one id that ends a piece: many of
-        them are encoded as one text and told apart by those ids."""
-        plain = np.fromiter((w.isascii() and w.isalpha() and w.islower() for w in words), bool, len(words))
+        """(ids of all words, ids per word).  A word of letters is one piece and so holds one id that ends a piece: many of
+        them are encoded as one text and told apart by those ids.  (No word of letters is less than a piece, so equal
+        numbers of words and ends leave no word with two.)"""
+        plain = np.fromiter(map(str.isalpha, words), bool, len(words))
         counts, found = np.zeros(len(words), np.int64), []
-        for lo in range(0, len(words), 2048):
-            some = np.flatnonzero(plain[lo:lo + 2048]) + lo
-            if not len(some):
-                continue
-            ids = np.array(self.lib.encode(" ".join([words[k] for k in some.tolist()]), add_special_tokens=False).ids, np.int64)
+        lots = [some for lo in range(0, len(words), WORDS_AT_ONCE) if len(some := np.flatnonzero(plain[lo:lo + WORDS_AT_ONCE]) + lo)]
+        texts = self.lib.encode_batch_fast([" ".join([words[k] for k in some.tolist()]) for some in lots], add_special_tokens=False) if lots else []
+        for some, text in zip(lots, texts):
+            ids = np.array(text.ids, np.int64)
             last = np.flatnonzero(self.ends[ids])
             if len(last) != len(some) or last[-1] != len(ids) - 1:
                 plain[some] = False                            # another kind of vocabulary: one by one
@@ -269,6 +271,16 @@ class WordEncoder:
         return ids, np.concatenate(([0], np.cumsum(per_row)))
 
 
+_coders: dict[str, WordEncoder] = {}
+
+
+def _coder(vocab: str) -> WordEncoder:
+    """One per Python worker, so that words are remembered from task to task."""
+    if vocab not in _coders:
+        _coders[vocab] = WordEncoder(vocab)
+    return _coders[vocab]
+
+
 def encode(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
     """id, n, crc, ids (little-endian, 2 bytes where the vocabulary allows, else 4) of every row; one scan."""
 
@@ -276,15 +288,20 @@ def encode(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col: str =
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"       # Spark deals out the cores
-        coder = WordEncoder(vocab)
+        coder = _coder(vocab)
         kind = _width(coder.lib.get_vocab_size())
         for batch in batches:
             for lo, hi, data, off in tv.chunks(batch.column(1), ENCODE_BYTES):
                 ids, b = coder.encode(data, off)
-                rows = [np.append(ids[x:y], end_id) for x, y in zip(b[:-1].tolist(), b[1:].tolist())]
-                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array([len(r) for r in rows], pa.int64()),
-                                       pa.array([zlib.crc32(r.astype("<u4")) for r in rows], pa.int64()),
-                                       pa.array([r.astype(kind).tobytes() for r in rows], pa.binary())], names=["id", "n", "crc", "ids"])
+                rows = np.arange(hi - lo)
+                bounds = b + np.arange(len(b))                  # every document has one id more
+                out = np.full(bounds[-1], end_id, "<u4")
+                out[np.arange(len(ids)) + np.repeat(rows, np.diff(b))] = ids
+                crc = [zlib.crc32(out[x:y]) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+                short = out.astype(kind)
+                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(bounds)), pa.array(crc, pa.int64()),
+                                       pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer((bounds * short.itemsize).astype(np.int32)), pa.py_buffer(short)])],
+                                      names=["id", "n", "crc", "ids"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(scan, "id long, n long, crc long, ids binary")
 
