@@ -175,6 +175,36 @@ def test_em_finds_the_accurate_labellers():
     assert abs(share - 0.8) < 0.05 and np.abs(told - acc).max() < 0.06
 
 
+def test_overlaps_by_binary_search():
+    import random
+
+    rnd = random.Random(2)
+    at, spans = 0, []
+    for _ in range(200):
+        at += rnd.randrange(0, 5)
+        spans.append((at, at := at + rnd.randrange(1, 6)))
+    index = pii.Spans(spans)
+    for _ in range(500):
+        a = rnd.randrange(0, at)
+        b = a + rnd.randrange(1, 30)
+        assert index.overlapping(a, b) == sum(x < b and a < y for x, y in spans)
+
+
+def test_thousands_of_candidates_in_one_text(spark):
+    """One text with many candidates of every kind: base spans stay, what is added overlaps none of its kind, and all count."""
+    ship(spark)
+    lines = [f"mail u{i}@host{i}.example.com or u{i} at host{i}.example.org, call +31 (0)20 555-{i:04d}, from 10.{i % 256}.2.3, pay 4111 1111 1111 {i:04d}" for i in range(3000)]
+    train = [f"user{i}@mail{i}.example.com and 4111111111111111 or 4111111111111112 at 1.2.3.{i} or 1.2.3.999" for i in range(60)]
+    rows = by_id(pii.find(docs_of(spark, ["\n".join(lines)] + train)))
+    spans = rows[0]["spans"]
+    assert sum(s["base"] and s["kind"] == "email" for s in spans) == 3000 and sum(s["base"] and s["kind"] == "ip" for s in spans) == 3000
+    for kind in pii.KINDS:
+        own = [s for s in spans if s["kind"] == kind]
+        assert all(x["end"] <= y["start"] for x, y in zip(own, own[1:]))
+    got = by_id(pii.contract(pii.find(docs_of(spark, train))))
+    assert all(r["n_spans"] == r["n_added"] + r["n_email"] + r["n_ip"] + r["n_card"] + r["n_phone"] for r in got.values())
+
+
 # ----------------------------------------------------------------------- mixing
 def test_mixing_equals_its_sql(spark):
     got = QUERIES["op4_mixing_raked"](spark, SF).toPandas()
@@ -195,6 +225,29 @@ def test_raked_marginals_meet_their_targets(spark):
     assert np.allclose(out.groupby("_source").weight.sum() / total, 1 / 3)
 
 
+def test_one_stray_cell_beside_a_large_corpus(spark):
+    """A row of a new source and language changes its own cell, not what is drawn of the others."""
+    d = docs_of(spark, ["a b c d e f g h"] * 300, 0, "en", "x").unionByName(docs_of(spark, ["a b c @ e f"] * 200, 1000, "de", "y")) \
+        .unionByName(docs_of(spark, ["k l m n"] * 100, 2000, "de", "x"))
+    shares = []
+    for docs in (d, d.unionByName(docs_of(spark, ["ciao"], 9999, "it", "new"))):
+        rows = [r for r in mixing.probabilities(docs).collect()]
+        expected = sum(r["tokens"] * r["probability"] for r in rows) / sum(r["tokens"] for r in rows)
+        assert expected == pytest.approx(mixing.KEEP, abs=1e-6)
+        shares.append(np.mean([r["probability"] for r in rows if r["doc_id"] != 9999]))
+    assert abs(shares[0] - shares[1]) < 0.01
+
+
+def test_margins_report_what_was_reached(spark):
+    cells = spark.createDataFrame([("a", "en", "x", 50), ("a", "de", "x", 30), ("b", "en", "x", 40), ("c", "it", "x", 1)],
+                                  "_source string, _lang string, _topic string, tokens long")
+    rows = {(r["margin"], r["value"]): (r["target"], r["reached"]) for r in mixing.margins(mixing.rake(cells)).collect()}
+    assert rows["topic", "x"] == (1.0, pytest.approx(1.0))
+    # source c and language it are one cell with two targets: one of them is not attainable
+    assert min(abs(np.subtract(*rows["source", "c"])), abs(np.subtract(*rows["lang", "it"]))) < 1e-3
+    assert abs(rows["source", "a"][0] - rows["source", "a"][1]) < 0.02
+
+
 def test_mixing_odd_rows(spark):
     d = docs_of(spark, [None, "", "a b c", "a b c", "x@y " * 50_000], lang=None)
     d = d.unionByName(d).unionByName(docs_of(spark, ["one two"] * 50, 10, "de", None))
