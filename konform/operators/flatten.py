@@ -10,10 +10,11 @@ Two input forms exist:
   before it, and the header rows are removed.
 
 The forward fill must never put a whole tenant into one window partition:
-rows are cut into fixed ``seq`` buckets, each bucket is filled by a running
-``last(..., ignorenulls)`` window, and the last header of all *earlier*
-buckets is carried in by a small per-bucket summary (one row per bucket)
-joined back on the bucket id.  The result equals the unbucketed window.
+rows are cut into fixed ``seq`` buckets, the last header of all *earlier*
+buckets is taken from a small per-bucket summary (one row per bucket) and put
+in front of the bucket's rows, and each bucket is filled by a running
+``last(..., ignorenulls)`` window.  The rows move once.  The result equals the
+unbucketed window.
 """
 
 from __future__ import annotations
@@ -81,29 +82,25 @@ def forward_fill_lines(df: DataFrame, id_col: str, header_cols: list[str], seq:
     parts = [_c(p) for p in partition_cols]
     is_header = _c(id_col).isNotNull()
     hdr = F.when(is_header, F.struct(*[_c(h).alias(h) for h in header_cols]))
-    bucket = F.floor(_c(seq) / F.lit(bucket_rows)).cast("long")
-    staged = df.withColumns({"_fb": bucket, "_fhdr": hdr})
-
-    # Local fill inside each bucket: a running last-non-null header.  The bucket's own last
-    # header rides on its first row, so the input is evaluated once.
-    per_bucket = Window.partitionBy(*parts, F.col("_fb"))
-    w_local = per_bucket.orderBy(_c(seq)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = per_bucket.orderBy(_c(seq)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    local = (staged.withColumn("_fh", F.last("_fhdr", ignorenulls=True).over(w_local))
-             .withColumn("_bh", F.last("_fhdr", ignorenulls=True).over(whole)))
-
-    # One row per bucket with the last header of all earlier buckets.  Null partition
-    # values are streams of their own, so the join compares them null-safely.
-    summary = local.groupBy(*parts, F.col("_fb")).agg(F.any_value("_bh").alias("_bh"))
+    bucketed = df.withColumn("_fb", F.floor(_c(seq) / F.lit(bucket_rows)).cast("long"))
+
+    # One row per bucket with its own last header, and from these the last header of all earlier
+    # buckets.  Only the header columns are read here.
+    summary = bucketed.groupBy(*parts, "_fb").agg(F.max_by(hdr, F.when(is_header, F.struct(_c(seq)))).alias("_bh"))
     w_carry = (Window.partitionBy(*parts).orderBy(F.col("_fb"))
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summary.select(*[_c(p).alias(f"_p{i}") for i, p in enumerate(partition_cols)], F.col("_fb").alias("_cb"),
-                           F.last("_bh", ignorenulls=True).over(w_carry).alias("_carry"))
-    same = F.col("_fb") == F.col("_cb")
-    for i, p in enumerate(partition_cols):
-        same = same & _c(p).eqNullSafe(F.col(f"_p{i}"))
-    filled = (local.filter(F.col("_fhdr").isNull()).join(carry, same, "left")
-              .withColumn("_fill", F.coalesce(F.col("_fh"), F.col("_carry"))))
+    carry = (summary.select(*parts, "_fb", F.last("_bh", ignorenulls=True).over(w_carry).alias("_fc"))
+             .filter(F.col("_fb").isNotNull() & F.col("_fc").isNotNull()))
+
+    # The carried header leads its bucket as a row of its own, so the rows are dealt once and nothing is
+    # joined back; the header structs are built behind the exchange.
+    rows = bucketed.withColumn("_fc", F.lit(None).cast(carry.schema["_fc"].dataType))
+    dealt = rows.unionByName(carry, allowMissingColumns=True).repartition(*parts, "_fb")
+    w_local = (Window.partitionBy(*parts, F.col("_fb")).orderBy(F.col("_led"), _c(seq))
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    filled = (dealt.select(*[_c(c) for c in df.columns], "_fb", F.col("_fc").isNull().alias("_led"), F.coalesce(F.col("_fc"), hdr).alias("_fhdr"))
+              .withColumn("_fill", F.last("_fhdr", ignorenulls=True).over(w_local))
+              .filter(F.col("_fhdr").isNull()))
     out = []
     for c in df.columns:
         if c in header_cols:
