@@ -56,15 +56,16 @@ def ranked_pages(pages: DataFrame, keys: list[str], body: str = "body") -> DataF
                              F.col("lost").alias("_lost"))
         done = F.col("ended") | F.col("lost")
         gone = F.col("_ended").isNull()
-        step = state.join(there, [*keys, "to"], "left").select(
-            *keys, "own", F.when(done | gone, F.col("to")).otherwise(F.col("_to")).alias("to"),
-            F.when(done | gone, F.col("left")).otherwise(F.col("left") + F.col("_left")).alias("left"),
-            F.when(done, F.col("ended")).otherwise(F.coalesce("_ended", F.lit(False))).alias("ended"),
-            F.when(done, F.col("lost")).otherwise(gone | F.coalesce("_lost", F.lit(False))).alias("lost"))
-        step.write.parquet(f"{base}/{r}")
+        # Pages that are done stay where they are: only open ones move, whose targets differ.  The sides grow with the
+        # pages, so they are merged, never collected for a broadcast.
+        step = state.filter(~done).join(there.hint("merge"), [*keys, "to"], "left").select(
+            *keys, "own", F.when(gone, F.col("to")).otherwise(F.col("_to")).alias("to"),
+            F.when(gone, F.col("left")).otherwise(F.col("left") + F.col("_left")).alias("left"),
+            F.coalesce("_ended", F.lit(False)).alias("ended"), (gone | F.coalesce("_lost", F.lit(False))).alias("lost"))
+        step.unionByName(state.filter(done)).write.parquet(f"{base}/{r}")
         state = spark.read.parquet(f"{base}/{r}")
     ranks = state.select(*keys, "own", F.when(F.col("ended"), F.col("to")).alias("last"), F.when(F.col("ended"), F.col("left")).alias("left"))
-    return nodes.join(ranks, [*keys, "own"])
+    return nodes.join(ranks.hint("merge"), [*keys, "own"])
 
 
 def report_of(ranks: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,7 +1,8 @@
 """Work that must not grow faster than the input: what moves, how often, and what reaches the driver."""
-from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from konform.operators import flatten
+from konform.sources import chains
 
 
 def plan(df) -> str:
@@ -35,3 +36,25 @@ def test_fill_with_header_rows_landed_twice(spark):
     twice = interleaved(spark).union(interleaved(spark))
     got = flatten.forward_fill_lines(twice, "ID", ["ID", "note"], "seq", ["tenant"], bucket_rows=4).groupBy("tenant", "seq", "ID", "line", "note").count()
     assert {r["count"] for r in got.collect()} == {2} and got.count() == 18
+
+
+# ------------------------------------------------------------------ chains of pages
+def test_ranking_sends_no_pages_to_the_driver(spark, monkeypatch):
+    plans = []
+    write = DataFrameWriter.parquet
+
+    def spy(self, *args, **kw):
+        plans.append(plan(self._df))
+        return write(self, *args, **kw)
+    monkeypatch.setattr(DataFrameWriter, "parquet", spy)
+    n = 9
+    pages = spark.createDataFrame([(c, f"p{i}" if i else None, f"p{i + 1}" if i < n - 1 else "p1" if c == 1 else None, f"{c}{i}")
+                                   for c in (0, 1, 2) for i in range(n) if (c, i) != (2, 4)], "chain long, own string, nxt string, body string")
+    ranks = chains.ranked_pages(pages, ["chain"])
+    got = {(r.chain, r.own): (r["last"], r["left"]) for r in ranks.collect()}
+    assert all(got[0, f"p{i}" if i else ""] == ("p8", n - 1 - i) for i in range(n))
+    assert all(v == (None, None) for (c, _), v in got.items() if c == 1)
+    assert got[2, "p5"] == ("p8", 3) and got[2, "p3"] == (None, None) and got[2, ""] == (None, None)
+    assert len(plans) > 3 and not any("Broadcast" in p for p in [*plans, plan(ranks)])
+    # pages that are done are not dealt again: all of a finished chain point to one page
+    assert all("Union" in p for p in plans[1:])
