@@ -138,6 +138,22 @@ def test_components_of_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_links_of_members_to_many_hubs_are_thinned_to_the_nodes(spark, tmpdir_path):
+    from konform.llm.components import thinned
+
+    pairs = [(hub, 1000 + k) for hub in range(40) for k in range(200)] + [(5000, 5001)]
+    rng = random.Random(3)
+    pairs += [(x, y) for x, y in ((rng.randrange(6000, 6300), rng.randrange(6000, 6300)) for _ in range(250)) if x != y]
+    edges = spark.createDataFrame([(max(p), min(p)) for p in {tuple(sorted(p)) for p in pairs}], "u long, v long")
+    few = [(r["u"], r["v"]) for r in thinned(edges, tmpdir_path).collect()]
+    assert len(few) < 600                                      # of more than 8000 links
+    up = {x: x for p in pairs for x in p}
+    while any(up[x] != up[y] for x, y in pairs):
+        for x, y in pairs:
+            up[x] = up[y] = min(up[x], up[y])
+    assert {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()} == up
+
+
 # -------------------------------------------------------------- repeated passages
 def cover(texts, length, earlier=False):
     """Bytes covered by strings that occur elsewhere (or: before), straight from the definition."""
