@@ -122,11 +122,28 @@ def conformed_lines(spark, sf: str, table: str, orders: DataFrame | None = None,
     """Landed pages -> A1 -> D7 (D1-D3) -> B1 -> C, in the target's column order."""
     pages, schema = landed_documents(spark, sf, table, orders=orders, header_overrides=header_overrides)
     rows = payloads.odata_rows(pages, schema, keep=["tenant"])
-    flat = flatten.flatten_for_table(rows, table, keep=["tenant"])
+    types, headers = target_types("accounting", table), header_types(table)
+    # header fields are coerced once per document, before its lines are exploded; that also keeps the generated
+    # methods below the size that the JVM compiles
+    typed = coerce_table(rows, [(f, t) for f, (_, t) in headers.items()], ACCOUNTING)
+    flat = flatten.flatten_for_table(typed, table, keep=["tenant"])
     # Documents without a Division field get their page's tenant.
     mapped = mapping.map_keep(flat, column_mapping("accounting", table), "Division", F.col("tenant"))
-    types = target_types("accounting", table)
-    return mapping.conform(coerce_table(mapped, types, ACCOUNTING), types)
+    done = {c for c, _ in headers.values()}
+    return mapping.conform(coerce_table(mapped, [(c, t) for c, t in types if c not in done], ACCOUNTING), types)
+
+
+def header_types(table: str) -> dict[str, tuple[str, str]]:
+    """Header field -> (target column, type) of the fields whose conversion cannot fail the table: a document without lines
+    must not.  A header field that a line field of the same name replaces is left to the line."""
+    doc, targets, rename = NESTED[table], dict(target_types("accounting", table)), dict(column_mapping("accounting", table))
+    out = {}
+    for f in doc.header_fields:
+        name = f"{doc.prefix}_Description" if f == "Description" else f
+        target = rename.get(name, name)
+        if name not in doc.line_fields and targets.get(target) in ("int", "nvarchar", "bit", "date", "datetime"):
+            out[f] = (target, targets[target])
+    return out
 
 
 def _duck_convert(expr: str, ref_type: str) -> str:

@@ -174,9 +174,11 @@ def to_date(c: Column, temporal_input: bool = False) -> Column:
     if temporal_input:
         return c.cast("date")
     s = F.trim(_text(c))
-    ms = _ms_date_value(s)
-    from_ms = F.date_from_unix_date(F.floor(ms / F.lit(86400000)).cast("int"))
-    return F.coalesce(from_ms, to_datetime(c).cast("date"))
+    # No text has two of these forms, so one branch each will do: little generated code for tables with many dates.
+    ms = F.regexp_extract(s, _MS_DATE_RE, 1).try_cast("bigint")
+    return (F.when(s.startswith("/Date("), F.date_from_unix_date(F.floor(ms / F.lit(86400000)).cast("int")))
+            .when(s.rlike(_ISO_RE), s.try_cast("timestamp_ntz").cast("date"))
+            .when(s.rlike(_DMY_RE), F.regexp_replace(s, _DMY_RE, "$3-$2-$1$4").try_cast("timestamp_ntz").cast("date")))
 
 
 # ------------------------------------------------------------------------ C12

@@ -65,9 +65,10 @@ def odata_items(body: Column, row_schema) -> Column:
     generic = (F.when(generic_d.isNull(), F.array(F.from_json(body, row_schema)))
                .when(generic_d.startswith("["), F.from_json(generic_d, arr))
                .when(generic_d.startswith("{"), F.from_json(F.get_json_object(body, "$.d.results"), arr)))
-    return (F.when(body.rlike(r"^\s*\["), F.from_json(body, arr))
+    # The usual shape comes first, known by its first bytes: a pattern that fails walks the whole body.
+    return (F.when(body.startswith('{"d":{') | body.rlike(r'^\s*\{\s*"d"\s*:\s*\{'), F.from_json(body, d_results)["d"]["results"])
+            .when(body.rlike(r"^\s*\["), F.from_json(body, arr))
             .when(body.rlike(r'^\s*\{\s*"d"\s*:\s*\['), F.from_json(body, d_list)["d"])
-            .when(body.rlike(r'^\s*\{\s*"d"\s*:\s*\{'), F.from_json(body, d_results)["d"]["results"])
             .when(body.rlike(r'^\s*\{\s*"d"\s*:'), F.lit(None).cast(arr))
             .when(body.rlike(r"^\s*\{"), generic))
 

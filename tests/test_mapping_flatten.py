@@ -127,3 +127,28 @@ def test_empty_frame_carries_its_columns(spark):
     from konform.operators import mapping
     assert mapping.empty_frame(spark, ["a", "b"]).dtypes == [("a", "string"), ("b", "string")]
     assert mapping.empty_frame(spark, T.StructType([T.StructField("n", T.LongType())])).dtypes == [("n", "bigint")]
+
+
+@pytest.mark.parametrize("name", ["lines_invoice", "lines_order", "lines_quotation", "orders_sync"])
+def test_document_queries_generate_methods_that_the_jvm_compiles(spark, name):
+    from konform.catalogue import QUERIES
+    from conftest import SF_SMALL
+
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [parts.apply(k)._3().maxMethodCodeSize() for k in range(parts.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    assert sizes and max(sizes) < 8000                          # HotSpot leaves larger methods to its interpreter
+
+
+def test_headers_are_typed_before_their_lines():
+    from konform.catalogue.flatten_queries import header_types
+
+    for table in ("Verkoopfacturen", "VerkoopOrders", "Offertes"):
+        got = header_types(table)
+        assert "Currency" in got and not {t for _, t in got.values()} & {"uniqueidentifier", "decimal", "tinyint"}
+        assert not set(got) - set(NESTED[table].header_fields)
+        assert not {f for f in got if f != "Description"} & set(NESTED[table].line_fields)
