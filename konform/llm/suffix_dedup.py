@@ -296,7 +296,9 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = docs.sparkSession
     base = scratch_path(spark, f"suffix-{uuid.uuid4().hex}")
     rows = _keyed(docs, id_col, text_col)
-    all_runs = runs(rows.filter(F.octet_length("_t") >= length), length)
+    # kept, so that the texts are scanned once
+    runs(rows.filter(F.octet_length("_t") >= length), length).write.parquet(f"{base}/all-runs")
+    all_runs = spark.read.parquet(f"{base}/all-runs")
     # anchors that occur once leave here
     all_runs.select("a").groupBy("a").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("a").write.parquet(f"{base}/anchors")
     # read back, so that both sides of the join are plain exchanges and a very frequent anchor is split over tasks

@@ -387,3 +387,22 @@ def test_pipeline_equals_its_parts(spark, tmp_path):
     assert ids(after) == ids(before)
     final = corpus_pipeline.run(spark, SF)
     assert sorted(map(tuple, final.collect())) == sorted(map(tuple, after.collect())) and stages["sharding"]
+
+
+def test_texts_are_scanned_once_for_runs(spark, monkeypatch):
+    ship(spark)
+    seen, plain = spark.sparkContext.accumulator(0), suffix_dedup.runs
+
+    def counted(rows, length):
+        def tick(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        return plain(rows.mapInArrow(tick, rows.schema), length)
+
+    monkeypatch.setattr(suffix_dedup, "runs", counted)
+    shared = " ".join(words(80, 5))
+    texts = [" ".join(words(60, 10 + k)) + (f" {shared} " if k % 2 else " ") + " ".join(words(60, 50 + k)) for k in range(12)]
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.measure(docs_of(spark, texts)).collect()}
+    assert [i for i, n in got.items() if n] == [i for i in got if i % 2] and seen.value == len(texts)
