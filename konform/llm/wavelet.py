@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -238,12 +239,15 @@ class WordEncoder:
         if len(self.known) + len(words) > WORD_CACHE:
             self.clear()
         known = self.known
-        new = [w for w in words if w not in known]
-        if new:
-            flat, n = self._encode(new)
-            known.update(zip(new, range(len(known), len(known) + len(new))))
+        slot = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            fresh = [words[k] for k in new.tolist()]
+            flat, n = self._encode(fresh)
+            slot[new] = np.arange(len(known), len(known) + len(new))
+            known.update(zip(fresh, range(len(known), len(known) + len(new))))
             self.flat, self.at = np.concatenate((self.flat, flat)), np.concatenate((self.at, self.at[-1] + np.cumsum(n)))
-        return np.fromiter((known[w] for w in words), np.int64, len(words))
+        return slot
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, their bounds by text)."""

@@ -101,3 +101,28 @@ def test_repeated_and_missing_ids_and_an_empty_table(spark, lib, tmpdir_path):
     assert [g[0] for g in got] == [0, *np.cumsum([g[2] for g in got])[:-1].tolist()]
     wavelet.write(d.limit(0), VOCAB, f"{tmpdir_path}/b")
     assert wavelet.documents(spark, f"{tmpdir_path}/b").collect() == []
+
+
+def test_words_are_looked_up_once():
+    coder, asked = wavelet.WordEncoder(VOCAB), []
+
+    class Counted(dict):
+        def get(self, *k):
+            asked.append(k)
+            return super().get(*k)
+
+        def __contains__(self, k):
+            asked.append(k)
+            return super().__contains__(k)
+
+        def __getitem__(self, k):
+            asked.append(k)
+            return super().__getitem__(k)
+
+    coder.known = Counted()
+    first, again = ["one", "two", "three"], ["two", "four", "one", "five"]
+    a, b = coder._lookup(first).tolist(), coder._lookup(again).tolist()
+    assert len(asked) == len(first) + len(again)
+    assert (a, b) == ([0, 1, 2], [1, 3, 0, 4])
+    ids = [coder.flat[coder.at[k]:coder.at[k + 1]].tolist() for k in b]
+    assert ids == [coder.lib.encode(w, add_special_tokens=False).ids for w in again]
