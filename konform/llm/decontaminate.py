@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import bound_batches, scratch_path
 from . import textvec as tv
 
 SEED = 3
@@ -295,6 +295,7 @@ def blocks(items: DataFrame, id_col: str, text_col: str):
 
 
 def rare_indexes(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str):
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.lower(F.col(text_col)).alias("t")).filter("t is not null")
     for ix in blocks(items, item_id, item_text):
         yield ix.rare(document_frequency(texts, ix))

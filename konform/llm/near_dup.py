@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import bound_batches, scratch_path
 from . import textvec as tv
 from .components import components
 
@@ -72,7 +72,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def scan(batches):
         for batch in batches:
             ids, keys = batch.column(0), batch.column(1)
-            for lo, hi, data, off in tv.chunks(batch.column(2)):
+            for lo, hi, data, off in tv.chunks(batch.column(2), tv.SCAN_BYTES):
                 h, b = shingle_sets(data, off)
                 n = np.diff(b)
                 some = np.flatnonzero(n)
@@ -185,7 +185,7 @@ def _grouped(batches, keys: int):
 
 def _sets_of(col) -> list[np.ndarray]:
     out = []
-    for _, _, data, off in tv.chunks(col):
+    for _, _, data, off in tv.chunks(col, tv.SCAN_BYTES):
         h, b = shingle_sets(data, off)
         out += [h[x:y] for x, y in zip(b[:-1], b[1:])]
     return out
@@ -323,6 +323,7 @@ def _across(placed: DataFrame, labels: DataFrame) -> DataFrame:
 def decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, k, n, component_id, kept of every row."""
     spark = docs.sparkSession
+    bound_batches(spark)
     base = scratch_path(spark, f"near-dup-{uuid.uuid4().hex}")
     signatures(docs, id_col, text_col).write.parquet(f"{base}/sets")
     sets = spark.read.parquet(f"{base}/sets")

@@ -27,6 +27,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import bound_batches
 from . import textvec as tv
 
 TRAIN_DOCS = 6000               # bound of the sample that the linear scorer is fitted on
@@ -197,18 +198,23 @@ class QualityModel:
         return np.where(s[:, 0] > 0, p, 0.0)
 
 
+def patterns(col: pa.Array) -> pa.Array:
+    out = np.zeros(len(col), np.int64)
+    for lo, hi, data, off in tv.chunks(col, tv.SCAN_BYTES):
+        out[lo:hi] = pattern_of(votes(statistics(data, off)))
+    return pa.array(out)
+
+
 def _patterns(text: Column) -> Column:
     def f(col: pa.Array) -> pa.Array:
-        out = np.zeros(len(col), np.int64)
-        for lo, hi, data, off in tv.chunks(col):
-            out[lo:hi] = pattern_of(votes(statistics(data, off)))
-        return pa.array(out)
+        return patterns(col)
 
     return F.arrow_udf(f, "long")(text)
 
 
 def fit(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS) -> QualityModel:
     """Vote patterns of all documents, EM on their counts, and a scorer on at most about ``train_docs`` documents."""
+    bound_batches(docs.sparkSession)
     text = docs.select(F.col(text_col).alias("_t")).filter(F.col("_t").rlike(r"\S"))
     rows = text.select(_patterns(F.col("_t")).alias("pattern")).groupBy("pattern").count().collect()   # at most 3**9 rows
     if not rows:
@@ -222,7 +228,7 @@ def fit(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS) -
 
     def examples(batches):
         for batch in batches:
-            for lo, hi, data, off in tv.chunks(batch.column(0), 1 << 18):
+            for lo, hi, data, off in tv.chunks(batch.column(0), tv.SCAN_BYTES):
                 s = statistics(data, off)
                 v = votes(s)
                 p = np.array([model.patterns.get(int(k), model.share) for k in pattern_of(v)])
@@ -248,7 +254,7 @@ def score(model: QualityModel, text: Column) -> Column:
     """Probability that a document is good (0 for a text without words)."""
     def f(col: pa.Array) -> pa.Array:
         out = np.zeros(len(col))
-        for lo, hi, data, off in tv.chunks(col):
+        for lo, hi, data, off in tv.chunks(col, tv.SCAN_BYTES):
             out[lo:hi] = model.score(data, off)
         return pa.array(out)
 

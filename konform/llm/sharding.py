@@ -28,9 +28,9 @@ import hashlib
 import uuid
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..session import scratch_path
@@ -136,10 +136,10 @@ def assign(docs: DataFrame, shards: int = 40, vnodes: int = 32, slack: float = 0
     per_cell = rows.groupBy("_arc", "_cell", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     counts = {r["_arc"]: r["n"] for r in per_cell.groupBy("_arc").agg(F.sum("_n").alias("n")).collect()}
     plan = plan_stretches(counts, points, shards, slack)
-    schema = T.StructType([T.StructField("_arc", T.IntegerType()), T.StructField("_from", T.LongType()),
-                           T.StructField("_to", T.LongType()), T.StructField("_shard", T.IntegerType()),
-                           T.StructField("_slot", T.LongType())])
-    stretches = spark.createDataFrame([(s.arc, s.start, s.end, s.shard, s.slot) for s in plan], schema)
+    schema = pa.schema({"_arc": pa.int32(), "_from": pa.int64(), "_to": pa.int64(), "_shard": pa.int32(), "_slot": pa.int64()})
+    # an Arrow table: rows of Python objects would start Python workers of their own kind, which stay beside the others
+    stretches = spark.createDataFrame(pa.Table.from_pylist(
+        [{"_arc": s.arc, "_from": s.start, "_to": s.end, "_shard": s.shard, "_slot": s.slot} for s in plan], schema))
     # the arc that wraps around zero is ordered by position like any other, so cells need no turning
     before = per_cell.select("_arc", "_cell", "_salt", (F.sum("_n").over(
         Window.partitionBy("_arc").orderBy("_cell", "_salt").rowsBetween(Window.unboundedPreceding, -1))).alias("_before"))

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20          # text handled at once inside a task (one longer text is its own chunk)
+SCAN_BYTES = 1 << 18           # for statistics that hold tens of bytes for every byte of text
 U64 = np.uint64
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -45,7 +46,7 @@ def chunks(col: pa.Array, limit: int = CHUNK_BYTES):
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if _pow["n"] < n:
-        n = max(n, CHUNK_BYTES + 65536)
+        n = -(-n // (SCAN_BYTES + 65536)) * (SCAN_BYTES + 65536)
         with np.errstate(over="ignore"):
             f = np.full(n, U64(_BASE)); f[0] = 1
             b = np.full(n, U64(pow(_BASE, -1, 1 << 64))); b[0] = 1

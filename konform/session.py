@@ -8,6 +8,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+#: Bytes of a batch of rows sent to a Python worker: texts are handled a megabyte at a time at most, so more only takes memory.
+BATCH_BYTES = 4 * 1024 * 1024
 DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
@@ -37,6 +39,16 @@ def get_spark(master: str | None = None, app: str = "konform",
     return spark
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Batches for Python workers of about ``BATCH_BYTES``, unless the session sets their size itself.
+
+    Spark's own bound (64 MB) is held by the executor and by its worker, for every task that runs.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 

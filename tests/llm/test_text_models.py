@@ -4,9 +4,11 @@ import hashlib
 import os
 import re
 import sys
+import tracemalloc
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,6 +165,32 @@ def test_quality_odd_rows(spark):
     assert quality.classify(docs_of(spark, ["one text only. It is short."])).count() == 1
 
 
+def test_scans_hold_little_of_a_batch_at_once(spark):
+    ship(spark)
+    texts = [" ".join(words(4000, i)) for i in range(500)]          # about 12 MB in one partition
+    d = docs_of(spark, texts).coalesce(1)
+    assert quality.keep_good(d).count() <= len(texts)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.nbytes])], names=["n"])
+
+    got = [r["n"] for r in d.select("text").mapInArrow(sizes, "n long").collect()]
+    assert sum(got) > 10_000_000 and max(got) < 6_000_000
+
+
+def test_memory_of_a_quality_scan_is_bounded_by_its_chunk():
+    col = pa.array([" ".join(words(500, i)) for i in range(1500)])   # about 4 MB
+    quality.patterns(col.slice(0, 200))
+    tracemalloc.start()
+    got = quality.patterns(col)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32_000_000
+    one = pa.concat_arrays([quality.patterns(col.slice(i, 1)) for i in range(0, 1500, 50)])
+    assert got.take(pa.array(range(0, 1500, 50))).equals(one)
+
+
 def test_em_finds_the_accurate_labellers():
     rnd = np.random.default_rng(4)
     n, k = 20_000, len(quality.LABELLERS)

@@ -164,6 +164,15 @@ def test_odd_rows_are_sharded_too(spark):
     assert sharding.shard_rows(d.limit(0), shards=4).count() == 0
 
 
+def test_the_plan_of_the_ring_starts_no_python_worker(spark, monkeypatch):
+    made, create = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *a, **kw: made.append(create(*a, **kw)) or made[-1])
+    d = spark.range(300).selectExpr("id AS doc_id", "concat('t', id) AS text")
+    out = sharding.shard_rows(d, 4)
+    assert made and not any("PythonRDD" in x._jdf.queryExecution().toRdd().toDebugString() for x in made)
+    assert sorted(r["count"] for r in out.groupBy("shard").count().collect()) == [75] * 4
+
+
 def test_ring_moves_few_keys_and_respects_bounds():
     def place(shards):
         points = sharding.ring_points(shards, 64)
