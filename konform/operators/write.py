@@ -22,6 +22,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class WriteError(ValueError):
@@ -96,7 +97,13 @@ def duplicate_keys(source: DataFrame, keys: list[str]) -> DataFrame:
 def unique_keys(source: DataFrame, keys: list[str]) -> DataFrame:
     """``source``, failing the job where complete keys occur more than once (as a MERGE does).
 
-    The window partitions by the same columns as the join that follows, so it adds a sort but no shuffle."""
+    Rows with a null key may repeat."""
+    return _salted_unique(source, keys).drop("_salt")
+
+
+def _salted_unique(source: DataFrame, keys: list[str]) -> DataFrame:
+    """``unique_keys`` with the ``_salt`` of its window: a join on the keys and this very column shuffles the
+    source no second time."""
     salted = source.withColumn("_salt", _null_key_salt(source, keys))
     n = F.count(F.lit(1)).over(Window.partitionBy(*[_c(k) for k in keys], F.col("_salt")))
     complete = F.lit(True)
@@ -104,9 +111,84 @@ def unique_keys(source: DataFrame, keys: list[str]) -> DataFrame:
         complete = complete & _c(k).isNotNull()
     bad = complete & (F.col("_n") > 1)
     ok = F.when(bad, F.raise_error(F.lit(f"duplicate source keys on {keys}")).cast("boolean")).otherwise(F.lit(True))
-    return salted.withColumn("_n", n).filter(ok).drop("_n", "_salt")
+    return salted.withColumn("_n", n).filter(ok).drop("_n")
+
+
+# ------------------------------------------------------------ compact rows
+#: Tables with fewer columns to pack are shuffled as they are.
+PACK_FROM = 12
+_SEP, _NULL = "\x01", "\x02"
+_UUID = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\z"
+#: in front of a key that is no uuid: longer than the 16 bytes of one that is
+_NO_UUID = bytes(17)
+
+
+def _packable(t: T.DataType) -> bool:
+    return t == T.StringType() or isinstance(t, (T.IntegralType, T.DecimalType, T.DateType, T.BooleanType))
+
+
+def _packed_columns(target: DataFrame, source: DataFrame, keys: list[str]) -> list[T.StructField]:
+    """The value columns that an upsert shuffles as one text; none for narrow tables and for a source without
+    all of the target's columns and types.  Equal types stand together: the codec of the shuffle finds more repeats."""
+    types = {f.name: f.dataType for f in source.schema.fields}
+    if any(types.get(f.name) != f.dataType for f in target.schema.fields):
+        return []
+    fields = sorted((f for f in target.schema.fields if f.name not in keys and _packable(f.dataType)), key=lambda f: f.dataType.simpleString())
+    return fields if len(fields) >= PACK_FROM else []
+
+
+def _as_text(f: T.StructField) -> Column:
+    c = F.unix_date(_c(f.name)) if isinstance(f.dataType, T.DateType) else _c(f.name)
+    c = c.cast("string")
+    if isinstance(f.dataType, T.DecimalType) and f.dataType.scale > 0:
+        c = F.when(c.contains("E"), c).otherwise(F.rtrim(c, F.lit("0")))
+    return c
+
+
+def _from_text(text: Column, t: T.DataType) -> Column:
+    return F.date_from_unix_date(text.cast("int")) if isinstance(t, T.DateType) else text.cast(t)
+
 
+def _compact_key(k: Column) -> Column:
+    """A text key as bytes, the 16 of a lower-case uuid where it is one.  Different keys stay different, null stays null."""
+    return F.when(k.rlike(_UUID), F.unhex(F.replace(k, F.lit("-"), F.lit("")))).otherwise(F.concat(F.lit(_NO_UUID), k.cast("binary")))
 
+
+def _full_key(b: Column, h: Column) -> Column:
+    """The text of a key that ``_compact_key`` made; ``h`` is its hex text."""
+    uuid = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12))
+    return F.when(h.isNotNull(), uuid).otherwise(F.substring(b, len(_NO_UUID) + 1, 2147483647).cast("string"))
+
+
+def _text_keys(df: DataFrame, keys: list[str]) -> list[str]:
+    return [k for k in keys if df.schema[k].dataType == T.StringType()]
+
+
+def _pack(df: DataFrame, keys: list[str], fields: list[T.StructField]) -> DataFrame:
+    """``df`` with ``fields`` as one text ``_packed``, about half the bytes of a row of columns.
+
+    Rows whose texts hold a separator or are no UTF-8 keep the list of them, ``_plain``.  The lambda over the keys
+    keeps this projection out of the method of the stage before it, which would become too large to be compiled well."""
+    text_keys, names = _text_keys(df, keys), [f.name for f in fields]
+    rest = [c for c in df.columns if c not in names and c not in text_keys]
+    texts = df.select(*[F.get(F.transform(F.array(_c(k)), _compact_key), F.lit(0)).alias(k) for k in text_keys], *[_c(c) for c in rest], F.array(*[_as_text(f) for f in fields]).alias("_texts"))
+    texts = texts.withColumn("_joined", F.array_join("_texts", " "))
+    texts = texts.withColumn("_simple", F.is_valid_utf8("_joined") & ~F.col("_joined").contains(_SEP) & ~F.col("_joined").contains(_NULL))
+    return texts.select(*[_c(c) for c in text_keys + rest], F.when(F.col("_simple"), F.array_join("_texts", _SEP, _NULL)).alias("_packed"),
+                        F.when(~F.col("_simple"), F.col("_texts")).alias("_plain"))
+
+
+def _unpack(df: DataFrame, text_keys: list[str], fields: list[T.StructField]) -> DataFrame:
+    rest = [c for c in df.columns if c not in text_keys and c not in ("_packed", "_plain")]
+    packed = F.transform(F.split(F.col("_packed"), _SEP), lambda v: F.nullif(v, F.lit(_NULL)))
+    hexed = {k: f"_hex_{k}" for k in text_keys}
+    df = df.select(*[_c(c) for c in text_keys + rest], *[F.when(F.length(_c(k)) == 16, F.lower(F.hex(_c(k)))).alias(h) for k, h in hexed.items()],
+                   F.coalesce(F.col("_plain"), packed).alias("_values"))
+    return df.select(*[_full_key(_c(k), _c(h)).alias(k) for k, h in hexed.items()], *[_c(c) for c in rest],
+                     *[_from_text(F.get(F.col("_values"), F.lit(i)), f.dataType).alias(f.name) for i, f in enumerate(fields)])
+
+
+# ------------------------------------------------------------------- upsert
 def upsert(target: DataFrame, source: DataFrame, keys: list[str],
            check_duplicates: bool = False) -> DataFrame:
     """Matched target rows are replaced by the source row, other source
@@ -120,19 +202,23 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
 
     One full outer join on the keys: target and source are each evaluated
     and shuffled once (an anti-join plus union would run the source's whole
-    extraction pipeline twice).  A null key never matches, so such rows pass
-    through from both sides, as with ``=`` in a MERGE.
+    extraction pipeline twice), wide rows in a compact form (``_pack``).  A null key
+    never matches, so such rows pass through from both sides, as with ``=`` in a MERGE.
     """
     if not keys:
         raise WriteError("upsert needs key columns")
     if check_duplicates and not duplicate_keys(source.dropna(subset=keys), keys).isEmpty():
         raise WriteError(f"duplicate source keys on {keys}")            # before anything runs
-    source = unique_keys(source, keys)
+    columns, packed = target.columns, _packed_columns(target, source, keys)
+    if packed:
+        text_keys = _text_keys(target, keys)
+        target, source = (_pack(df.select(*[_c(c) for c in columns]), keys, packed) for df in (target, source))
     j, values = _marked_outer(target, source, keys)
     in_s = F.col("_in_s").isNotNull()
     cols = [_c(k) for k in keys] + [(F.when(in_s, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")) if c in source.columns
                                      else F.col(f"_t_{c}")).alias(c) for c in values]
-    return j.select(*cols).select(*[_c(c) for c in target.columns])
+    out = j.select(*cols)
+    return (_unpack(out, text_keys, packed) if packed else out).select(*[_c(c) for c in columns])
 
 
 # -------------------------------------------------------------------- W12
@@ -148,11 +234,12 @@ def _null_key_salt(df: DataFrame, keys: list[str]) -> Column:
 
 
 def _marked_outer(target: DataFrame, source: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """Target and source side by side on their keys; complete keys that repeat in the source fail the job."""
     values = [c for c in target.columns if c not in keys]
     t = target.select(*[_c(k) for k in keys], *[_c(c).alias(f"_t_{c}") for c in values],
                       _null_key_salt(target, keys).alias("_salt"), F.lit(True).alias("_in_t"))
-    s = source.select(*[_c(k) for k in keys], *[_c(c).alias(f"_s_{c}") for c in values if c in source.columns],
-                      _null_key_salt(source, keys).alias("_salt"), F.lit(True).alias("_in_s"))
+    s = _salted_unique(source, keys).select(*[_c(k) for k in keys], *[_c(c).alias(f"_s_{c}") for c in values if c in source.columns],
+                                            F.col("_salt"), F.lit(True).alias("_in_s"))
     # A null key never equals anything, so adding the salt to the keys changes
     # no match; it only changes where null-key rows are partitioned.
     return t.join(s, on=list(keys) + ["_salt"], how="full_outer"), values
@@ -169,7 +256,6 @@ def upsert_changed(target: DataFrame, source: DataFrame, keys: list[str],
     """
     if text_columns is None:
         text_columns = [f.name for f in target.schema.fields if f.dataType.typeName() == "string"]
-    source = unique_keys(source, keys)
     j, values = _marked_outer(target, source, keys)
     given = [c for c in values if c in source.columns]       # other columns keep the target's value
     diffs = []
@@ -207,7 +293,6 @@ def upsert_preserving(target: DataFrame, source: DataFrame, keys: list[str],
                       preserved: dict[str, object]) -> DataFrame:
     """As an upsert, but the ``preserved`` operator columns of a matched row
     keep the target's value and a new row gets the given default."""
-    source = unique_keys(source, keys)
     j, values = _marked_outer(target, source, keys)
     in_t, in_s = F.col("_in_t").isNotNull(), F.col("_in_s").isNotNull()
     cols = [_c(k) for k in keys]

@@ -302,3 +302,94 @@ def test_untouched_tenants_are_pruned_from_the_scan(spark, tmpdir_path):
     target = publish.read_tenants(spark, path, schema, "t").join(touched, "t", "left_semi")
     assert target.count() == 50
     assert "dynamicpruning" in target._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture()
+def plain_plans(spark):
+    """Plans as planned: no broadcasts, nothing re-planned while it runs."""
+    wanted = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    was = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in was.items():
+        spark.conf.set(k, v)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_upserts_shuffle_each_side_once(spark, plain_plans):
+    k = F.nullif(F.col("id"), F.lit(-1)).alias("k")                              # a key that may be null
+    tgt, src = spark.range(20).select(k, F.lit("a").alias("v")), spark.range(10, 30).select(k, F.lit("b").alias("v"))
+    for out in (write.upsert(tgt, src, ["k"]), write.upsert_changed(tgt, src, ["k"]), write.upsert_preserving(tgt, src, ["k"], {"v": "x"})):
+        assert _plan(out).count("Exchange hashpartitioning") == 2, _plan(out)
+        assert out.count() == 30
+
+
+ODD_TEXTS = ["", " ", "a", "\x01", "\x02", "a\x01b", "x\x02", "\n", "é€", None]
+ODD_KEYS = ["0a1b2c3d-0000-1111-2222-333344445555", "0A1B2C3D-0000-1111-2222-333344445555", "0a1b2c3d-0000-1111-2222-333344445555\n",
+            "0a1b2c3d00001111222233334444555", "abcd----", "", "sixteen letters.", "\x00" * 16, "é", None]
+
+
+def _wide(spark, rows_, shift):
+    """Rows of all kinds of columns; texts, numbers and dates at their odd ends."""
+    df = spark.createDataFrame([(k, i + shift, ODD_TEXTS[(i + shift) % len(ODD_TEXTS)]) for i, k in rows_], "k string, i int, s string")
+    i = F.col("i")
+    bad = F.when(i % 4 == 0, F.unhex(F.lit("61C328")).cast("string")).when(i % 4 == 1, F.unhex(F.lit("C3")).cast("string")).otherwise(F.lit("ok"))
+    small = F.when(i % 5 == 0, F.expr("CAST('0.0000000001' AS DECIMAL(38,10))")).when(i % 5 == 1, F.expr("CAST(0 AS DECIMAL(38,10))")).when(
+        i % 5 == 2, F.expr("CAST('-1234567890123456789012345678.0987654320' AS DECIMAL(38,10))")).when(i % 5 == 3, (i * 100).cast("decimal(38,10)"))
+    return df.select(
+        "k", F.when(i % 6 != 0, F.lit(7)).cast("bigint").alias("tenant"), "i", *[F.col("s").alias(f"s{n}") for n in range(3)], F.coalesce("s", F.lit("-")).alias("s3"),
+        F.when(i % 3 == 0, bad).alias("bad"), F.lit(None).cast("string").alias("nothing"), small.alias("dec"), (i * 100).cast("decimal(9,0)").alias("whole"),
+        F.expr("CAST('1E-10' AS DECIMAL(38,20))").alias("tiny"), (i % 2 == 0).alias("even"), i.cast("tinyint").alias("tiny_int"),
+        F.when(i % 2 == 0, F.date_sub(F.lit("1900-01-01").cast("date"), i * 400)).alias("day"), (i / 3).alias("double"), F.array(i, i + 1).alias("list"),
+        F.lit("2024-03-31 02:30:00").cast("timestamp_ntz").alias("at"))
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_wide_upsert_moves_compact_rows_and_returns_every_value(spark, monkeypatch, ansi):
+    was = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        tgt = _wide(spark, [*enumerate(ODD_KEYS * 2)], 0)                       # a key may repeat in the target
+        src = _wide(spark, [*enumerate(ODD_KEYS[3:] + ["new", None])], 5)
+        keys = ["k", "tenant"]
+
+        def seen(out):
+            assert out.columns == tgt.columns and out.dtypes == tgt.dtypes
+            texts = [F.hex(F.col(c).cast("binary")).alias(c) if t == "string" else F.col(c) for c, t in out.dtypes]
+            return sorted((tuple(r) for r in out.select(*texts).collect()), key=repr)
+
+        out = write.upsert(tgt, src, keys)
+        assert "_packed" in _plan(out)
+        got = seen(out)
+        monkeypatch.setattr(write, "PACK_FROM", 1000)
+        plain = write.upsert(tgt, src, keys)
+        assert "_packed" not in _plan(plain) and got == seen(plain) and len(got) > 20
+        monkeypatch.undo()
+        with pytest.raises(Exception, match="duplicate source keys"):
+            write.upsert(tgt, src.unionByName(src.filter("tenant is not null and k is not null").limit(1)), keys).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", was)
+
+
+def test_wide_upsert_of_a_partial_source_keeps_the_other_columns(spark):
+    tgt = _wide(spark, [(1, "a"), (2, "b")], 0)
+    src = _wide(spark, [(2, "b"), (3, "c")], 5).drop("s0", "dec")
+    got = {r["k"]: r for r in write.upsert(tgt, src, ["k"]).collect()}
+    assert got["b"]["i"] == 7 and got["b"]["s0"] == "a" and got["c"]["s0"] is None and len(got) == 3
+
+
+def test_orders_sync_moves_columns_of_lines_once_and_compact_rows(spark, plain_plans):
+    from conftest import SF_SMALL
+
+    from konform.catalogue import QUERIES
+
+    lines = _plan(QUERIES["orders_sync"](spark, SF_SMALL)).split("\n")
+    dealt = [k for k, line in enumerate(lines) if "REPARTITION_BY_COL" in line]
+    assert sorted("ReusedExchange" in lines[k] for k in dealt) == [False, True]      # one shuffle of lines for both versions
+    assert not any("md5" in line for line in lines[dealt[0]:dealt[0] + 4])          # of the table's columns
+    wide = [k for k, line in enumerate(lines) if "Exchange hashpartitioning(OR_OrderRegelID" in line]
+    assert len(wide) == 2 and all("AS _packed#" in "".join(lines[k:k + 4]) for k in wide)
